@@ -20,14 +20,14 @@ def ship(spark: SparkSession) -> SparkSession:
     sc = spark.sparkContext
     if getattr(sc, "_lexloom_shipped", False):
         return spark
-    with tempfile.TemporaryDirectory() as folder:
-        target = os.path.join(folder, "lexloom_package.zip")
-        with zipfile.ZipFile(target, "w") as out:
-            for top, _, names in os.walk(_PACKAGE):
-                for name in sorted(names):
-                    if name.endswith(".py"):
-                        full = os.path.join(top, name)
-                        out.write(full, os.path.relpath(full, os.path.dirname(_PACKAGE)))
-        sc.addPyFile(target)
+    # the driver serves this file to executors that join later, so it stays until the application ends
+    target = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="lexloom-ship-")), "lexloom_package.zip")
+    with zipfile.ZipFile(target, "w") as out:
+        for top, _, names in os.walk(_PACKAGE):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(top, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(_PACKAGE)))
+    sc.addPyFile(target)
     sc._lexloom_shipped = True
     return spark
