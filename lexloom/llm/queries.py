@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+from lexloom.llm import mixing
 from lexloom.llm.audio import op9_audio
+from lexloom.llm.mixing import op7_mixing
+from lexloom.llm.order_minhash import op10_order_minhash
+from lexloom.llm.quality_knn import op5_quality_knn
+from lexloom.llm.secrets import op6_secrets
 
 QUERIES = {
+    "op5_quality_knn": op5_quality_knn,
+    "op6_secrets": op6_secrets,
+    "op7_mixing": op7_mixing,
     "op9_audio": op9_audio,
+    "op10_order_minhash": op10_order_minhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_mixing": mixing.ORACLE,
+}
