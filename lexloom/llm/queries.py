@@ -4,15 +4,23 @@ from __future__ import annotations
 
 from lexloom.llm import mixing
 from lexloom.llm.audio import op9_audio
+from lexloom.llm.bpe import op1_bpe
+from lexloom.llm.lattice_lm import op8_lattice_lm
+from lexloom.llm.line_dedup import op3_line_dedup
 from lexloom.llm.mixing import op7_mixing
+from lexloom.llm.near_dup import op4_near_dup
 from lexloom.llm.order_minhash import op10_order_minhash
 from lexloom.llm.quality_knn import op5_quality_knn
 from lexloom.llm.secrets import op6_secrets
 
 QUERIES = {
+    "op1_bpe": op1_bpe,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_near_dup": op4_near_dup,
     "op5_quality_knn": op5_quality_knn,
     "op6_secrets": op6_secrets,
     "op7_mixing": op7_mixing,
+    "op8_lattice_lm": op8_lattice_lm,
     "op9_audio": op9_audio,
     "op10_order_minhash": op10_order_minhash,
 }
