@@ -7,7 +7,7 @@ vocabulary file and so is broadcast.
 
 Cases: a null text counts as empty and has no ids; ids of rows with equal doc_ids stay apart, since documents are kept
 by their places in a block; null ids stay null; a pre-token of any length is one word; an empty table gives an empty
-table; other columns are not read, or, if named in ``keep`` of ``encode_documents``, pass through.
+table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -172,13 +172,17 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = b"" if ids is None else ids.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
             counts.append(len(raw) // 4)
             shas.append(hashlib.sha256(raw).hexdigest())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(shas, pa.string()), batch.column(batch.schema.get_field_index("decoded"))], ["doc_id", "n_tokens", "ids_sha256", "decoded"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(counts, pa.int64()), pa.array(shas, pa.string()), batch.column(batch.schema.get_field_index("decoded"))], ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded"])
+
+
+def digests(decoded: DataFrame) -> DataFrame:
+    """doc_id, ids, n_tokens, and the SHA-256 of the ids (little-endian, four bytes each) and of the decoded bytes."""
+    got = decoded.select("doc_id", "ids", "decoded").mapInArrow(_digest, "doc_id long, ids array<int>, n_tokens long, ids_sha256 string, decoded binary")
+    return got.select("doc_id", "ids", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op1_bpe(spark, sf_dir) -> DataFrame:
     from lexloom.llm.common import table
 
     ranks = load_ranks(public_tokenizers.path(VOCABULARY))
-    got = decode(encode(table(spark, sf_dir, "documents"), ranks), ranks)
-    digests = got.mapInArrow(_digest, "doc_id long, n_tokens long, ids_sha256 string, decoded binary")
-    return digests.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return digests(decode(encode(table(spark, sf_dir, "documents"), ranks), ranks)).drop("ids")

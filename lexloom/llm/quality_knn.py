@@ -152,26 +152,26 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, dims: int
 
 
 def score_documents(docs: DataFrame, model: Model, neighbours: int = NEIGHBOURS, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns named in ``keep``, and ``score``; one narrow pass over the documents."""
+    """The columns named in ``keep`` (the id, if none are) and ``_score``; one narrow pass over the documents."""
     spark = ship(docs.sparkSession)
     shared = spark.sparkContext.broadcast(model)
-    plain = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("binary").alias("_raw"), *(F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)))
+    keep = keep or (id_col,)
+    carried = dict.fromkeys([*keep, text_col])
+    numbered = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(carried)))
+    text_at = list(carried).index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, terms = shared.value, Terms()
         for batch in batches:
-            raws = batch.column(batch.schema.get_field_index("_raw"))
+            raws = batch.column(text_at).cast(pa.binary())
             scores = [np.zeros(0)]
             for at in range(0, batch.num_rows, BLOCK):
                 rows = [m.vector(*term_counts(raw.as_py(), terms)) for raw in raws.slice(at, BLOCK)]
                 scores.append(m.vote(np.stack(rows), neighbours))
-            kept = [batch.column(batch.schema.get_field_index(f"_keep_{i}")) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *kept, pa.array(np.concatenate(scores))], ["doc_id", *(f"k{i}" for i in range(len(keep))), "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(np.concatenate(scores))], [*(f"c{i}" for i in range(len(keep))), "_score"])
 
-    types = dict(docs.dtypes)
-    schema = ", ".join(["doc_id long", *(f"k{i} {types[c]}" for i, c in enumerate(keep)), "score double"])
-    out = plain.mapInArrow(run, schema)
-    return out.select("doc_id", *(F.col(f"k{i}").alias(c) for i, c in enumerate(keep)), "score")
+    schema = numbered.select(*(f"c{i}" for i in range(len(keep)))).schema.add("_score", "double")
+    return numbered.mapInArrow(run, schema).select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(keep)), "_score")
 
 
 def op5_quality_knn(spark, sf_dir) -> DataFrame:
@@ -179,4 +179,4 @@ def op5_quality_knn(spark, sf_dir) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     scored = score_documents(docs, fit(docs, table(spark, sf_dir, "labels")))
-    return scored.select("doc_id", F.coalesce(fold() == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(fold() == 2, F.lit(False)).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -12,9 +12,11 @@ from lexloom.llm.near_dup import op4_near_dup
 from lexloom.llm.order_minhash import op10_order_minhash
 from lexloom.llm.quality_knn import op5_quality_knn
 from lexloom.llm.secrets import op6_secrets
+from lexloom.llm.shards import op2_sharding
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_sharding": op2_sharding,
     "op3_line_dedup": op3_line_dedup,
     "op4_near_dup": op4_near_dup,
     "op5_quality_knn": op5_quality_knn,
