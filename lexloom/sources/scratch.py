@@ -25,13 +25,20 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_folder(spark)}/lexloom/{tag}-{uuid.uuid4().hex}"
 
 
+def discard_at_exit(spark: SparkSession, path: str) -> None:
+    """Have a scratch folder that exists removed when the application ends."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+
+
 def materialize(df: DataFrame, tag: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This cuts the lineage as ``checkpoint()`` does, but the copy is columnar and compressed, later reads
-    are pruned to the columns they need, and a lost executor costs no recomputation.
+    are pruned to the columns they need, and a lost executor costs no recomputation. It lasts as long as the application.
     """
     spark = df.sparkSession
     path = scratch_path(spark, tag)
     df.write.option("compression", compression).parquet(path)
+    discard_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
