@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm.common import mix64, rows_of, seeds
-from lexloom.llm.linking import components, link_groups, set_matcher, shared_keys
+from lexloom.llm.linking import components, connect_groups, set_matcher, shared_keys
 from lexloom.llm.wordblocks import gather
 from lexloom.session import ship
 from lexloom.sources.scratch import materialize
@@ -134,7 +134,7 @@ def near_lines(docs: DataFrame) -> DataFrame:
     wanted = materialize(rough.join(sizes, "root"), "lines-wanted")
     found = lines_of(text).join(small(wanted), F.col("node") == F.col("id")).groupBy("root", "id", "n").agg(F.first("line").alias("line"))
     compared = found.select("root", "id", "n", F.col("line").cast("binary").alias("line")).mapInArrow(_sets, "group long, id long, payload binary, n long")
-    return components(link_groups(materialize(compared, "lines-sets"), set_matcher(PERCENT), "lines-exact"), "lines-exact")
+    return connect_groups(materialize(compared, "lines-sets"), set_matcher(PERCENT), "lines-exact")
 
 
 def spread_links(met: DataFrame) -> DataFrame:
@@ -158,16 +158,18 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, drop_empty: bool = False) -> DataFrame:
     """docs (doc_id, text and any other columns) with the surviving lines as ``text``."""
-    columns = docs.columns
     gone = removed_lines(docs)
     few = gone.agg(F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()[0] <= FEW
-    joined = docs.join(F.broadcast(gone) if few else gone, F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
-    kept = F.expr(f"array_join(filter(split(text, '\\n', -1), (x, i) -> not array_contains(gone, named_struct('line_no', i, 'node', xxhash64(btrim(x, '{EDGES}'))))), '\\n')")
-    out = joined.withColumn("_left", F.when(F.col("gone").isNull() | F.col("text").isNull(), F.col("text")).otherwise(kept))
+    # numbered names, so that no column of docs can clash with ours
+    number = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    plain, text = docs.toDF(*number.values()), number["text"]
+    joined = plain.join(F.broadcast(gone) if few else gone, F.col(number["doc_id"]).eqNullSafe(F.col("_doc")), "left")
+    kept = F.expr(f"array_join(filter(split({text}, '\n', -1), (x, i) -> not array_contains(gone, named_struct('line_no', i, 'node', xxhash64(btrim(x, '{EDGES}'))))), '\n')")
+    out = joined.withColumn("left", F.when(F.col("gone").isNull() | F.col(text).isNull(), F.col(text)).otherwise(kept))
     if drop_empty:
         blank = lambda c: F.btrim(F.coalesce(F.col(c), F.lit("")), F.lit(EDGES + "\n")) == ""
-        out = out.where(~blank("_left") | blank("text"))
-    return out.withColumn("text", F.col("_left")).select(*columns)
+        out = out.where(~blank("left") | blank(text))
+    return out.select(*(F.col("left" if c == "text" else n).alias(c) for c, n in number.items()))
 
 
 def op3_line_dedup(spark, sf_dir) -> DataFrame:

@@ -1,13 +1,13 @@
 """Linking members of candidate groups, and connected components, without pairs of all members.
 
-``link_groups`` finds links enough to connect exactly what all links of a group's pairs connect. A group of n members is
+``connect_groups`` connects exactly what all links of a group's pairs connect. A group of n members is
 cut into about sqrt(n) chunks (64 members at least). First each chunk is compared with itself and with the first one;
 then, once the components of those links are known, members outside their group's largest component are compared with
 all chunks. Two members that a link joins are either in one component after the first step, or one of them is outside
 the largest and has met the other in the second. Rows are members, never pairs, and no task holds a whole group.
 
-``components`` is union-find by alternating large-star and small-star steps; each step's table is written to the shared
-folder, and a hub's many edges meet its label in a join that adaptive execution can split.
+``components`` is union-find by alternating large-star and small-star steps. Each round's edges are written to the shared
+folder; a hub's many edges meet its label in a join that adaptive execution can split.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lexloom.llm.common import rows_of
@@ -109,51 +109,71 @@ def _run_tasks(rows: DataFrame, matcher: Matcher) -> DataFrame:
     return tasks.mapInArrow(_link(matcher), "a long, b long")
 
 
-def link_groups(members: DataFrame, matcher: Matcher, tag: str) -> DataFrame:
-    """members: (group, id, payload, n), n being the group's number of members. Links (a, b), a > b."""
+def connect_groups(members: DataFrame, matcher: Matcher, tag: str) -> DataFrame:
+    """members: (group, id, payload, n), n being the group's number of members.
+
+    (id, root): every member that a link joins to another, with the smallest member of its component.
+    """
     ship(members.sparkSession)
     chunks = F.ceil(F.col("n") / F.greatest(F.lit(float(CHUNK)), F.sqrt("n"))).cast("int")
     chunked = members.where("n > 1").withColumn("m", chunks)
     chunked = chunked.withColumn("c", F.pmod(F.xxhash64("id"), F.col("m")).cast("int"))
     own = chunked.select("group", F.col("c").alias("j"), F.lit(0).alias("k"), F.lit(0).alias("role"), "id", "payload")
     first = chunked.where("m > 1 and c = 0").select("group", F.explode(F.expr("sequence(1, m - 1)")).alias("j"), F.lit(0).alias("k"), F.lit(1).alias("role"), "id", "payload")
-    links = materialize(_run_tasks(own.unionByName(first), matcher).distinct(), f"{tag}-links")
+    roots = components(_run_tasks(own.unionByName(first), matcher), tag)
     large = chunked.where("m > 1")
-    if large.limit(1).count() == 0:
-        return links
-    roots = components(links, tag)
     placed = large.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     placed = materialize(placed.select("group", "id", "payload", "m", "c", "root"), f"{tag}-large")
-    leading = placed.groupBy("group", "root").count().groupBy("group").agg(F.max_by("root", F.struct("count", "root")).alias("lead"), F.sum("count").alias("n"), F.max("count").alias("top"), F.max("root").alias("any"))
-    facts = materialize(leading.where("n > top").select("group", "lead", F.ceil((F.col("n") - F.col("top")) / CHUNK).cast("int").alias("ms")), f"{tag}-outside")
-    apart = placed.join(facts, "group").withColumn("s", F.pmod(F.xxhash64("id", F.lit(1)), F.col("ms")).cast("int"))
-    outside = F.col("root") != F.col("lead")
-    stragglers = apart.where(outside).select("group", F.explode(F.expr("sequence(0, m - 1)")).alias("j"), F.col("s").alias("k"), F.lit(0).alias("role"), "id", "payload")
+    leading = placed.groupBy("group", "root").count().groupBy("group").agg(F.max_by("root", F.struct("count", "root")).alias("lead"), F.sum("count").alias("n"), F.max("count").alias("top"))
+    outside = leading.where("n > top").select("group", "lead", F.ceil((F.col("n") - F.col("top")) / CHUNK).cast("int").alias("ms"))
+    outside = materialize(outside, f"{tag}-outside")
+    if outside.isEmpty():
+        return roots
+    apart = placed.join(outside, "group").withColumn("s", F.pmod(F.xxhash64("id", F.lit(1)), F.col("ms")).cast("int"))
+    stragglers = apart.where("root <> lead").select("group", F.explode(F.expr("sequence(0, m - 1)")).alias("j"), F.col("s").alias("k"), F.lit(0).alias("role"), "id", "payload")
     others = apart.select("group", F.col("c").alias("j"), F.explode(F.expr("sequence(0, ms - 1)")).alias("k"), F.lit(1).alias("role"), "id", "payload")
-    more = _run_tasks(stragglers.unionByName(others), matcher).distinct()
-    return links.unionByName(materialize(more, f"{tag}-more-links"))
+    more = _run_tasks(stragglers.unionByName(others), matcher)
+    known = roots.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
+    return components(more.unionByName(known), f"{tag}-more")
 
 
 def components(links: DataFrame, tag: str) -> DataFrame:
     """(id, root): every node of ``links`` (a, b), with the smallest node of its component."""
-    edges = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = materialize(edges, f"{tag}-edges")
+
+    def stored(edges: DataFrame) -> tuple[DataFrame, tuple]:
+        seen = Observation()
+        out = materialize(edges.distinct().observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")), f"{tag}-edges")
+        return out, (seen.get.get("n", 0), seen.get.get("sum"))
+
+    edges, now = stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
     before = None
-    while True:
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now[0] == 0 or now == before:
-            # a star for each component: every node but the root has one edge, to the root
-            return materialize(edges.select(F.col("a").alias("id"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct()), f"{tag}-roots")
-        before = now
-        # large-star: each node's larger neighbours move to its smallest neighbour
+    while now[0] and now != before:
+        # large-star: each node's larger neighbours move to its smallest neighbour. The smallest comes from an aggregate
+        # that is combined before its shuffle, and a hub's many neighbours meet it in a join that can be split.
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         smallest = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")), f"{tag}-low")
-        large = edges.select(F.col("b").alias("u"), F.col("a").alias("v")).join(smallest.withColumnRenamed("a", "u"), "u").select(F.col("v").alias("a"), F.col("low").alias("b")).where("a <> b")
-        large = materialize(large.distinct(), f"{tag}-large-star")
+        large = edges.withColumnRenamed("b", "u").join(smallest.withColumnRenamed("a", "u"), "u").select("a", F.col("low").alias("b"))
         # small-star: each node's smaller neighbours, and itself, move to the smallest of them
-        lowest = materialize(large.groupBy("a").agg(F.min("b").alias("low")), f"{tag}-lowest")
-        moved = large.join(lowest, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        edges = materialize(moved.unionByName(lowest.select("a", F.col("low").alias("b"))).distinct(), f"{tag}-edges")
+        sorted_ = large.where("a <> b").repartition("a").sortWithinPartitions("a", "b")
+        before = now
+        edges, now = stored(sorted_.mapInArrow(_small_star, "a long, b long"))
+    # a star for each component: every node but the root has one edge, to the root
+    return materialize(edges.select(F.col("a").alias("id"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct()), f"{tag}-roots")
+
+
+def _small_star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over edges (a, b) sorted: (a, m) and (b, m) for a's smallest neighbour m."""
+    held, low = None, None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        a, b = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("a", "b"))
+        first = np.concatenate([[a[0] != held], a[1:] != a[:-1]])
+        starts = np.flatnonzero(first)
+        lows = np.concatenate([[low if low is not None else 0], b[starts]]).astype(np.int64)[np.cumsum(first)]
+        rest = ~first & (b != lows)
+        held, low = a[-1], lows[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(np.where(first, a, b)[first | rest]), pa.array(lows[first | rest])], ["a", "b"])
 
 
 def shared_keys(pairs: DataFrame, tag: str) -> DataFrame:

@@ -6,7 +6,7 @@ some chunk up to one value, so every chunk is indexed under each choice of one v
 distance meet under some key. Documents that meet within ``NEAR`` values are connected to candidate components, whose
 full sets are then compared exactly.
 
-Documents with equal sets are one class from the start, so copies are never paired. Links come from ``link_groups``.
+Documents with equal sets are one class from the start, so copies are never paired. Links come from ``connect_groups``.
 
 At a similarity of 0.85 a value differs with probability 0.15, and all eight chunks have two or more differing values
 with probability 6e-7; at 0.8 it is 2e-5.
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm.common import WordHashes, id_and_bytes, lower_words, mix64, rows_of, seeds, word_shingles
-from lexloom.llm.linking import components, distance_matcher, link_groups, set_matcher, shared_keys
+from lexloom.llm.linking import connect_groups, distance_matcher, set_matcher, shared_keys
 from lexloom.session import ship
 from lexloom.sources.scratch import materialize
 
@@ -116,13 +116,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     classes = materialize(classes, "near-dup-classes")
     signatures = classes.select("id", "signature")
     met = shared_keys(signatures.mapInArrow(_keys, "key long, id long"), "near-dup")
-    candidates = link_groups(met.join(signatures, "id").select("group", "id", F.col("signature").alias("payload"), "n"), distance_matcher(VALUES, NEAR), "near-dup-candidates")
-    rough = components(candidates, "near-dup-rough")
+    rough = connect_groups(met.join(signatures, "id").select("group", "id", F.col("signature").alias("payload"), "n"), distance_matcher(VALUES, NEAR), "near-dup-rough")
     sizes = materialize(rough.groupBy("root").agg(F.count("*").alias("n")), "near-dup-rough-sizes")
     wanted = rough.join(sizes, "root").join(classes.select("id", "name"), "id")
     compared = plain.join(wanted, F.col("doc_id") == F.col("id")).select("id", "root", "n", "name", "raw").mapInArrow(_sets(words), "group long, id long, payload binary, n long")
-    links = link_groups(materialize(compared, "near-dup-sets"), set_matcher(percent), "near-dup-exact")
-    exact = components(links, "near-dup-exact")
+    exact = connect_groups(materialize(compared, "near-dup-sets"), set_matcher(percent), "near-dup-exact")
     named = classes.select("name", "id").join(exact, "id", "left").select("name", F.coalesce("root", "id").alias("component"))
     placed = features.select("doc_id", "n_shingles", "name").join(named, "name", "left")
     component = F.coalesce("component", F.col("doc_id"))
