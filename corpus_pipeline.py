@@ -14,8 +14,9 @@ from lexloom.sources.scratch import materialize
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the nearest labelled neighbours vote good."""
     model = quality_knn.fit(docs, table(spark, sf_dir, "labels"))
-    scored = quality_knn.score_documents(docs, model, keep=tuple(docs.columns))
-    return scored.where(F.col("_score") >= quality_knn.THRESHOLD).select(*docs.columns)
+    numbered = [f"c{i}" for i in range(len(docs.columns))]  # a column of docs may be called like the score
+    scored = quality_knn.score_documents(docs, model, keep=tuple(docs.columns)).toDF(*numbered, "score")
+    return scored.where(F.col("score") >= quality_knn.THRESHOLD).select(*numbered).toDF(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +27,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group linked at 0.8 similarity of five-word shingles."""
-    kept = near_dup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    kept = near_dup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id"))
+    return docs.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.kept_id")), "left_semi")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

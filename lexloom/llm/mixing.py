@@ -134,10 +134,13 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """The mixed rows with all their columns, plus ``mix_shard`` and ``mix_order`` (a random place in the shard)."""
-    plan = plan_mix(docs, id_col, text_col, source_col, shards, seed).where("times > 0").groupBy(F.col("sk").alias("_sk"), F.col("key").alias("_key")).agg(F.first("shards").alias("_shards"))
-    keyed = docs.withColumns({"_sk": source_key(F.col(source_col).cast("string")), "_key": row_key(id_col, text_col)})
-    drawn = keyed.join(plan, ["_sk", "_key"]).select("*", F.posexplode("_shards").alias("_epoch", "mix_shard"))
-    return drawn.withColumn("mix_order", F.xxhash64(F.lit(seed), "_key", "_epoch")).drop("_sk", "_key", "_shards", "_epoch")
+    plan = plan_mix(docs, id_col, text_col, source_col, shards, seed).where("times > 0").groupBy("sk", "key").agg(F.first("shards").alias("shards"))
+    # numbered names, so that no column of docs can clash with ours; columns called like the two new ones are replaced
+    number = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    keyed = docs.toDF(*number.values()).withColumns({"sk": source_key(F.col(number[source_col]).cast("string")), "key": row_key(number[id_col], number[text_col])})
+    drawn = keyed.join(plan, ["sk", "key"]).select(*number.values(), "key", F.posexplode("shards").alias("epoch", "shard"))
+    kept = [F.col(n).alias(c) for c, n in number.items() if c not in ("mix_shard", "mix_order")]
+    return drawn.select(*kept, F.col("shard").alias("mix_shard"), F.xxhash64(F.lit(seed), "key", "epoch").alias("mix_order"))
 
 
 def shuffled(mixed: DataFrame) -> DataFrame:
