@@ -103,44 +103,40 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "
     return met.where("all").groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))
 
 
-def _spans(rule: Rule, number: int, text: Column) -> tuple[Column, Column, str]:
-    """Matches, the measured group of each, and an expression over them: array of (start, rule's number, end)."""
-    pattern = F.lit(rule.pattern)
-    matched = F.regexp_extract_all(text, pattern, F.lit(0))
-    measured = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else F.lit(None).cast("array<string>")
-    m, v = f"m_{rule.kind}", f"v_{rule.kind}" if rule.group else f"m_{rule.kind}"
-    literal = rule.pattern.replace("\\", "\\\\").replace("'", "\\'")
-    kind = "array<struct<start:int,rule:int,end:int>>"
-    return (
-        matched,
-        measured,
-        f"""
+_SPANS = "array<struct<start:int,rule:int,end:int>>"
+_AT_ONCE = 256  # spans gathered before they are added to the document's, which copies those
+
+
+def _spans(rule: Rule, number: int) -> str:
+    """From the columns m_ (matches), v_ (the measured groups) and g_ (what stands between): the document's spans."""
+    m, v, g = f"m_{rule.kind}", f"{'v' if rule.group else 'm'}_{rule.kind}", f"g_{rule.kind}"
+    start = f"a.at + length({g}[i])"
+    return f"""
         if(size({m}) > 0,
-          aggregate(sequence(0, size({m}) - 1), named_struct('at', 0, 'gaps', split(body, '{literal}', -1), 'spans', cast(array() as {kind})), (acc, i) ->
-            named_struct('at', acc.at + length(acc.gaps[i]) + length({m}[i]), 'gaps', acc.gaps, 'spans',
-              if(length({v}[i]) >= {rule.least},
-                 concat(acc.spans, array(named_struct('start', acc.at + length(acc.gaps[i]), 'rule', {number}, 'end', acc.at + length(acc.gaps[i]) + length({m}[i])))),
-                 acc.spans)), acc -> acc.spans),
-          cast(array() as {kind}))""",
-    )
+          aggregate(sequence(0, (size({m}) - 1) div {_AT_ONCE}), named_struct('at', 0, 'spans', cast(array() as {_SPANS})), (acc, c) ->
+            aggregate(sequence(cast(c * {_AT_ONCE} as int), cast(least(size({m}) - 1, c * {_AT_ONCE} + {_AT_ONCE - 1}) as int)), named_struct('at', acc.at, 'spans', cast(array() as {_SPANS})), (a, i) ->
+              named_struct('at', {start} + length({m}[i]), 'spans',
+                if(length({v}[i]) >= {rule.least}, concat(a.spans, array(named_struct('start', {start}, 'rule', {number}, 'end', {start} + length({m}[i])))), a.spans)),
+              a -> named_struct('at', a.at, 'spans', concat(acc.spans, a.spans))),
+            acc -> acc.spans),
+          cast(array() as {_SPANS}))"""
 
 
 def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_<kind> for each rule, and ``found``: the spans of all rules as sorted (start, rule's number, end)."""
-    found = candidates(docs, rules, id_col, text_col).withColumnRenamed("doc_id", "_cid")
+    met = candidates(docs, rules, id_col, text_col).withColumnRenamed("doc_id", "_cid")
     plain = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    joined = plain.join(found, F.col("doc_id").eqNullSafe(F.col("_cid")), "left").drop("_cid")
-    matches, spans = {}, {}
-    none = F.lit(None).cast("array<string>")
-    for number, rule in enumerate(rules):
-        matched, measured, expression = _spans(rule, number, F.col("body"))
+    joined = plain.join(met, F.col("doc_id").eqNullSafe(F.col("_cid")), "left")
+    matches, gaps = {}, {}
+    for rule in rules:
+        wanted = {f"{c}_{rule.kind}": F.regexp_extract_all("body", F.lit(rule.pattern), F.lit(group)) for c, group in (("m", 0), ("v", rule.group)) if c == "m" or group}
         if trigram_query(rule.pattern) is not None:
-            picked = F.array_contains("kinds", rule.kind)
-            matched, measured = F.when(picked, matched).otherwise(none), F.when(picked, measured).otherwise(none)
-        matches |= {f"m_{rule.kind}": matched} | ({f"v_{rule.kind}": measured} if rule.group else {})
-        spans[rule.kind] = F.expr(expression)
-    located = joined.select("doc_id", "body", *(c.alias(n) for n, c in matches.items())).select("doc_id", *(c.alias(k) for k, c in spans.items()))
-    return located.select("doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in spans), F.array_sort(F.concat(*spans)).alias("found"))
+            wanted = {name: F.when(F.array_contains("kinds", rule.kind), column) for name, column in wanted.items()}
+        matches |= wanted
+        gaps[f"g_{rule.kind}"] = F.when(F.size(f"m_{rule.kind}") > 0, F.split("body", rule.pattern, -1))
+    pieces = joined.select("doc_id", "body", *(c.alias(n) for n, c in matches.items())).select("doc_id", *matches, *(c.alias(n) for n, c in gaps.items()))
+    located = pieces.select("doc_id", *(F.expr(_spans(rule, number)).alias(rule.kind) for number, rule in enumerate(rules)))
+    return located.select("doc_id", *(F.size(r.kind).cast("long").alias(f"n_{r.kind}") for r in rules), F.array_sort(F.concat(*(r.kind for r in rules))).alias("found"))
 
 
 def span_text(found: Column, rules: tuple[Rule, ...]) -> Column:
