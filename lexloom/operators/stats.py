@@ -29,16 +29,25 @@ def removed_sample(docs: DataFrame, size: int = 20) -> DataFrame:
     return docs.select("doc_id", F.array_join(F.slice(gone, 1, size), " ").alias("sample"), F.size(gone).cast("long").alias("removed"))
 
 
-def best_attempt(attempts: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """(page, level, text) -> one row a page: the first level within the badness threshold, else the least bad one.
+FALLBACK_WARNING = "no tolerance level was acceptable, the default one is used"
 
-    Empty attempts are no candidates; a page whose every attempt is empty or wholly bad has level null.
+
+def best_attempt(attempts: DataFrame, threshold: float = 0.3, default_level: int = 1) -> DataFrame:
+    """(page, level, text) -> one row a page, with a warning or null.
+
+    The first level within the badness threshold is taken, else the least bad one. Empty and wholly bad attempts are no
+    candidates; a page that has no others gets the default level's text (or the first level's) and a warning.
     """
-    scored = attempts.withColumn("score", badness(F.col("text"))).where("text <> '' and (score < 1 or score <= {})".format(threshold))
-    rank = F.struct((F.col("score") > threshold).alias("late"), F.when(F.col("score") > threshold, F.col("score")).otherwise(F.lit(0.0)).alias("score"), F.col("level").alias("level"))
-    chosen = scored.groupBy("page").agg(F.min_by(F.struct("level", "text"), rank).alias("best"))
-    pages = attempts.select("page").distinct()
-    return pages.join(chosen, "page", "left").select("page", F.col("best.level").alias("level"), F.col("best.text").alias("text"))
+    scored = attempts.withColumn("score", badness(F.col("text")))
+    candidate = (F.col("text") != "") & ((F.col("score") < 1) | (F.col("score") <= threshold))
+    late = F.col("score") > threshold
+    rank = F.struct(late.alias("late"), F.when(late, F.col("score")).otherwise(F.lit(0.0)).alias("score"), F.col("level").alias("level"))
+    attempt = F.struct("level", "text")
+    chosen = scored.groupBy("page").agg(
+        F.min_by(attempt, F.when(candidate, rank)).alias("best"), F.min_by(attempt, F.struct((F.col("level") != default_level).alias("other"), F.col("level").alias("level"))).alias("fallback")
+    )
+    taken = F.coalesce("best", "fallback")
+    return chosen.select("page", taken["level"].alias("level"), taken["text"].alias("text"), F.when(F.col("best").isNull(), FALLBACK_WARNING).alias("warning"))
 
 
 def corpus_stats(docs: DataFrame) -> DataFrame:

@@ -106,6 +106,7 @@ def run(spark: SparkSession, config: Config = DEFAULT, extractor: files.PdfExtra
     import os
 
     config.validate()
+    files.make_folders(config)
     files.check_folder(config.input_folder)
     folder = files.run_folder(config.results_folder)
     out = {name: os.path.join(folder, name) for name in ("extracted", "cleaned", "manifest")}

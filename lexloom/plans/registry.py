@@ -16,6 +16,7 @@ from lexloom.functions import text as T
 from lexloom.operators import flatten, rules, stats
 from lexloom.plans import pipeline
 from lexloom.session import ship
+from lexloom.sources import files
 from lexloom.sources.scratch import scratch_path
 from lexloom.streaming import clean_stream as streaming
 
@@ -230,11 +231,11 @@ def attempts(spark, sf_dir) -> DataFrame:
 
 query(
     "best_tolerance",
-    lambda spark, sf_dir: stats.best_attempt(attempts(spark, sf_dir)).select("page", F.col("level").cast("long").alias("level"), F.length("text").cast("long").alias("n_chars")),
+    lambda spark, sf_dir: stats.best_attempt(attempts(spark, sf_dir)).select("page", F.col("level").cast("long").alias("level"), F.length("text").cast("long").alias("n_chars"), F.col("warning").isNotNull().alias("warned")),
     rf"""WITH a AS (SELECT doc_id AS page, 0 AS level, {SQL_SPACED} AS t FROM documents UNION ALL SELECT doc_id, 1, regexp_replace({SQL_CYRILLIC}, '{_HALF}', '\1 ', 'g') FROM documents UNION ALL SELECT doc_id, 2, regexp_replace({SQL_CYRILLIC}, '([а-в])', '\1 ', 'g') FROM documents),
 s AS (SELECT page, level, t, {_badness_sql('t')} AS score FROM a),
 r AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY score > 0.3, CASE WHEN score > 0.3 THEN score ELSE 0 END, level) AS n FROM s WHERE t <> '' AND score < 1)
-SELECT p.page, CAST(r.level AS BIGINT) AS level, CAST(length(r.t) AS BIGINT) AS n_chars FROM (SELECT DISTINCT page FROM a) p LEFT JOIN r ON p.page = r.page AND r.n = 1""",
+SELECT p.page, CAST(coalesce(r.level, p.level) AS BIGINT) AS level, CAST(length(coalesce(r.t, p.t)) AS BIGINT) AS n_chars, r.level IS NULL AS warned FROM (SELECT * FROM a WHERE level = 1) p LEFT JOIN r ON p.page = r.page AND r.n = 1""",
 )
 query("corpus_stats", lambda spark, sf_dir: stats.corpus_stats(documents(spark, sf_dir)), r"SELECT count(*) AS n_rows, CAST(sum(length(text)) AS BIGINT) AS n_chars, CAST(sum(len(regexp_extract_all(text, '\p{L}+'))) AS BIGINT) AS n_words, CAST(sum(strlen(text)) AS BIGINT) AS n_bytes FROM documents")
 query(
@@ -250,7 +251,16 @@ query(
 
 # flattening, sources and formats
 
-query("row_text_flatten", lambda spark, sf_dir: flatten.row_text(table(spark, sf_dir, "customer"), keep=("c_custkey",)), "")
+query(
+    "row_text_flatten",
+    lambda spark, sf_dir: flatten.row_text(table(spark, sf_dir, "customer"), keep=("c_custkey",)),
+    "SELECT c_custkey, text FROM (SELECT c_custkey, concat_ws(' ', nullif(trim(c_name), ''), nullif(trim(c_mktsegment), '')) AS text FROM customer) WHERE text <> ''",
+)
+query(
+    "manifest_counts",
+    lambda spark, sf_dir: files.manifest("parquet", table(spark, sf_dir, "documents").select(F.col("source").alias("file"), "text", F.lit(None).cast("string").alias("error"))).drop("ts"),
+    "SELECT 'parquet' AS processor, source AS file, CAST(coalesce(sum(length(text)), 0) AS BIGINT) AS n_chars, CAST(coalesce(sum(strlen(text)), 0) AS BIGINT) AS n_bytes, CAST(count(text) AS INTEGER) AS n_units, CAST(NULL AS VARCHAR) AS error FROM documents GROUP BY source",
+)
 query("row_text_parity", lambda spark, sf_dir: flatten.row_text(table(spark, sf_dir, "orders"), parity=True, keep=("o_orderkey",)))
 query(
     "array_text_flatten",

@@ -10,6 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexloom.config import Config
 from lexloom.errors import MissingFileError, ParquetProcessingError, ValidationError
 from lexloom.operators.flatten import row_text
 from lexloom.session import ship
@@ -107,6 +108,12 @@ def archive(paths: list[str], folder: str) -> list[str]:
     return [shutil.move(p.removeprefix("file://").removeprefix("file:"), folder) for p in paths]
 
 
+def make_folders(config: Config) -> None:
+    """The input, archive, results and word-list folders, where they do not exist."""
+    for folder in (config.input_folder, config.archive_folder, config.results_folder, config.additional_folder):
+        os.makedirs(folder, exist_ok=True)
+
+
 def run_folder(results: str, now: datetime | None = None) -> str:
     return os.path.join(results, (now or datetime.now()).strftime("%d-%m-%y-%H-%M-%S"))
 

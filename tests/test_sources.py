@@ -53,8 +53,10 @@ def test_text_files_must_be_utf8(spark, tmp_path):
 
 def test_best_attempt(spark):
     rows = [(1, 0, "а б в г"), (1, 1, "аб вг"), (1, 2, "абвг"), (2, 0, "а б"), (2, 1, ""), (3, 0, "а б вг"), (3, 1, "а бв г"), (4, 0, "а бв"), (4, 1, "а б в гд")]
-    got = {r.page: r.level for r in stats.best_attempt(spark.createDataFrame(rows, "page int, level int, text string")).collect()}
-    assert got == {1: 1, 2: None, 3: 0, 4: 0}
+    best = stats.best_attempt(spark.createDataFrame(rows, "page int, level int, text string")).cache()
+    assert {r.page: r.level for r in best.collect()} == {1: 1, 2: 1, 3: 0, 4: 0}
+    warned = stats.warning_counts(best.where("warning is not null").select(F.col("warning").alias("message"))).collect()
+    assert [tuple(r) for r in warned] == [(stats.FALLBACK_WARNING, 1)]
 
 
 def test_run_extracts_cleans_and_archives(spark, tmp_path):
