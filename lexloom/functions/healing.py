@@ -1,7 +1,7 @@
 """Repair of OCR damage. Context-dependent rewriting runs in Arrow batches; ``native_repair`` is its pure-SQL form.
 
-Over 2.5 million Cyrillicised characters the five regular-expression passes of ``native_repair`` were several times slower
-than the batch function (see the README), so the batch function is the default.
+The five regular-expression passes of ``native_repair`` took nine times as long as the batch function (see the README), so
+the batch function is the default.
 """
 
 from __future__ import annotations
