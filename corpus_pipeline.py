@@ -39,7 +39,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every drawn document, with digests of the ids and of the text they decode to."""
     ranks = bpe.load_ranks(public_tokenizers.path(bpe.VOCABULARY))
-    return bpe.digests(bpe.decode(bpe.encode(docs, ranks), ranks))
+    return bpe.digests(bpe.round_trip(docs, ranks))
 
 
 STAGES = [("quality", quality), ("line_dedup", lines), ("near_dup", near_duplicates), ("mixing", mix), ("bpe", tokens)]

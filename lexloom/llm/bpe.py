@@ -3,7 +3,7 @@
 ``encode``: texts are exploded into the pattern's matches (pre-tokens) with their positions, in the packed form of
 ``wordblocks``; each distinct pre-token of the corpus is encoded once; its ids are joined back to every block that
 uses it and put at each position. ``decode`` joins ids with the token-byte table, which has one row per rank of the
-vocabulary file and so is broadcast.
+vocabulary file and so is broadcast; ``round_trip`` does both.
 
 Cases: a null text counts as empty and has no ids; ids of rows with equal doc_ids stay apart, since documents are kept
 by their places in a block; null ids stay null; a pre-token of any length is one word; an empty table gives an empty
@@ -24,7 +24,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.wordblocks import Block, Bucket, back_to_blocks, cut_blocks, doc_starts, gather, pack, per_bucket, unpack
+from lexloom.llm.wordblocks import BLOCK_BYTES, Block, Bucket, back_to_blocks, cut_blocks, doc_starts, gather, pack, per_bucket, unpack
 from lexloom.session import ship
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -54,11 +54,11 @@ class _Segments(dict):
     def __init__(self, block: Block):
         super().__init__()
         self.block = block
-        self.parts: list[list[int]] = []
+        self.parts: list[tuple[int, ...]] = []
 
     def add(self, text: str) -> int:
         number = self.block.number
-        self.parts.append([number(piece.encode("utf-8", "surrogatepass")) for piece in PIECES.findall(text)])
+        self.parts.append(tuple([number(piece.encode("utf-8", "surrogatepass")) for piece in PIECES.findall(text)]))
         return len(self.parts) - 1
 
     def __missing__(self, segment: str) -> int:
@@ -102,9 +102,8 @@ def _encoder(raw: bytes):
     return handle
 
 
-def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ids: each whole text's token ids, each match of the pattern encoded separately."""
-    blocks = cut_blocks(docs, split_pieces, lambda _: False, id_col, text_col)
+def _encoded(docs: DataFrame, ranks: bytes, finish, schema: str, id_col: str, text_col: str, block_bytes: int) -> DataFrame:
+    blocks = cut_blocks(docs, split_pieces, lambda _: False, id_col, text_col, block_bytes)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     state: dict = {}
 
@@ -113,7 +112,25 @@ def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str
             state["encoder"] = _encoder(shared.value)
         return state["encoder"](bucket)
 
-    return back_to_blocks(blocks, per_bucket(blocks, handle), _assemble, "doc_id long, ids array<int>")
+    return back_to_blocks(blocks, per_bucket(blocks, handle), finish, schema)
+
+
+def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """doc_id, ids: each whole text's token ids, each match of the pattern encoded separately."""
+    return _encoded(docs, ranks, _assemble, "doc_id long, ids array<int>", id_col, text_col, block_bytes)
+
+
+def round_trip(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``decode(encode(...))`` with both ends in one pass over the blocks."""
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    state: dict = {}
+
+    def finish(row: dict, found: list[tuple[np.ndarray, bytes]]) -> pa.Table:
+        if "tokens" not in state:
+            state["tokens"] = token_table(shared.value)
+        return pa.Table.from_batches([_decoded(batch, state["tokens"]) for batch in _assemble(row, found).to_batches(max_chunksize=1000)], DECODED)
+
+    return _encoded(docs, ranks, finish, DECODED_SCHEMA, id_col, text_col, block_bytes)
 
 
 def _assemble(row: dict, found: list[tuple[np.ndarray, bytes]]) -> pa.Table:
@@ -143,46 +160,46 @@ def token_table(ranks: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.cumsum(sizes) - sizes, sizes, np.frombuffer(b"".join(tokens), np.uint8)
 
 
+DECODED_SCHEMA = "doc_id long, ids array<int>, ids_sha256 string, decoded binary"
+DECODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("ids_sha256", pa.string()), ("decoded", pa.binary())])
+
+
+def _decoded(batch: pa.RecordBatch, tokens: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
+    """A batch of doc_id, ids with the hash of the ids and the bytes that the token table has for them."""
+    starts, sizes, flat = tokens
+    lists = batch.column(batch.schema.get_field_index("ids"))
+    decoded, shas = [], []
+    for i in range(len(lists)):
+        ids = lists[i].values
+        ids = np.zeros(0, np.int64) if ids is None else ids.to_numpy(zero_copy_only=False).astype(np.int64)
+        decoded.append(flat[gather(starts[ids], sizes[ids])].tobytes())
+        shas.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
+    return pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("doc_id")), lists.cast(pa.list_(pa.int32())), pa.array(shas, pa.string()), pa.array(decoded, pa.binary())], schema=DECODED)
+
+
 def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
-    """doc_id, ids -> doc_id, ids, decoded (bytes): a join of every id with the broadcast token-byte table."""
+    """doc_id, ids -> doc_id, ids, ids_sha256, decoded (bytes): a join of every id with the broadcast token-byte table.
+
+    ids_sha256 is the hash of the ids as little-endian unsigned 32-bit integers, taken in the same pass.
+    """
     shared = ship(encoded.sparkSession).sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        starts, sizes, flat = token_table(shared.value)
+        tokens = token_table(shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                lists = part.column(part.schema.get_field_index("ids"))
-                decoded = []
-                for i in range(len(lists)):
-                    ids = lists[i].values
-                    ids = np.zeros(0, np.int64) if ids is None else ids.to_numpy(zero_copy_only=False).astype(np.int64)
-                    decoded.append(flat[gather(starts[ids], sizes[ids])].tobytes())
-                yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("doc_id")), lists, pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"])
-
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
-
-
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        lists = batch.column(batch.schema.get_field_index("ids"))
-        counts, shas = [], []
-        for i in range(len(lists)):
-            ids = lists[i].values
-            raw = b"" if ids is None else ids.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-            counts.append(len(raw) // 4)
-            shas.append(hashlib.sha256(raw).hexdigest())
-        yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(counts, pa.int64()), pa.array(shas, pa.string()), batch.column(batch.schema.get_field_index("decoded"))], ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded"])
+                yield _decoded(batch.slice(at, 1000), tokens)
+
+    return encoded.select("doc_id", "ids").mapInArrow(run, DECODED_SCHEMA)
 
 
 def digests(decoded: DataFrame) -> DataFrame:
-    """doc_id, ids, n_tokens, and the SHA-256 of the ids (little-endian, four bytes each) and of the decoded bytes."""
-    got = decoded.select("doc_id", "ids", "decoded").mapInArrow(_digest, "doc_id long, ids array<int>, n_tokens long, ids_sha256 string, decoded binary")
-    return got.select("doc_id", "ids", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    """doc_id, ids, n_tokens, and the SHA-256 of the ids and of the decoded bytes."""
+    return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op1_bpe(spark, sf_dir) -> DataFrame:
     from lexloom.llm.common import table
 
     ranks = load_ranks(public_tokenizers.path(VOCABULARY))
-    return digests(decode(encode(table(spark, sf_dir, "documents"), ranks), ranks)).drop("ids")
+    return digests(round_trip(table(spark, sf_dir, "documents"), ranks)).drop("ids")

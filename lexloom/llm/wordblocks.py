@@ -5,13 +5,15 @@ Exploding every occurrence would shuffle several times the corpus. Instead docum
 in text order. Of a block only the distinct words travel: packed by word bucket to where each distinct word of the
 corpus is handled once (``per_bucket``), and the findings back to the block, where they are put at each position.
 
-The blocks are a table in the shared folder, so both ways read the same blocks even if executors are lost. A word as
-frequent as may be is one entry per block; the largest thing a task holds is a block, a very long document, or the
-words of one bucket, of which there are more the more shuffle partitions are set.
+The blocks are a table in the shared folder, bucketed by block, so both ways read the same blocks even if executors are
+lost, and the texts' word positions are never shuffled. A word as frequent as may be is one entry per block; the largest
+thing a task holds is a block, a very long document, or the words of one bucket, of which there are more the more shuffle
+partitions are set.
 """
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,14 +26,23 @@ from pyspark.sql import functions as F
 
 from lexloom.llm.common import id_and_bytes, rows_of
 from lexloom.session import ship
-from lexloom.sources.scratch import materialize
+from lexloom.sources.scratch import materialize_bucketed
 
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 15_000_000
 BUCKETS_A_PARTITION = 2
 
 BLOCK_SCHEMA = "block long, doc_ids array<long>, n_words array<int>, flags array<boolean>, payload binary, parts array<struct<bucket:int,words:binary>>"
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker is reused, and what it holds counts beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library has no such call, and no need of it
+        return
+
+
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays of integers or floats, by byte planes, compressed."""
     head = np.array([len(arrays), *(x for a in arrays for x in (len(a), a.dtype.itemsize, ord(a.dtype.kind)))], "<i8").tobytes()
@@ -127,10 +138,13 @@ def cut_blocks(docs: DataFrame, split: Callable[[Block, bytes], np.ndarray], fla
                     if block.size >= block_bytes:
                         yield block.row(number, buckets)
                         number, block = number + 1, Block(split)
+                        release()
         if block.doc_ids:
             yield block.row(number, buckets)
+        block = None
+        release()
 
-    return materialize(id_and_bytes(docs, id_col, text_col).mapInArrow(run, BLOCK_SCHEMA), "blocks")
+    return materialize_bucketed(id_and_bytes(docs, id_col, text_col).mapInArrow(run, BLOCK_SCHEMA), "block", "blocks")
 
 
 class Bucket:
@@ -159,25 +173,35 @@ def by_bucket(blocks: DataFrame):
 def per_bucket(blocks: DataFrame, handle: Callable[[Bucket], Callable[[np.ndarray], bytes]]) -> DataFrame:
     """(block, found): ``handle`` looks at a bucket's distinct words and returns what packs the findings of some."""
 
-    def run(table: pa.Table) -> pa.Table:
+    def work(table: pa.Table) -> pa.Table:
         bucket = Bucket(table)
         packed = handle(bucket)
         rows = [(block, pack(ranks), packed(here)) for block, ranks, here in bucket.uses]
         return pa.table([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], ["block", "ranks", "found"])
 
+    def run(table: pa.Table) -> pa.Table:
+        out = work(table)
+        release()
+        return out
+
     return by_bucket(blocks).applyInArrow(run, "block long, ranks binary, found binary")
 
 
 def back_to_blocks(blocks: DataFrame, found: DataFrame, finish: Callable[[dict, list[tuple[np.ndarray, bytes]]], pa.Table], schema: str) -> DataFrame:
     """``finish`` gets a block's row, with ``numbers`` (all its words by rank), and its (ranks, findings)."""
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for row in left.to_pylist():
             row["numbers"] = unpack(row.pop("payload"))[0]
             out.append(finish(row, [(unpack(r)[0], f) for r, f in zip(right["ranks"].to_pylist(), right["found"].to_pylist(), strict=True)]))
         return pa.concat_tables(out) if len(out) != 1 else out[0]
 
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = work(left, right)
+        release()
+        return out
+
     return blocks.select("block", "doc_ids", "n_words", "flags", "payload").groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, schema)
 
 
