@@ -134,7 +134,7 @@ def near_lines(docs: DataFrame) -> DataFrame:
     wanted = materialize(rough.join(sizes, "root"), "lines-wanted")
     found = lines_of(text).join(small(wanted), F.col("node") == F.col("id")).groupBy("root", "id", "n").agg(F.first("line").alias("line"))
     compared = found.select("root", "id", "n", F.col("line").cast("binary").alias("line")).mapInArrow(_sets, "group long, id long, payload binary, n long")
-    return connect_groups(materialize(compared, "lines-sets"), set_matcher(PERCENT), "lines-exact")
+    return connect_groups(materialize(compared, "lines-sets"), set_matcher(PERCENT), "lines-exact", chunk=1024)
 
 
 def spread_links(met: DataFrame) -> DataFrame:
