@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +28,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexloom.llm.common import rows_of
 from lexloom.llm.wordblocks import Block, Bucket, back_to_blocks, by_bucket, cut_blocks, doc_starts, pack, per_bucket, unpack
 
 VOCABULARY = "piece_bpe_32k.model"
 FOLDS, HELD_OUT = 5, 1
 PRIOR = 2000.0  # occurrences that the vocabulary's own weights count for
 FIXED = 1 << 16  # expectations are summed as whole multiples of 1/FIXED, in any order alike
+MERGERS = 16  # tasks that add up the buckets' expectations
 _START = "▁"  # the vocabulary's mark of a word's start
 _DISTINCT, _ONCE = -1, -2  # keys of the sums that are no pieces
 
@@ -131,11 +135,23 @@ def _expect(shared):
             if count:
                 expectations(*pieces.arcs(word), state["log"], count, into)
         sums = {p: round(v * FIXED) for p, v in into.items()} | {_DISTINCT: int((bucket.counts > 0).sum()), _ONCE: int((bucket.counts == 1).sum())}
-        return pa.table([pa.array(sums.keys(), pa.int32()), pa.array(sums.values(), pa.int64())], ["piece", "amount"])
+        return pa.table([pa.array([pack(np.array(list(sums.keys()), np.int64), np.array(list(sums.values()), np.int64))], pa.binary())], ["sums"])
 
     return run
 
 
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed sums of many buckets -> one; the task holds one number per piece."""
+    total: Counter = Counter()
+    for batch in batches:
+        for (blob,) in rows_of(batch, "sums"):
+            keys, amounts = unpack(blob)
+            for key, amount in zip(keys.tolist(), amounts.tolist(), strict=True):
+                total[key] += amount
+    if total:
+        yield pa.RecordBatch.from_arrays([pa.array([pack(np.array(list(total.keys()), np.int64), np.array(list(total.values()), np.int64))], pa.binary())], ["sums"])
+
+
 def lattice_scores(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: a row per document."""
     context = docs.sparkSession.sparkContext
@@ -143,8 +159,12 @@ def lattice_scores(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
     shared = context.broadcast(pieces)
     blocks = cut_blocks(docs, split_words, lambda d: not held_out(d), id_col, text_col)
     trained = blocks.select(F.explode(F.arrays_zip("flags", "n_words")).alias("d")).where("d.flags").agg(F.count("*").alias("docs"), F.coalesce(F.sum("d.n_words"), F.lit(0)).alias("words")).first()
-    sums = by_bucket(blocks).applyInArrow(_expect(shared), "piece int, amount long").groupBy("piece").agg(F.sum("amount").alias("amount"))
-    got = {r.piece: r.amount for r in sums.collect()}  # a row per piece of the vocabulary, and two
+    # a row per bucket, merged in MERGERS tasks, each of which sends one row with a number per piece at most
+    sums = by_bucket(blocks).applyInArrow(_expect(shared), "sums binary").repartition(MERGERS).mapInArrow(_merge, "sums binary")
+    got: Counter = Counter()
+    for row in sums.collect():
+        for key, amount in zip(*(a.tolist() for a in unpack(row.sums)), strict=True):
+            got[key] += amount
     n_train = trained.words + trained.docs
     distinct = got.pop(_DISTINCT, 0) + (trained.docs > 0)
     once = got.pop(_ONCE, 0)
