@@ -5,6 +5,9 @@ files back and returns the payload, log-mel tensors of one fixed shape with thei
 that a two-threshold (hysteresis) energy detector finds active. Both are one pass without a shuffle; a task
 holds one Arrow batch.
 
+Every sample is analysed: the resampling filter is centred, so its last outputs still see the last samples; the signal is
+zero-padded to whole frames; the frames' window has no zero ends. Spans end where the signal ends, not the padding.
+
 Cases: a null text counts as empty; an empty payload is padded to one unit; equal payloads give equal values,
 because every file is processed by itself; rows are never merged, so repeated rows and ids stay; null ids
 stay null; an empty table gives an empty table; other columns are not read.
@@ -85,9 +88,10 @@ def mel_bank() -> np.ndarray:
 
 
 def resample(x: np.ndarray, phases: np.ndarray) -> np.ndarray:
-    """Output sample n lies at input time n*DOWN/UP and needs only the taps of phase n*DOWN mod UP."""
+    """Output sample n lies at input time n*DOWN/UP, amid its taps, and needs only those of phase n*DOWN mod UP."""
     n_out = -(-len(x) * UP // DOWN)
-    x = np.concatenate([np.zeros(TAPS - 1, np.float32), x, np.zeros(DOWN, np.float32)])
+    ahead = TAPS // 2
+    x = np.concatenate([np.zeros(TAPS - 1 - ahead, np.float32), x, np.zeros(ahead + DOWN, np.float32)])
     windows = np.lib.stride_tricks.sliding_window_view(x, TAPS)
     out = np.empty(n_out, np.float32)
     for r in range(min(UP, n_out)):
@@ -97,22 +101,30 @@ def resample(x: np.ndarray, phases: np.ndarray) -> np.ndarray:
     return out
 
 
-def active_spans(energy: np.ndarray) -> list[list[float]]:
-    """Runs of frames above the low threshold that hold a frame above the high one, in seconds."""
+def frame_window() -> np.ndarray:
+    """A Hann window without its zero ends, which would drop a signal's first and last sample."""
+    return np.hanning(FRAME + 2)[1:-1].astype(np.float32)
+
+
+def framed(y: np.ndarray) -> np.ndarray:
+    """Half-overlapping frames over all of y, the last one zero-padded."""
+    short = FRAME - len(y) if len(y) < FRAME else -(len(y) - FRAME) % HOP
+    return np.lib.stride_tricks.sliding_window_view(np.concatenate([y, np.zeros(short, np.float32)]), FRAME)[::HOP]
+
+
+def active_spans(energy: np.ndarray, end: float = math.inf) -> list[list[float]]:
+    """Runs of frames above the low threshold that hold a frame above the high one, in seconds, up to the signal's end."""
     level = energy - np.median(energy)
     over = np.concatenate([[0], (level > LOW_DB).view(np.int8), [0]])
     edges = np.flatnonzero(np.diff(over))
     hop = HOP * DOWN / UP / RATE
     length = FRAME * DOWN / UP / RATE
-    return [[a * hop, (b - 1) * hop + length] for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True) if level[a:b].max() > HIGH_DB]
+    return [[a * hop, min(end, (b - 1) * hop + length)] for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True) if level[a:b].max() > HIGH_DB]
 
 
 def analyse(payload: bytes, phases: np.ndarray, bank: np.ndarray, hann: np.ndarray):
     x = (np.frombuffer(payload, np.uint8).astype(np.float32) - 128) / 128
-    y = resample(x, phases)
-    if len(y) < FRAME:
-        y = np.concatenate([y, np.zeros(FRAME - len(y), np.float32)])
-    frames = np.lib.stride_tricks.sliding_window_view(y, FRAME)[::HOP] * hann
+    frames = framed(resample(x, phases)) * hann
     power = np.abs(np.fft.rfft(frames, axis=1)).astype(np.float32) ** 2
     mel = np.log10(power @ bank + 1e-6)
     energy = 10 * np.log10((frames**2).mean(axis=1) + 1e-9)
@@ -121,9 +133,9 @@ def analyse(payload: bytes, phases: np.ndarray, bank: np.ndarray, hann: np.ndarr
     filled = np.zeros((windows * WINDOW, MELS), np.float32)
     filled[:n] = mel
     hop = WINDOW * HOP * DOWN / UP / RATE
-    end = (n - 1) * HOP * DOWN / UP / RATE + FRAME * DOWN / UP / RATE
-    times = [[w * hop, min(end, (w + 1) * hop)] for w in range(windows)]
-    active = active_spans(energy)
+    end = len(payload) / RATE
+    times = [[w * hop, end if w == windows - 1 else (w + 1) * hop] for w in range(windows)]
+    active = active_spans(energy, end)
     means, spread = mel.mean(axis=0), mel.std(axis=0)
     feature = f"frames={n};active={len(active)};seconds={sum(b - a for a, b in active):.3f};mean={','.join(f'{v:.3f}' for v in means)};std={','.join(f'{v:.3f}' for v in spread)}"
     return filled.reshape(windows, WINDOW * MELS), times, active, feature
@@ -140,7 +152,7 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    phases, bank, hann = resampling_filter(), mel_bank(), np.hanning(FRAME).astype(np.float32)
+    phases, bank, hann = resampling_filter(), mel_bank(), frame_window()
     nested = pa.list_(pa.list_(pa.float32()))
     for batch in batches:
         for at in range(0, batch.num_rows, 500):

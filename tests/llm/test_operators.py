@@ -384,6 +384,24 @@ def test_audio_edges(edges):
     assert audio.audio_features(audio.encode_audio(empty(edges))).count() == 0
 
 
+def test_audio_analyses_every_sample():
+    tools = audio.resampling_filter(), audio.mel_bank(), audio.frame_window()
+    for size in (64, 640, 704, 896, 960, 1024, 5440, 6144):
+        quiet = bytes([128]) * size
+        for at in (0, size - 1):
+            tensors, times, _, _ = audio.analyse(quiet, *tools)
+            changed, _, _, _ = audio.analyse(quiet[:at] + b"\xff" + quiet[at + 1 :], *tools)
+            frames = np.flatnonzero((tensors != changed).reshape(-1, audio.MELS).any(axis=1))
+            wanted = 0 if at == 0 else max(0, math.ceil((size * audio.UP / audio.DOWN - audio.FRAME) / audio.HOP))
+            assert wanted in frames
+            assert times[0][0] == 0 and times[-1][1] == size / audio.RATE and all(a[1] == b[0] for a, b in zip(times, times[1:], strict=False))
+    loud = np.random.default_rng(1).integers(0, 256, 640).astype(np.uint8).tobytes()
+    _, _, active, _ = audio.analyse(bytes([128]) * 1280 + loud, *tools)
+    assert active[-1][1] == 1920 / audio.RATE
+    one, two = bytes([128]) * 683 + bytes(277), bytes([128]) * 683 + loud[:277]
+    assert audio.analyse(one, *tools)[3] != audio.analyse(two, *tools)[3]
+
+
 def test_resampling_keeps_tones_and_drops_high_ones():
     phases, t = audio.resampling_filter(), np.arange(4000)
     level = lambda hz: np.std(audio.resample(np.sin(2 * np.pi * hz * t / audio.RATE).astype(np.float32), phases)[50:-50])
