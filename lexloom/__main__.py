@@ -20,12 +20,14 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--input", default=DEFAULT.input_folder)
     run.add_argument("--results", default=DEFAULT.results_folder)
     run.add_argument("--archive", default=DEFAULT.archive_folder)
+    run.add_argument("--additional", default=DEFAULT.additional_folder, help="folder of word lists (*.txt)")
     extract = commands.add_parser("extract", parents=[every], help="extract the pages of a folder of PDF files")
     extract.add_argument("--input", default=DEFAULT.input_folder)
     extract.add_argument("--output", required=True)
     clean = commands.add_parser("clean", parents=[every], help="clean text files")
     clean.add_argument("--input", required=True)
     clean.add_argument("--output", required=True)
+    clean.add_argument("--additional", default=DEFAULT.additional_folder, help="folder of word lists (*.txt)")
     return parser
 
 
@@ -40,7 +42,7 @@ def main(arguments: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("lexloom").getOrCreate()
     try:
         if args.command == "run":
-            done = pipeline.run(spark, DEFAULT.with_(input_folder=args.input, results_folder=args.results, archive_folder=args.archive))
+            done = pipeline.run(spark, DEFAULT.with_(input_folder=args.input, results_folder=args.results, archive_folder=args.archive, additional_folder=args.additional))
             logging.info("processed %s files into %s", done["processed"], done["cleaned"])
             return 0 if int(done["processed"]) else 1
         if args.command == "extract":
@@ -48,7 +50,7 @@ def main(arguments: list[str] | None = None) -> int:
             files.append_texts(pipeline.pdf_texts(files.read_pdf_pages(spark, args.input)), args.output)
         else:
             files.check_file(args.input)
-            files.overwrite_texts(pipeline.clean(files.read_texts(spark, args.input)), args.output)
+            files.overwrite_texts(pipeline.clean_rows(files.read_texts(spark, args.input), DEFAULT.with_(additional_folder=args.additional)), args.output)
         return 0
     except KeyboardInterrupt:
         return 130

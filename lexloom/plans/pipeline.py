@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import glob
+import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -13,6 +15,7 @@ from lexloom.functions import classify, healing, text, tokens
 from lexloom.operators import rules as R
 from lexloom.operators.stats import best_attempt
 from lexloom.sources import files
+from lexloom.sources.scratch import materialize
 from lexloom.session import ship
 
 
@@ -92,6 +95,22 @@ def clean_with_rules(docs: DataFrame, rules: DataFrame | None = None, config: Co
     return remove_words(valid, deleted)
 
 
+def word_lists(spark: SparkSession, config: Config = DEFAULT) -> DataFrame | None:
+    """(word) of the lists in the folder for them; None where there are none."""
+    folder = os.path.abspath(config.additional_folder)
+    return R.read_word_list(spark, folder) if glob.glob(os.path.join(glob.escape(folder), "*.txt")) else None
+
+
+def clean_rows(rows: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """``clean`` for rows without ids, with the word lists of the configured folder; the other columns stay."""
+    rules = word_lists(rows.sparkSession, config)
+    if rules is None:
+        return clean(rows, config)
+    # written, as the joins read the ids again
+    numbered = materialize(rows.withColumn("doc_id", F.monotonically_increasing_id()), "clean-rows")
+    return numbered.drop("text").join(clean_with_rules(numbered, rules, config), "doc_id").select(*rows.columns)
+
+
 def pdf_texts(pages: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """(file, page, level, text, error) of ``read_pdf_pages`` -> (file, page, text): the best attempt, hyphens merged."""
     attempts = pages.where("error is null").select(F.struct("file", "page").alias("page"), "level", "text")
@@ -101,10 +120,7 @@ def pdf_texts(pages: DataFrame, config: Config = DEFAULT) -> DataFrame:
 
 
 def run(spark: SparkSession, config: Config = DEFAULT, extractor: files.PdfExtractor = files.plain_text_pages) -> dict[str, str]:
-    """Extract every PDF and Parquet file of the input folder, clean, write, and archive; the run's paths."""
-    import glob
-    import os
-
+    """Extract every PDF and Parquet file of the input folder, clean (with word lists), write, and archive; the run's paths."""
     config.validate()
     files.make_folders(config)
     files.check_folder(config.input_folder)
@@ -124,6 +140,6 @@ def run(spark: SparkSession, config: Config = DEFAULT, extractor: files.PdfExtra
         done += tables
     if done:
         extracted = spark.read.parquet(out["extracted"])
-        files.overwrite_texts(clean(extracted, config).where("text <> ''"), out["cleaned"])
+        files.overwrite_texts(clean_rows(extracted, config).where("text <> ''"), out["cleaned"])
         files.archive(done, config.archive_folder)
     return out | {"processed": str(len(done))}

@@ -75,6 +75,23 @@ def test_run_extracts_cleans_and_archives(spark, tmp_path):
     assert sorted(os.listdir(tmp_path / "old")) == ["one.pdf", "two.parquet"] and os.listdir(source) == ["bad.pdf"]
 
 
+def test_file_runs_apply_word_lists(spark, tmp_path):
+    source, lists = tmp_path / "in", tmp_path / "lists"
+    source.mkdir()
+    lists.mkdir()
+    (lists / "a.txt").write_text("# note\nсаха\n", encoding="utf-8")
+    (lists / "b.txt").write_text("дом\n", encoding="utf-8")
+    (source / "one.pdf").write_text("баҕар дом саха сахалар\fбаҕар дом саха сахалар\fсахалар", encoding="utf-8")
+    done = pipeline.run(spark, DEFAULT.with_(input_folder=str(source), results_folder=str(tmp_path / "out"), archive_folder=str(tmp_path / "old"), additional_folder=str(lists)))
+    cleaned = spark.read.parquet(done["cleaned"])
+    assert cleaned.columns == spark.read.parquet(done["extracted"]).columns
+    assert sorted(r.text for r in cleaned.collect()) == ["баҕар", "баҕар"]
+    (tmp_path / "t.txt").write_text("баҕар дом саха сахалар", encoding="utf-8")
+    for folder, wanted in ((lists, "баҕар"), (tmp_path / "nowhere", "баҕар дом саха сахалар")):
+        assert main(["clean", "--input", str(tmp_path / "t.txt"), "--output", str(tmp_path / "o"), "--additional", str(folder)]) == 0
+        assert [(os.path.basename(r.file), r.text) for r in spark.read.parquet(str(tmp_path / "o")).collect()] == [("t.txt", wanted)]
+
+
 def test_run_folder_name():
     assert files.run_folder("r", datetime(2025, 1, 19, 19, 28, 32)) == "r/19-01-25-19-28-32"
 
