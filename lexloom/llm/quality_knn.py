@@ -36,18 +36,23 @@ NEIGHBOURS = 15
 POWER = 8  # similarities vote with this power
 THRESHOLD = 0.7
 BLOCK = 512  # documents of one cosine product
+CACHED_WORDS, CACHED_BYTES = 500_000, 1 << 25  # of words whose terms are remembered
 
 _REPEAT = zlib.crc32(b"repeat") % FEATURES
 _SHAPES = ((re.compile(rb"[a-z\x80-\xff]+"), b"a"), (re.compile(rb"[A-Z]+"), b"A"), (re.compile(rb"[0-9]+"), b"9"), (re.compile(rb"([^aA9])\1+"), rb"\1\1"))
 
 
 class Terms(dict):
-    """Word -> its two hashed terms: the lower-cased word and its shape."""
+    """Word -> its two hashed terms: the lower-cased word and its shape. Forgets all when it holds too much."""
+
+    held = 0
 
     def __missing__(self, word: bytes) -> tuple[int, int]:
-        if len(self) >= 500_000:
+        if len(self) >= CACHED_WORDS or self.held >= CACHED_BYTES:
             self.clear()
-        shape = word[:64]
+            self.held = 0
+        self.held += len(word)
+        shape = word
         for pattern, to in _SHAPES:
             shape = pattern.sub(to, shape)
         found = self[word] = (zlib.crc32(b"w" + word.lower()) % FEATURES, zlib.crc32(b"s" + shape) % FEATURES)

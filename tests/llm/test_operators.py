@@ -220,6 +220,14 @@ def test_quality_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) and r.held_out == (plain.fold(r.doc_id, 4) == 2) for r in got)
 
 
+def test_shapes_of_long_words_are_whole():
+    terms = quality_knn.Terms()
+    assert terms[b"a" * 70 + b"9-9"][1] == terms[b"b" * 3 + b"7-77"][1] != terms[b"a" * 70][1]
+    for n in range(3 * quality_knn.CACHED_BYTES >> 20):
+        terms[b"%d-" % n + b"x" * (1 << 20)]
+        assert sum(map(len, terms)) <= quality_knn.CACHED_BYTES + (2 << 20)
+
+
 def test_quality_edges(spark, small, edges):
     labels = spark.read.parquet(f"{small}/labels.parquet")
     model = quality_knn.fit(spark.read.parquet(f"{small}/documents.parquet"), labels)
