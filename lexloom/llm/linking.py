@@ -51,16 +51,6 @@ def set_matcher(percent: int) -> Matcher:
     return prepare
 
 
-def distance_matcher(width: int, most: int) -> Matcher:
-    """Payloads are signatures of ``width`` 16-bit values; linked if at most ``most`` of them differ."""
-
-    def prepare(payloads: list[bytes]):
-        m = np.frombuffer(b"".join(payloads), "<u2").reshape(len(payloads), width)
-        return lambda i: (m != m[i]).sum(axis=1) <= most
-
-    return prepare
-
-
 def spanning_links(ids: list[int], payloads: list[bytes], leads: int, matcher: Matcher) -> list[tuple[int, int]]:
     """Links (larger id, smaller id) that connect what all links of the first ``leads`` members connect."""
     linked, label, out = matcher(payloads), np.arange(len(ids)), []

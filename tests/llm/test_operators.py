@@ -187,6 +187,17 @@ def test_signature_guarantee():
         assert set(near_dup.chunk_keys(a[None])[0].tolist()) & set(near_dup.chunk_keys(b[None])[0].tolist())
 
 
+def test_near_dup_compares_all_that_meet(spark):
+    """8 of 10 words are shared, yet 21 of 40 signature values differ; the two meet under a key."""
+    shared = [f"{c}1491" for c in "abcdefgh"]
+    rows = [(n, " ".join([*shared, last])) for n, last in enumerate(("y1491", "z1491"), 1)]
+    hashes = near_dup.WordHashes()
+    a, b = (near_dup.signature(near_dup.word_shingles(hashes.of(near_dup.lower_words(t.encode())), 1)) for _, t in rows)
+    assert (a != b).sum() == 21 and set(near_dup.chunk_keys(a[None])[0].tolist()) & set(near_dup.chunk_keys(b[None])[0].tolist())
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 1, 80).collect()
+    assert {(r.doc_id, r.component_id, r.kept) for r in got} == {(1, 1, True), (2, 1, False)}
+
+
 def test_components(spark):
     rng = random.Random(5)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1060)]
