@@ -26,9 +26,17 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group linked at 0.8 similarity of five-word shingles."""
-    kept = near_dup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id"))
-    return docs.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.kept_id")), "left_semi")
+    """One document of every group linked at 0.8 similarity of five-word shingles: the one with the smallest id, if any has one.
+
+    Rows have keys of their own, so that rows with equal ids or without one are told apart.
+    """
+    number = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    rows = materialize(docs.toDF(*number.values()).withColumn("row", F.monotonically_increasing_id()), "near-dup-rows")
+    placed = near_dup.near_duplicates(rows, id_col="row", text_col=number["text"]).select(F.col("doc_id").alias("row"), "component_id")
+    named = placed.join(rows.select("row", F.col(number["doc_id"]).alias("id")), "row")
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row"))
+    kept = named.groupBy("component_id").agg(first.alias("first")).select("first.row")
+    return rows.join(kept, "row", "left_semi").select(*number.values()).toDF(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -52,6 +52,16 @@ def test_stages(spark):
     assert Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in after) == wanted
 
 
+def test_near_dup_stage_tells_rows_apart(spark):
+    """Rows with equal ids or none: one row of every group stays, and a duplicate under a kept row's id goes."""
+    one, two, three, four = (" ".join(f"{letter}{n}" for n in range(12)) for letter in "abcd")
+    rows = [(1, one), (1, one), (2, one), (2, two), (None, three), (None, three), (4, four), (None, four), (3, None), (3, None)]
+    docs = spark.createDataFrame([(*r, "x", "y", "z") for r in rows], "doc_id long, text string, row string, c0 string, component_id string").repartition(3)
+    out = pipeline.near_duplicates(spark, docs, FOLDER)
+    assert out.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == {(1, one): 1, (2, two): 1, (None, three): 1, (4, four): 1, (3, None): 2}
+
+
 def test_stages_take_edges(spark, edges):
     """Nulls, empty and long texts, repeated rows and clashing columns go through every stage."""
     docs = edges
