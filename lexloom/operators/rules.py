@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.constants import ALL_ENDINGS, EXCEPTION_PATTERNS, SAKHA_ENDINGS
+from lexloom.errors import ValidationError
 
 MIN_STEM = 2
+MAX_EXCEPTIONS = 100_000  # patterns that the driver takes
 MAX_REST = 5  # a rest this short after a stem counts as an ending
 
 
@@ -80,4 +82,7 @@ def read_exceptions(spark: SparkSession, path: str | None) -> tuple[str, ...]:
     """The built-in exception patterns and those of a file; a pattern list is a setting, so it is read on the driver."""
     if path is None:
         return EXCEPTION_PATTERNS
-    return (*EXCEPTION_PATTERNS, *(r.word for r in read_word_list(spark, path, "").limit(100_000).collect()))
+    found = [r.word for r in read_word_list(spark, path, "").limit(MAX_EXCEPTIONS + 1).collect()]
+    if len(found) > MAX_EXCEPTIONS:
+        raise ValidationError(f"{path} holds more than {MAX_EXCEPTIONS} patterns")
+    return (*EXCEPTION_PATTERNS, *found)

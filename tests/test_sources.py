@@ -34,6 +34,14 @@ def test_word_lists_skip_comments(spark, tmp_path):
     assert rules.read_exceptions(spark, str(tmp_path / "a.txt"))[-2:] == ("саха", "тыл")
 
 
+def test_too_many_exceptions_are_an_error(spark, tmp_path):
+    (tmp_path / "many.txt").write_text("\n".join(f"w{n}" for n in range(100_001)))
+    with pytest.raises(ValidationError):
+        rules.read_exceptions(spark, str(tmp_path / "many.txt"))
+    (tmp_path / "most.txt").write_text("\n".join(f"w{n}" for n in range(100_000)))
+    assert rules.read_exceptions(spark, str(tmp_path / "most.txt"))[-1] == "w99999"
+
+
 def test_rows_become_texts(spark):
     df = spark.createDataFrame([(1, " a ", ["x", None, " "], 5, None), (2, None, None, 6, True), (3, "b", [], 7, False)], "k int, s string, l array<string>, n int, f boolean")
     assert [tuple(r) for r in flatten.row_text(df, keep=("k",)).orderBy("k").collect()] == [(1, "a x"), (3, "b")]
