@@ -1,4 +1,8 @@
-"""Character-level operators as Column expressions. ``(?U)`` makes \\s, \\b and \\w Unicode-aware in Java."""
+"""Character-level operators as Column expressions. ``(?U)`` makes \\s, \\b and \\w Unicode-aware in Java.
+
+Repeated groups are possessive: Java's engine recurses once for every repetition that it may have to give back, which
+overflows the stack on long runs, and none of these ever has to.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lexloom.constants import ANCHORS, BLOCK_MARKER, CYRILLIC, MAX_CONSONANTS, MAX_WORD_LENGTH, OLD_MARKER, VOWELS
 
-SPACED_LETTERS = r"(?U)\b(?:\p{L}\s+)+\p{L}\b"
+SPACED_LETTERS = r"(?U)\b\p{L}(?:\s++\p{L}\b)++"
 LINE_HYPHEN = r"(?U)(\p{L}+)-\s*\n\s*(\p{L}+)"
 FALSE_HYPHEN = rf"(?iuU)(?=\w*[{CYRILLIC}])(\w+)-\n+(?=\w*[{CYRILLIC}])(\w+)|(\w+-\n+\w+)"
 CONSONANT = f"(?![{VOWELS}])[{CYRILLIC}]"

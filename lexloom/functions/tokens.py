@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from lexloom.functions.text import drop_spaced_letters
 
-DOT_TOKEN = r"\p{L}+(?:-\p{L}+)*\.?"
-JOINED_TOKEN = r"\p{L}+(?:[-–_\n]\p{L}+)*"
+# possessive, as in ``text``: chains of any length match without recursion
+DOT_TOKEN = r"\p{L}++(?:-\p{L}++)*+\.?"
+JOINED_TOKEN = r"\p{L}++(?:[-–_\n]\p{L}++)*+"
 
 #: In the order in which they are tried.
 DROP_RULES = (

@@ -83,7 +83,23 @@ def per_word(name: str, value, sql_value: str | None, column: str = "flag", view
 # projections
 
 per_document("remove_special", documents, T.remove_special, r"SELECT doc_id, regexp_replace(text, '[^\p{L} ' || chr(10) || '-]', '', 'g') AS value FROM documents")
-query("spaced_letters", lambda spark, sf_dir: spaced(spark, sf_dir).select("doc_id", T.count_spaced_letters(F.col("text")).cast("long").alias("runs"), T.drop_spaced_letters(F.col("text")).alias("value")))
+# in SQL every word gets marks around it first, as its engine knows no boundary without a character
+_WHITE_SQL = r"[\x09-\x0d\x85\p{Z}]+"
+_RUN_SQL = rf"(?:\x01\p{{L}}\x02{_WHITE_SQL})+\x01\p{{L}}\x02"
+
+
+def _spaced_sql(text: str) -> tuple[str, str]:
+    """SQL for the number of spaced-letter runs of a text, and for the text without them."""
+    marked = rf"regexp_replace({text}, '([\p{{L}}\p{{M}}\p{{Nd}}\p{{Pc}}]+)', chr(1) || '\1' || chr(2), 'g')"
+    bare = f"replace(replace(regexp_replace({marked}, '{_RUN_SQL}', '', 'g'), chr(1), ''), chr(2), '')"
+    return f"CAST(len(regexp_extract_all({marked}, '{_RUN_SQL}')) AS BIGINT)", f"trim(regexp_replace({bare}, '{_WHITE_SQL}', ' ', 'g'), ' ')"
+
+
+query(
+    "spaced_letters",
+    lambda spark, sf_dir: spaced(spark, sf_dir).select("doc_id", T.count_spaced_letters(F.col("text")).cast("long").alias("runs"), T.drop_spaced_letters(F.col("text")).alias("value")),
+    "SELECT doc_id, {} AS runs, {} AS value FROM documents".format(*_spaced_sql(SQL_SPACED)),
+)
 per_document("word_count", documents, lambda t: tokens.count_words(t).cast("long"), r"SELECT doc_id, CAST(len(regexp_extract_all(text, '\p{L}+')) AS BIGINT) AS value FROM documents")
 per_document("tokenize_words", documents, lambda t: F.array_join(tokens.dot_tokens(t), "|"), f"SELECT doc_id, array_to_string(regexp_extract_all(text, {_DOT}), '|') AS value FROM documents")
 per_document("tokenize_joined", documents, lambda t: F.array_join(tokens.joined_tokens(t), "|"), f"SELECT doc_id, array_to_string(regexp_extract_all(text, {_JOINED}), '|') AS value FROM documents")
@@ -105,14 +121,18 @@ _ALL_RULES = " AND ".join(_RULE_SQL.values())
 per_document(
     "filter_invalid_tokens", cyrillic, lambda t: F.array_join(F.filter(tokens.dot_tokens(t), lambda w: ~F.rlike(w, F.lit(tokens.DROPPED))), " "), f"SELECT doc_id, array_to_string(list_filter(regexp_extract_all({SQL_CYRILLIC}, {_DOT}), lambda w: {_ALL_RULES}), ' ') AS value FROM documents"
 )
-per_document("filter_invalid_words", documents, tokens.filter_invalid_words)
+per_document("filter_invalid_words", documents, tokens.filter_invalid_words, f"SELECT doc_id, array_to_string(list_filter(regexp_extract_all({_spaced_sql('text')[1]}, {_DOT}), lambda w: {_ALL_RULES}), ' ') AS value FROM documents")
 _REASON = "CASE " + " ".join(f"WHEN NOT ({sql}) THEN '{name}'" for name, sql in _RULE_SQL.items()) + " END"
 query(
     "invalid_reason_counts",
     lambda spark, sf_dir: documents(spark, sf_dir).select(F.explode(tokens.dot_tokens(F.col("text"))).alias("w")).select(tokens.drop_reason(F.col("w")).alias("reason")).where("reason is not null").groupBy("reason").agg(F.count("*").alias("n")),
     f"SELECT reason, count(*) AS n FROM (SELECT {_REASON} AS reason FROM (SELECT unnest(regexp_extract_all(text, {_DOT})) AS w FROM documents)) WHERE reason IS NOT NULL GROUP BY reason",
 )
-query("removal_counts", lambda spark, sf_dir: stats.removal_counts(documents(spark, sf_dir)))
+query(
+    "removal_counts",
+    lambda spark, sf_dir: stats.removal_counts(documents(spark, sf_dir)),
+    f"SELECT reason, count(*) AS n FROM (SELECT {_REASON} AS reason FROM (SELECT unnest(regexp_extract_all({_spaced_sql('text')[1]}, {_DOT})) AS w FROM documents)) WHERE reason IS NOT NULL GROUP BY reason UNION ALL SELECT 'spaced_letters', CAST(coalesce(sum({_spaced_sql('text')[0]}), 0) AS BIGINT) FROM documents",
+)
 
 # the language cascade
 
@@ -261,7 +281,11 @@ query(
     lambda spark, sf_dir: files.manifest("parquet", table(spark, sf_dir, "documents").select(F.col("source").alias("file"), "text", F.lit(None).cast("string").alias("error"))).drop("ts"),
     "SELECT 'parquet' AS processor, source AS file, CAST(coalesce(sum(length(text)), 0) AS BIGINT) AS n_chars, CAST(coalesce(sum(strlen(text)), 0) AS BIGINT) AS n_bytes, CAST(count(text) AS INTEGER) AS n_units, CAST(NULL AS VARCHAR) AS error FROM documents GROUP BY source",
 )
-query("row_text_parity", lambda spark, sf_dir: flatten.row_text(table(spark, sf_dir, "orders"), parity=True, keep=("o_orderkey",)))
+query(
+    "row_text_parity",
+    lambda spark, sf_dir: flatten.row_text(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.to_date("o_orderdate").alias("day"), (F.col("o_totalprice") > 2e5).alias("dear"), "o_orderpriority"), parity=True, keep=("o_orderkey",)),
+    "SELECT o_orderkey, concat_ws(' ', nullif(trim(o_orderstatus), ''), CAST(CAST(o_orderdate AS DATE) AS VARCHAR), CASE WHEN o_totalprice > 200000 THEN 'True' ELSE 'False' END, nullif(trim(o_orderpriority), '')) AS text FROM orders WHERE o_orderkey IS NOT NULL",
+)
 query(
     "array_text_flatten",
     lambda spark, sf_dir: flatten.row_text(documents(spark, sf_dir).select("doc_id", F.split("text", "\n", -1).alias("lines")), keep=("doc_id",)),

@@ -12,7 +12,9 @@ def test_query_matches_sql(spark, small, name):
 
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
 def test_query_without_sql_has_rows(spark, small, name):
-    assert registry.QUERIES[name](spark, small).count() > 0
+    found = registry.QUERIES[name](spark, small)
+    found.write.format("noop").mode("overwrite").save()  # a count need not evaluate the columns
+    assert found.count() > 0
 
 
 def test_contract(spark):

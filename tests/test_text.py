@@ -13,6 +13,7 @@ from lexloom.errors import ConfigurationError
 from lexloom.functions import classify, healing, scalar, tokens
 from lexloom.functions import text as T
 from lexloom.operators import rules
+from lexloom.plans import pipeline
 
 
 def apply(spark, function, values):
@@ -169,6 +170,25 @@ def test_normalize_matches_plain_statement():
         assert healing.normalize(text) == plain_normalize(text), text
 
 
+def test_long_chains_do_not_overflow_the_stack(spark):
+    """Two hundred thousand repetitions of what a pattern repeats."""
+    n = 200_000
+    assert apply(spark, T.drop_spaced_letters, ["а б " * (n // 2)]) == [""] and apply(spark, T.count_spaced_letters, ["а б " * (n // 2)]) == [1]
+    chains = ["аб-" * n, "аб\n" * n]
+    assert [[len(t) for t in found] for found in apply(spark, tokens.dot_tokens, chains[:1])] == [[3 * n - 1]]
+    assert [[len(t) for t in found] for found in apply(spark, tokens.joined_tokens, chains)] == [[3 * n - 1]] * 2
+    assert [len(t) for t in apply(spark, pipeline.clean_text, chains)] == [3 * n - 1] * 2
+    unhealed = Config(word_healer_enabled=False)
+    assert apply(spark, lambda c: pipeline.clean_text(c, unhealed), ["а б " * (n // 2)]) == [""]
+
+
+def test_spaced_letters_match_plain_statement(spark):
+    texts = random_texts("аб5_ ,\n\xa0z-", 1500, 30, 6)
+    pattern = regex.compile(r"\b(?:\p{L}\s+)+\p{L}\b")
+    assert apply(spark, T.count_spaced_letters, texts) == [len(pattern.findall(t)) for t in texts]
+    assert apply(spark, T.drop_spaced_letters, texts) == [re.sub(r"\s+", " ", pattern.sub("", t)).strip(" ") for t in texts]
+
+
 def test_stems_match_plain_statement(spark):
     words = random_texts("лартэынбостьиеёая", 600, 9, 4)
     wanted = [{w} | {w[: -len(e)] for e in ALL_ENDINGS if w.endswith(e) and len(w) - len(e) >= 2} for w in words]
