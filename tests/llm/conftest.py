@@ -46,7 +46,7 @@ def edges(spark):
 
 @pytest.fixture(scope="session")
 def documents(spark, small):
-    return spark.read.parquet(f"{small}/documents.parquet").cache()
+    return spark.read.parquet(f"{small}/documents.parquet")  # not cached: other tests look at plans over the same table
 
 
 @pytest.fixture(scope="session")
