@@ -44,7 +44,7 @@ def materialize(df: DataFrame, tag: str, compression: str = "zstd") -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
-def materialize_bucketed(df: DataFrame, key: str, tag: str) -> DataFrame:
+def materialize_bucketed(df: DataFrame, key: str, tag: str, compression: str = "zstd") -> DataFrame:
     """As ``materialize``, in as many buckets of ``key`` as there are shuffle partitions.
 
     A later join or cogroup by that key reads the table where it lies instead of shuffling it. The session's catalog
@@ -54,6 +54,6 @@ def materialize_bucketed(df: DataFrame, key: str, tag: str) -> DataFrame:
     name = f"{tag}_{uuid.uuid4().hex}"
     path = scratch_path(spark, tag)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.format("parquet").bucketBy(buckets, key).option("compression", "zstd").option("path", path).saveAsTable(name)
+    df.write.format("parquet").bucketBy(buckets, key).option("compression", compression).option("path", path).saveAsTable(name)
     discard_at_exit(spark, path)
     return spark.table(name)
