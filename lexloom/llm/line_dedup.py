@@ -1,18 +1,22 @@
 """Line dedup: near-equal lines by MinHash, one line kept per component.
 
 Equal lines share a 64-bit hash and are one line from the start. Each distinct line's set of ``SHINGLE``-character
-shingles has ``BANDS * ROWS`` minima; lines that agree in all rows of a band are candidates, which are compared by their
-signatures' bands first (they met), then exactly by their full sets: linked at a Jaccard similarity of
-``PERCENT``/100. A distributed union-find gives components. Of every component's lines the first one stays, by document
-id and then by place; the others leave their documents.
+shingles has ``BANDS * ROWS`` minima; lines that agree in all rows of a band are candidates. Candidates form rough
+components, within which full sets are compared exactly: linked at a Jaccard similarity of ``PERCENT``/100. A distributed
+union-find gives the final components. Of every component's lines the first one stays, by document id, then by a hash of
+the document's text, then by place; the others leave their documents.
 
 At a similarity of 0.8 a pair meets in some band with probability 0.998, at 0.85 with 0.9999.
 
+Texts move once: documents are cut into blocks of about ``BLOCK_BYTES`` of text, stored in the shared folder and bucketed
+by block. Lines are looked up in their blocks, and what leaves a document is brought to its block, so every join has hashes
+and places on its moving side. A hot line is one row per block that holds it.
+
 Cases: a null text stays null; blank lines are never compared and stay; white space at a line's ends is not compared;
-rows equal in id and text keep the same lines; null ids count as one id after all others; a line shorter than a shingle
-is one shingle; lines of any length are compared whole; a document may be left with no line (``drop_empty`` removes it,
-but never one that was blank before); an empty table gives an empty table; all other columns pass through, and columns
-that hold the texts' length are the caller's.
+of rows equal in id and text one keeps its lines, which one being undefined; null ids come after all others; a line
+shorter than a shingle is one shingle; lines of any length, and documents of any number of lines, are compared whole; a
+document may be left with no line (``drop_empty`` removes it, but never one that was blank before); an empty table gives
+an empty table; all other columns pass through, and columns that hold the texts' length are the caller's.
 """
 
 from __future__ import annotations
@@ -22,160 +26,304 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import mix64, rows_of, seeds
-from lexloom.llm.linking import components, connect_groups, set_matcher, shared_keys
-from lexloom.llm.wordblocks import gather
+from lexloom.llm.common import frugal, mix64, rows_of, seeds
+from lexloom.llm.linking import components, connect_groups, key_links, set_matcher
+from lexloom.llm.wordblocks import pack, unpack
 from lexloom.session import ship
-from lexloom.sources.scratch import materialize
+from lexloom.sources.scratch import materialize, materialize_bucketed
 
-SHINGLE = 8  # characters
+SHINGLE = 8  # characters; a power of two
 PERCENT = 80
 BANDS, ROWS = 12, 4
+BLOCK_BYTES = 6_000_000
 AT_ONCE = 1 << 16  # characters hashed at a time, unless one line is longer
-FEW = 500_000  # rows of 8 to some 20 bytes up to which a table may be broadcast; more are shuffled
-EDGES = " \t\r"  # not compared at a line's ends
+SEEN = 1 << 18  # lines that a task remembers to have sent
+EDGES = b" \t\r"  # not compared at a line's ends
 
 _VALUES = BANDS * ROWS
 _A = (seeds(_VALUES, 31) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-_B = (seeds(_VALUES, 32) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+_FOLDS = seeds(SHINGLE.bit_length(), 33) | np.uint64(1)
+_BLOCKS = "block long, lines binary, texts binary, rest binary"
 
 
-def line_shingles(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all shingles of all lines, and each line's number of them."""
-    chars = [np.frombuffer(line.decode("utf-8", "replace").encode("utf-32-le"), "<u4") for line in lines]
-    chars = [c if len(c) >= SHINGLE else np.pad(c, (0, SHINGLE - len(c))) for c in chars]
+def line_shingles(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of all shingles of all lines, with those that cross lines between them; each line's first and end."""
+    chars = [line.decode("utf-8", "replace").ljust(SHINGLE, "\0") for line in lines]
     sizes = np.array([len(c) for c in chars], np.int64)
-    flat = np.concatenate(chars).astype(np.uint64)
-    n = len(flat) - SHINGLE + 1
+    h = np.frombuffer("".join(chars).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    width = 1
     with np.errstate(over="ignore"):
-        h = np.zeros(n, np.uint64)
-        for j in range(SHINGLE):
-            h = h * np.uint64(0x100000001B3) + flat[j : j + n]
-    counts = sizes - SHINGLE + 1
-    return mix64(h[gather(np.cumsum(sizes) - sizes, counts)]), counts
+        for fold in _FOLDS[:-1]:  # from hashes of ``width`` characters to those of twice as many
+            h = h[:-width] * fold + h[width:]
+            width *= 2
+        h = (h ^ (h >> np.uint64(32))) * _FOLDS[-1]
+        h ^= h >> np.uint64(29)
+    first = np.cumsum(sizes) - sizes
+    return h, first, first + sizes - SHINGLE + 1
+
+
+def shingle_sets(lines: list[bytes]) -> list[np.ndarray]:
+    """Each line's distinct shingles, sorted."""
+    h, first, end = line_shingles(lines)
+    return [np.unique(h[a:b]) for a, b in zip(first.tolist(), end.tolist(), strict=True)]
 
 
 def band_keys(lines: list[bytes]) -> np.ndarray:
     """lines x BANDS keys."""
-    h, counts = line_shingles(lines)
-    starts = np.cumsum(counts) - counts
-    low, high = (h & np.uint64(0xFFFFFFFF)).astype(np.uint32), (h >> np.uint64(32)).astype(np.uint32)
-    keys = np.empty((len(lines), BANDS), np.uint64)
+    h, first, end = line_shingles(lines)
+    x = (h >> np.uint64(32)).astype(np.uint32)
+    # every second segment is what crosses from a line to the next; the last line has none
+    cuts = np.stack([first, end], axis=1).ravel()[:-1]
+    scaled, keys = np.empty_like(x), np.empty((len(lines), BANDS), np.uint64)
     with np.errstate(over="ignore"):
         for band in range(BANDS):
             k = np.full(len(lines), band + 1, np.uint64)
             for j in range(band * ROWS, (band + 1) * ROWS):
-                k = mix64(k * np.uint64(0xD1342543DE82EF95) + np.minimum.reduceat(low * _A[j] + high * _B[j], starts))
+                np.multiply(x, _A[j], out=scaled)
+                k = mix64(k * np.uint64(0xD1342543DE82EF95) + np.minimum.reduceat(scaled, cuts)[::2])
             keys[:, band] = k
     return keys
 
 
-def line_id(line: bytes) -> int:
-    """What Spark's xxhash64 gives for the same string."""
-    value = xxhash.xxh64_intdigest(line, seed=42)
+def line_node(line: bytes) -> int:
+    """A line's hash, never 0, which stands for blank lines."""
+    value = xxhash.xxh64_intdigest(line) or 1
     return value - (1 << 64) if value >> 63 else value
 
 
+# blocks
+
+
+def _to_ipc(batches: list[pa.RecordBatch]) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batches[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        for batch in batches:
+            out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _from_ipc(blob: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(blob).read_all().combine_chunks().to_batches(max_chunksize=None)[0]
+
+
+def _cut(text_at: int, id_at: int, block_bytes: int):
+    """Batches of rows, their text last as bytes -> blocks."""
+
+    @frugal
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        held, size = [], 0
+
+        def block() -> pa.RecordBatch:
+            counts, nodes, ids, ties = [], [], [], []
+            for part in held:
+                ids.append(part.column(id_at))
+                for raw in part.column(part.num_columns - 1):
+                    raw = raw.as_py()
+                    lines = [] if raw is None else [line.strip(EDGES) for line in raw.split(b"\n")]
+                    counts.append(len(lines))
+                    nodes += [line_node(line) if line else 0 for line in lines]
+                    ties.append(xxhash.xxh64_intdigest(raw or b""))
+            named = pa.chunked_array(ids).combine_chunks()
+            arrays = (np.array(counts, np.uint32), np.array(nodes, np.int64), named.is_null().to_numpy(zero_copy_only=False).astype(np.uint8), named.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), np.array(ties, np.uint64).view(np.int64))
+            columns = [i for i in range(held[0].num_columns - 1) if i != text_at]
+            row = [[number], [pack(*arrays)], [_to_ipc([p.select([p.num_columns - 1]) for p in held])], [_to_ipc([p.select(columns) for p in held])]]
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["block", "lines", "texts", "rest"])
+
+        for batch in batches:
+            sizes = np.cumsum([0, *(n or 0 for n in pa.compute.binary_length(batch.column(batch.num_columns - 1)).to_pylist())])
+            at = 0
+            while at < batch.num_rows:
+                # up to and with the row that fills the block
+                to = min(batch.num_rows, int(np.searchsorted(sizes, sizes[at] + block_bytes - size)))
+                to = max(to, at + 1)
+                held.append(batch.slice(at, to - at))
+                size += int(sizes[to] - sizes[at])
+                at = to
+                if size >= block_bytes:
+                    yield block()
+                    number, held, size = number + 1, [], 0
+        if held:
+            yield block()
+
+    return run
+
+
+def cut_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(block, lines, texts, rest): rows in blocks; ``lines`` packs line counts and hashes, ids and ties of all rows."""
+    # numbered names, so that no column of docs can clash with ours
+    numbered = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)))
+    id_at, text_at = docs.columns.index("doc_id"), docs.columns.index("text")
+    plain = numbered.withColumn(f"c{id_at}", F.col(f"c{id_at}").cast("long")).withColumn("raw", F.col(f"c{text_at}").cast("binary"))
+    # the text itself travels once, as bytes
+    plain = plain.withColumn(f"c{text_at}", F.lit(None).cast("string"))
+    return materialize_bucketed(plain.mapInArrow(_cut(text_at, id_at, block_bytes), _BLOCKS), "block", "line_blocks", compression="none")
+
+
+def _line_starts(counts: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+
+
+@frugal
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()
-    lines, ids, held = [], [], 0
 
-    def out() -> pa.RecordBatch:
-        keys = band_keys(lines) if lines else np.zeros((0, BANDS), np.uint64)
-        return pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(np.array(ids, np.int64), BANDS))], ["key", "id"])
+    def out(lines: list[bytes], ids: list[int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(band_keys(lines).ravel().view(np.int64)), pa.array(np.repeat(np.array(ids, np.int64), BANDS))], ["key", "id"])
 
     for batch in batches:
-        for (raw,) in rows_of(batch, "raw"):
-            for line in (raw or b"").split(b"\n"):
-                line = line.strip(EDGES.encode())
-                if not line or (node := line_id(line)) in seen:
+        for packed, texts in rows_of(batch, "lines", "texts"):
+            nodes, at = unpack(packed)[1].tolist(), 0
+            lines, ids, held = [], [], 0
+            for raw in _from_ipc(texts).column(0):
+                raw = raw.as_py()
+                if raw is None:
                     continue
-                if len(seen) >= 1_000_000:
-                    seen.clear()
-                seen.add(node)
-                lines.append(line)
-                ids.append(node)
-                held += len(line)
-                if held >= AT_ONCE:
-                    yield out()
-                    lines, ids, held = [], [], 0
-    yield out()
-
-
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for line in raw.split(b"\n"):
+                    node = nodes[at]
+                    at += 1
+                    if node == 0 or node in seen:
+                        continue
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen.add(node)
+                    lines.append(line.strip(EDGES))
+                    ids.append(node)
+                    held += len(line)
+                    if held >= AT_ONCE:
+                        yield out(lines, ids)
+                        lines, ids, held = [], [], 0
+            if lines:
+                yield out(lines, ids)
+
+
+@frugal
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks -> a row for each distinct line of a block: its first place there, and how often it stands there."""
     for batch in batches:
-        payloads = []
-        for (line,) in rows_of(batch, "line"):
-            h, _ = line_shingles([line])
-            payloads.append(np.unique(h).astype("<u8").tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(payloads, pa.binary()), batch.column(2)], ["group", "id", "payload", "n"])
-
-
-def lines_of(docs: DataFrame, *keep: Column) -> DataFrame:
-    """The columns of ``keep``, line_no, line (stripped) and node: every line that is not blank."""
-    lines = docs.select(*keep, F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).withColumn("line", F.btrim("line", F.lit(EDGES)))
-    return lines.where("line <> ''").withColumn("node", F.xxhash64("line"))
-
-
-def small(df: DataFrame) -> DataFrame:
-    """Broadcast a table (of a few fixed-size columns) only if it has few rows; else Spark shuffles it."""
-    return F.broadcast(df) if df.limit(FEW + 1).count() <= FEW else df
+        for block, packed in rows_of(batch, "block", "lines"):
+            counts, nodes, late, ids, ties = unpack(packed)
+            starts = _line_starts(counts)
+            rank = np.empty(len(counts), np.int64)
+            rank[np.lexsort((np.arange(len(counts)), ties, ids, late))] = np.arange(len(counts))
+            row = np.repeat(np.arange(len(counts)), counts)
+            line = np.arange(len(nodes)) - starts[:-1][row]
+            order = np.lexsort((line, rank[row], nodes))
+            order = order[nodes[order] != 0]
+            sorted_ = nodes[order]
+            head = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]])) if len(order) else np.zeros(0, np.int64)
+            first = order[head]
+            of = row[first]
+            n = np.diff(np.append(head, len(order)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes[first]), pa.array(np.full(len(first), block, np.int64)), pa.array(n.astype(np.int32)), pa.array(late[of].astype(bool)), pa.array(ids[of]), pa.array(ties[of]), pa.array(line[first].astype(np.int32)), pa.array(of.astype(np.int32))],
+                ["node", "block", "n", "late", "doc", "tie", "line", "row"],
+            )
+
+
+@frugal
+def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks with the lines wanted of them -> (group, id, payload, n)."""
+    for batch in batches:
+        for texts, wanted in rows_of(batch, "texts", "wanted"):
+            column, found, held, lines = _from_ipc(texts).column(0), [], -1, []
+            for w in sorted(wanted, key=lambda w: w["row"]):
+                if w["row"] != held:
+                    held, lines = w["row"], column[w["row"]].as_py().split(b"\n")
+                found.append((w["root"], w["id"], lines[w["line"]].strip(EDGES), w["n"]))
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], k) for i, k in enumerate(kinds)], ["group", "id", "payload", "n"])
 
 
-def near_lines(docs: DataFrame) -> DataFrame:
+def near_lines(blocks: DataFrame, places: DataFrame) -> DataFrame:
     """(id, root): distinct lines that are linked with others, and their components' names."""
-    text = docs.select("text")
-    met = shared_keys(text.select(F.col("text").cast("binary").alias("raw")).mapInArrow(_bands, "key long, id long"), "lines")
-    rough = components(spread_links(met), "lines-rough")
+    met = key_links(blocks.select("lines", "texts").mapInArrow(_bands, "key long, id long"))
+    rough = components(met, "lines-rough")
     sizes = materialize(rough.groupBy("root").agg(F.count("*").alias("n")), "lines-rough-sizes")
-    wanted = materialize(rough.join(sizes, "root"), "lines-wanted")
-    found = lines_of(text).join(small(wanted), F.col("node") == F.col("id")).groupBy("root", "id", "n").agg(F.first("line").alias("line"))
-    compared = found.select("root", "id", "n", F.col("line").cast("binary").alias("line")).mapInArrow(_sets, "group long, id long, payload binary, n long")
-    return connect_groups(materialize(compared, "lines-sets"), set_matcher(PERCENT), "lines-exact", chunk=1024)
-
-
-def spread_links(met: DataFrame) -> DataFrame:
-    """Candidates of a band, joined to the smallest of them: enough for components."""
-    lowest = materialize(met.groupBy("group").agg(F.min("id").alias("low")), "lines-lowest")
-    return met.join(lowest, "group").where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b")).distinct()
-
-
-def removed_lines(docs: DataFrame) -> DataFrame:
-    """(_doc, gone): per document id, the places and hashes of lines that an earlier line stands for."""
+    some = places.drop("n").join(rough.join(sizes, "root"), F.col("node") == F.col("id")).groupBy("id", "root", "n").agg(F.min(F.struct("block", "row", "line")).alias("at"))
+    asked = some.groupBy("at.block").agg(F.collect_list(F.struct("at.row", "at.line", "id", "root", "n")).alias("wanted"))
+    compared = blocks.select("block", "texts").join(asked, "block").select("texts", "wanted").mapInArrow(_fetch, "group long, id long, payload binary, n long")
+    return connect_groups(materialize(compared, "lines-compared"), set_matcher(PERCENT, shingle_sets), "lines-exact", chunk=1024)
+
+
+def removed_lines(blocks: DataFrame) -> DataFrame:
+    """(block, gone): hashes of lines that leave the block, each with the one place (row, line) where it stays, if it does."""
+    placed = blocks.select("block", "lines").mapInArrow(_places, "node long, block long, n int, late boolean, doc long, tie long, line int, row int")
+    places = materialize_bucketed(placed.repartition("node"), "node", "line_places")
+    roots = near_lines(blocks, places)
+    order = F.struct("late", "doc", "tie", "line", "block", "row")
+    total = places.groupBy("node").agg(F.min(order).alias("first"), F.sum("n").alias("n"))
+    known = materialize(total.join(roots.withColumnRenamed("id", "node"), "node", "left").where("n > 1 or root is not null"), "lines-known")
+    firsts = known.where("root is not null").groupBy("root").agg(F.min("first").alias("leader"))
+    linked = known.where("root is not null").join(firsts, "root").select("node", F.col("leader").alias("first"))
+    judged = known.where("root is null").select("node", "first").unionByName(linked)
+    here = (F.col("block") == F.col("first.block")) & (F.col("row") == F.col("first.row")) & (F.col("line") == F.col("first.line"))
+    gone = places.join(judged, "node").where(~here | (F.col("n") > 1))
+    entry = F.struct("node", F.when(here, F.col("row")).otherwise(-1).alias("row"), F.when(here, F.col("line")).otherwise(-1).alias("line"))
+    return gone.groupBy("block").agg(F.collect_list(entry).alias("gone"))
+
+
+def _finish(text_at: int, width: int, drop_empty: bool):
+    """Blocks with what leaves them -> their rows, in the columns' order, with counts of lines before and after."""
+
+    @frugal
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for packed, texts, rest, gone in rows_of(batch, "lines", "texts", "rest", "gone"):
+                counts, nodes, *_ = unpack(packed)
+                starts, raws = _line_starts(counts), _from_ipc(texts).column(0)
+                leaves = np.zeros(len(nodes), bool)
+                if gone:
+                    leaves = np.isin(nodes, np.array([g["node"] for g in gone], np.int64))
+                    leaves[[starts[g["row"]] + g["line"] for g in gone if g["row"] >= 0]] = False
+                row = np.repeat(np.arange(len(counts)), counts)
+                tally = lambda mask: np.bincount(row[mask], minlength=len(counts)).astype(np.int64)
+                before, after = tally(nodes != 0), tally((nodes != 0) & ~leaves)
+                lost = tally(leaves) > 0
+                out = []
+                for i, raw in enumerate(raws):
+                    raw = raw.as_py()
+                    if lost[i]:
+                        mask = leaves[starts[i] : starts[i + 1]].tolist()
+                        raw = b"\n".join([line for line, go in zip(raw.split(b"\n"), mask, strict=True) if not go])
+                    out.append(raw)
+                binary = pa.array(out, pa.binary())
+                text = pa.Array.from_buffers(pa.string(), len(binary), binary.buffers())  # as it came, valid UTF-8 or not
+                columns = list(_from_ipc(rest).columns)
+                columns.insert(text_at, text)
+                result = pa.RecordBatch.from_arrays([*columns, pa.array(before), pa.array(after)], [*(f"c{i}" for i in range(width)), "n_lines", "n_kept"])
+                if drop_empty:
+                    result = result.filter(pa.array((after > 0) | (before == 0)))
+                yield result
+
+    return run
+
+
+def dedup_lines(docs: DataFrame, drop_empty: bool = False, counts: bool = False) -> DataFrame:
+    """docs (doc_id, text and any other columns) with the surviving lines as ``text``.
+
+    With ``counts`` also n_lines and n_kept, the lines that were not blank before and after.
+    """
     ship(docs.sparkSession)
-    roots = near_lines(docs)
-    places = materialize(lines_of(docs, F.col("doc_id").alias("_doc")).select("_doc", "line_no", "node"), "lines-places")
-    known = places.join(roots.withColumnRenamed("id", "node"), "node", "left").select("_doc", "line_no", "node", F.coalesce("root", "node").alias("root"))
-    known = materialize(known, "lines-known")
-    order = F.struct(F.col("_doc").isNull().alias("late"), F.col("_doc").alias("_doc"), F.col("line_no").alias("line_no"))
-    first = materialize(known.groupBy("root").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").select("root", "first"), "lines-first")
-    gone = known.join(first, "root").where((F.col("line_no") != F.col("first.line_no")) | ~F.col("_doc").eqNullSafe(F.col("first._doc")))
-    return materialize(gone.groupBy("_doc").agg(F.collect_list(F.struct("line_no", "node")).alias("gone")), "lines-gone")
-
-
-def dedup_lines(docs: DataFrame, drop_empty: bool = False) -> DataFrame:
-    """docs (doc_id, text and any other columns) with the surviving lines as ``text``."""
-    gone = removed_lines(docs)
-    few = gone.agg(F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()[0] <= FEW
-    # numbered names, so that no column of docs can clash with ours
-    number = {c: f"c{i}" for i, c in enumerate(docs.columns)}
-    plain, text = docs.toDF(*number.values()), number["text"]
-    joined = plain.join(F.broadcast(gone) if few else gone, F.col(number["doc_id"]).eqNullSafe(F.col("_doc")), "left")
-    kept = F.expr(f"array_join(filter(split({text}, '\n', -1), (x, i) -> not array_contains(gone, named_struct('line_no', i, 'node', xxhash64(btrim(x, '{EDGES}'))))), '\n')")
-    out = joined.withColumn("left", F.when(F.col("gone").isNull() | F.col(text).isNull(), F.col(text)).otherwise(kept))
-    if drop_empty:
-        blank = lambda c: F.btrim(F.coalesce(F.col(c), F.lit("")), F.lit(EDGES + "\n")) == ""
-        out = out.where(~blank("left") | blank(text))
-    return out.select(*(F.col("left" if c == "text" else n).alias(c) for c, n in number.items()))
+    blocks = cut_blocks(docs)
+    gone = removed_lines(blocks)
+    schema = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns))).schema
+    at = docs.columns.index("doc_id")
+    kept = blocks.join(gone, "block", "left").select("lines", "texts", "rest", "gone")
+    schema = type(schema)([*schema.fields]).add("n_lines", "long").add("n_kept", "long")
+    as_long = schema[f"c{at}"].dataType
+    schema[f"c{at}"].dataType = type(schema["n_lines"].dataType)()
+    found = kept.mapInArrow(_finish(docs.columns.index("text"), len(docs.columns), drop_empty), schema)
+    columns = [F.col(f"c{i}").cast(as_long if i == at else docs.schema[i].dataType).alias(c) for i, c in enumerate(docs.columns)]
+    return found.select(*columns, *(["n_lines", "n_kept"] if counts else []))
 
 
 def op3_line_dedup(spark, sf_dir) -> DataFrame:
     from lexloom.llm.common import table
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    count = lambda c: F.coalesce(F.size(F.filter(F.split(c, "\n", -1), lambda x: F.btrim(x, F.lit(EDGES)) != "")), F.lit(0)).cast("long")
-    before = docs.withColumn("n_lines", count("text"))
-    return dedup_lines(before).select("doc_id", "n_lines", count("text").alias("n_kept"), "text")
+    return dedup_lines(docs, counts=True).select("doc_id", "n_lines", "n_kept", "text")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import rows_of
+from lexloom.llm.common import frugal, rows_of
 from lexloom.session import ship
 from lexloom.sources.scratch import materialize
 
@@ -29,11 +29,16 @@ CHUNK = 256  # members of a chunk, or the root of the group's size if that is mo
 Matcher = Callable[[list[bytes]], Callable[[int], np.ndarray]]
 
 
-def set_matcher(percent: int) -> Matcher:
-    """Payloads are sorted distinct 64-bit hashes; linked if 100 * |both| >= percent * |either|."""
+def hashed_sets(payloads: list[bytes]) -> list[np.ndarray]:
+    """Payloads that are distinct 64-bit hashes."""
+    return [np.frombuffer(p, "<u8") for p in payloads]
+
+
+def set_matcher(percent: int, sets_of: Callable[[list[bytes]], list[np.ndarray]] = hashed_sets) -> Matcher:
+    """Payloads stand for sets, which ``sets_of`` gives; linked if 100 * |both| >= percent * |either|."""
 
     def prepare(payloads: list[bytes]):
-        sets = [np.frombuffer(p, "<u8") for p in payloads]
+        sets = sets_of(payloads)
         sizes = np.array([len(s) for s in sets], np.int64)
         _, flat = np.unique(np.concatenate(sets), return_inverse=True)
         starts = np.cumsum(sizes) - sizes
@@ -69,6 +74,7 @@ def spanning_links(ids: list[int], payloads: list[bytes], leads: int, matcher: M
 def _link(matcher: Matcher):
     """Over rows sorted by task and role: links within each task's rows."""
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ids, payloads, leads = None, [], [], 0
 
@@ -153,6 +159,7 @@ def components(links: DataFrame, tag: str) -> DataFrame:
     return materialize(edges.select(F.col("a").alias("id"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct()), f"{tag}-roots")
 
 
+@frugal
 def _small_star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Over edges (a, b) sorted: (a, m) and (b, m) for a's smallest neighbour m."""
     held, low = None, None
@@ -168,39 +175,27 @@ def _small_star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.where(first, a, b)[first | rest]), pa.array(lows[first | rest])], ["a", "b"])
 
 
-def shared_keys(pairs: DataFrame, tag: str) -> DataFrame:
-    """(key, id) -> (group, id, n): the distinct ids of every key that at least two ids have.
+def key_links(pairs: DataFrame) -> DataFrame:
+    """(key, id) -> (a, b): every id of a key with the smallest one of that key, which connects what shares a key.
 
-    A key's rows stream past in order; only its last row is held.
+    A key's rows stream past in order; only its smallest id is held.
     """
     ship(pairs.sparkSession)
-    dealt = pairs.repartition("key").sortWithinPartitions("key", "id")
-    members = materialize(dealt.mapInArrow(_repeated, "group long, id long"), f"{tag}-members")
-    sizes = materialize(members.groupBy("group").agg(F.count("*").alias("n")), f"{tag}-sizes")
-    return members.join(sizes, "group")
-
-
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held_key, held_id, told = None, None, True  # told: the held row went out, or is none
+    return pairs.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_to_lowest, "a long, b long")
 
-    def out(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ids, pa.int64())], ["group", "id"])
 
+@frugal
+def _to_lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held_key, low, last = None, 0, 0
     for batch in batches:
         if batch.num_rows == 0:
             continue
         keys, ids = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("key", "id"))
-        fresh = np.concatenate([[True], (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])])
-        if held_key is not None and keys[0] == held_key and ids[0] == held_id:
-            fresh[0] = False
-        keys, ids = keys[fresh], ids[fresh]
-        if held_key is not None:
-            keys, ids = np.concatenate([[held_key], keys]), np.concatenate([[held_id], ids])
-        same = keys[1:] == keys[:-1]
-        wanted = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-        if held_key is not None and told:
-            wanted[0] = False
-        # the last row may go out now if it repeats; then it must not go out again
-        last_told = bool(wanted[-1]) or (len(keys) == 1 and held_key is not None and told)
-        yield out(keys[wanted], ids[wanted])
-        held_key, held_id, told = keys[-1], ids[-1], last_told
+        again = bool(held_key is not None and keys[0] == held_key)
+        begins = np.concatenate([[not again], keys[1:] != keys[:-1]])
+        lows = np.concatenate([[low], ids[begins]])[np.cumsum(begins)]
+        # an id that other tasks sent too stands there twice
+        repeats = np.concatenate([[again and ids[0] == last], (ids[1:] == ids[:-1]) & ~begins[1:]])
+        wanted = (ids != lows) & ~repeats
+        held_key, low, last = keys[-1], lows[-1], ids[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(ids[wanted], pa.int64()), pa.array(lows[wanted], pa.int64())], ["a", "b"])

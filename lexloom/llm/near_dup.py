@@ -27,8 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import WordHashes, id_and_bytes, lower_words, mix64, rows_of, seeds, word_shingles
-from lexloom.llm.linking import components, connect_groups, set_matcher, shared_keys
+from lexloom.llm.common import WordHashes, frugal, id_and_bytes, lower_words, mix64, rows_of, seeds, word_shingles
+from lexloom.llm.linking import components, connect_groups, key_links, set_matcher
 from lexloom.session import ship
 from lexloom.sources.scratch import materialize
 
@@ -68,6 +68,7 @@ def chunk_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def _features(words: int):
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
@@ -82,6 +83,7 @@ def _features(words: int):
     return run
 
 
+@frugal
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 4000):
@@ -92,6 +94,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(words: int):
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
@@ -114,9 +117,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     classes = features.where("name is not null and doc_id is not null").groupBy("name").agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature"))
     classes = materialize(classes, "near-dup-classes")
     signatures = classes.select("id", "signature")
-    met = shared_keys(signatures.mapInArrow(_keys, "key long, id long"), "near-dup")
-    firsts = met.groupBy("group").agg(F.min("id").alias("b"))
-    rough = components(met.join(firsts, "group").select(F.col("id").alias("a"), "b"), "near-dup-rough")
+    rough = components(key_links(signatures.mapInArrow(_keys, "key long, id long")), "near-dup-rough")
     sizes = materialize(rough.groupBy("root").agg(F.count("*").alias("n")), "near-dup-rough-sizes")
     wanted = rough.join(sizes, "root").join(classes.select("id", "name"), "id")
     compared = plain.join(wanted, F.col("doc_id") == F.col("id")).select("id", "root", "n", "name", "raw").mapInArrow(_sets(words), "group long, id long, payload binary, n long")

@@ -13,7 +13,6 @@ partitions are set.
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import id_and_bytes, rows_of
+from lexloom.llm.common import frugal, id_and_bytes, release, rows_of
 from lexloom.session import ship
 from lexloom.sources.scratch import materialize_bucketed
 
@@ -34,15 +33,6 @@ BUCKETS_A_PARTITION = 2
 BLOCK_SCHEMA = "block long, doc_ids array<long>, n_words array<int>, flags array<boolean>, payload binary, parts array<struct<bucket:int,words:binary>>"
 
 
-def release() -> None:
-    """Give freed memory back to the system: a worker is reused, and what it holds counts beside the next stage's."""
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-    except (OSError, AttributeError):  # another C library has no such call, and no need of it
-        return
-
-
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays of integers or floats, by byte planes, compressed."""
     head = np.array([len(arrays), *(x for a in arrays for x in (len(a), a.dtype.itemsize, ord(a.dtype.kind)))], "<i8").tobytes()
@@ -128,6 +118,7 @@ def cut_blocks(docs: DataFrame, split: Callable[[Block, bytes], np.ndarray], fla
     spark = ship(docs.sparkSession)
     buckets = BUCKETS_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         block = Block(split)
@@ -141,8 +132,6 @@ def cut_blocks(docs: DataFrame, split: Callable[[Block, bytes], np.ndarray], fla
                         release()
         if block.doc_ids:
             yield block.row(number, buckets)
-        block = None
-        release()
 
     return materialize_bucketed(id_and_bytes(docs, id_col, text_col).mapInArrow(run, BLOCK_SCHEMA), "block", "blocks")
 

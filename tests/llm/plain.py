@@ -4,6 +4,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
+
 
 class Union:
     def __init__(self):
@@ -59,11 +61,13 @@ def near_duplicates(rows, k, percent):
 def dedup_lines(rows, width=8, percent=80):
     """rows: (doc_id, text) -> texts, in the rows' order."""
     edge = " \t\r"
-    first = {}
-    for i, text in rows:
+    first, places = {}, []
+    for at, (i, text) in enumerate(rows):
+        tie = xxhash.xxh64_intdigest((text or "").encode())
+        places.append((i is None, i or 0, tie - (tie >> 63 << 64)))
         for n, line in enumerate((text or "").split("\n")):
             if bare := line.strip(edge):
-                place = (i is None, i or 0, n)
+                place = (*places[at], n, at)
                 first[bare] = min(first.get(bare, place), place)
     sets = {q: frozenset(q[j : j + width] for j in range(max(1, len(q) - width + 1))) for q in first}
     union = Union()
@@ -74,11 +78,11 @@ def dedup_lines(rows, width=8, percent=80):
         root = union.find(q)
         kept[root] = min(kept.get(root, place), place)
     out = []
-    for i, text in rows:
+    for at, (_, text) in enumerate(rows):
         if text is None:
             out.append(None)
             continue
-        out.append("\n".join(line for n, line in enumerate(text.split("\n")) if not line.strip(edge) or kept[union.find(line.strip(edge))] == (i is None, i or 0, n)))
+        out.append("\n".join(line for n, line in enumerate(text.split("\n")) if not line.strip(edge) or kept[union.find(line.strip(edge))] == (*places[at], n, at)))
     return out
 
 

@@ -135,10 +135,48 @@ def test_line_dedup_edges(edges):
     assert line_dedup.dedup_lines(empty(edges)).count() == 0
 
 
-def test_line_ids_are_the_engines(spark):
-    lines = ["a", "ünï 🙂", "x" * 100]
-    got = spark.createDataFrame([(v,) for v in lines], "v string").select(F.xxhash64("v")).collect()
-    assert [r[0] for r in got] == [line_dedup.line_id(v.encode()) for v in lines]
+def test_line_dedup_of_repeated_rows_and_ids(spark):
+    """One of two equal rows keeps its lines; ids that stand for several texts, and null ids, are told apart."""
+    rows = [(1, "one line that is here twice"), (1, "one line that is here twice"), (2, "a\na\n\nb"), (2, "b\nc"), (None, "c\nd"), (None, "d"), (None, "d"), (3, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = pairs(line_dedup.dedup_lines(docs))
+    assert Counter(got) == Counter(zip((i for i, _ in rows), plain.dedup_lines(rows), strict=True))
+    assert sorted(t for i, t in got if i == 1) == ["", rows[0][1]]
+    assert Counter(pairs(line_dedup.dedup_lines(docs, drop_empty=True))) == Counter((i, t) for i, t in got if t)
+
+
+def test_line_dedup_over_many_small_blocks(spark, texts, monkeypatch):
+    monkeypatch.setattr(line_dedup.cut_blocks, "__defaults__", (2000,))
+    rows = sorted(texts.items())
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert dict(pairs(line_dedup.dedup_lines(docs))) == dict(zip((i for i, _ in rows), plain.dedup_lines(rows), strict=True))
+
+
+def test_line_dedup_of_a_long_document(spark):
+    """100,000 lines, half of them repeated, and one very long line."""
+    rng = random.Random(9)
+    lines = ["".join(rng.choices("abcdefghijklmnop", k=24)) for _ in range(50_000)]
+    long = " ".join(lines[:20_000])
+    docs = spark.createDataFrame([(1, "\n".join([*lines, *lines])), (2, long), (3, long + "x")], "doc_id long, text string")
+    assert dict(pairs(line_dedup.dedup_lines(docs))) == {1: "\n".join(lines), 2: long, 3: ""}
+
+
+def test_line_dedup_recall():
+    """Pairs at the threshold meet in a band as often as the docstring says."""
+    rng, met, n = random.Random(10), 0, 0
+    while n < 1500:
+        line = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=300))
+        other = list(line)
+        for at in rng.sample(range(300), 4):
+            other[at] = "#"
+        a, b = line_dedup.shingle_sets([line.encode(), "".join(other).encode()])
+        both = len(np.intersect1d(a, b))
+        if not 0.8 <= both / (len(a) + len(b) - both) <= 0.82:
+            continue
+        n += 1
+        keys = line_dedup.band_keys([line.encode(), "".join(other).encode()])
+        met += bool((keys[0] == keys[1]).any())
+    assert met / n > 0.99
 
 
 # 4
@@ -209,14 +247,14 @@ def test_components(spark):
     assert linking.components(spark.createDataFrame([], "a long, b long"), "test").count() == 0
 
 
-def test_shared_keys(spark):
+def test_key_links(spark):
     rng = random.Random(6)
     rows = [(rng.randrange(400), rng.randrange(60)) for _ in range(900)]
     members = defaultdict(set)
     for key, i in rows:
         members[key].add(i)
-    got = linking.shared_keys(spark.createDataFrame(rows, "key long, id long"), "test").collect()
-    assert Counter((r.group, r.id, r.n) for r in got) == Counter((k, i, len(m)) for k, m in members.items() if len(m) > 1 for i in m)
+    got = linking.key_links(spark.createDataFrame(rows, "key long, id long")).collect()
+    assert Counter(map(tuple, got)) == Counter((i, min(m)) for m in members.values() for i in m if i != min(m))
 
 
 # 5
