@@ -1,5 +1,6 @@
 """Plain versions of the operators, for small inputs."""
 
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -100,3 +101,56 @@ def secrets(text):
 
 def fold(doc_id, n):
     return zlib.crc32(str(doc_id).encode()) % n
+
+
+def _log_sum(values):
+    top = max(values)
+    return top + math.log(sum(math.exp(v - top) for v in values))
+
+
+def lattice(word, pieces, log):
+    """Log of the sum over a word's segmentations, and each piece's expected uses."""
+    text = "▁" + word
+    n = len(text)
+    arcs = []
+    for i in range(n):
+        for j in range(i + 1, min(n, i + 20) + 1):
+            if text[i:j] in pieces.numbers:
+                arcs.append((i, j, [pieces.numbers[text[i:j]]]))
+            elif j == i + 1:
+                arcs.append((i, j, [pieces.bytes[b] for b in text[i].encode()]))
+    arcs = [(i, j, used, sum(log[p] for p in used)) for i, j, used in arcs]
+    ahead, behind = [0.0] * (n + 1), [0.0] * (n + 1)
+    for at in range(1, n + 1):
+        ahead[at] = _log_sum([ahead[i] + w for i, j, _, w in arcs if j == at])
+    for at in range(n - 1, -1, -1):
+        behind[at] = _log_sum([behind[j] + w for i, j, _, w in arcs if i == at])
+    uses = Counter()
+    for i, j, used, w in arcs:
+        for p in used:
+            uses[p] += math.exp(ahead[i] + w + behind[j] - ahead[n])
+    return ahead[n], uses
+
+
+def lattice_scores(token_lists, trained, pieces, prior):
+    """token_lists: words of each document; trained: which of them are learnt from -> log10 probabilities."""
+    counts = Counter(w for ws, t in zip(token_lists, trained, strict=True) if t for w in ws)
+    n_docs, total = sum(trained), sum(counts.values())
+    first = [math.log(p) for p in pieces.first]
+    uses = Counter()
+    for word, count in counts.items():
+        for p, n in lattice(word, pieces, first)[1].items():
+            uses[p] += n * count
+    down = sum(uses.values()) + prior
+    log = [math.log((uses[p] + prior * w) / down) for p, w in enumerate(pieces.first)]
+    known = min(0.95, max(0.05, 1 - sum(c == 1 for c in counts.values()) / total))
+    end = math.log10((n_docs + 0.5) / (total + n_docs + 0.5 * (len(counts) + 2)))
+
+    def score(word):
+        ways = [lattice(word, pieces, log)[0] + math.log(1 - known)]
+        if counts[word]:
+            ways.append(math.log(known * counts[word] / total))
+        return _log_sum(ways) / math.log(10)
+
+    scores = {w: score(w) for w in {w for ws in token_lists for w in ws}}
+    return [sum(scores[w] for w in ws) + end for ws in token_lists]

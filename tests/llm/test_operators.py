@@ -247,6 +247,27 @@ def test_components(spark):
     assert linking.components(spark.createDataFrame([], "a long, b long"), "test").count() == 0
 
 
+def test_components_when_tasks_hold_few_nodes(spark, monkeypatch):
+    """A long path, a hub and a dense tangle; tasks forget what they hold again and again."""
+    run = linking._contract.__wrapped__
+
+    def forgetful(batches):
+        linking.NODES_HELD = 7
+        yield from run(batches)
+
+    monkeypatch.setattr(linking, "_contract", forgetful)
+    monkeypatch.setattr(linking, "EDGES_A_TASK", 50)
+    rng = random.Random(15)
+    path = list(range(400))
+    rng.shuffle(path)
+    links = [*zip(path, path[1:], strict=False), *((1000, 1001 + n) for n in range(200)), *((2000 + rng.randrange(90), 2000 + rng.randrange(90)) for _ in range(400))]
+    union = plain.Union()
+    for a, b in links:
+        union.join(a, b)
+    got = linking.components(spark.createDataFrame(links, "a long, b long").repartition(6), "test").collect()
+    assert {r.id: r.root for r in got} == {x: union.find(x) for a, b in links if a != b for x in (a, b)}
+
+
 def test_key_links(spark):
     rng = random.Random(6)
     rows = [(rng.randrange(400), rng.randrange(60)) for _ in range(900)]
@@ -393,9 +414,20 @@ def test_lattice_edges(edges):
     assert {(r.train_tokens, r.base_score) for r in lattice_lm.lattice_scores(held, vocabulary).collect()} <= {(0, 0.0)}
 
 
+def test_lattice_scores_match_a_plain_statement(spark, texts):
+    """Refitted weights, the arc over whole words and the end, over part of the documents."""
+    rows = sorted(texts.items())[:40] + [(1000, "élan 🙂x THE the"), (1001, "")]
+    pieces = lattice_lm.Pieces(public_tokenizers.path(lattice_lm.VOCABULARY))
+    wanted = plain.lattice_scores([plain.words(t) for _, t in rows], [plain.fold(i, 5) != 1 for i, _ in rows], pieces, lattice_lm.PRIOR)
+    got = lattice_lm.lattice_scores(spark.createDataFrame(rows, "doc_id long, text string"), public_tokenizers.path(lattice_lm.VOCABULARY))
+    found = {r.doc_id: r.score for r in got.collect()}
+    for (i, _), score in zip(rows, wanted, strict=True):
+        assert math.isclose(found[i], score, rel_tol=1e-6)
+
+
 def test_forward_sums_all_segmentations():
     pieces = lattice_lm.Pieces(public_tokenizers.path(lattice_lm.VOCABULARY))
-    log = np.log(pieces.first).tolist()
+    log = np.log(pieces.first)
 
     def ways(text):
         if not text:
@@ -409,14 +441,21 @@ def test_forward_sums_all_segmentations():
                 total += math.prod(pieces.first[pieces.bytes[b]] for b in text[0].encode()) * ways(text[1:])
         return total
 
-    for word in ("the", "thonre", "élan", "🙂x"):
-        n, arcs = pieces.arcs(word.encode())
-        assert math.isclose(lattice_lm.forward(n, arcs, log)[n], math.log(ways("▁" + word)), rel_tol=1e-9)
-        into = {}
-        lattice_lm.expectations(n, arcs, log, 2.0, into)
-        used = sum(v * len(pieces.names[p]) for p, v in into.items() if pieces.names[p] in pieces.numbers)
-        if word.isascii():
-            assert math.isclose(used, 2.0 * n, rel_tol=1e-9)
+    words = ["the", "thonre", "élan", "🙂x", "a", "internationally"]
+    found = lattice_lm.Lattice(pieces, [w.encode() for w in words]).forward(log)
+    assert np.allclose(found, [math.log(ways("▁" + w)) for w in words], rtol=1e-9)
+    uses = lattice_lm.Lattice(pieces, [b"thonre", b"the", b"internationally"]).expectations(log, np.array([2, 1, 3]))
+    assert math.isclose(sum(v * len(pieces.names[p]) for p, v in enumerate(uses)), 2 * 7 + 4 + 3 * 16, rel_tol=1e-9)
+    long = b"0123456789abcdef" * 500 + b"\xff\xfe"
+    assert np.isfinite(lattice_lm.Lattice(pieces, [long, b"x"]).forward(log)).all()
+
+
+def test_batches_hold_every_word_once():
+    words = [b"a" * (n % 7 + 1) + str(n).encode() for n in range(300)] + [b"z" * 5000]
+    for at_once in (10, 200, 1 << 20):
+        parts = list(lattice_lm.batched(words, at_once))
+        assert sorted(np.concatenate(parts).tolist()) == list(range(len(words))) and all(len(p) for p in parts)
+    assert not list(lattice_lm.batched([], 10))
 
 
 # 9
