@@ -24,7 +24,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.wordblocks import BLOCK_BYTES, Block, Bucket, back_to_blocks, cut_blocks, doc_starts, gather, pack, per_bucket, unpack
+from lexloom.llm.common import frugal, gather
+from lexloom.llm.wordblocks import BLOCK_BYTES, Block, Bucket, back_to_blocks, cut_blocks, doc_starts, pack, per_bucket, unpack
 from lexloom.session import ship
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -184,6 +185,7 @@ def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
     """
     shared = ship(encoded.sparkSession).sparkContext.broadcast(ranks)
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = token_table(shared.value)
         for batch in batches:

@@ -6,8 +6,9 @@ then, once the components of those links are known, members outside their group'
 all chunks. Two members that a link joins are either in one component after the first step, or one of them is outside
 the largest and has met the other in the second. Rows are members, never pairs, and no task holds a whole group.
 
-``components`` is union-find by alternating large-star and small-star steps. Each round's edges are written to the shared
-folder; a hub's many edges meet its label in a join that adaptive execution can split.
+``components`` is union-find in rounds: a large-star step over all edges, then a union-find within every task over the
+edges of its nodes, which does what a small-star step does and more. Each round's edges are written to the shared folder; a
+hub's many edges meet its label in a join that adaptive execution can split.
 """
 
 from __future__ import annotations
@@ -19,14 +20,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import frugal, rows_of
+from lexloom.llm.common import frugal, gather, rows_of
 from lexloom.session import ship
 from lexloom.sources.scratch import materialize
 
+EDGES_A_TASK = 500_000  # of a graph whose components are sought
+NODES_HELD = 200_000  # that a task joins at a time
 CHUNK = 256  # members of a chunk, or the root of the group's size if that is more
 
-#: Takes the members' payloads; returns a function that gives, for one member, which members it links to.
-Matcher = Callable[[list[bytes]], Callable[[int], np.ndarray]]
+#: Takes the members' payloads; returns a function that gives, for one member and others, which of those it links to.
+Matcher = Callable[[list[bytes]], Callable[[int, np.ndarray], np.ndarray]]
 
 
 def hashed_sets(payloads: list[bytes]) -> list[np.ndarray]:
@@ -42,14 +45,22 @@ def set_matcher(percent: int, sets_of: Callable[[list[bytes]], list[np.ndarray]]
         sizes = np.array([len(s) for s in sets], np.int64)
         _, flat = np.unique(np.concatenate(sets), return_inverse=True)
         starts = np.cumsum(sizes) - sizes
-        mark = np.zeros(int(flat.max()) + 1, np.int64)
-
-        def linked(i: int) -> np.ndarray:
+        mark = np.zeros(int(flat.max()) + 1, np.int32)
+
+        def linked(i: int, others: np.ndarray) -> np.ndarray:
+            out = np.zeros(len(others), bool)
+            # sets whose sizes are too far apart cannot be that similar
+            near = (100 * sizes[others] >= percent * sizes[i]) & (100 * sizes[i] >= percent * sizes[others])
+            some = others[near]
+            if not len(some):
+                return out
             own = flat[starts[i] : starts[i] + sizes[i]]
             mark[own] = 1
-            shared = np.add.reduceat(mark[flat], starts)
+            ends = np.cumsum(sizes[some])
+            shared = np.add.reduceat(mark[flat[gather(starts[some], sizes[some])]], ends - sizes[some])
             mark[own] = 0
-            return 100 * shared >= percent * (sizes[i] + sizes - shared)
+            out[near] = 100 * shared >= percent * (sizes[i] + sizes[some] - shared)
+            return out
 
         return linked
 
@@ -60,10 +71,10 @@ def spanning_links(ids: list[int], payloads: list[bytes], leads: int, matcher: M
     """Links (larger id, smaller id) that connect what all links of the first ``leads`` members connect."""
     linked, label, out = matcher(payloads), np.arange(len(ids)), []
     for i in range(leads):
-        other = label[i + 1 :] != label[i]
-        if not other.any():
+        others = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
+        if not len(others):
             continue
-        hits = np.flatnonzero(linked(i)[i + 1 :] & other) + i + 1
+        hits = others[linked(i, others)]
         found, first = np.unique(label[hits], return_index=True)
         if len(found):
             out += [(max(ids[i], ids[j]), min(ids[i], ids[j])) for j in hits[first].tolist() if ids[i] != ids[j]]
@@ -137,42 +148,64 @@ def connect_groups(members: DataFrame, matcher: Matcher, tag: str, chunk: int =
 
 def components(links: DataFrame, tag: str) -> DataFrame:
     """(id, root): every node of ``links`` (a, b), with the smallest node of its component."""
+    ship(links.sparkSession)
 
     def stored(edges: DataFrame) -> tuple[DataFrame, tuple]:
         seen = Observation()
-        out = materialize(edges.distinct().observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")), f"{tag}-edges")
+        contracted = edges.mapInArrow(_contract, "a long, b long")
+        out = materialize(contracted.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")), f"{tag}-edges")
         return out, (seen.get.get("n", 0), seen.get.get("sum"))
 
-    edges, now = stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    edges, now = stored(links)
     before = None
     while now[0] and now != before:
+        # the smaller the graph, the fewer tasks it is worth
+        tasks = -(-now[0] // EDGES_A_TASK)
         # large-star: each node's larger neighbours move to its smallest neighbour. The smallest comes from an aggregate
         # that is combined before its shuffle, and a hub's many neighbours meet it in a join that can be split.
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        smallest = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")), f"{tag}-low")
-        large = edges.withColumnRenamed("b", "u").join(smallest.withColumnRenamed("a", "u"), "u").select("a", F.col("low").alias("b"))
-        # small-star: each node's smaller neighbours, and itself, move to the smallest of them
-        sorted_ = large.where("a <> b").repartition("a").sortWithinPartitions("a", "b")
+        smallest = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")).coalesce(tasks), f"{tag}-low")
+        large = edges.withColumnRenamed("b", "u").join(smallest.withColumnRenamed("a", "u"), "u").select("a", F.col("low").alias("b")).coalesce(tasks)
         before = now
-        edges, now = stored(sorted_.mapInArrow(_small_star, "a long, b long"))
+        # a node's edges come together, so that contracting leaves it one
+        edges, now = stored(large.repartition("a").sortWithinPartitions("a", "b").coalesce(tasks))
     # a star for each component: every node but the root has one edge, to the root
-    return materialize(edges.select(F.col("a").alias("id"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct()), f"{tag}-roots")
+    centres = edges.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct().coalesce(max(1, -(-now[0] // EDGES_A_TASK)))
+    return materialize(edges.select(F.col("a").alias("id"), F.col("b").alias("root")).unionByName(centres), f"{tag}-roots")
 
 
 @frugal
-def _small_star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over edges (a, b) sorted: (a, m) and (b, m) for a's smallest neighbour m."""
-    held, low = None, None
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges -> stars that connect the same nodes, as far as the task knows them: (node, smallest).
+
+    Union-find over up to NODES_HELD nodes. When they are told and forgotten, the last edge's node is taken along, so a
+    node whose edges come together ends with all of them joined.
+    """
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        root = x
+        while (up := parent.get(root, root)) != root:
+            root = up
+        while (up := parent.get(x, x)) != root:
+            parent[x], x = root, up
+        return root
+
+    def stars() -> pa.RecordBatch:
+        nodes = [x for x in parent if find(x) != x]
+        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([parent[x] for x in nodes], pa.int64())], ["a", "b"])
+
     for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        a, b = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("a", "b"))
-        first = np.concatenate([[a[0] != held], a[1:] != a[:-1]])
-        starts = np.flatnonzero(first)
-        lows = np.concatenate([[low if low is not None else 0], b[starts]]).astype(np.int64)[np.cumsum(first)]
-        rest = ~first & (b != lows)
-        held, low = a[-1], lows[-1]
-        yield pa.RecordBatch.from_arrays([pa.array(np.where(first, a, b)[first | rest]), pa.array(lows[first | rest])], ["a", "b"])
+        for a, b in rows_of(batch, "a", "b"):
+            low, high = sorted((find(a), find(b)))
+            parent.setdefault(low, low)
+            parent[high] = low
+            if len(parent) > NODES_HELD:
+                yield stars()
+                last = find(a)
+                parent = {last: last, a: last}
+    if parent:
+        yield stars()
 
 
 def key_links(pairs: DataFrame) -> DataFrame:

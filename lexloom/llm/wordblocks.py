@@ -197,9 +197,3 @@ def back_to_blocks(blocks: DataFrame, found: DataFrame, finish: Callable[[dict,
 def doc_starts(row: dict) -> np.ndarray:
     """Where each document's words begin among the block's, and where the last ends."""
     return np.concatenate([[0], np.cumsum(row["n_words"], dtype=np.int64)])
-
-
-def gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Indices of runs of the given starts and sizes, one after another."""
-    ends = np.cumsum(sizes)
-    return np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
