@@ -33,16 +33,19 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(arguments: list[str] | None = None) -> int:
     args = _parser().parse_args(arguments)
-    logging.basicConfig(level=logging.DEBUG if args.verbose else logging.ERROR if args.quiet else logging.INFO)
+    shown = logging.DEBUG if args.verbose else logging.ERROR if args.quiet else logging.INFO
+    logging.basicConfig(level=shown)
+    for handler in logging.getLogger().handlers:
+        handler.setLevel(shown)
     from pyspark.sql import SparkSession
 
-    from lexloom.plans import pipeline
+    from lexloom.plans import detection, pipeline
     from lexloom.sources import files
 
     spark = SparkSession.builder.appName("lexloom").getOrCreate()
     try:
         if args.command == "run":
-            done = pipeline.run(spark, DEFAULT.with_(input_folder=args.input, results_folder=args.results, archive_folder=args.archive, additional_folder=args.additional))
+            done = pipeline.run(spark, DEFAULT.with_(input_folder=args.input, results_folder=args.results, archive_folder=args.archive, additional_folder=args.additional), detect=detection.detector())
             logging.info("processed %s files into %s", done["processed"], done["cleaned"])
             return 0 if int(done["processed"]) else 1
         if args.command == "extract":
@@ -50,7 +53,7 @@ def main(arguments: list[str] | None = None) -> int:
             files.append_texts(pipeline.pdf_texts(files.read_pdf_pages(spark, args.input)), args.output)
         else:
             files.check_file(args.input)
-            files.overwrite_texts(pipeline.clean_rows(files.read_texts(spark, args.input), DEFAULT.with_(additional_folder=args.additional)), args.output)
+            files.overwrite_texts(pipeline.clean_rows(files.read_texts(spark, args.input), DEFAULT.with_(additional_folder=args.additional), detection.detector()), args.output)
         return 0
     except KeyboardInterrupt:
         return 130

@@ -61,17 +61,24 @@ def is_russian(word: Column, config: Config = DEFAULT, **kw) -> Column:
     return deciding_rule(word, config, **kw).isin(*DELETING)
 
 
-def _deletes(config: Config) -> str:
-    """The cascade without word lists as one regular expression."""
+def deleted_by_form(word: Column, config: Config = DEFAULT) -> Column:
+    """Whether the cascade without word lists and detector deletes a word.
+
+    The first test lets most words pass without another look.
+    """
     anchor, diphthong, marker = _flags(config, False)
-    lower = "(?iu:{})"
-    return rf"(?s)^(?!.*(?:{anchor}|{diphthong}))(?:.*{marker}|(?!.*{lower.format(_SAKHA_END)}).*{lower.format(_RUSSIAN_END)})"
+    suspect = F.rlike(word, F.lit(f"{marker}|(?iu:{_RUSSIAN_END})"))
+    return suspect & ~F.rlike(word, F.lit(f"{anchor}|{diphthong}")) & (F.rlike(word, F.lit(marker)) | ~F.rlike(word, F.lit(f"(?iu:{_SAKHA_END})")))
+
+
+def spaced_out(token: Column) -> Column:
+    """A kept token's inner dashes, underscores and line feeds become spaces."""
+    return F.regexp_replace(token, "[–_\n]+", " ")
 
 
 def kept_tokens(text: Column, config: Config = DEFAULT) -> Column:
     """Tokens that are not Russian, with inner dashes, underscores and line feeds as spaces."""
-    kept = F.filter(joined_tokens(text), lambda w: ~F.rlike(w, F.lit(_deletes(config))))
-    return F.transform(kept, lambda w: F.regexp_replace(w, "[–_\n]+", " "))
+    return F.transform(F.filter(joined_tokens(text), lambda w: ~deleted_by_form(w, config)), spaced_out)
 
 
 def remove_russian_words(text: Column, config: Config = DEFAULT) -> Column:

@@ -7,6 +7,8 @@ the batch function is the default.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column
@@ -19,10 +21,7 @@ from lexloom.functions import text as T
 
 _NUMBER = re.compile(r"\d+[\s\-.]?\d*")
 _MARKERS = re.compile("|".join(map(re.escape, (BLOCK_MARKER, OLD_MARKER))))
-# a Cyrillic letter at most five visible characters away, with no punctuation up to it
-_LEFT = re.compile(rf"[{CYRILLIC}][^.,;:!?]{{0,4}}\Z", re.I)
-_RIGHT = re.compile(rf"[^.,;:!?]{{0,4}}?[{CYRILLIC}]", re.I)
-_REACH = 5
+_REACH = 5  # visible characters within which a Cyrillic letter counts, with no punctuation up to it
 _PAIR = re.compile(rf"([{CYRILLIC}]+)(\s+)([{CYRILLIC}]+)", re.I)
 _CLUSTER = re.compile(rf"(?:(?![{VOWELS}])[{CYRILLIC}]){{{MAX_CONSONANTS}}}", re.I)
 _ANCHOR = re.compile(f"[{ANCHORS}]")
@@ -30,6 +29,9 @@ _WIDE = re.compile(r"\s{2,}")
 _SPLIT_HYPHEN = re.compile(r"(\w+)-\n+(\w+)")
 _LETTER = re.compile(f"[{CYRILLIC}]", re.I)
 _AFFECTED = re.compile("[" + "".join(a for a, _ in LOOK_ALIKES) + "]")
+_OTHER, _CYRILLIC, _STOP = 0, 1, 2
+_KINDS = {c: _CYRILLIC for c in range(0x10000) if _LETTER.match(chr(c))} | {ord(c): _STOP for c in ".,;:!?"}
+_VISIBLE = re.compile(r"\S+")
 
 
 def _visible(text: str, places: range, count: int) -> list[str]:
@@ -52,39 +54,67 @@ def _number_guarded(text: str, match: re.Match) -> bool:
     return any(map(str.isdigit, near))
 
 
+def _near_cyrillic(kinds: bytearray, at: int) -> bool:
+    for side in (range(at - 1, max(-1, at - 1 - _REACH), -1), range(at + 1, min(len(kinds), at + 1 + _REACH))):
+        for i in side:
+            if kinds[i] != _OTHER:
+                if kinds[i] == _CYRILLIC:
+                    return True
+                break
+    return False
+
+
 def normalize(text: str) -> str:
     """Replace look-alike characters next to Cyrillic ones, in the table's order and from left to right.
 
-    White space does not count as distance, so the work is on the visible characters alone; a replaced character is
-    Cyrillic context for those after it.
+    White space does not count as distance, so the work is on the visible characters alone, and of those only look-alikes
+    are visited; a replaced character is Cyrillic context for those after it.
     """
     if not (_AFFECTED.search(text) and _LETTER.search(text)):
         return text
-    fixed = set()
-    for match in _MARKERS.finditer(text):
-        fixed.update(range(*match.span()))
-    for match in _NUMBER.finditer(text):
-        if _number_guarded(text, match):
-            fixed.update(range(*match.span()))
-    places = [i for i, c in enumerate(text) if not c.isspace()]
-    seen = [text[i] for i in places]
+    spans = [m.span() for m in _VISIBLE.finditer(text)]
+    before = [0, *accumulate(b - a for a, b in spans)]  # visible characters before each span
+    seen = "".join([text[a:b] for a, b in spans])
+    fixed = [m.span() for m in _MARKERS.finditer(text)]
+    if "6" in seen or "8" in seen:
+        fixed = sorted(fixed + [m.span() for m in _NUMBER.finditer(text) if _number_guarded(text, m)])
+    fixed_starts = [a for a, _ in fixed]
+
+    def place(at: int) -> int:
+        span = bisect_right(before, at) - 1
+        return spans[span][0] + at - before[span]
+
+    def free(at: int) -> bool:
+        i = bisect_right(fixed_starts, place(at)) - 1
+        return i < 0 or place(at) >= fixed[i][1]
+
+    kinds = bytearray([_KINDS.get(ord(c), _OTHER) for c in seen])
+    found: dict[str, list[int]] = {}
+    for m in _AFFECTED.finditer(seen):
+        found.setdefault(m[0], []).append(m.start())
+    changed = {}
     for wrong, right in LOOK_ALIKES:
-        for at, c in enumerate(seen):
-            if c == wrong and places[at] not in fixed and (_LEFT.search("".join(seen[max(0, at - _REACH) : at])) or _RIGHT.match("".join(seen[at + 1 : at + 1 + _REACH]))):
-                seen[at] = right
+        for at in found.get(wrong, ()):
+            if _near_cyrillic(kinds, at) and (not fixed or free(at)):
+                kinds[at] = _CYRILLIC
+                changed[at] = right
+    if not changed:
+        return text
     out = list(text)
-    for at, c in zip(places, seen, strict=True):
-        out[at] = c
+    for at, right in changed.items():
+        out[place(at)] = right
     return "".join(out)
 
 
 def _merge(match: re.Match) -> str:
     left, gap, right = match.groups()
+    n = len(left) + len(right)
+    if (n > MERGE_LENGTH and len(left) > 1 and len(right) > 1) or (gap != " " and ("\n" in gap or "  " in gap)):
+        return match.group()
     joined = left + right
-    fits = len(left) == 1 or len(right) == 1 or len(joined) <= MERGE_LENGTH
-    if fits and "\n" not in gap and "  " not in gap and (len(joined) <= MAX_WORD_LENGTH or _ANCHOR.search(joined)) and not _CLUSTER.search(joined):
-        return joined
-    return match.group()
+    if (n > MAX_WORD_LENGTH and not _ANCHOR.search(joined)) or (n >= MAX_CONSONANTS and _CLUSTER.search(joined)):
+        return match.group()
+    return joined
 
 
 def repair(text: str, passes: int) -> str:

@@ -73,6 +73,6 @@ def length_valid(word: Column) -> Column:
 
 def badness(text: Column) -> Column:
     """Single-character tokens as a share of all; 0 for blank texts."""
-    tokens = F.split(squeeze(text), " ")
-    single = F.size(F.filter(tokens, lambda t: F.length(t) == 1))
-    return F.when(squeeze(text) == "", F.lit(0.0)).otherwise(single / F.size(tokens))
+    tokens = F.regexp_count(text, F.lit(r"(?U)\S++"))
+    single = F.regexp_count(text, F.lit(r"(?U)(?<!\S)\S(?!\S)"))
+    return F.when(tokens == 0, F.lit(0.0)).otherwise(single / tokens)

@@ -1,19 +1,27 @@
 """User word lists: stems, and three ways in which a word can match.
 
-For short lists ``in_rules`` is a Column expression. For long ones ``match_rules`` joins distinct words with the lists on
-equal keys only: the prefix rule explodes a word's prefixes, so no nested-loop join is needed.
+For a handful of words ``in_rules`` is a Column expression. Lists of up to ``MAX_LISTED`` words go to the workers as sets
+(``listed_flags``), which look at each distinct word of a batch once. For longer ones ``match_rules`` joins distinct words
+with the lists on equal keys only: the prefix rule explodes a word's prefixes, so no nested-loop join is needed.
 """
 
 from __future__ import annotations
 
+import logging
+import os
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.constants import ALL_ENDINGS, EXCEPTION_PATTERNS, SAKHA_ENDINGS
+from lexloom.constants import ALL_ENDINGS, ANCHORS, DIPHTHONGS, EXCEPTION_PATTERNS, SAKHA_ENDINGS
 from lexloom.errors import ValidationError
 
 MIN_STEM = 2
 MAX_EXCEPTIONS = 100_000  # patterns that the driver takes
+MAX_LISTED = 200_000  # listed words that are sent to every worker
 MAX_REST = 5  # a rest this short after a stem counts as an ending
 
 
@@ -71,9 +79,63 @@ def in_rules(word: Column, words: list[str]) -> Column:
     return low.isin(*listed) | F.arrays_overlap(stems(word), known) | by_prefix
 
 
+class ListedWords:
+    """The three rules over sets in memory."""
+
+    def __init__(self, words: list[str]):
+        self.words = {w.lower() for w in words}
+        self.stems = self.words | {w[: -len(e)] for w in self.words for e in ALL_ENDINGS if w.endswith(e) and len(w) - len(e) >= MIN_STEM}
+
+    def __contains__(self, word: str) -> bool:
+        low = word.lower()
+        if low in self.words or low in self.stems or any(low.endswith(e) and len(low) - len(e) >= MIN_STEM and low[: -len(e)] in self.stems for e in ALL_ENDINGS):
+            return True
+        return any(low[:cut] in self.stems and (len(low) - cut <= MAX_REST or low.startswith(SAKHA_ENDINGS, cut)) for cut in range(MIN_STEM, len(low)))
+
+
+def small_list(rules: DataFrame) -> list[str] | None:
+    """The listed words, if they are few enough to be sent to every worker."""
+    found = rules.select(F.lower("word").alias("word")).where("word is not null").distinct().limit(MAX_LISTED + 1).collect()
+    return [r.word for r in found] if len(found) <= MAX_LISTED else None
+
+
+def listed_flags(spark: SparkSession, words: list[str]) -> Callable[[Column], Column]:
+    """A function from tokens (array<string>) to which of them the lists delete: those that match and are not plainly Sakha."""
+    shared = spark.sparkContext.broadcast(ListedWords(words))
+    decided: dict[str, bool] = {}
+
+    def listed(word: str | None) -> bool:
+        if word is None:
+            return False
+        known = decided.get(word)
+        if known is None:
+            if len(decided) >= 200_000:
+                decided.clear()
+            sakha = any(c in word for c in ANCHORS) or any(d in word for d in DIPHTHONGS)
+            known = decided[word] = not sakha and word in shared.value
+        return known
+
+    @F.arrow_udf("array<boolean>")
+    def flags(tokens: pa.Array) -> pa.Array:
+        coded = tokens.flatten().dictionary_encode()
+        each = np.array([listed(w) for w in coded.dictionary.to_pylist()], bool)
+        values = each[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, bool)
+        sizes = pa.compute.fill_null(pa.compute.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+        starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(starts), pa.array(values, pa.bool_()))
+
+    return flags
+
+
 def read_word_list(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFrame:
-    """(word): the lines of all matching files of a folder, or of one file; blank ones and # comments are skipped."""
-    lines = spark.read.option("pathGlobFilter", pattern).text(path) if pattern else spark.read.text(path)
+    """(word): the lines of all matching files of a folder, or of one file; blank ones and # comments are skipped.
+
+    A folder that does not exist has no words, which is told; files that cannot be read are left out.
+    """
+    if pattern and "://" not in path and not os.path.isdir(path):
+        logging.warning("no folder of word lists: %s", path)
+        return spark.createDataFrame([], "word string")
+    lines = spark.read.option("pathGlobFilter", pattern).option("ignoreCorruptFiles", True).text(path) if pattern else spark.read.text(path)
     word = F.regexp_replace("value", r"(?U)^\s+|\s+$", "")
     return lines.select(word.alias("word")).where("word <> '' and not startswith(word, '#')")
 

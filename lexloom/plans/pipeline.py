@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import glob
+import logging
 import os
 from collections.abc import Iterator
 
@@ -19,6 +20,10 @@ from lexloom.sources.scratch import materialize
 from lexloom.session import ship
 
 
+LOG = logging.getLogger("lexloom")
+LOG.setLevel(logging.INFO)  # for a run's own log; what is shown is up to the handlers
+
+
 def clean_text(column: Column, config: Config = DEFAULT) -> Column:
     """The whole pipeline as one expression; only healing leaves the JVM."""
     return classify.remove_russian_words(tokens.filter_invalid_words(healing.heal_text(text.remove_special(column), config)), config)
@@ -30,23 +35,6 @@ def clean(docs: DataFrame, config: Config = DEFAULT, text_col: str = "text") ->
     return docs.withColumn(text_col, clean_text(F.col(text_col), config))
 
 
-def detector(language: str = "ru"):
-    """A function from words to whether they are ``language``, if a detection library is installed; else None."""
-    try:
-        import langdetect
-    except ImportError:
-        return None
-    langdetect.DetectorFactory.seed = 0
-
-    def detect(word: str) -> bool:
-        try:
-            return langdetect.detect(word) == language
-        except langdetect.LangDetectException:
-            return False
-
-    return detect
-
-
 def undecided_words(docs: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """Distinct words that no rule decides."""
     words = docs.select(F.explode(tokens.joined_tokens(F.col("text"))).alias("word")).distinct()
@@ -64,35 +52,51 @@ def detect_words(words: DataFrame, detect) -> DataFrame:
     return words.select("word").mapInPandas(run, "word string")
 
 
-def remove_words(docs: DataFrame, deleted: DataFrame) -> DataFrame:
-    """docs (doc_id, text) without the words of ``deleted`` (word): an anti-join of tokens with a word list.
+_ROW, _POS, _WORD, _TOKENS, _FLAGS = ("__lexloom_row", "__lexloom_pos", "__lexloom_word", "__lexloom_tokens", "__lexloom_flags")
+
 
-    For lists that are too long for an expression. Tokens travel with their positions and come back in order.
+def remove_words(docs: DataFrame, deleted: DataFrame, text_col: str = "text") -> DataFrame:
+    """docs without the words of ``deleted`` (word): an anti-join of tokens with a word list.
+
+    For lists that are too long for the workers. Rows get numbers of their own, so ids may repeat or be null; tokens travel
+    with their row and position and come back in order. A text that is null comes out empty.
     """
-    placed = docs.select("doc_id", F.posexplode_outer(tokens.joined_tokens(F.col("text"))).alias("pos", "word"))
-    kept = placed.join(deleted.select("word").distinct(), "word", "left_anti")
-    gathered = kept.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.when(F.col("word").isNotNull(), F.struct("pos", "word")))).alias("words"))
-    joined = F.array_join(F.transform(F.col("words"), lambda w: F.regexp_replace(w["word"], "[–_\n]+", " ")), " ")
-    return docs.select("doc_id").join(gathered, "doc_id", "left").select("doc_id", F.coalesce(joined, F.lit("")).alias("text"))
+    rows = materialize(docs.withColumn(_ROW, F.monotonically_increasing_id()), "remove-words")
+    placed = rows.select(_ROW, F.posexplode(tokens.joined_tokens(F.col(text_col))).alias(_POS, _WORD))
+    kept = placed.join(deleted.select(F.col("word").alias(_WORD)).distinct(), _WORD, "left_anti")
+    gathered = kept.groupBy(_ROW).agg(F.array_sort(F.collect_list(F.struct(_POS, _WORD))).alias(_TOKENS))
+    joined = F.array_join(F.transform(_TOKENS, lambda w: classify.spaced_out(w[_WORD])), " ")
+    return rows.join(gathered, _ROW, "left").withColumn(text_col, F.coalesce(joined, F.lit(""))).select(*docs.columns)
+
 
+def remove_listed(docs: DataFrame, listed: list[str], config: Config = DEFAULT, text_col: str = "text") -> DataFrame:
+    """docs without Russian words and without listed ones, decided within each row: no shuffle."""
+    flags = R.listed_flags(ship(docs.sparkSession), listed)
+    flagged = docs.withColumn(_TOKENS, tokens.joined_tokens(F.col(text_col))).withColumn(_FLAGS, flags(F.col(_TOKENS)))
+    kept = F.filter(_TOKENS, lambda w, i: ~(F.get(F.col(_FLAGS), i) | classify.deleted_by_form(w, config)))
+    return flagged.withColumn(text_col, F.coalesce(F.array_join(F.transform(kept, classify.spaced_out), " "), F.lit(""))).select(*docs.columns)
 
-def clean_with_rules(docs: DataFrame, rules: DataFrame | None = None, config: Config = DEFAULT, detect=None) -> DataFrame:
-    """``clean`` with user word lists (word) and, for words that no rule decides, a detector.
 
-    Distinct words are classified once and joined back; without lists or detector this is ``clean``.
+def clean_with_rules(docs: DataFrame, rules: DataFrame | None = None, config: Config = DEFAULT, detect=None, text_col: str = "text") -> DataFrame:
+    """``clean`` with user word lists (word) and, for words that no rule decides, a detector. A null text comes out empty.
+
+    Word lists are settings: up to ``rules.MAX_LISTED`` words they are sent to the workers, and each row is cleaned where it
+    lies. With longer lists, or a detector, distinct words are classified once and joined back.
     """
-    detect = detect or None
     if rules is None and detect is None:
-        return clean(docs.select("doc_id", "text"), config)
+        return clean(docs, config, text_col)
     ship(docs.sparkSession)
-    valid = docs.select("doc_id", tokens.filter_invalid_words(healing.heal_text(text.remove_special(F.col("text")), config)).alias("text"))
-    words = valid.select(F.explode(tokens.joined_tokens(F.col("text"))).alias("word")).distinct()
-    listed = R.match_rules(words, rules) if rules is not None else words.limit(0).withColumn("way", F.lit(""))
-    decided = words.join(listed, "word", "left").select("word", classify.deciding_rule(F.col("word"), config, F.col("way").isNotNull()).alias("rule"))
+    valid = docs.withColumn(text_col, tokens.filter_invalid_words(healing.heal_text(text.remove_special(F.col(text_col)), config)))
+    if detect is None and (listed := R.small_list(rules)) is not None:
+        return remove_listed(valid, listed, config, text_col)
+    valid = materialize(valid, "clean-valid")  # read twice, so that texts are healed once
+    words = materialize(valid.select(F.explode(tokens.joined_tokens(F.col(text_col))).alias("word")).distinct(), "clean-words")
+    matched = R.match_rules(words, rules) if rules is not None else words.limit(0).withColumn("way", F.lit(""))
+    decided = words.join(matched, "word", "left").select("word", classify.deciding_rule(F.col("word"), config, F.col("way").isNotNull()).alias("rule"))
     deleted = decided.where(F.col("rule").isin(*classify.DELETING)).select("word")
     if detect is not None:
         deleted = deleted.unionByName(detect_words(decided.where("rule = 'undecided'"), detect))
-    return remove_words(valid, deleted)
+    return remove_words(valid, deleted, text_col)
 
 
 def word_lists(spark: SparkSession, config: Config = DEFAULT) -> DataFrame | None:
@@ -101,45 +105,63 @@ def word_lists(spark: SparkSession, config: Config = DEFAULT) -> DataFrame | Non
     return R.read_word_list(spark, folder) if glob.glob(os.path.join(glob.escape(folder), "*.txt")) else None
 
 
-def clean_rows(rows: DataFrame, config: Config = DEFAULT) -> DataFrame:
-    """``clean`` for rows without ids, with the word lists of the configured folder; the other columns stay."""
-    rules = word_lists(rows.sparkSession, config)
-    if rules is None:
-        return clean(rows, config)
-    # written, as the joins read the ids again
-    numbered = materialize(rows.withColumn("doc_id", F.monotonically_increasing_id()), "clean-rows")
-    return numbered.drop("text").join(clean_with_rules(numbered, rules, config), "doc_id").select(*rows.columns)
+def clean_rows(rows: DataFrame, config: Config = DEFAULT, detect=None) -> DataFrame:
+    """``clean`` with the word lists of the configured folder and, if given, a detector; the other columns stay."""
+    return clean_with_rules(rows, word_lists(rows.sparkSession, config), config, detect)
 
 
 def pdf_texts(pages: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """(file, page, level, text, error) of ``read_pdf_pages`` -> (file, page, text): the best attempt, hyphens merged."""
     attempts = pages.where("error is null").select(F.struct("file", "page").alias("page"), "level", "text")
-    threshold = config.pdf_badness_threshold if config.pdf_adaptive_tolerance else 1.0
-    best = best_attempt(attempts, threshold)
+    if not config.pdf_adaptive_tolerance:  # only the default level counts
+        attempts = attempts.where(F.col("level") == files.DEFAULT_LEVEL)
+    best = best_attempt(attempts, config.pdf_badness_threshold if config.pdf_adaptive_tolerance else 1.0, files.DEFAULT_LEVEL)
     return best.select("page.file", "page.page", text.merge_line_hyphens(F.coalesce("text", F.lit(""))).alias("text"))
 
 
-def run(spark: SparkSession, config: Config = DEFAULT, extractor: files.PdfExtractor = files.plain_text_pages) -> dict[str, str]:
-    """Extract every PDF and Parquet file of the input folder, clean (with word lists), write, and archive; the run's paths."""
+def run(spark: SparkSession, config: Config = DEFAULT, extractor: files.PdfExtractor = files.plain_text_pages, detect=None) -> dict[str, str]:
+    """Extract every PDF and Parquet file of the input folder, clean (with word lists), write, and archive; the run's paths.
+
+    A file that cannot be read gets a manifest row with its error, stays in the input folder, and does not end the run.
+    """
     config.validate()
     files.make_folders(config)
     files.check_folder(config.input_folder)
     folder = files.run_folder(config.results_folder)
     out = {name: os.path.join(folder, name) for name in ("extracted", "cleaned", "manifest")}
+    os.makedirs(folder, exist_ok=True)
+    log = logging.FileHandler(os.path.join(folder, "logs"), encoding="utf-8")
+    log.setFormatter(logging.Formatter("%(asctime)s %(levelname)s %(message)s"))
+    LOG.addHandler(log)
+    try:
+        return out | {"processed": str(_run(spark, config, extractor, detect, out))}
+    finally:
+        LOG.removeHandler(log)
+        log.close()
+
+
+def _run(spark: SparkSession, config: Config, extractor: files.PdfExtractor, detect, out: dict[str, str]) -> int:
+    """How many files were processed."""
     done: list[str] = []
     if pdfs := sorted(glob.glob(os.path.join(config.input_folder, "*.pdf"))):
-        pages = files.read_pdf_pages(spark, config.input_folder, extractor)
+        # written, as texts, manifest and failures all read it, and extraction is the slow part
+        pages = materialize(files.read_pdf_pages(spark, config.input_folder, extractor, config=config), "pdf-pages")
         files.append_texts(pdf_texts(pages, config).where("text <> ''").select("file", "text"), out["extracted"])
         files.manifest("pdf", pages).write.mode("append").parquet(out["manifest"])
         failed = {r.file for r in pages.where("error is not null").select("file").distinct().collect()}
         done += [p for p in pdfs if not any(f.endswith("/" + os.path.basename(p)) for f in failed)]
-    if tables := sorted(glob.glob(os.path.join(config.input_folder, "*.parquet"))):
-        texts = files.read_parquet_texts(spark, config.input_folder)
-        files.append_texts(texts, out["extracted"])
-        files.manifest("parquet", texts.withColumn("error", F.lit(None).cast("string"))).write.mode("append").parquet(out["manifest"])
-        done += tables
+    if tables := sorted(glob.glob(os.path.join(os.path.abspath(config.input_folder), "*.parquet"))):
+        rows = materialize(files.read_parquet_rows(spark, tables), "parquet-rows")
+        files.append_texts(rows.where("text is not null").select("file", "text"), out["extracted"])
+        files.manifest("parquet", rows).write.mode("append").parquet(out["manifest"])
+        failed = {r.file for r in rows.where("error is not null").select("file").distinct().collect()}
+        done += [t for t in tables if t not in failed]
     if done:
         extracted = spark.read.parquet(out["extracted"])
-        files.overwrite_texts(clean_rows(extracted, config).where("text <> ''"), out["cleaned"])
+        files.overwrite_texts(clean_rows(extracted, config, detect).where("text <> ''"), out["cleaned"])
+        cleaned = spark.read.parquet(out["cleaned"]).withColumn("error", F.lit(None).cast("string"))
+        files.manifest("clean", cleaned).write.mode("append").parquet(out["manifest"])
         files.archive(done, config.archive_folder)
-    return out | {"processed": str(len(done))}
+    for row in spark.read.parquet(out["manifest"]).collect() if done or pdfs or tables else ():  # a row per file
+        LOG.log(logging.ERROR if row.error else logging.INFO, "%s %s: %s", row.processor, row.file, row.error or f"{row.n_chars} characters, {row.n_bytes} bytes, {row.n_units} pages or rows")
+    return len(done)

@@ -197,11 +197,24 @@ query(
 )
 
 
-def clean_with_rules(spark, sf_dir) -> DataFrame:
-    return pipeline.clean_with_rules(cyrillic(spark, sf_dir), rule_words(spark, sf_dir))
-
-
-query("clean_with_rules", clean_with_rules)
+# Healing has no SQL, so it is switched off here; ``clean_with_rules_healed`` is the whole pipeline.
+_UNHEALED_SQL = rf"regexp_replace({SQL_CYRILLIC}, '[^\p{{L}} ' || chr(10) || '-]', '', 'g')"
+_VALID_SQL = f"array_to_string(list_filter(regexp_extract_all({_spaced_sql(_UNHEALED_SQL)[1]}, {_DOT}), lambda w: {_ALL_RULES}), ' ')"
+query(
+    "clean_with_rules",
+    lambda spark, sf_dir: pipeline.clean_with_rules(cyrillic(spark, sf_dir), rule_words(spark, sf_dir), DEFAULT.with_(word_healer_enabled=False)),
+    f"""WITH t AS (SELECT doc_id, regexp_extract_all({_VALID_SQL}, {_JOINED}) AS ws FROM documents),
+k AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM t),
+w AS (SELECT DISTINCT word FROM k),
+stems AS MATERIALIZED (SELECT stem FROM {_LISTED_STEMS_SQL}),
+hit AS (SELECT word FROM w WHERE lower(word) IN (SELECT lower(word) FROM {_LISTED_SQL})
+  UNION SELECT word FROM (SELECT word, unnest({_stem_sql('word')}) AS stem FROM w) WHERE stem IN (SELECT stem FROM stems)
+  UNION SELECT word FROM (SELECT word, substr(lower(word), 1, cut) AS stem, substr(lower(word), cut + 1) AS rest FROM (SELECT word, unnest(range({rules.MIN_STEM}, length(word) + 1)) AS cut FROM w))
+    WHERE (length(rest) <= {rules.MAX_REST} OR regexp_matches(rest, '^(?:{"|".join(SAKHA_ENDINGS)})')) AND stem IN (SELECT stem FROM stems)),
+kept AS (SELECT word FROM w WHERE {_ANCHOR_SQL} OR {_DIPHTHONG_SQL} OR (NOT {_RUSSIAN_SQL} AND word NOT IN (SELECT word FROM hit)))
+SELECT d.doc_id, coalesce(s.text, '') AS text FROM documents d LEFT JOIN (SELECT doc_id, string_agg(regexp_replace(word, '[–_' || chr(10) || ']+', ' ', 'g'), ' ' ORDER BY pos) AS text FROM k JOIN kept USING (word) GROUP BY doc_id) s ON d.doc_id = s.doc_id""",
+)
+query("clean_with_rules_healed", lambda spark, sf_dir: pipeline.clean_with_rules(cyrillic(spark, sf_dir), rule_words(spark, sf_dir)))
 per_document("exceptions_match", cyrillic, scalar.matches_exception, f"SELECT doc_id, (contains(t, 'г.') OR contains(t, 'стр.') OR contains(t, 'т.д.') OR contains(t, 'и т.д.')) AS value FROM (SELECT doc_id, lower({SQL_CYRILLIC}) AS t FROM documents)")
 
 # healing

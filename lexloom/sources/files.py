@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import os
 import shutil
 from collections.abc import Callable
@@ -10,14 +11,22 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.config import Config
+from lexloom.config import DEFAULT, Config
 from lexloom.errors import MissingFileError, ParquetProcessingError, ValidationError
 from lexloom.operators.flatten import row_text
 from lexloom.session import ship
 
 MANIFEST = "processor string, file string, ts timestamp, n_chars long, n_bytes long, n_units int, error string"
-#: Takes a file's bytes; yields (page number, tolerance level, text) for every page and attempt.
-PdfExtractor = Callable[[bytes], list[tuple[int, int, str]]]
+DEFAULT_LEVEL = 1
+#: Takes a file's bytes, the tolerance levels to try as (level, x tolerance, y tolerance), and whether to keep the layout;
+#: yields (page number, level, text) for every page and attempt.
+PdfExtractor = Callable[[bytes, list[tuple[int, float, float]], bool], list[tuple[int, int, str]]]
+
+
+def tolerance_levels(config: Config = DEFAULT) -> list[tuple[int, float, float]]:
+    """Tight, configured and loose tolerances, or the configured ones alone where extraction does not adapt."""
+    levels = [(0, 1, 1), (DEFAULT_LEVEL, config.pdf_x_tolerance, config.pdf_y_tolerance), (2, 5, 5)]
+    return levels if config.pdf_adaptive_tolerance else [levels[DEFAULT_LEVEL]]
 
 
 def check_path(path: str) -> str:
@@ -49,23 +58,47 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.col("path").alias("file"), F.when(valid, F.col("content").cast("string")).otherwise(F.raise_error(F.concat(F.lit("no UTF-8 text: "), F.col("path")))).alias("text"))
 
 
+def read_parquet_rows(spark: SparkSession, paths: list[str], parity: bool = False) -> DataFrame:
+    """(file, text, error): a row for every row of the files; ``text`` is null for rows and files that hold none.
+
+    Every file is read by its own schema: files of one schema are read together, and only their text columns. A file that
+    is no readable Parquet is one row with its error; one without rows, or without text columns, is a row without text.
+    """
+    by_schema: dict[str, list[str]] = {}
+    failed: list[tuple[str, str]] = []
+    for path in map(os.path.abspath, paths):
+        try:
+            check_file(path)
+            by_schema.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+        except Exception as error:  # a bad file must not end the run; it is told in the manifest
+            failed.append((path, f"{type(error).__name__}: {str(error).splitlines()[0]}"))
+    kind = "file string, text string, error string"
+    out = spark.createDataFrame([(p, None, None) for group in by_schema.values() for p in group] + [(p, None, e) for p, e in failed], kind)
+    for group in by_schema.values():
+        table = spark.read.schema(spark.read.parquet(group[0]).schema).parquet(*group)
+        name = F.regexp_replace("_metadata.file_path", "^file:(//)?", "")
+        texts = row_text(table.withColumn("__lexloom_file", name), table.columns, parity, keep=("__lexloom_file",))
+        out = out.unionByName(texts.select(F.col("__lexloom_file").alias("file"), "text", F.lit(None).cast("string").alias("error")))
+    return out
+
+
 def read_parquet_texts(spark: SparkSession, folder: str, parity: bool = False) -> DataFrame:
-    """(file, text): a row for every row of the folder's ``*.parquet`` files that holds text; only text columns are read."""
-    try:
-        table = spark.read.option("pathGlobFilter", "*.parquet").parquet(folder)
-    except Exception as error:
-        raise ParquetProcessingError(f"{folder} cannot be read as Parquet: {error}") from error
-    return row_text(table.withColumn("_file", F.col("_metadata.file_path")), table.columns, parity, keep=("_file",)).withColumnRenamed("_file", "file")
+    """(file, text): a row for every row of the folder's ``*.parquet`` files that holds text; unreadable files are left out."""
+    found = sorted(glob.glob(os.path.join(glob.escape(check_folder(folder)), "*.parquet")))
+    if not found:
+        raise ParquetProcessingError(f"{folder} holds no Parquet files")
+    return read_parquet_rows(spark, found, parity).where("text is not null").select("file", "text")
 
 
-def plain_text_pages(content: bytes) -> list[tuple[int, int, str]]:
+def plain_text_pages(content: bytes, levels: list[tuple[int, float, float]], layout: bool = True) -> list[tuple[int, int, str]]:
     """The default extractor: pages of a text layer that was exported with form feeds. Layout extraction is pluggable."""
-    return [(n, 0, page) for n, page in enumerate(content.decode("utf-8").split("\f"), 1)]
+    return [(n, DEFAULT_LEVEL, page) for n, page in enumerate(content.decode("utf-8").split("\f"), 1)]
 
 
-def read_pdf_pages(spark: SparkSession, folder: str, extractor: PdfExtractor = plain_text_pages, pattern: str = "*.pdf") -> DataFrame:
+def read_pdf_pages(spark: SparkSession, folder: str, extractor: PdfExtractor = plain_text_pages, pattern: str = "*.pdf", config: Config = DEFAULT) -> DataFrame:
     """(file, page, level, text, error): every attempt of every page; a file that fails is one row with its error."""
     ship(spark)
+    levels, layout = tolerance_levels(config), config.pdf_layout_mode
 
     def run(batches):
         import pyarrow as pa
@@ -74,7 +107,7 @@ def read_pdf_pages(spark: SparkSession, folder: str, extractor: PdfExtractor = p
             rows = []
             for file, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 try:
-                    rows += [(file, page, level, text, None) for page, level, text in extractor(content)]
+                    rows += [(file, page, level, text, None) for page, level, text in extractor(content, levels, layout)]
                 except Exception as error:  # a bad file must not end the run; it is told in the manifest
                     rows.append((file, None, None, None, f"{type(error).__name__}: {error}"))
             kinds = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string()]

@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lexloom.errors import ConfigurationError
+
 _LOCAL: dict[str, str] = {}
+_TABLES: list[tuple[SparkSession, str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where that is unset (local tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's ``spark.checkpoint.dir``, or what ``setCheckpointDir`` named.
+
+    A local session (tests) may do without; a cluster may not, since its machines do not see each other's folders.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ConfigurationError("spark.checkpoint.dir has to name a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
         _LOCAL[app] = tempfile.mkdtemp(prefix="lexloom-")
@@ -44,6 +53,18 @@ def materialize(df: DataFrame, tag: str, compression: str = "zstd") -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
+@atexit.register
+def _drop_tables() -> None:
+    """Forget the names of bucketed tables; their files go with the application's scratch folders."""
+    for spark, name in _TABLES:
+        if spark.sparkContext._jsc is None:
+            continue
+        try:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        except Exception:  # the session may have ended before; then only a lasting catalog still has the name
+            continue
+
+
 def materialize_bucketed(df: DataFrame, key: str, tag: str, compression: str = "zstd") -> DataFrame:
     """As ``materialize``, in as many buckets of ``key`` as there are shuffle partitions.
 
@@ -56,4 +77,5 @@ def materialize_bucketed(df: DataFrame, key: str, tag: str, compression: str = "
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.write.format("parquet").bucketBy(buckets, key).option("compression", compression).option("path", path).saveAsTable(name)
     discard_at_exit(spark, path)
+    _TABLES.append((spark, name))
     return spark.table(name)

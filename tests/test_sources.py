@@ -1,4 +1,5 @@
 import os
+import random
 from datetime import datetime
 
 import pytest
@@ -8,7 +9,7 @@ from lexloom.__main__ import main
 from lexloom.config import DEFAULT
 from lexloom.errors import MissingFileError, ValidationError
 from lexloom.operators import flatten, rules, stats
-from lexloom.plans import pipeline, sqlfunctions
+from lexloom.plans import detection, pipeline, sqlfunctions
 from lexloom.sources import files
 from lexloom.streaming import clean_stream as streaming
 
@@ -78,7 +79,9 @@ def test_run_extracts_cleans_and_archives(spark, tmp_path):
     done = pipeline.run(spark, DEFAULT.with_(input_folder=str(source), results_folder=str(tmp_path / "out"), archive_folder=str(tmp_path / "old")))
     cleaned = " ".join(sorted(r.text for r in spark.read.parquet(done["cleaned"]).collect()))
     assert "оҕолор" in cleaned and "щит" not in cleaned and "үчүгэй күн" in cleaned
-    manifest = {os.path.basename(r.file): r for r in spark.read.parquet(done["manifest"]).collect()}
+    manifest = {os.path.basename(r.file): r for r in spark.read.parquet(done["manifest"]).where("processor <> 'clean'").collect()}
+    log = open(os.path.join(os.path.dirname(done["manifest"]), "logs"), encoding="utf-8").read()
+    assert "ERROR" in log and "bad.pdf" in log and "one.pdf" in log and "clean" in {r.processor for r in spark.read.parquet(done["manifest"]).collect()}
     assert manifest["bad.pdf"].error and manifest["one.pdf"].n_units == 2 and manifest["two.parquet"].n_chars == 10
     assert sorted(os.listdir(tmp_path / "old")) == ["one.pdf", "two.parquet"] and os.listdir(source) == ["bad.pdf"]
 
@@ -100,6 +103,65 @@ def test_file_runs_apply_word_lists(spark, tmp_path):
         assert [(os.path.basename(r.file), r.text) for r in spark.read.parquet(str(tmp_path / "o")).collect()] == [("t.txt", wanted)]
 
 
+def parquet_file(spark, folder, name, rows, schema):
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(folder / f"{name}.parts"))
+    part = next(p for p in (folder / f"{name}.parts").iterdir() if p.suffix == ".parquet")
+    part.rename(folder / f"{name}.parquet")
+
+
+def test_parquet_files_are_read_by_their_own_schema(spark, tmp_path):
+    parquet_file(spark, tmp_path, "one", [("a", 1), (None, 2)], "t string, n int")
+    parquet_file(spark, tmp_path, "two", [(5, ["b", "c"])], "n int, words array<string>")
+    parquet_file(spark, tmp_path, "three", [(5,)], "n int")
+    parquet_file(spark, tmp_path, "four", [("d", 3)], "t string, n int")
+    (tmp_path / "bad.parquet").write_bytes(b"PAR1 no such thing")
+    (tmp_path / "empty.parquet").touch()
+    paths = sorted(str(p) for p in tmp_path.glob("*.parquet"))
+    rows = files.read_parquet_rows(spark, paths)
+    texts = [(os.path.basename(r.file), r.text) for r in rows.where("text is not null").collect()]
+    assert sorted(texts) == [("four.parquet", "d"), ("one.parquet", "a"), ("two.parquet", "b c")]
+    told = {os.path.basename(r.file): r for r in files.manifest("parquet", rows).collect()}
+    assert len(told) == 6 and told["three.parquet"].n_units == 0 and told["bad.parquet"].error and told["empty.parquet"].error and not told["one.parquet"].error
+    assert files.read_parquet_texts(spark, str(tmp_path)).count() == 3
+
+
+def test_extractors_get_tolerances(spark, tmp_path):
+    (tmp_path / "one.pdf").write_bytes(b"x")
+
+    def extract(content, levels, layout):
+        return [(1, level, f"{'а б ' * (3 - level)}page {x} {y} {layout}") for level, x, y in levels]
+
+    def best(config):
+        return pipeline.pdf_texts(files.read_pdf_pages(spark, str(tmp_path), extract, config=config), config).first().text
+
+    assert best(DEFAULT.with_(pdf_x_tolerance=7)) == "а б page 5 5 True"
+    assert best(DEFAULT.with_(pdf_adaptive_tolerance=False, pdf_x_tolerance=7, pdf_layout_mode=False)) == "а б а б page 7 3 False"
+
+
+def test_missing_word_lists_are_no_words(spark, tmp_path):
+    assert rules.read_word_list(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_rows_with_equal_or_no_ids_are_cleaned_apart(spark):
+    docs = spark.createDataFrame([(1, "баҕар саха оҕо", "x"), (1, "үөрэн күн", "y"), (None, "баҕар оҕо", None), (2, None, "z")], "doc_id long, text string, source string")
+    listed = spark.createDataFrame([("саха",)], "word string")
+    wanted = [(1, "баҕар оҕо", "x"), (1, "үөрэн күн", "y"), (None, "баҕар оҕо", None), (2, "", "z")]
+    for detect in (None, lambda w: False):
+        got = pipeline.clean_with_rules(docs, listed, detect=detect)
+        assert got.columns == docs.columns and sorted(map(tuple, got.collect()), key=repr) == sorted(wanted, key=repr)
+
+
+def test_lists_within_rows_match_the_joins(spark, monkeypatch):
+    """Both ways of applying word lists give the same texts."""
+    rng = random.Random(12)
+    docs = spark.createDataFrame([(n, " ".join("".join(rng.choices("сахлртэываөуо", k=rng.randint(1, 9))) for _ in range(60))) for n in range(40)], "doc_id long, text string")
+    listed = spark.createDataFrame([(w,) for w in ("саха", "Тылэ", "рст", "лхлар", None)], "word string")
+    within = {r.doc_id: r.text for r in pipeline.clean_with_rules(docs, listed).collect()}
+    monkeypatch.setattr(rules, "MAX_LISTED", 2)
+    joined = {r.doc_id: r.text for r in pipeline.clean_with_rules(docs, listed).collect()}
+    assert within == joined != {r.doc_id: r.text for r in pipeline.clean(docs).collect()}
+
+
 def test_run_folder_name():
     assert files.run_folder("r", datetime(2025, 1, 19, 19, 28, 32)) == "r/19-01-25-19-28-32"
 
@@ -118,6 +180,35 @@ def test_sql_functions(spark):
     assert list(got) == ["a-b", True, "оҕо", "some", ["a", "b."], True]
 
 
+def test_sql_cascade(spark):
+    sqlfunctions.register(spark)
+    words = ["ҕщ", "уощ", "щлар", "тлар", "белый", "дом", "  "]
+    got = spark.createDataFrame([(w,) for w in words], "w string").selectExpr("lexloom_deciding_rule(w)", "lexloom_is_russian(w)", "lexloom_badness(concat(w, ' a b'))").collect()
+    assert [r[0] for r in got] == ["anchor", "diphthong", "marker", "sakha_ending", "russian_ending", "undecided", "empty"]
+    assert [r[1] for r in got] == [False, False, True, False, True, False, False] and got[0][2] == 2 / 3
+    listed = ["саха", "тылэ", "рст"]
+    rng = random.Random(13)
+    words = sorted({"".join(rng.choices("сахлртэы", k=rng.randint(1, 8))) for _ in range(300)})
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    wanted = {r.word for r in rules.match_rules(df, spark.createDataFrame([(w,) for w in listed], "word string")).collect()}
+    assert {r.word for r in df.where(f"lexloom_matches_rules(word, array('{"', '".join(listed)}'))").collect()} == wanted
+
+
+def test_detection_asks_in_order():
+    asked = []
+
+    def step(name, answers):
+        def ask(word):
+            asked.append(name)
+            return answers.get(word)
+
+        return ask
+
+    delete = detection.chain(step("language", {"дом": True, "саха": False}), step("names", {"Иван": True}))
+    assert [delete(w) for w in ("дом", "саха", "Иван", "тыл")] == [True, False, True, False]
+    assert asked == ["language", "language", "language", "names", "language", "names"]
+
+
 def test_word_lists_and_detectors_remove_words(spark):
     docs = spark.createDataFrame([(1, "баҕар дом саха сахалар"), (2, ""), (3, None)], "doc_id long, text string")
     listed = spark.createDataFrame([("саха",)], "word string")
