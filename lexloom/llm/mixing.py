@@ -3,17 +3,22 @@
 1. Targets. Sources weigh 1, 2, 3, 1, ... by code point; each may take at most ``MOST`` times its own size, and
    what it cannot take is shared anew by weight. Solved in closed form over one row per source.
 2. Blocks. A source's documents are put in an order given by md5 and cut into ``BLOCKS`` blocks of equal words.
-   A source's exact quota is a number of blocks; every pass over all its blocks is one repetition.
-3. Tree. The quotas of all sources are split in halves again and again until each output shard has its own: each
-   split draws its left half's blocks without replacement, which is a multivariate hypergeometric draw.
-4. Each shard takes the next blocks of each source, so shards are disjoint; rows are then shuffled within a shard.
+   A source's exact quota is a number of blocks: every pass over all its blocks is one repetition, and the last, partial
+   pass takes the first blocks of a random permutation.
+3. Tree. The drawn blocks of all sources are split in halves again and again until each output shard has its own. A split
+   sends a random half of a node's blocks left, drawn without replacement, so that the numbers of blocks it takes of each
+   source are multivariate hypergeometric. The draw takes the blocks with the smallest hashes, exactly half of them: hash
+   ranges are counted, and only the range in which the cut lies is ranked.
+4. The shards' blocks are disjoint, and a document goes to the shards that its block went to, once per repetition. Rows
+   are then shuffled within a shard.
 
 No source is gathered in one task: positions come from running sums in three levels (64 x 64 hash ranges a
-source), the last of which is spread by source and range.
+source), the last of which is spread by source and range. The tree works on rows of blocks, spread by hash range.
 
 Cases: a null text has size 0; sizes of 0 take 0; the null source is a source of its own and comes last; rows
 equal in id, source and text share one position, so they are taken equally often, whatever their order; null ids
-are ordinary ids; an empty table gives an empty table; other columns, whatever their names, only pass through ``mix``.
+are ordinary ids; a text of any length is one document in one block; an empty table gives an empty table; other columns,
+whatever their names, only pass through ``mix``.
 """
 
 from __future__ import annotations
@@ -65,37 +70,35 @@ def targets(sizes: DataFrame) -> DataFrame:
     return rest.withColumn("target", target).select("sk", "source", "source_size", "target", quota.alias("quota"))
 
 
-#: Splits a node's quotas: every block of every source goes left with the share of the left places still free.
-_SPLIT = """
-aggregate(quotas, named_struct('n', total, 'places', left_total, 'left', cast(array() as array<struct<sk:string,q:bigint>>)), (acc, s) ->
-  aggregate(if(s.q > 0, sequence(cast(1 as bigint), s.q), cast(array() as array<bigint>)), named_struct('n', acc.n, 'places', acc.places, 'x', cast(0 as bigint)), (a, j) ->
-    if(shiftrightunsigned(xxhash64(cast({seed} as bigint), lo, hi, s.sk, j), 11) * 1.1102230246251565e-16D * a.n < a.places,
-       named_struct('n', a.n - 1, 'places', a.places - 1, 'x', a.x + 1),
-       named_struct('n', a.n - 1, 'places', a.places, 'x', a.x)),
-    a -> named_struct('n', a.n, 'places', a.places, 'left', concat(acc.left, array(named_struct('sk', s.sk, 'q', a.x))))),
-  acc -> acc.left)
-"""
+def drawn_blocks(quotas: DataFrame, seed: int = SEED) -> DataFrame:
+    """(sk, quota) -> (sk, epoch, block): all blocks once per full pass, and a random part of them in the last one."""
+    epochs = quotas.where("quota > 0").select("sk", "quota", F.explode(F.expr(f"sequence(0, cast((quota - 1) div {BLOCKS} as int))")).alias("epoch"))
+    blocks = epochs.select("sk", "epoch", (F.col("quota") - F.col("epoch") * BLOCKS).alias("left"), F.explode(F.expr(f"sequence(0, {BLOCKS - 1})")).alias("block"))
+    permuted = Window.partitionBy("sk", "epoch").orderBy(_draw(seed, "pass", "sk", "epoch", "block"), "block")
+    return blocks.withColumn("at", F.row_number().over(permuted)).where("at <= left").select("sk", "epoch", "block")
 
 
-def splitting_tree(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """(sk, quota) -> (sk, cuts): per source, each shard's first slot and its number of slots.
+def _draw(seed: int, *parts: str | Column) -> Column:
+    """A hash in hexadecimal that the given parts alone decide."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *(F.lit(p) if p == "pass" else F.col(p).cast("string") if isinstance(p, str) else p for p in parts)).cast("binary"))
 
-    Works on one row per tree node, which holds one entry per source.
-    """
+
+def splitting_tree(drawn: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """(sk, epoch, block) -> the same with the shard that gets it; nodes are runs of shards [lo, hi)."""
     if shards < 1 or shards & (shards - 1):
         raise ValueError("the number of shards is a power of two")
-    node = quotas.agg(F.array_sort(F.collect_list(F.struct("sk", F.col("quota").alias("q")))).alias("quotas")).select(F.lit(0).alias("lo"), F.lit(shards).alias("hi"), "quotas")
+    node = drawn.withColumn("lo", F.lit(0)).withColumn("width", F.lit(shards))
     while shards > 1:
-        node = node.withColumn("total", F.expr("aggregate(quotas, cast(0 as bigint), (t, s) -> t + s.q)")).withColumn("left_total", F.expr("total div 2"))
-        node = node.withColumn("went", F.expr(_SPLIT.format(seed=seed)))
-        halves = F.expr("array(named_struct('lo', lo, 'hi', (lo + hi) div 2, 'quotas', went), named_struct('lo', (lo + hi) div 2, 'hi', hi, 'quotas', zip_with(quotas, went, (a, b) -> named_struct('sk', a.sk, 'q', a.q - b.q))))")
-        node = node.select(F.explode(halves).alias("half")).select(F.col("half.lo").cast("int").alias("lo"), F.col("half.hi").cast("int").alias("hi"), F.col("half.quotas").alias("quotas"))
+        hashed = materialize(node.withColumn("h", _draw(seed, "lo", "width", "sk", "epoch", "block")).withColumn("range", F.substring("h", 1, 3)), "mixing-node")
+        # at most 4096 ranges a node
+        counts = hashed.groupBy("lo", "range").agg(F.count("*").alias("n"))
+        by_range = Window.partitionBy("lo").orderBy("range")
+        cuts = counts.select("lo", "range", F.coalesce(F.sum("n").over(by_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"), F.expr("sum(n) over (partition by lo) div 2").alias("half"))
+        within = Window.partitionBy("lo", "range").orderBy("h", "sk", "epoch", "block")
+        placed = hashed.join(cuts, ["lo", "range"]).withColumn("at", F.col("before") + F.row_number().over(within))
         shards //= 2
-    leaves = node.select(F.col("lo").alias("shard"), F.explode("quotas").alias("s")).select("shard", "s.sk", "s.q")
-    per_source = leaves.groupBy("sk").agg(F.array_sort(F.collect_list(F.struct("shard", "q"))).alias("leaves"))  # one entry a shard
-    return per_source.select(
-        "sk", F.expr("transform(leaves, (x, i) -> named_struct('shard', x.shard, 'first', aggregate(slice(leaves, 1, i), cast(0 as bigint), (t, y) -> t + y.q), 'slots', x.q))").alias("cuts")
-    )
+        node = placed.select("sk", "epoch", "block", F.when(F.col("at") <= F.col("half"), F.col("lo")).otherwise(F.col("lo") + shards).cast("int").alias("lo"), F.lit(shards).alias("width"))
+    return node.select("sk", "epoch", "block", F.col("lo").alias("shard"))
 
 
 def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shards: int = SHARDS, seed: int = SEED) -> DataFrame:
@@ -112,7 +115,9 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     level3 = base.groupBy("sk", "b1", "b2").agg(F.sum("size").alias("words"))
     level2 = base.groupBy("sk", "b1").agg(F.sum("size").alias("words"))
     per_source = materialize(targets(base.groupBy("sk").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"))), "mixing-targets")
-    facts = per_source.drop("source").join(splitting_tree(per_source.select("sk", "quota"), shards, seed), "sk")
+    facts = per_source.drop("source")
+    # at most one entry per repetition
+    dealt = splitting_tree(drawn_blocks(per_source.select("sk", "quota"), seed), shards, seed).groupBy("sk", "block").agg(F.array_sort(F.collect_list(F.struct("epoch", "shard")))["shard"].alias("shards"))
 
     def running(*by: str):
         w = Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
@@ -127,9 +132,9 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     # twice the middle of the row's place among its source's words
     middle = (F.col("before1") + F.col("before2") + F.col("through")) * 2 - F.col("peers")
     block = F.when(F.col("source_size") == 0, F.lit(0)).otherwise(F.least(F.expr(f"(middle * {BLOCKS}) div (2 * source_size)"), F.lit(BLOCKS - 1))).cast("long")
-    times = F.expr(f"cast(quota div {BLOCKS} + if(block < quota % {BLOCKS}, 1, 0) as int)")
-    slots = f"transform(if(times > 0, sequence(0, times - 1), cast(array() as array<int>)), e -> filter(cuts, c -> c.first <= e * {BLOCKS} + block and e * {BLOCKS} + block < c.first + c.slots)[0].shard)"
-    return placed.withColumn("middle", middle).withColumn("block", block).withColumn("times", times).select("doc_id", "sk", "key", "size", "source_size", "target", "times", F.expr(slots).alias("shards"))
+    located = placed.withColumn("middle", middle).withColumn("block", block.cast("int")).select("doc_id", "sk", "key", "size", "source_size", "target", "block")
+    found = located.join(dealt, ["sk", "block"], "left").withColumn("shards", F.coalesce("shards", F.expr("cast(array() as array<int>)")))
+    return found.select("doc_id", "sk", "key", "size", "source_size", "target", F.size("shards").alias("times"), "shards")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shards: int = SHARDS, seed: int = SEED) -> DataFrame:
@@ -144,15 +149,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def shuffled(mixed: DataFrame) -> DataFrame:
-    """Rows dealt by shard and hash range, in random order within each: what a writer of shards would store."""
-    return mixed.repartition("mix_shard", F.pmod("mix_order", F.lit(64))).sortWithinPartitions("mix_shard", "mix_order")
+    """Rows dealt at random, in random order within their shards: what a writer of shards would store.
+
+    Every row is dealt by itself, into as many tasks as the session has shuffle partitions.
+    """
+    return mixed.repartition("mix_shard", "mix_order").sortWithinPartitions("mix_shard", "mix_order")
 
 
 def op7_mixing(spark, sf_dir) -> DataFrame:
     from lexloom.llm.common import table
 
     plan = plan_mix(table(spark, sf_dir, "documents"))
-    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), F.array_join("shards", ",").alias("shards"))
 
 
 ORACLE = r"""
@@ -174,15 +182,27 @@ rest AS (
   FROM flagged),
 aimed AS (
   SELECT source, s, CASE WHEN capped THEN CAST(most AS DOUBLE) WHEN w_left = 0 THEN 0.0 ELSE CAST(w * words_left AS DOUBLE) / CAST(w_left AS DOUBLE) END AS target FROM rest),
-quotas AS (SELECT *, CASE WHEN s = 0 THEN 0 ELSE CAST(floor(target * 1024 / s + 0.5) AS BIGINT) END AS quota FROM aimed),
+quotas AS (SELECT *, CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS sk, CASE WHEN s = 0 THEN 0 ELSE CAST(floor(target * 1024 / s + 0.5) AS BIGINT) END AS quota FROM aimed),
 placed AS (
-  SELECT b.doc_id, b.size, q.s, q.target, q.quota,
+  SELECT b.doc_id, b.size, q.sk, q.s, q.target,
          CAST(sum(b.size) OVER (PARTITION BY b.source ORDER BY b.b1, b.b2, b.key RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS through,
          CAST(sum(b.size) OVER (PARTITION BY b.source, b.key) AS BIGINT) AS peers
   FROM (SELECT *, CAST(concat('0x', substr(key, 1, 2)) AS INT) % 64 AS b1, CAST(concat('0x', substr(key, 3, 2)) AS INT) % 64 AS b2 FROM base) b
   JOIN quotas q ON b.source IS NOT DISTINCT FROM q.source),
-blocked AS (SELECT *, CASE WHEN s = 0 THEN 0 ELSE least(((2 * through - peers) * 1024) // (2 * s), 1023) END AS block FROM placed)
-SELECT doc_id, CAST(size AS BIGINT) AS size, s AS source_size, target,
-       CAST(size * (quota // 1024 + CASE WHEN block < quota % 1024 THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM blocked
+blocked AS (SELECT *, CASE WHEN s = 0 THEN 0 ELSE least(((2 * through - peers) * 1024) // (2 * s), 1023) END AS block FROM placed),
+passes AS (SELECT sk, quota, unnest(range(0, (quota - 1) // 1024 + 1)) AS epoch FROM quotas WHERE quota > 0),
+drawn AS (
+  SELECT sk, epoch, block FROM (
+    SELECT sk, epoch, block, quota - epoch * 1024 AS wanted, row_number() OVER (PARTITION BY sk, epoch ORDER BY md5(concat_ws('|', '20240917', 'pass', sk, epoch, block)), block) AS nth
+    FROM (SELECT *, unnest(range(0, 1024)) AS block FROM passes))
+  WHERE nth <= wanted),
+split1 AS (SELECT sk, epoch, block, CASE WHEN nth <= n // 2 THEN 0 ELSE 4 END AS lo FROM (
+  SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '20240917', 0, 8, sk, epoch, block)), sk, epoch, block) AS nth, count(*) OVER () AS n FROM drawn)),
+split2 AS (SELECT sk, epoch, block, CASE WHEN nth <= n // 2 THEN lo ELSE lo + 2 END AS lo FROM (
+  SELECT *, row_number() OVER (PARTITION BY lo ORDER BY md5(concat_ws('|', '20240917', lo, 4, sk, epoch, block)), sk, epoch, block) AS nth, count(*) OVER (PARTITION BY lo) AS n FROM split1)),
+split3 AS (SELECT sk, epoch, block, CASE WHEN nth <= n // 2 THEN lo ELSE lo + 1 END AS shard FROM (
+  SELECT *, row_number() OVER (PARTITION BY lo ORDER BY md5(concat_ws('|', '20240917', lo, 2, sk, epoch, block)), sk, epoch, block) AS nth, count(*) OVER (PARTITION BY lo) AS n FROM split2)),
+dealt AS (SELECT sk, block, string_agg(CAST(shard AS VARCHAR), ',' ORDER BY epoch) AS shards, count(*) AS times FROM split3 GROUP BY sk, block)
+SELECT b.doc_id, CAST(b.size AS BIGINT) AS size, b.s AS source_size, b.target, CAST(b.size * coalesce(d.times, 0) AS BIGINT) AS taken, coalesce(d.shards, '') AS shards
+FROM blocked b LEFT JOIN dealt d ON b.sk = d.sk AND b.block = d.block
 """
