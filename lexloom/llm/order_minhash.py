@@ -11,8 +11,8 @@ rows a partition.
 
 Cases: a null text counts as empty; an empty text has the fingerprint "" which is like itself only (1.0) and
 unlike all others (0.0); a text shorter than a k-mer is one k-mer; rows with equal ids are ordered by a hash
-of their text, then by their text, so equal rows give equal values whatever their order; null ids come last; the
-only row of a table is its own next document; an empty table gives an empty table; other columns are not read.
+of their text, then by their text, so equal rows give equal values whatever their order; null ids come last; texts of any
+length are fingerprinted whole, a task holding two of them; the only row of a table is its own next document; an empty table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import id_and_bytes, mix64, rows_of, seeds
+from lexloom.llm.common import frugal, id_and_bytes, mix64, rows_of, seeds
 from lexloom.session import ship
 from lexloom.sources.scratch import materialize
 
@@ -34,7 +34,6 @@ K = 8  # characters of a k-mer
 SKETCHES = 32
 PICK = 2
 _AT_ONCE = 1 << 17  # hash values held at a time, as long as one function's fit
-_POSITION_BITS = 24
 
 _BASE = np.uint64(0x100000001B3)
 _A = (seeds(SKETCHES, 11) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -57,17 +56,15 @@ def kmer_hashes(chars: np.ndarray) -> np.ndarray:
 def occurrences(h: np.ndarray) -> np.ndarray:
     """For each k-mer, how often it came before."""
     n = len(h)
-    if n < 1 << _POSITION_BITS:  # hash above, position below: one plain sort orders both
-        low = np.uint64((1 << _POSITION_BITS) - 1)
-        key = np.sort((h & ~low) | np.arange(n, dtype=np.uint64))
-        order, group = (key & low).astype(np.int64), key >> np.uint64(_POSITION_BITS)
-    else:
-        order = np.argsort(h, kind="stable")
-        group = h[order]
+    order = np.argsort(h)
+    ranked = h[order]
+    first = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+    # number of the k-mer above, position below: a plain sort brings equal k-mers into text order
+    keys = (np.cumsum(first).astype(np.uint64) << np.uint64(32)) | order.astype(np.uint64)
+    keys.sort()
     at = np.arange(n)
-    first = np.concatenate([[True], group[1:] != group[:-1]])
     out = np.empty(n, np.uint64)
-    out[order] = at - np.maximum.accumulate(np.where(first, at, 0))
+    out[(keys & np.uint64(0xFFFFFFFF)).astype(np.int64)] = at - np.maximum.accumulate(np.where(first, at, 0))
     return out
 
 
@@ -135,6 +132,7 @@ def _result_columns(rows: list[tuple]) -> list[pa.Array]:
 _NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
 
+@frugal
 def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Result rows of all but the partition's last document; its first and last ones come with their texts."""
     part = TaskContext.get().partitionId()
@@ -160,6 +158,7 @@ def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out([(held[0], *[None] * 6)], "last", [held[3]])
 
 
+@frugal
 def _seams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
@@ -176,14 +175,14 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
     order = [F.col("doc_id").desc_nulls_last(), tie.asc()]
     dealt = id_and_bytes(docs, id_col, text_col).repartitionByRange(*order).sortWithinPartitions(*order, F.col("raw").asc_nulls_first())
     staged = materialize(dealt.mapInArrow(_stream, _STAGED), "order-minhash")
-    # two rows a partition: each partition's last document is followed by the next partition's first one
-    ends = staged.where("place is not null").groupBy("part").agg(
-        F.max(F.when(F.col("place") == "last", F.struct("doc_id", "raw"))).alias("tail"), F.max(F.when(F.col("place") == "first", F.struct("raw"))).alias("head")
-    )
+    # each partition's last document is followed by the next partition's first one: only partition numbers are ordered
+    heads = staged.where("place = 'first'").select("part", F.col("raw").alias("after"))
+    parts = heads.select("part")
     by_part = Window.orderBy("part")
     whole = by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    seams = ends.select("tail", F.coalesce(F.lead("head").over(by_part), F.first("head").over(whole)).alias("following"))
-    finished = seams.select("tail.doc_id", "tail.raw", F.col("following.raw").alias("after")).mapInArrow(_seams, RESULT)
+    following = parts.select("part", F.coalesce(F.lead("part").over(by_part), F.first("part").over(whole)).alias("next"))
+    tails = staged.where("place = 'last'").select("part", "doc_id", "raw").join(following, "part")
+    finished = tails.drop("part").join(heads.withColumnRenamed("part", "next"), "next").select("doc_id", "raw", "after").mapInArrow(_seams, RESULT)
     return staged.where("place is null").select(*_NAMES).unionByName(finished)
 
 
