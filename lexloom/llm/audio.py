@@ -2,20 +2,20 @@
 
 ``encode_audio`` turns payload bytes into WAV files of unsigned 8-bit samples. ``audio_features`` reads such
 files back and returns the payload, log-mel tensors of one fixed shape with their time spans, and the spans
-that a two-threshold (hysteresis) energy detector finds active. Both are one pass without a shuffle; a task
-holds one Arrow batch.
+that a two-threshold (hysteresis) energy detector finds active. Tensors are stored as Arrow's fixed-shape tensor
+type, which Spark has no column type for: the column holds an Arrow IPC stream with a row for each tensor and its time
+span, which ``read_tensors`` opens. Both are one pass without a shuffle; a task holds one Arrow batch.
 
 Every sample is analysed: the resampling filter is centred, so its last outputs still see the last samples; the signal is
 zero-padded to whole frames; the frames' window has no zero ends. Spans end where the signal ends, not the padding.
 
 Cases: a null text counts as empty; an empty payload is padded to one unit; equal payloads give equal values,
 because every file is processed by itself; rows are never merged, so repeated rows and ids stay; null ids
-stay null; an empty table gives an empty table; other columns are not read.
+stay null; a text of any length is one signal, analysed whole; an empty table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 import struct
 from collections.abc import Iterator
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import id_and_bytes, rows_of
+from lexloom.llm.common import frugal, id_and_bytes, rows_of
 from lexloom.session import ship
 
 UNIT = 64  # payloads are padded to a multiple of this
@@ -39,8 +39,8 @@ HIGH_DB, LOW_DB = 1.0, -1.0  # thresholds over the file's median frame energy
 
 MEDIA_SCHEMA = "doc_id long, n_bytes long, media binary"
 FEATURE_SCHEMA = (
-    "doc_id long, n_bytes long, media binary, payload binary, tensors array<array<float>>, "
-    "tensor_spans array<array<float>>, active_spans array<array<float>>, feature string"
+    "doc_id long, n_bytes long, media binary, payload binary, n_tensors long, tensors binary, "
+    "active_spans array<array<float>>, feature string"
 )
 
 
@@ -138,9 +138,10 @@ def analyse(payload: bytes, phases: np.ndarray, bank: np.ndarray, hann: np.ndarr
     active = active_spans(energy, end)
     means, spread = mel.mean(axis=0), mel.std(axis=0)
     feature = f"frames={n};active={len(active)};seconds={sum(b - a for a, b in active):.3f};mean={','.join(f'{v:.3f}' for v in means)};std={','.join(f'{v:.3f}' for v in spread)}"
-    return filled.reshape(windows, WINDOW * MELS), times, active, feature
+    return filled.reshape(windows, WINDOW, MELS), times, active, feature
 
 
+@frugal
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, sizes, media = [], [], []
@@ -151,27 +152,25 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
 
 
+@frugal
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     phases, bank, hann = resampling_filter(), mel_bank(), frame_window()
     nested = pa.list_(pa.list_(pa.float32()))
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             part = batch.slice(at, 500)
-            payloads, tensors, times, active, features = [], [], [], [], []
+            payloads, counts, stored, active, features = [], [], [], [], []
             for (media,) in rows_of(part, "media"):
                 payload = from_wav(media)
-                a, b, c, d = analyse(payload, phases, bank, hann)
+                tensors, times, spans, feature = analyse(payload, phases, bank, hann)
                 payloads.append(payload)
-                tensors.append(a)
-                times.append(b)
-                active.append(c)
-                features.append(d)
-            flat = np.concatenate(tensors)
-            rows = pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1, dtype=np.int32) * (WINDOW * MELS)), pa.array(flat.ravel()))
-            outer = np.cumsum([0, *map(len, tensors)]).astype(np.int32)
+                counts.append(len(tensors))
+                stored.append(write_tensors(tensors, times))
+                active.append(spans)
+                features.append(feature)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), part.column(2), pa.array(payloads, pa.binary()), pa.ListArray.from_arrays(pa.array(outer), rows), pa.array(times, nested), pa.array(active, nested), pa.array(features, pa.string())],
-                ["doc_id", "n_bytes", "media", "payload", "tensors", "tensor_spans", "active_spans", "feature"],
+                [part.column(0), part.column(1), part.column(2), pa.array(payloads, pa.binary()), pa.array(counts, pa.int64()), pa.array(stored, pa.binary()), pa.array(active, nested), pa.array(features, pa.string())],
+                ["doc_id", "n_bytes", "media", "payload", "n_tensors", "tensors", "active_spans", "feature"],
             )
 
 
@@ -182,21 +181,27 @@ def encode_audio(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def audio_features(media: DataFrame) -> DataFrame:
-    """Payload read back, tensors (each WINDOW x MELS, row-major), their time spans, active spans, a digest."""
+    """Payload read back, stored tensors (each WINDOW x MELS) with their time spans, active spans, a digest."""
     ship(media.sparkSession)
     return media.mapInArrow(_features, FEATURE_SCHEMA)
 
 
-def tensor_array(tensors: list[np.ndarray]) -> pa.Array:
-    """Tensors of an ``audio_features`` row as Arrow's canonical fixed-shape tensor type."""
-    kind = pa.fixed_shape_tensor(pa.float32(), (WINDOW, MELS))
-    flat = np.asarray(tensors, np.float32).reshape(-1)
-    storage = pa.FixedSizeListArray.from_arrays(pa.array(flat), WINDOW * MELS)
-    return pa.ExtensionArray.from_storage(kind, storage)
+TENSORS = pa.schema([("tensor", pa.fixed_shape_tensor(pa.float32(), (WINDOW, MELS))), ("start", pa.float64()), ("end", pa.float64())])
 
 
-def payload_digest(payload: bytes) -> str:
-    return hashlib.sha256(payload).hexdigest()
+def write_tensors(tensors: np.ndarray, times: list[list[float]]) -> bytes:
+    """Tensors and their time spans as an Arrow IPC stream."""
+    storage = pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(tensors).reshape(-1)), WINDOW * MELS)
+    batch = pa.RecordBatch.from_arrays([pa.ExtensionArray.from_storage(TENSORS.field("tensor").type, storage), *(pa.array([t[i] for t in times], pa.float64()) for i in (0, 1))], schema=TENSORS)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, TENSORS) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def read_tensors(stored: bytes) -> pa.Table:
+    """tensor (fixed shape), start and end in seconds."""
+    return pa.ipc.open_stream(stored).read_all()
 
 
 def op9_audio(spark, sf_dir) -> DataFrame:
@@ -212,4 +217,7 @@ def op9_audio(spark, sf_dir) -> DataFrame:
         F.length("media").cast("long").alias("media_bytes"),
         F.sha2("media", 256).alias("media_sha256"),
         "feature",
+        "n_tensors",
+        F.sha2("tensors", 256).alias("tensors_sha256"),
+        "active_spans",
     )
