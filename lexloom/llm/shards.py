@@ -2,9 +2,10 @@
 
 ``append`` writes arrivals as small immutable shards. ``compact`` merges runs of similarly sized shards (one tier holds
 sizes within a factor of ``FAN``) straight into files of about the target size: a merge reads and writes each row once and
-shuffles nothing. Every change is a new manifest, which lists all shards of that version; it is written aside and renamed
-to its number, which fails if another writer was faster, so readers see a whole version or the one before. Shards are
-never changed; ``expire`` deletes what no kept manifest names.
+shuffles nothing, and takes at most ``RUN`` shards at a time. Every change is a new manifest. A manifest names shard lists,
+which are small Parquet tables of files, rows and bytes, so an append adds one list and rewrites none, and tiers are counted
+by a query. The manifest is written aside and renamed to its number, which fails if another writer was faster, so readers
+see a whole version or the one before. Shards and lists are never changed; ``expire`` deletes what no kept manifest names.
 
 Cases: rows are stored as they are, with all their columns, nulls, empty and long texts, repeated rows and ids; no rows
 make a version without shards, which reads as an empty table of the stored schema; a shard larger than the target is left
@@ -15,7 +16,6 @@ repeated.
 from __future__ import annotations
 
 import json
-import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +26,8 @@ from lexloom.sources.scratch import scratch_path
 
 TARGET_BYTES = 64 << 20
 SHARD_ROWS = 2_000  # rows of an arriving shard
+RUN = 10_000  # shards that one merge reads
+LIST = "file string, rows long, bytes long"
 FAN = 4  # sizes of one tier differ by this factor at most; so many shards of a tier are merged
 
 
@@ -53,23 +55,37 @@ class ShardStore:
         return sorted(int(name[1:-5]) for name, _ in self._names("manifests") if name.startswith("v") and name.endswith(".json"))
 
     def manifest(self, version: int | None = None) -> dict:
-        """{"version", "schema", "shards": [{"file", "rows", "bytes"}]}; version 0 is empty."""
+        """{"version", "schema", "lists"}; version 0 is empty."""
         known = self.versions()
         version = (known[-1] if known else 0) if version is None else version
         if version == 0:
-            return {"version": 0, "schema": None, "shards": []}
+            return {"version": 0, "schema": None, "lists": []}
         stream = self._fs.open(self._path(f"{self.root}/manifests/v{version:08d}.json"))
         try:
             return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
-    def _commit(self, base: dict, schema: str, shards: list[dict]) -> int:
+    def shards(self, version: int | None = None) -> DataFrame:
+        """(file, rows, bytes) of a version's shards."""
+        return self._listed(self.manifest(version)["lists"])
+
+    def _listed(self, lists: list[str]) -> DataFrame:
+        if not lists:
+            return self.spark.createDataFrame([], LIST)
+        return self.spark.read.schema(LIST).parquet(*(f"{self.root}/{name}" for name in lists))
+
+    def _list(self, shards: DataFrame) -> str:
+        name = f"lists/{uuid.uuid4().hex}"
+        shards.select(F.col("file").cast("string").alias("file"), F.col("rows").cast("long").alias("rows"), F.col("bytes").cast("long").alias("bytes")).coalesce(1).write.parquet(f"{self.root}/{name}")
+        return name
+
+    def _commit(self, base: dict, schema: str, lists: list[str]) -> int:
         version = base["version"] + 1
         aside = self._path(f"{self.root}/manifests/.{uuid.uuid4().hex}")
         stream = self._fs.create(aside, False)
         try:
-            stream.write(bytearray(json.dumps({"version": version, "schema": schema, "shards": sorted(shards, key=lambda s: s["file"])}).encode()))
+            stream.write(bytearray(json.dumps({"version": version, "schema": schema, "lists": lists}).encode()))
         finally:
             stream.close()
         gateway = self.spark.sparkContext._gateway
@@ -87,72 +103,83 @@ class ShardStore:
 
     # shards
 
-    def _write(self, df: DataFrame, rows: int | None) -> list[dict]:
+    def _write(self, df: DataFrame, rows: int | None) -> str:
+        """The name of the list of the shards that were written."""
         folder = f"data/{uuid.uuid4().hex}"
         writer = df.write.option("compression", "zstd")
         (writer.option("maxRecordsPerFile", rows) if rows else writer).parquet(f"{self.root}/{folder}")
-        counts = {r.file: r.n for r in self.spark.read.parquet(f"{self.root}/{folder}").groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("n")).collect()}  # a row per shard
-        return [{"file": f"{folder}/{name}", "rows": counts[name], "bytes": size} for name, size in self._names(folder) if name in counts]
+        made = self.spark.read.parquet(f"{self.root}/{folder}").select(F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_size").alias("bytes"))
+        return self._list(made.groupBy("name", "bytes").agg(F.count("*").alias("rows")).select(F.concat(F.lit(f"{folder}/"), "name").alias("file"), "rows", "bytes"))
 
     def append(self, df: DataFrame, shard_rows: int = SHARD_ROWS) -> int:
         """Add rows as small shards; returns the new version."""
         base = self.manifest()
-        return self._commit(base, base["schema"] or df.schema.json(), base["shards"] + self._write(df, shard_rows))
-
-    def tiers(self, shards: list[dict], target_bytes: int) -> dict[int, list[dict]]:
-        """Shards below the target, by the power of FAN of their size."""
-        out: dict[int, list[dict]] = {}
-        for shard in shards:
-            if shard["bytes"] < target_bytes:
-                out.setdefault(int(math.log(max(shard["bytes"], 1), FAN)), []).append(shard)
-        return out
+        return self._commit(base, base["schema"] or df.schema.json(), [*base["lists"], self._write(df, shard_rows)])
+
+    def _merge(self, tier: DataFrame, count: int, total: int, target_bytes: int, schema: str) -> list[str]:
+        """Lists of the shards that a tier's shards were merged into, in runs of at most about RUN."""
+        runs = -(-count // RUN)
+        lists = []
+        for run in range(runs):
+            files = [r.file for r in tier.where(F.pmod(F.xxhash64("file"), F.lit(runs)) == run).select("file").orderBy("file").collect()]
+            into = min(max(1, round(total / runs / target_bytes)), max(1, len(files) // 2))
+            if files:
+                lists.append(self._write(self._read(files, schema).coalesce(into), None))
+        return lists
 
     def compact(self, target_bytes: int = TARGET_BYTES) -> int:
         """Merge every tier with at least FAN shards; the version, which is new if anything was merged."""
         base = self.manifest()
-        shards = {s["file"]: s for s in base["shards"]}
-        merged = False
-        while runs := [run for run in self.tiers(list(shards.values()), target_bytes).values() if len(run) >= FAN]:
-            for run in runs:
-                total = sum(s["bytes"] for s in run)
-                into = min(max(1, round(total / target_bytes)), len(run) // 2)
-                made = self._write(self._read(run, base["schema"]).coalesce(into), None)
-                if sum(s["rows"] for s in made) != sum(s["rows"] for s in run):
+        lists = base["lists"]
+        while True:
+            # the power of FAN of a shard's size, or -1 for those that are large enough
+            tier = F.when(F.col("bytes") < target_bytes, F.floor(F.log(F.greatest("bytes", F.lit(1))) / F.log(F.lit(float(FAN))))).otherwise(-1)
+            tiered = self._listed(lists).withColumn("tier", tier)
+            full = tiered.where("tier >= 0").groupBy("tier").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows")).where(F.col("n") >= FAN).collect()  # some twenty tiers at most
+            if not full:
+                break
+            rest = self._list(tiered.where(~F.col("tier").isin([r.tier for r in full])))
+            made = []
+            for run in full:
+                merged = self._merge(tiered.where(F.col("tier") == run.tier), run.n, run.bytes, target_bytes, base["schema"])
+                if self._listed(merged).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0] != run.rows:
                     raise RuntimeError("a merge changed the number of rows")
-                for s in run:
-                    del shards[s["file"]]
-                shards |= {s["file"]: s for s in made}
-                merged = True
-        return self._commit(base, base["schema"], list(shards.values())) if merged else base["version"]
+                made += merged
+            lists = [rest, *made]
+        return self._commit(base, base["schema"], lists) if lists is not base["lists"] else base["version"]
 
-    def _read(self, shards: list[dict], schema: str | None) -> DataFrame:
+    def _read(self, files: list[str], schema: str | None) -> DataFrame:
         kind = T.StructType.fromJson(json.loads(schema)) if schema else T.StructType()
-        if not shards:
+        if not files:
             return self.spark.createDataFrame([], kind)
-        return self.spark.read.schema(kind).parquet(*(f"{self.root}/{s['file']}" for s in shards))
+        return self.spark.read.schema(kind).parquet(*(f"{self.root}/{f}" for f in files))
 
     def read(self, version: int | None = None) -> DataFrame:
+        """A version's rows. Their files' names come to the driver, where Spark's own file index holds them too."""
         found = self.manifest(version)
-        return self._read(found["shards"], found["schema"])
+        return self._read([r.file for r in self._listed(found["lists"]).select("file").collect()], found["schema"])
 
     def expire(self, keep: int = 1) -> int:
         """Forget all but the last ``keep`` versions and delete shards that none of those names; how many went."""
         known = self.versions()
-        named = {s["file"] for v in known[-keep:] for s in self.manifest(v)["shards"]}
-        gone = {s["file"] for v in known[:-keep] for s in self.manifest(v)["shards"]} - named
+        old, kept = ({name for v in part for name in self.manifest(v)["lists"]} for part in (known[:-keep], known[-keep:]))
+        gone, went = self._listed(sorted(old)).select("file").distinct().join(self._listed(sorted(kept)).select("file"), "file", "left_anti"), 0
+        for row in gone.toLocalIterator():  # a partition's names at a time
+            self._fs.delete(self._path(f"{self.root}/{row.file}"), False)
+            went += 1
         for v in known[:-keep]:
             self._fs.delete(self._path(f"{self.root}/manifests/v{v:08d}.json"), False)
-        for file in gone:
-            self._fs.delete(self._path(f"{self.root}/{file}"), False)
-        return len(gone)
+        for name in old - kept:
+            self._fs.delete(self._path(f"{self.root}/{name}"), True)
+        return went
 
 
 def op2_sharding(spark, sf_dir) -> DataFrame:
-    """The whole table appended as small shards and compacted: per row its digest and the shard that holds it."""
+    """The whole table appended as small shards and compacted: per row its digest and the file that holds it."""
     from lexloom.llm.common import table
 
     store = ShardStore(spark, scratch_path(spark, "shards"))
     store.append(table(spark, sf_dir, "documents"))
     store.compact()
-    shard = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int")
+    shard = F.regexp_extract("_metadata.file_path", "data/([^/]+/[^/]+)$", 1)
     return store.read().select("doc_id", shard.alias("shard"), F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("text_sha256"), F.length("text").cast("long").alias("stored_chars"))
