@@ -72,7 +72,7 @@ def split_pieces(block: Block, raw: bytes) -> np.ndarray:
     """The text's pre-tokens as the block's word numbers."""
     text = raw.decode("utf-8", "replace")
     if not text:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.uint32)
     if not block.cache:
         block.cache["segments"] = _Segments(block)
     segments = block.cache["segments"]
@@ -85,8 +85,8 @@ def split_pieces(block: Block, raw: bytes) -> np.ndarray:
             parts = segments.parts
             for i in found:
                 first += parts[i]
-            return np.array(first, np.int64)
-    return np.array([number(piece.encode("utf-8", "surrogatepass")) for piece in PIECES.findall(text)], np.int64)
+            return np.array(first, np.uint32)
+    return np.array([number(piece.encode("utf-8", "surrogatepass")) for piece in PIECES.findall(text)], np.uint32)
 
 
 def _encoder(raw: bytes):

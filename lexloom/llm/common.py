@@ -77,15 +77,17 @@ def seeds(n: int, salt: int) -> np.ndarray:
 
 
 class WordHashes(dict):
-    """Word -> 64-bit hash, computed once per distinct word; emptied when it holds ``bound`` words."""
+    """Word -> 64-bit hash, computed once per distinct word; emptied when it holds ``bound`` words or 16 MB of them."""
 
-    def __init__(self, bound: int = 1_000_000):
+    def __init__(self, bound: int = 200_000):
         super().__init__()
-        self.bound = bound
+        self.bound, self.held = bound, 0
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.bound:
+        if len(self) >= self.bound or self.held > 1 << 24:
             self.clear()
+            self.held = 0
+        self.held += len(word)
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
 

@@ -51,7 +51,7 @@ def held_out(doc_id: int | None) -> bool:
 def split_words(block: Block, raw: bytes) -> np.ndarray:
     words = raw.lower().split()
     number = block.number
-    return np.fromiter(map(number, words), np.int64, len(words))
+    return np.fromiter(map(number, words), np.uint32, len(words))
 
 
 class Pieces:

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import frugal, mix64, rows_of, seeds
+from lexloom.llm.common import frugal, gather, mix64, rows_of, seeds
 from lexloom.llm.linking import components, connect_groups, key_links, set_matcher
 from lexloom.llm.wordblocks import pack, unpack
 from lexloom.session import ship
@@ -66,10 +66,10 @@ def line_shingles(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return h, first, first + sizes - SHINGLE + 1
 
 
-def shingle_sets(lines: list[bytes]) -> list[np.ndarray]:
-    """Each line's distinct shingles, sorted."""
+def shingle_hashes(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All shingles of all lines, and how many each line has."""
     h, first, end = line_shingles(lines)
-    return [np.unique(h[a:b]) for a, b in zip(first.tolist(), end.tolist(), strict=True)]
+    return h[gather(first, end - first)], end - first
 
 
 def band_keys(lines: list[bytes]) -> np.ndarray:
@@ -247,7 +247,7 @@ def near_lines(blocks: DataFrame, places: DataFrame) -> DataFrame:
     some = places.drop("n").join(rough.join(sizes, "root"), F.col("node") == F.col("id")).groupBy("id", "root", "n").agg(F.min(F.struct("block", "row", "line")).alias("at"))
     asked = some.groupBy("at.block").agg(F.collect_list(F.struct("at.row", "at.line", "id", "root", "n")).alias("wanted"))
     compared = blocks.select("block", "texts").join(asked, "block").select("texts", "wanted").mapInArrow(_fetch, "group long, id long, payload binary, n long")
-    return connect_groups(materialize(compared, "lines-compared"), set_matcher(PERCENT, shingle_sets), "lines-exact", chunk=1024)
+    return connect_groups(materialize(compared, "lines-compared"), set_matcher(PERCENT, shingle_hashes), "lines-exact", chunk=1024)
 
 
 def removed_lines(blocks: DataFrame) -> DataFrame:

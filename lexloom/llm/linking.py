@@ -32,18 +32,26 @@ CHUNK = 256  # members of a chunk, or the root of the group's size if that is mo
 Matcher = Callable[[list[bytes]], Callable[[int, np.ndarray], np.ndarray]]
 
 
-def hashed_sets(payloads: list[bytes]) -> list[np.ndarray]:
-    """Payloads that are distinct 64-bit hashes."""
-    return [np.frombuffer(p, "<u8") for p in payloads]
+def hashed_sets(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Payloads that are 64-bit hashes: all of them, and how many each payload has."""
+    return np.frombuffer(b"".join(payloads), "<u8"), np.array([len(p) // 8 for p in payloads], np.int64)
 
 
-def set_matcher(percent: int, sets_of: Callable[[list[bytes]], list[np.ndarray]] = hashed_sets) -> Matcher:
-    """Payloads stand for sets, which ``sets_of`` gives; linked if 100 * |both| >= percent * |either|."""
+def set_matcher(percent: int, hashes_of: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]] = hashed_sets) -> Matcher:
+    """Payloads stand for sets, whose elements' hashes ``hashes_of`` gives; linked if 100 * |both| >= percent * |either|."""
 
     def prepare(payloads: list[bytes]):
-        sets = sets_of(payloads)
-        sizes = np.array([len(s) for s in sets], np.int64)
-        _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        hashes, counts = hashes_of(payloads)
+        # elements numbered from 0, then each member's distinct ones
+        order = np.argsort(hashes)
+        ranked = hashes[order]
+        number = np.empty(len(hashes), np.int64)
+        number[order] = np.cumsum(np.concatenate([[False], ranked[1:] != ranked[:-1]]))
+        pairs = (np.repeat(np.arange(len(counts)), counts) << 32) | number
+        pairs.sort()
+        pairs = pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])]
+        flat = pairs & 0xFFFFFFFF
+        sizes = np.bincount(pairs >> 32, minlength=len(counts))
         starts = np.cumsum(sizes) - sizes
         mark = np.zeros(int(flat.max()) + 1, np.int32)
 
@@ -209,26 +217,23 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def key_links(pairs: DataFrame) -> DataFrame:
-    """(key, id) -> (a, b): every id of a key with the smallest one of that key, which connects what shares a key.
+    """(key, id) -> (a, b): every id of a key with one of that key's ids, which connects what shares a key.
 
-    A key's rows stream past in order; only its smallest id is held.
+    A key's rows stream past in order; only one of its ids is held.
     """
     ship(pairs.sparkSession)
-    return pairs.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_to_lowest, "a long, b long")
+    return pairs.repartition("key").sortWithinPartitions("key").mapInArrow(_to_one, "a long, b long")
 
 
 @frugal
-def _to_lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held_key, low, last = None, 0, 0
+def _to_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held_key, one = None, 0
     for batch in batches:
         if batch.num_rows == 0:
             continue
         keys, ids = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("key", "id"))
-        again = bool(held_key is not None and keys[0] == held_key)
-        begins = np.concatenate([[not again], keys[1:] != keys[:-1]])
-        lows = np.concatenate([[low], ids[begins]])[np.cumsum(begins)]
-        # an id that other tasks sent too stands there twice
-        repeats = np.concatenate([[again and ids[0] == last], (ids[1:] == ids[:-1]) & ~begins[1:]])
-        wanted = (ids != lows) & ~repeats
-        held_key, low, last = keys[-1], lows[-1], ids[-1]
-        yield pa.RecordBatch.from_arrays([pa.array(ids[wanted], pa.int64()), pa.array(lows[wanted], pa.int64())], ["a", "b"])
+        begins = np.concatenate([[held_key is None or keys[0] != held_key], keys[1:] != keys[:-1]])
+        ones = np.concatenate([[one], ids[begins]])[np.cumsum(begins)]
+        held_key, one = keys[-1], ones[-1]
+        wanted = ids != ones  # an id that several tasks sent stands there more than once
+        yield pa.RecordBatch.from_arrays([pa.array(ids[wanted], pa.int64()), pa.array(ones[wanted], pa.int64())], ["a", "b"])

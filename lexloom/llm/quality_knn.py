@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import id_and_bytes, rows_of
+from lexloom.llm.common import frugal, id_and_bytes, rows_of
 from lexloom.session import ship
 
 FEATURES = 4096  # hashed terms
@@ -36,7 +36,7 @@ NEIGHBOURS = 15
 POWER = 8  # similarities vote with this power
 THRESHOLD = 0.7
 BLOCK = 512  # documents of one cosine product
-CACHED_WORDS, CACHED_BYTES = 500_000, 1 << 25  # of words whose terms are remembered
+CACHED_WORDS, CACHED_BYTES = 150_000, 1 << 24  # of words whose terms are remembered
 
 _REPEAT = zlib.crc32(b"repeat") % FEATURES
 _SHAPES = ((re.compile(rb"[a-z\x80-\xff]+"), b"a"), (re.compile(rb"[A-Z]+"), b"A"), (re.compile(rb"[0-9]+"), b"9"), (re.compile(rb"([^aA9])\1+"), rb"\1\1"))
@@ -74,6 +74,7 @@ def term_counts(raw: bytes | None, terms: Terms) -> tuple[np.ndarray, np.ndarray
     return idx, np.sqrt(dense[idx] / len(words))
 
 
+@frugal
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     terms = Terms()
     for batch in batches:
@@ -165,6 +166,7 @@ def score_documents(docs: DataFrame, model: Model, neighbours: int = NEIGHBOURS,
     numbered = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(carried)))
     text_at = list(carried).index(text_col)
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, terms = shared.value, Terms()
         for batch in batches:

@@ -91,7 +91,7 @@ class Block:
         self.size += len(raw)
 
     def row(self, number: int, buckets: int) -> pa.RecordBatch:
-        flat = np.concatenate([np.zeros(0, np.int64), *self.texts])
+        flat = np.concatenate([np.zeros(0, np.uint32), *self.texts])
         sizes = np.array([len(t) for t in self.texts], np.int32)
         total = np.bincount(flat, minlength=len(self.words))
         flagged = np.bincount(flat[np.repeat(np.array(self.flags, bool), sizes)], minlength=len(self.words))

@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import xxhash
 
 
@@ -154,3 +155,112 @@ def lattice_scores(token_lists, trained, pieces, prior):
 
     scores = {w: score(w) for w in {w for ws in token_lists for w in ws}}
     return [sum(scores[w] for w in ws) + end for ws in token_lists]
+
+
+_WORD64 = (1 << 64) - 1
+
+
+def _mixed(x):
+    x = (x + 0x9E3779B97F4A7C15) & _WORD64
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & _WORD64
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & _WORD64
+    return x ^ x >> 31
+
+
+def order_fingerprint(text, k, pick, factors, shifts):
+    """Per sketch the ``pick`` smallest occurrence-numbered k-mers, in text order, hashed; hexadecimal."""
+    if not text:
+        return ""
+    width = min(k, len(text))
+    hashes, numbered, before = [], [], Counter()
+    for i in range(len(text) - width + 1):
+        h = width
+        for c in text[i : i + width]:
+            h = (h * 0x100000001B3 + ord(c)) & _WORD64
+        h = _mixed(h)
+        hashes.append(h)
+        numbered.append(_mixed((h + before[h] * 0x9E3779B97F4A7C15) & _WORD64) >> 32)
+        before[h] += 1
+    out = ""
+    for sketch, (a, b) in enumerate(zip(factors, shifts, strict=True), 1):
+        smallest = sorted(range(len(numbered)), key=lambda i: ((numbered[i] * a + b) & 0xFFFFFFFF, i))[:pick]
+        value = sketch
+        for i in sorted(smallest):
+            value = _mixed((value * 0xD1342543DE82EF95 + hashes[i]) & _WORD64)
+        out += f"{value >> 32:08x}"
+    return out
+
+
+def log_mel(payload, frame=256, hop=128, mels=20, high=1.0, low=-1.0):
+    """Log-mel frames and active spans of 8-bit samples at 8 kHz, resampled to 3 kHz, by their defining sums."""
+    x = [(b - 128) / 128 for b in payload]
+    # 30 taps of a windowed sinc at three times the rate; output n lies at input time 8n/3
+    taps = [np.sinc((i - 14.5) / 8) * (0.5 - 0.5 * math.cos(2 * math.pi * (i + 1) / 31)) for i in range(30)]
+    y = []
+    for n in range(-(-len(x) * 3 // 8)):
+        base, phase = divmod(8 * n, 3)
+        own = [taps[phase + 3 * k] for k in range(10)]
+        around = [x[base + 5 - k] if 0 <= base + 5 - k < len(x) else 0.0 for k in range(10)]
+        y.append(sum(a * b for a, b in zip(own, around, strict=True)) / sum(own))
+    while len(y) < frame or (len(y) - frame) % hop:
+        y.append(0.0)
+    window = [0.5 - 0.5 * math.cos(2 * math.pi * (i + 1) / (frame + 1)) for i in range(frame)]
+    frames = np.array([[y[s + i] * window[i] for i in range(frame)] for s in range(0, len(y) - frame + 1, hop)])
+    angles = 2 * math.pi * np.outer(np.arange(frame), np.arange(frame // 2 + 1)) / frame
+    power = (frames @ np.cos(angles)) ** 2 + (frames @ np.sin(angles)) ** 2
+    to_mel, to_hz = (lambda f: 2595 * math.log10(1 + f / 700)), (lambda m: 700 * (10 ** (m / 2595) - 1))
+    edges = [to_hz(to_mel(1500) * i / (mels + 1)) for i in range(mels + 2)]
+    bank = np.zeros((frame // 2 + 1, mels))
+    for b in range(frame // 2 + 1):
+        f = 1500 * b / (frame // 2)
+        for m in range(mels):
+            bank[b, m] = max(0.0, min((f - edges[m]) / (edges[m + 1] - edges[m]), (edges[m + 2] - f) / (edges[m + 2] - edges[m + 1])))
+    energy = 10 * np.log10((frames**2).mean(axis=1) + 1e-9)
+    level, spans, run = energy - np.median(energy), [], []
+    for n, v in enumerate([*level, -math.inf]):
+        if v > low:
+            run.append(n)
+            continue
+        if run and max(level[i] for i in run) > high:
+            spans.append([run[0] * hop / 3000, min(len(payload) / 8000, (run[-1] * hop + frame) / 3000)])
+        run = []
+    return np.log10(power @ bank + 1e-6), spans
+
+
+def _terms(text, features):
+    """Shares of hashed words, shapes and repeats."""
+    out, tokens = Counter(), text.encode().split()
+    for word in tokens:
+        shape = word
+        for pattern, to in ((rb"[a-z\x80-\xff]+", b"a"), (rb"[A-Z]+", b"A"), (rb"[0-9]+", b"9"), (rb"([^aA9])\1+", rb"\1\1")):
+            shape = re.sub(pattern, to, shape)
+        out[zlib.crc32(b"w" + word.lower()) % features] += 1
+        out[zlib.crc32(b"s" + shape) % features] += 1
+    repeats = sum(a == b for a, b in zip(tokens, tokens[1:], strict=False))
+    if repeats:
+        out[zlib.crc32(b"repeat") % features] += repeats
+    dense = np.zeros(features)
+    for term, n in out.items():
+        dense[term] = math.sqrt(n / len(tokens))
+    return dense
+
+
+def latent_vectors(labelled, texts, features, dims):
+    """TF-IDF of both, projected on the labelled rows' leading singular vectors, by numpy's own decomposition."""
+    a, b = (np.array([_terms(t, features) for t in ts]) for ts in (labelled, texts))
+    df = (a > 0).sum(axis=0)
+    idf = np.where(df > 0, np.log((1 + len(a)) / np.maximum(df, 1)) + 0.2, 0)
+    a, b = a * idf, b * idf
+    a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-12)
+    basis = np.linalg.svd(a, full_matrices=False)[2][:dims].T
+    return a @ basis, b @ basis
+
+
+def votes(labelled, vectors, goods, neighbours, power):
+    unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
+    out = []
+    for cosines in unit(vectors) @ unit(labelled).T:
+        nearest = sorted(range(len(goods)), key=lambda i: -cosines[i])[:neighbours]
+        weights = [max(cosines[i], 0) ** power for i in nearest]
+        out.append(sum(w * goods[i] for w, i in zip(weights, nearest, strict=True)) / sum(weights) if sum(weights) > 1e-12 else sum(goods) / len(goods))
+    return np.array(out)
