@@ -6,7 +6,7 @@ uses it and put at each position. ``decode`` joins ids with the token-byte table
 vocabulary file and so is broadcast; ``round_trip`` does both.
 
 Cases: a null text counts as empty and has no ids; ids of rows with equal doc_ids stay apart, since documents are kept
-by their places in a block; null ids stay null; a pre-token of any length is one word; an empty table gives an empty
+by their places in a block; null ids stay null; texts of any length are encoded whole; a pre-token of any length is one word; an empty table gives an empty
 table; other columns are not read.
 """
 
@@ -91,10 +91,11 @@ def split_pieces(block: Block, raw: bytes) -> np.ndarray:
 
 def _encoder(raw: bytes):
     ranks = parse_ranks(raw)
-    encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    # words are the pattern's matches already: this encoding takes each as one piece
+    encoding = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
 
     def handle(bucket: Bucket):
-        ids = [[known] if (known := ranks.get(w)) is not None else encoding._encode_single_piece(w) for w in bucket.words]
+        ids = [[known] if (known := ranks.get(w)) is not None else encoding.encode_ordinary(w.decode("utf-8", "replace")) for w in bucket.words]
         sizes = np.array([len(x) for x in ids], np.int64)
         flat = np.array([i for x in ids for i in x], np.uint32)
         starts = np.cumsum(sizes) - sizes

@@ -14,7 +14,8 @@ counts of a word, and what is gathered for a bucket grows with the corpus' vocab
 pieces (a fixed number) reach the driver.
 
 Cases: a null text counts as empty, and is the end token only; without training rows N and V are 0 and every base
-score is 0; a null id is a training row; words are bytes, and those that are no UTF-8 fall back to bytes; equal rows
+score is 0; a null id is a training row; texts and words of any length are scored whole, a long word in as many steps as it
+has characters; words are bytes, and those that are no UTF-8 fall back to bytes; equal rows
 score alike; an empty table gives an empty table; other columns are not read.
 """
 

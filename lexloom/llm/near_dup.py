@@ -12,7 +12,7 @@ At a similarity of 0.85 a value differs with probability 0.15, and all eight chu
 with probability 5.4e-7; at 0.8 it is 2.3e-5. As nothing else drops pairs, these are the miss rates of a pair as a whole.
 
 Cases: null, empty and blank texts have the empty set and link with nothing; texts with fewer words than a shingle have
-one shingle; rows with equal ids are placed by their own texts, and classes with equal smallest ids count as linked; a
+one shingle; texts of any length are taken whole, a task holding the sets of the texts it compares; rows with equal ids are placed by their own texts, and classes with equal smallest ids count as linked; a
 row without id gets the component of the rows with an equal set, else null, and is kept only then; an empty table gives
 an empty table; ties need no order, a component being named by its smallest id; other columns are not read.
 """

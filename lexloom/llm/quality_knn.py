@@ -10,7 +10,7 @@ The bound on labelled rows is the parameter ``fit_rows``: the rows with the smal
 
 Cases: a null or empty text, or one without a known term, scores the labelled rows' mean; a null label is not
 learnt from; several labels of one document count as their mean, at least 0.5 being good; without labelled rows
-every score is 0.5; repeated rows score alike; a null id is never held out and never labelled; labels, lang,
+every score is 0.5; texts and words of any length count whole; repeated rows score alike; a null id is never held out and never labelled; labels, lang,
 source and doc_id are no inputs of a score; other columns are not read.
 """
 

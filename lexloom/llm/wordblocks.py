@@ -8,7 +8,7 @@ corpus is handled once (``per_bucket``), and the findings back to the block, whe
 The blocks are a table in the shared folder, bucketed by block, so both ways read the same blocks even if executors are
 lost, and the texts' word positions are never shuffled. A word as frequent as may be is one entry per block; the largest
 thing a task holds is a block, a very long document, or the words of one bucket, of which there are more the more shuffle
-partitions are set.
+partitions are set. A block sends a row for each bucket that it has words of, so never more rows than distinct words.
 """
 
 from __future__ import annotations

@@ -95,9 +95,16 @@ SECRETS = (
 )
 
 
-def secrets(text):
-    found = sorted((m.start(), n, m.end()) for n, (_, pattern, group, least) in enumerate(SECRETS) for m in pattern.finditer(text or "") if len(m.group(group)) >= least)
-    return ",".join(f"{SECRETS[n][0]}:{a}:{b}" for a, n, b in found), [sum(n == k for _, n, _ in found) for k in range(3)]
+MORE_SECRETS = (
+    ("pem", re.compile("-----BEGIN [A-Z ]*PRIVATE KEY-----"), 0, 1),
+    ("hubtoken", re.compile("gh[pousr]_[A-Za-z0-9]{36,}"), 0, 1),
+    ("jwt", re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"), 0, 1),
+)
+
+
+def secrets(text, kinds=SECRETS):
+    found = sorted((m.start(), n, m.end()) for n, (_, pattern, group, least) in enumerate(kinds) for m in pattern.finditer(text or "") if len(m.group(group)) >= least)
+    return ",".join(f"{kinds[n][0]}:{a}:{b}" for a, n, b in found), [sum(n == k for _, n, _ in found) for k in range(len(kinds))]
 
 
 def fold(doc_id, n):
