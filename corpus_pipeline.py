@@ -1,4 +1,12 @@
-"""From raw documents to token ids: five stages, each written as Parquet and read by the next."""
+"""From raw documents to token ids: five stages, each written as Parquet and read by the next.
+
+Cases, stage by stage. Null, empty and blank texts score the labelled rows' mean and stay if that is good; line dedup, which
+drops documents that it leaves without a line, never drops those that had none before, and near-dup links them with nothing;
+mixing draws no document without words. Of rows that are equal in id and text one keeps its lines, so the other goes, unless
+they are blank. Null ids are ordinary rows: they come last where the first row stays. Null sources are one source. Texts of
+any length are taken whole. Extra columns, whatever their names, pass through all stages but the last. An empty table gives
+an empty table.
+"""
 
 from __future__ import annotations
 
