@@ -35,6 +35,7 @@ def main(arguments: list[str] | None = None) -> int:
     args = _parser().parse_args(arguments)
     shown = logging.DEBUG if args.verbose else logging.ERROR if args.quiet else logging.INFO
     logging.basicConfig(level=shown)
+    logging.getLogger("lexloom").setLevel(min(shown, logging.INFO))
     for handler in logging.getLogger().handlers:
         handler.setLevel(shown)
     from pyspark.sql import SparkSession

@@ -39,8 +39,8 @@ def timestamp_folder(ts: Column) -> Column:
 
 def matches_exception(text: Column, patterns: tuple[str, ...] = EXCEPTION_PATTERNS) -> Column:
     """Whether any pattern occurs in the lower-cased text."""
+    if not patterns:
+        return F.lit(False)
     low = F.lower(text)
-    out = F.lit(False)
-    for pattern in patterns:
-        out = out | F.contains(low, F.lit(pattern.lower()))
-    return out
+    # one array of literals: as many terms joined by "or" would be too deep a tree for long lists
+    return F.exists(F.array(*(F.lit(p.lower()) for p in patterns)), lambda p: F.contains(low, p))

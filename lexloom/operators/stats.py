@@ -29,6 +29,12 @@ def removed_sample(docs: DataFrame, size: int = 20) -> DataFrame:
     return docs.select("doc_id", F.array_join(F.slice(gone, 1, size), " ").alias("sample"), F.size(gone).cast("long").alias("removed"))
 
 
+def removed_words(docs: DataFrame, size: int) -> list[str]:
+    """Some ``size`` of the words that the language cascade deletes, for a log."""
+    gone = docs.select(F.explode(F.filter(tokens.joined_tokens(F.col("text")), lambda w: classify.is_russian(w))).alias("word"))
+    return [r.word for r in gone.limit(size).collect()]
+
+
 FALLBACK_WARNING = "no tolerance level was acceptable, the default one is used"
 
 

@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 from lexloom.config import DEFAULT, Config
 from lexloom.functions import classify, healing, text, tokens
 from lexloom.operators import rules as R
-from lexloom.operators.stats import best_attempt
+from lexloom.operators.stats import best_attempt, removed_words
 from lexloom.sources import files
 from lexloom.sources.scratch import materialize
 from lexloom.session import ship
 
 
 LOG = logging.getLogger("lexloom")
-LOG.setLevel(logging.INFO)  # for a run's own log; what is shown is up to the handlers
+LOG.setLevel(logging.INFO)  # for a run's own log; what else is shown is up to the handlers
 
 
 def clean_text(column: Column, config: Config = DEFAULT) -> Column:
@@ -99,6 +99,11 @@ def clean_with_rules(docs: DataFrame, rules: DataFrame | None = None, config: Co
     return remove_words(valid, deleted, text_col)
 
 
+def exception_patterns(spark: SparkSession, config: Config = DEFAULT) -> tuple[str, ...]:
+    """The built-in exceptions and those of the configured file, for ``scalar.matches_exception``. Cleaning does not ask."""
+    return R.read_exceptions(spark, config.word_healer_exceptions_file)
+
+
 def word_lists(spark: SparkSession, config: Config = DEFAULT) -> DataFrame | None:
     """(word) of the lists in the folder for them; None where there are none."""
     folder = os.path.abspath(config.additional_folder)
@@ -159,6 +164,8 @@ def _run(spark: SparkSession, config: Config, extractor: files.PdfExtractor, det
     if done:
         extracted = spark.read.parquet(out["extracted"])
         files.overwrite_texts(clean_rows(extracted, config, detect).where("text <> ''"), out["cleaned"])
+        if config.debug_sample_size and LOG.isEnabledFor(logging.DEBUG):
+            LOG.debug("deleted words, for example: %s", " ".join(removed_words(extracted, config.debug_sample_size)))
         cleaned = spark.read.parquet(out["cleaned"]).withColumn("error", F.lit(None).cast("string"))
         files.manifest("clean", cleaned).write.mode("append").parquet(out["manifest"])
         files.archive(done, config.archive_folder)

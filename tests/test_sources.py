@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lexloom.__main__ import main
 from lexloom.config import DEFAULT
 from lexloom.errors import MissingFileError, ValidationError
+from lexloom.functions import scalar
 from lexloom.operators import flatten, rules, stats
 from lexloom.plans import detection, pipeline, sqlfunctions
 from lexloom.sources import files
@@ -194,6 +195,15 @@ def test_sql_cascade(spark):
     assert {r.word for r in df.where(f"lexloom_matches_rules(word, array('{"', '".join(listed)}'))").collect()} == wanted
 
 
+def test_settings_reach_their_users(spark, tmp_path):
+    (tmp_path / "exceptions.txt").write_text("ул.\n", encoding="utf-8")
+    patterns = pipeline.exception_patterns(spark, DEFAULT.with_(word_healer_exceptions_file=str(tmp_path / "exceptions.txt")))
+    found = spark.createDataFrame([("УЛ. Ленина",), ("саха",), ("стр. 5",)], "t string").select(scalar.matches_exception(F.col("t"), patterns)).collect()
+    assert [r[0] for r in found] == [True, False, True]
+    docs = spark.createDataFrame([("щит баҕар белый щит",)], "text string")
+    assert stats.removed_words(docs, 2) == ["щит", "белый"]
+
+
 def test_detection_asks_in_order():
     asked = []
 
