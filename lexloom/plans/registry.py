@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.config import DEFAULT
-from lexloom.constants import ANCHORS, CYRILLIC, DIPHTHONGS, MAX_CONSONANTS, RUSSIAN_ENDINGS, RUSSIAN_MARKERS, SAKHA_ENDINGS, VOWELS
+from lexloom.constants import ANCHORS, CYRILLIC, DIPHTHONGS, MAX_CONSONANTS, RUSSIAN_ENDINGS, RUSSIAN_MARKERS, SAKHA_ENDINGS
 from lexloom.functions import classify, healing, scalar, tokens
 from lexloom.functions import text as T
 from lexloom.operators import flatten, rules, stats
-from lexloom.plans import pipeline
+from lexloom.plans import healing_sql, pipeline
 from lexloom.session import ship
 from lexloom.sources import files
 from lexloom.sources.scratch import scratch_path
@@ -197,13 +197,13 @@ query(
 )
 
 
-# Healing has no SQL, so it is switched off here; ``clean_with_rules_healed`` is the whole pipeline.
 _UNHEALED_SQL = rf"regexp_replace({SQL_CYRILLIC}, '[^\p{{L}} ' || chr(10) || '-]', '', 'g')"
 _VALID_SQL = f"array_to_string(list_filter(regexp_extract_all({_spaced_sql(_UNHEALED_SQL)[1]}, {_DOT}), lambda w: {_ALL_RULES}), ' ')"
-query(
-    "clean_with_rules",
-    lambda spark, sf_dir: pipeline.clean_with_rules(cyrillic(spark, sf_dir), rule_words(spark, sf_dir), DEFAULT.with_(word_healer_enabled=False)),
-    f"""WITH t AS (SELECT doc_id, regexp_extract_all({_VALID_SQL}, {_JOINED}) AS ws FROM documents),
+
+
+def _with_rules_sql(valid: str) -> str:
+    """SQL for the texts that ``valid`` (doc_id, value) leaves, without Russian and listed words."""
+    return f"""WITH t AS (SELECT doc_id, regexp_extract_all(value, {_JOINED}) AS ws FROM ({valid})),
 k AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM t),
 w AS (SELECT DISTINCT word FROM k),
 stems AS MATERIALIZED (SELECT stem FROM {_LISTED_STEMS_SQL}),
@@ -212,9 +212,15 @@ hit AS (SELECT word FROM w WHERE lower(word) IN (SELECT lower(word) FROM {_LISTE
   UNION SELECT word FROM (SELECT word, substr(lower(word), 1, cut) AS stem, substr(lower(word), cut + 1) AS rest FROM (SELECT word, unnest(range({rules.MIN_STEM}, length(word) + 1)) AS cut FROM w))
     WHERE (length(rest) <= {rules.MAX_REST} OR regexp_matches(rest, '^(?:{"|".join(SAKHA_ENDINGS)})')) AND stem IN (SELECT stem FROM stems)),
 kept AS (SELECT word FROM w WHERE {_ANCHOR_SQL} OR {_DIPHTHONG_SQL} OR (NOT {_RUSSIAN_SQL} AND word NOT IN (SELECT word FROM hit)))
-SELECT d.doc_id, coalesce(s.text, '') AS text FROM documents d LEFT JOIN (SELECT doc_id, string_agg(regexp_replace(word, '[–_' || chr(10) || ']+', ' ', 'g'), ' ' ORDER BY pos) AS text FROM k JOIN kept USING (word) GROUP BY doc_id) s ON d.doc_id = s.doc_id""",
+SELECT d.doc_id, coalesce(s.text, '') AS text FROM documents d LEFT JOIN (SELECT doc_id, string_agg(regexp_replace(word, '[–_' || chr(10) || ']+', ' ', 'g'), ' ' ORDER BY pos) AS text FROM k JOIN kept USING (word) GROUP BY doc_id) s ON d.doc_id = s.doc_id"""
+
+
+# without healing here; clean_with_rules_healed is the whole pipeline
+query(
+    "clean_with_rules",
+    lambda spark, sf_dir: pipeline.clean_with_rules(cyrillic(spark, sf_dir), rule_words(spark, sf_dir), DEFAULT.with_(word_healer_enabled=False)),
+    _with_rules_sql(f"SELECT doc_id, {_VALID_SQL} AS value FROM documents"),
 )
-query("clean_with_rules_healed", lambda spark, sf_dir: pipeline.clean_with_rules(cyrillic(spark, sf_dir), rule_words(spark, sf_dir)))
 per_document("exceptions_match", cyrillic, scalar.matches_exception, f"SELECT doc_id, (contains(t, 'г.') OR contains(t, 'стр.') OR contains(t, 'т.д.') OR contains(t, 'и т.д.')) AS value FROM (SELECT doc_id, lower({SQL_CYRILLIC}) AS t FROM documents)")
 
 # healing
@@ -224,20 +230,26 @@ per_document("protect_boundaries", wide, T.protect_boundaries, f"SELECT doc_id,
 per_document("restore_boundaries", wide, lambda t: T.restore_boundaries(T.protect_boundaries(t)), rf"SELECT doc_id, regexp_replace(replace({_PROTECTED_SQL}, '[[BLOCK]]', ''), '\s+', ' ', 'g') AS value FROM documents")
 
 
-def shipped(name: str, view, value) -> None:
+def _over_documents(text: str, steps: healing_sql.Steps, value: str = "coalesce(t, '')", column: str = "value") -> str:
+    """SQL over every document: ``text``, put through steps that start from the table base."""
+    ctes, last = steps
+    return f"WITH base AS (SELECT doc_id, {text} AS t FROM documents), {', '.join(ctes)} SELECT d.doc_id, {value} AS {column} FROM documents d LEFT JOIN {last} l ON d.doc_id = l.doc_id"
+
+
+def shipped(name: str, view, value, sql: str) -> None:
     def run(spark, sf_dir) -> DataFrame:
         ship(spark)
         return view(spark, sf_dir).select("doc_id", value(F.col("text")).alias("value"))
 
-    query(name, run)
+    query(name, run, sql)
 
 
-shipped("smart_normalize", mixed, healing.smart_normalize)
-shipped("repair_broken_words", spaced, healing.repair_broken_words)
-shipped("heal_text", mixed, healing.heal_text)
-_LETTERS = "абвгдежзийклмнопрстуфхцчшщъыьэюяё" + ANCHORS
-_CONSONANTS = "".join(c for c in _LETTERS if c not in VOWELS)
-per_word("phonetic_valid", T.phonetically_valid, f"NOT regexp_matches(word, '[{_CONSONANTS}{_CONSONANTS.upper()}]{{{MAX_CONSONANTS}}}')")
+PASSES = DEFAULT.word_healer_passes
+SQL_MIXED = f"translate(lower(text), '{LATIN_MIXED}', '{TO_MIXED}')"
+shipped("smart_normalize", mixed, healing.smart_normalize, _over_documents(SQL_MIXED, healing_sql.normalized("base")))
+shipped("repair_broken_words", spaced, healing.repair_broken_words, _over_documents(SQL_SPACED, healing_sql.repaired("base", PASSES)))
+shipped("heal_text", mixed, healing.heal_text, _over_documents(SQL_MIXED, healing_sql.healed("base", PASSES)))
+per_word("phonetic_valid", T.phonetically_valid, f"NOT regexp_matches(word, '[{healing_sql.CONSONANTS}{healing_sql.CONSONANTS.upper()}]{{{MAX_CONSONANTS}}}')")
 per_word("length_valid", T.length_valid, f"({_ANCHOR_SQL} OR length(word) <= 25)")
 per_document("false_hyphens", hyphenated, T.remove_false_hyphens, rf"SELECT doc_id, regexp_replace({SQL_HYPHENATED}, '([\p{{L}}\p{{N}}_]+)-\n+([\p{{L}}\p{{N}}_]+)', '\1\2', 'g') AS value FROM documents")
 _MERGE = r"'(\p{L}+)-\s*\n\s*(\p{L}+)'"
@@ -346,6 +358,13 @@ def stream_clean(spark, sf_dir) -> DataFrame:
     return spark.read.schema(streaming.DOCUMENTS).parquet(f"{out}/texts")
 
 
-query("clean_pipeline", clean_pipeline)
-query("stream_clean", stream_clean)
+def _valid_sql(text: str) -> str:
+    return f"array_to_string(list_filter(regexp_extract_all({_spaced_sql(text)[1]}, {_DOT}), lambda w: {_ALL_RULES}), ' ')"
+
+
+_CLEAN_SQL = f"array_to_string(list_transform(list_filter(regexp_extract_all({_valid_sql("coalesce(t, '')")}, {_JOINED}), lambda word: NOT {_RUSSIAN_SQL}), lambda word: regexp_replace(word, '[–_' || chr(10) || ']+', ' ', 'g')), ' ')"
+_HEALED = healing_sql.healed("base", PASSES, look_alikes=False)
+query("clean_pipeline", clean_pipeline, f"SELECT doc_id, clean_text, CASE WHEN clean_text = '' THEN 0 ELSE len(string_split(clean_text, ' ')) END::BIGINT AS n_words FROM ({_over_documents(_UNHEALED_SQL, _HEALED, _CLEAN_SQL, 'clean_text')})")
+query("stream_clean", stream_clean, _over_documents(_UNHEALED_SQL, _HEALED, _CLEAN_SQL, "text"))
+query("clean_with_rules_healed", lambda spark, sf_dir: pipeline.clean_with_rules(cyrillic(spark, sf_dir), rule_words(spark, sf_dir)), _with_rules_sql(_over_documents(_UNHEALED_SQL, _HEALED, _valid_sql("coalesce(t, '')"))))
 query("undecided_words", lambda spark, sf_dir: pipeline.undecided_words(cyrillic(spark, sf_dir)), f"SELECT word FROM {_WORDS_SQL} WHERE ({_RULE_CASE}) = 'undecided'")
