@@ -327,3 +327,27 @@ def op3_line_dedup(spark, sf_dir) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs, counts=True).select("doc_id", "n_lines", "n_kept", "text")
+
+
+#: Exact for tables with distinct ids: two lines that are similar enough share one of the rarest fifth of their shingles.
+ORACLE = r"""
+WITH RECURSIVE
+lines AS (SELECT doc_id, n, raw, trim(raw, ' ' || chr(9) || chr(13)) AS line FROM (SELECT doc_id, unnest(ls) AS raw, generate_subscripts(ls, 1) AS n FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))),
+nodes AS (SELECT row_number() OVER (ORDER BY first) AS id, line, first FROM (SELECT line, min({'late': doc_id IS NULL, 'd': doc_id, 'n': n}) AS first FROM lines WHERE line <> '' GROUP BY line)),
+sets AS (SELECT id, list_distinct(list_transform(range(1, greatest(length(line) - 7, 1) + 1), lambda i: substr(line, i, 8))) AS s FROM nodes),
+shingles AS (SELECT id, len(s) AS size, unnest(s) AS g FROM sets),
+known AS (SELECT g, count(*) AS f FROM shingles GROUP BY g HAVING count(*) > 1),
+ranked AS (SELECT id, size, s.g, row_number() OVER (PARTITION BY id ORDER BY coalesce(f, 1), s.g) AS nth FROM shingles s LEFT JOIN known k ON s.g = k.g),
+rare AS (SELECT id, size, g FROM ranked WHERE nth <= size - (80 * size + 99) // 100 + 1),
+met AS (SELECT DISTINCT a.id AS a, b.id AS b FROM rare a JOIN rare b ON a.g = b.g AND a.id < b.id AND 100 * a.size >= 80 * b.size AND 100 * b.size >= 80 * a.size),
+links AS (SELECT a, b FROM (SELECT a, b, len(list_intersect(x.s, y.s)) AS shared, len(x.s) + len(y.s) AS total FROM met JOIN sets x ON x.id = a JOIN sets y ON y.id = b) WHERE 100 * shared >= 80 * (total - shared)),
+either AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT id AS a, id AS b FROM nodes UNION SELECT r.a, e.b FROM reach r JOIN either e ON r.b = e.a),
+roots AS (SELECT a AS id, min(b) AS root FROM reach GROUP BY a),
+stays AS (SELECT n.line, f.first FROM nodes n JOIN roots r ON r.id = n.id JOIN nodes f ON f.id = r.root),
+kept AS (SELECT l.doc_id, count(s.line) AS n_lines, count(s.line) FILTER (WHERE s.first = {'late': l.doc_id IS NULL, 'd': l.doc_id, 'n': l.n}) AS n_kept,
+  string_agg(raw, chr(10) ORDER BY n) FILTER (WHERE s.line IS NULL OR s.first = {'late': l.doc_id IS NULL, 'd': l.doc_id, 'n': l.n}) AS text
+  FROM lines l LEFT JOIN stays s ON s.line = l.line GROUP BY l.doc_id)
+SELECT d.doc_id, CAST(coalesce(k.n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(k.n_kept, 0) AS BIGINT) AS n_kept, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text
+FROM documents d LEFT JOIN kept k ON k.doc_id IS NOT DISTINCT FROM d.doc_id
+"""

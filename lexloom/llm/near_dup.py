@@ -132,3 +132,19 @@ def op4_near_dup(spark, sf_dir) -> DataFrame:
     from lexloom.llm.common import table
 
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+#: All pairs that share a shingle are counted, and reachability is followed to its end: for small tables.
+ORACLE = r"""
+WITH RECURSIVE
+words AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM words),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+shingles AS (SELECT doc_id, unnest(s) AS g FROM sets),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM met JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+either AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM reach r JOIN either e ON r.b = e.a)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, c.component_id, c.component_id = n.doc_id AS kept
+FROM sizes n JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = n.doc_id
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexloom.llm import mixing
+from lexloom.llm import line_dedup, mixing, near_dup, secrets
 from lexloom.llm.audio import op9_audio
 from lexloom.llm.bpe import op1_bpe
 from lexloom.llm.lattice_lm import op8_lattice_lm
@@ -28,5 +28,8 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_line_dedup": line_dedup.ORACLE,
+    "op4_near_dup": near_dup.ORACLE,
+    "op6_secrets": secrets.ORACLE,
     "op7_mixing": mixing.ORACLE,
 }

@@ -145,6 +145,25 @@ def span_text(found: Column, rules: tuple[Rule, ...]) -> Column:
     return F.array_join(F.transform(found, lambda s: F.concat_ws(":", F.get(kinds, s["rule"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _oracle() -> str:
+    """SQL that scans every text with every rule; spans come from the lengths of matches and of what stands between."""
+
+    def spans(number: int, rule: Rule) -> str:
+        pattern = "'" + rule.pattern.replace("'", "''") + "'"
+        start = "list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0)"
+        found = f"list_transform(list_filter(range(1, len(m) + 1), lambda i: length(v[i]) >= {rule.least}), lambda i: {{'s': CAST({start} AS BIGINT), 'k': {number}, 'e': CAST({start} + length(m[i]) AS BIGINT)}})"
+        return f"SELECT doc_id, {number} AS k, {found} AS spans FROM (SELECT doc_id, regexp_extract_all(t, {pattern}) AS m, regexp_extract_all(t, {pattern}, {rule.group}) AS v, regexp_split_to_array(t, {pattern}) AS g FROM texts)"
+
+    kinds = "[" + ", ".join(f"'{r.kind}'" for r in RULES) + "]"
+    text = f"array_to_string(list_transform(list_sort({{}}), lambda x: {kinds}[x.k + 1] || ':' || x.s || ':' || x.e), ',')"
+    base = sum(r.base for r in RULES)
+    count = ", ".join(f"len(list_filter(every, lambda x: x.k = {n})) AS n_{r.kind}" for n, r in enumerate(RULES) if r.base)
+    return f"""WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({' UNION ALL '.join(spans(n, r) for n, r in enumerate(RULES))}),
+gathered AS (SELECT doc_id, flatten(list(spans)) AS every FROM found GROUP BY doc_id)
+SELECT doc_id, {count}, sha256({text.format(f'list_filter(every, lambda x: x.k < {base})')}) AS base_sha256, {text.format('every')} AS spans FROM gathered"""
+
+
 def op6_secrets(spark, sf_dir) -> DataFrame:
     from lexloom.llm.common import table
 
@@ -158,3 +177,6 @@ def op6_secrets(spark, sf_dir) -> DataFrame:
         F.sha2(span_text(F.filter("found", lambda s: s["rule"] < n_base), RULES).cast("binary"), 256).alias("base_sha256"),
         span_text(F.col("found"), RULES).alias("spans"),
     )
+
+
+ORACLE = _oracle()

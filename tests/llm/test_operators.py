@@ -207,6 +207,11 @@ def test_near_dup_tables(documents, texts, k, percent):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_matches_its_sql(spark, small, name):
+    assert_matches(QUERIES[name](spark, small), ORACLES[name], small)
+
+
 def test_near_dup_edges(edges):
     rows = [(n, i, t) for n, (i, t) in enumerate(pairs(edges))]
     wanted = plain.near_duplicates(rows, 3, 85)
@@ -393,10 +398,6 @@ def test_secret_plan_has_no_python(spark, small):
 # 7
 
 
-def test_mixing_query(spark, small):
-    assert_matches(QUERIES["op7_mixing"](spark, small), ORACLES["op7_mixing"], small)
-
-
 def test_mixing_edges(spark, edges):
     got = mixing.plan_mix(edges).collect()
     sizes = defaultdict(int)
