@@ -3,7 +3,8 @@
 Each rule's regular expression is turned into a Boolean query over lower-cased trigrams: any match needs all
 trigrams of at least one conjunction. The index holds postings (trigram, document) of the trigrams that some query
 names; intersecting them gives each rule's candidates, which the full expression then verifies. A rule whose
-expression has no mandatory trigram (runs of hexadecimal digits) scans every document.
+expression has no mandatory trigram (runs of hexadecimal digits) scans every document. Only texts that satisfy some
+rule's query themselves, as every candidate does, travel to their candidates' rows; the others are scanned where they lie.
 
 Matches are leftmost and non-overlapping for each rule; spans count code points, with exclusive ends.
 
@@ -103,6 +104,17 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "
     return met.where("all").groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))
 
 
+def may_match(text: Column, rules: tuple[Rule, ...]) -> Column:
+    """Whether a text has all trigrams of some conjunction: false for all but candidates."""
+    low, out = F.lower(text), F.lit(False)
+    for clause in sorted({clause for r in rules for clause in trigram_query(r.pattern) or []}, key=sorted):
+        every = F.lit(True)
+        for gram in sorted(clause, key=lambda g: (g.isalpha(), g)):
+            every = every & F.contains(low, F.lit(gram))
+        out = out | every
+    return out
+
+
 _SPANS = "array<struct<start:int,rule:int,end:int>>"
 _AT_ONCE = 256  # spans gathered before they are added to the document's, which copies those
 
@@ -126,7 +138,9 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
     """doc_id, n_<kind> for each rule, and ``found``: the spans of all rules as sorted (start, rule's number, end)."""
     met = candidates(docs, rules, id_col, text_col).withColumnRenamed("doc_id", "_cid")
     plain = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    joined = plain.join(met, F.col("doc_id").eqNullSafe(F.col("_cid")), "left")
+    suspect = may_match(F.col("body"), rules)
+    joined = plain.where(suspect).join(met, F.col("doc_id").eqNullSafe(F.col("_cid"))).select("doc_id", "body", "kinds")
+    joined = joined.unionByName(plain.where(~suspect).withColumn("kinds", F.expr("cast(array() as array<string>)")))
     matches, gaps = {}, {}
     for rule in rules:
         wanted = {f"{c}_{rule.kind}": F.regexp_extract_all("body", F.lit(rule.pattern), F.lit(group)) for c, group in (("m", 0), ("v", rule.group)) if c == "m" or group}
