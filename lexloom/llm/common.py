@@ -48,6 +48,32 @@ def gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
+def spark_hash(values: np.ndarray) -> np.ndarray:
+    """Spark's hash of 64-bit integers (32-bit Murmur3 with its seed), by which it deals rows into buckets."""
+
+    def rotated(x: np.ndarray, by: int) -> np.ndarray:
+        return (x << np.uint32(by)) | (x >> np.uint32(32 - by))
+
+    with np.errstate(over="ignore"):
+        h = np.full(len(values), 42, np.uint32)
+        for word in (values & 0xFFFFFFFF, (values >> 32) & 0xFFFFFFFF):
+            k = rotated(word.astype(np.uint32) * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)
+            h = rotated(h ^ k, 13) * np.uint32(5) + np.uint32(0xE6546B64)
+        h ^= np.uint32(8)
+        h = (h ^ (h >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+        h = (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+        return (h ^ (h >> np.uint32(16))).view(np.int32)
+
+
+def block_numbers(task: int, buckets: int) -> Iterator[int]:
+    """Numbers for a task's blocks that all fall into one bucket, so that the task writes one file; other tasks' differ."""
+    at, step = 0, max(4096, 4 * buckets)
+    while True:
+        numbers = (task << 32) + np.arange(at, at + step, dtype=np.int64)
+        yield from numbers[spark_hash(numbers) % buckets == task % buckets].tolist()
+        at += step
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

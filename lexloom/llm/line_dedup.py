@@ -9,7 +9,7 @@ the document's text, then by place; the others leave their documents.
 At a similarity of 0.8 a pair meets in some band with probability 0.998, at 0.85 with 0.9999.
 
 Texts move once: documents are cut into blocks of about ``BLOCK_BYTES`` of text, stored in the shared folder and bucketed
-by block. Lines are looked up in their blocks, and what leaves a document is brought to its block, so every join has hashes
+by block (a task's blocks lie in one bucket, as one file). Lines are looked up in their blocks, and what leaves a document is brought to its block, so every join has hashes
 and places on its moving side. A hot line is one row per block that holds it.
 
 Cases: a null text stays null; blank lines are never compared and stay; white space at a line's ends is not compared;
@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import frugal, gather, mix64, rows_of, seeds
+from lexloom.llm.common import block_numbers, frugal, gather, mix64, rows_of, seeds
 from lexloom.llm.linking import components, connect_groups, key_links, set_matcher
 from lexloom.llm.wordblocks import pack, unpack
 from lexloom.session import ship
@@ -111,12 +111,12 @@ def _from_ipc(blob: bytes) -> pa.RecordBatch:
     return pa.ipc.open_stream(blob).read_all().combine_chunks().to_batches(max_chunksize=None)[0]
 
 
-def _cut(text_at: int, id_at: int, block_bytes: int):
+def _cut(text_at: int, id_at: int, block_bytes: int, buckets: int):
     """Batches of rows, their text last as bytes -> blocks."""
 
     @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        numbers = block_numbers(TaskContext.get().partitionId(), buckets)
         held, size = [], 0
 
         def block() -> pa.RecordBatch:
@@ -132,7 +132,7 @@ def _cut(text_at: int, id_at: int, block_bytes: int):
             named = pa.chunked_array(ids).combine_chunks()
             arrays = (np.array(counts, np.uint32), np.array(nodes, np.int64), named.is_null().to_numpy(zero_copy_only=False).astype(np.uint8), named.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), np.array(ties, np.uint64).view(np.int64))
             columns = [i for i in range(held[0].num_columns - 1) if i != text_at]
-            row = [[number], [pack(*arrays)], [_to_ipc([p.select([p.num_columns - 1]) for p in held])], [_to_ipc([p.select(columns) for p in held])]]
+            row = [[next(numbers)], [pack(*arrays)], [_to_ipc([p.select([p.num_columns - 1]) for p in held])], [_to_ipc([p.select(columns) for p in held])]]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["block", "lines", "texts", "rest"])
 
         for batch in batches:
@@ -147,7 +147,7 @@ def _cut(text_at: int, id_at: int, block_bytes: int):
                 at = to
                 if size >= block_bytes:
                     yield block()
-                    number, held, size = number + 1, [], 0
+                    held, size = [], 0
         if held:
             yield block()
 
@@ -160,9 +160,10 @@ def cut_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     numbered = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)))
     id_at, text_at = docs.columns.index("doc_id"), docs.columns.index("text")
     plain = numbered.withColumn(f"c{id_at}", F.col(f"c{id_at}").cast("long")).withColumn("raw", F.col(f"c{text_at}").cast("binary"))
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # the text itself travels once, as bytes
     plain = plain.withColumn(f"c{text_at}", F.lit(None).cast("string"))
-    return materialize_bucketed(plain.mapInArrow(_cut(text_at, id_at, block_bytes), _BLOCKS), "block", "line_blocks", compression="none")
+    return materialize_bucketed(plain.mapInArrow(_cut(text_at, id_at, block_bytes, buckets), _BLOCKS), "block", "line_blocks", compression="none")
 
 
 def _line_starts(counts: np.ndarray) -> np.ndarray:

@@ -5,7 +5,7 @@ Exploding every occurrence would shuffle several times the corpus. Instead docum
 in text order. Of a block only the distinct words travel: packed by word bucket to where each distinct word of the
 corpus is handled once (``per_bucket``), and the findings back to the block, where they are put at each position.
 
-The blocks are a table in the shared folder, bucketed by block, so both ways read the same blocks even if executors are
+The blocks are a table in the shared folder, bucketed by block (a task's blocks lie in one bucket, as one file), so both ways read the same blocks even if executors are
 lost, and the texts' word positions are never shuffled. A word as frequent as may be is one entry per block; the largest
 thing a task holds is a block, a very long document, or the words of one bucket, of which there are more the more shuffle
 partitions are set. A block sends a row for each bucket that it has words of, so never more rows than distinct words.
@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import frugal, id_and_bytes, release, rows_of
+from lexloom.llm.common import block_numbers, frugal, id_and_bytes, release, rows_of
 from lexloom.session import ship
 from lexloom.sources.scratch import materialize_bucketed
 
@@ -116,22 +116,23 @@ class Block:
 def cut_blocks(docs: DataFrame, split: Callable[[Block, bytes], np.ndarray], flag: Callable[[int | None], bool], id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The table of blocks. ``flag`` marks documents; each word's occurrences in marked ones travel with it."""
     spark = ship(docs.sparkSession)
-    buckets = BUCKETS_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = BUCKETS_A_PARTITION * partitions
 
     @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        numbers = block_numbers(TaskContext.get().partitionId(), partitions)
         block = Block(split)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 for doc_id, raw in rows_of(batch.slice(at, 256), "doc_id", "raw"):
                     block.add(doc_id, raw or b"", flag(doc_id))
                     if block.size >= block_bytes:
-                        yield block.row(number, buckets)
-                        number, block = number + 1, Block(split)
+                        yield block.row(next(numbers), buckets)
+                        block = Block(split)
                         release()
         if block.doc_ids:
-            yield block.row(number, buckets)
+            yield block.row(next(numbers), buckets)
 
     return materialize_bucketed(id_and_bytes(docs, id_col, text_col).mapInArrow(run, BLOCK_SCHEMA), "block", "blocks")
 

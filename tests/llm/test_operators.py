@@ -1,6 +1,7 @@
 """Each operator on whole small tables and on edge cases, against plain versions, round trips or held-out accuracy."""
 
 import hashlib
+import itertools
 import math
 import random
 import tempfile
@@ -15,7 +16,7 @@ import tiktoken
 from oracle import assert_matches
 from pyspark.sql import functions as F
 
-from lexloom.llm import audio, bpe, lattice_lm, line_dedup, linking, mixing, near_dup, order_minhash, quality_knn, secrets, shards, wordblocks
+from lexloom.llm import audio, bpe, common, lattice_lm, line_dedup, linking, mixing, near_dup, order_minhash, quality_knn, secrets, shards, wordblocks
 from lexloom.llm.queries import ORACLES, QUERIES
 
 
@@ -71,6 +72,17 @@ def test_pieces_match_the_reference_pattern():
         assert ids == enc.encode_ordinary(text), text
 
 
+def test_block_numbers_fall_into_one_bucket(spark):
+    values = [0, 1, -1, 7 << 32, (1 << 62) + 12345]
+    hashed = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v long").select(F.hash("v")).collect()]
+    assert common.spark_hash(np.array(values, np.int64)).tolist() == hashed
+    seen = set()
+    for task in (0, 5, 1000):
+        numbers = list(itertools.islice(common.block_numbers(task, 7), 3000))
+        assert {h % 7 for h in common.spark_hash(np.array(numbers)).tolist()} == {task % 7} and not seen & set(numbers)
+        seen |= set(numbers)
+
+
 def test_packing_keeps_arrays():
     arrays = [np.arange(5, dtype=np.uint32), np.zeros(0, np.int64), np.array([1.5, -2.0])]
     assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(arrays, wordblocks.unpack(wordblocks.pack(*arrays)), strict=True))
