@@ -22,7 +22,8 @@ from lexloom.functions import text as T
 _NUMBER = re.compile(r"\d+[\s\-.]?\d*")
 _MARKERS = re.compile("|".join(map(re.escape, (BLOCK_MARKER, OLD_MARKER))))
 _REACH = 5  # visible characters within which a Cyrillic letter counts, with no punctuation up to it
-_PAIR = re.compile(rf"([{CYRILLIC}]+)(\s+)([{CYRILLIC}]+)", re.I)
+_WORDS = re.compile(rf"([{CYRILLIC}]+)", re.I)
+_PARTS, _STAYS, _VANISHES = 0, 1, 2
 _CLUSTER = re.compile(rf"(?:(?![{VOWELS}])[{CYRILLIC}]){{{MAX_CONSONANTS}}}", re.I)
 _ANCHOR = re.compile(f"[{ANCHORS}]")
 _WIDE = re.compile(r"\s{2,}")
@@ -106,28 +107,63 @@ def normalize(text: str) -> str:
     return "".join(out)
 
 
-def _merge(match: re.Match) -> str:
-    left, gap, right = match.groups()
+def _joins(left: str, right: str) -> bool:
     n = len(left) + len(right)
-    if (n > MERGE_LENGTH and len(left) > 1 and len(right) > 1) or (gap != " " and ("\n" in gap or "  " in gap)):
-        return match.group()
+    if n > MERGE_LENGTH and len(left) > 1 and len(right) > 1:
+        return False
+    if n < MAX_CONSONANTS:
+        return True
     joined = left + right
-    if (n > MAX_WORD_LENGTH and not _ANCHOR.search(joined)) or (n >= MAX_CONSONANTS and _CLUSTER.search(joined)):
-        return match.group()
-    return joined
+    return not _CLUSTER.search(joined) and (n <= MAX_WORD_LENGTH or _ANCHOR.search(joined) is not None)
+
+
+class _Gaps(dict):
+    """What stands between two words -> whether it parts them, keeps a pair apart, or may vanish."""
+
+    def __missing__(self, gap: str) -> int:
+        found = self[gap] = _PARTS if not gap.isspace() else _STAYS if "\n" in gap or "  " in gap else _VANISHES
+        return found
+
+
+def _repair_block(block: str, passes: int) -> str:
+    """A pass looks at two neighbouring words at a time, and goes on behind them whether they join or not."""
+    head, *rest = _WORDS.split(block)
+    words, gaps = rest[::2], rest[1::2]
+    of = _Gaps()
+    kinds = [of[g] for g in gaps]
+    for _ in range(passes):
+        count = len(words)
+        if count < 2:
+            break
+        kinds[-1] = _PARTS
+        new_words, new_gaps, new_kinds = [], [], []
+        i = 0
+        while i < count:
+            kind = kinds[i]
+            if kind == _VANISHES and _joins(words[i], words[i + 1]):
+                new_words.append(words[i] + words[i + 1])
+                i += 1
+            else:
+                new_words.append(words[i])
+                if kind != _PARTS:
+                    new_gaps.append(gaps[i])
+                    new_kinds.append(kind)
+                    i += 1
+                    new_words.append(words[i])
+            new_gaps.append(gaps[i])
+            new_kinds.append(kinds[i])
+            i += 1
+        words, gaps, kinds = new_words, new_gaps, new_kinds
+        if len(words) == count:
+            break
+    rest = [""] * (2 * len(words))
+    rest[::2], rest[1::2] = words, gaps
+    return head + "".join(rest)
 
 
 def repair(text: str, passes: int) -> str:
     """Join pairs of word parts, left to right, in up to ``passes`` passes per block."""
-    blocks = text.split(BLOCK_MARKER)
-    for n, block in enumerate(blocks):
-        for _ in range(passes):
-            shorter = _PAIR.sub(_merge, block)
-            if len(shorter) >= len(block):
-                break
-            block = shorter
-        blocks[n] = block
-    return BLOCK_MARKER.join(blocks)
+    return BLOCK_MARKER.join([_repair_block(block, passes) for block in text.split(BLOCK_MARKER)])
 
 
 def join_hyphens(text: str) -> str:

@@ -124,7 +124,7 @@ def pdf_texts(pages: DataFrame, config: Config = DEFAULT) -> DataFrame:
     return best.select("page.file", "page.page", text.merge_line_hyphens(F.coalesce("text", F.lit(""))).alias("text"))
 
 
-def run(spark: SparkSession, config: Config = DEFAULT, extractor: files.PdfExtractor = files.plain_text_pages, detect=None) -> dict[str, str]:
+def run(spark: SparkSession, config: Config = DEFAULT, extractor: files.PdfExtractor = files.extract_pages, detect=None) -> dict[str, str]:
     """Extract every PDF and Parquet file of the input folder, clean (with word lists), write, and archive; the run's paths.
 
     A file that cannot be read gets a manifest row with its error, stays in the input folder, and does not end the run.

@@ -15,6 +15,7 @@ from lexloom.config import DEFAULT, Config
 from lexloom.errors import MissingFileError, ParquetProcessingError, ValidationError
 from lexloom.operators.flatten import row_text
 from lexloom.session import ship
+from lexloom.sources.pdf import pdf_pages
 
 MANIFEST = "processor string, file string, ts timestamp, n_chars long, n_bytes long, n_units int, error string"
 DEFAULT_LEVEL = 1
@@ -90,12 +91,14 @@ def read_parquet_texts(spark: SparkSession, folder: str, parity: bool = False) -
     return read_parquet_rows(spark, found, parity).where("text is not null").select("file", "text")
 
 
-def plain_text_pages(content: bytes, levels: list[tuple[int, float, float]], layout: bool = True) -> list[tuple[int, int, str]]:
-    """The default extractor: pages of a text layer that was exported with form feeds. Layout extraction is pluggable."""
+def extract_pages(content: bytes, levels: list[tuple[int, float, float]], layout: bool = True) -> list[tuple[int, int, str]]:
+    """The default extractor: pages of a PDF at every tolerance level, or of a text layer that was exported with form feeds."""
+    if b"%PDF-" in content[:1024]:
+        return pdf_pages(content, levels, layout)
     return [(n, DEFAULT_LEVEL, page) for n, page in enumerate(content.decode("utf-8").split("\f"), 1)]
 
 
-def read_pdf_pages(spark: SparkSession, folder: str, extractor: PdfExtractor = plain_text_pages, pattern: str = "*.pdf", config: Config = DEFAULT) -> DataFrame:
+def read_pdf_pages(spark: SparkSession, folder: str, extractor: PdfExtractor = extract_pages, pattern: str = "*.pdf", config: Config = DEFAULT) -> DataFrame:
     """(file, page, level, text, error): every attempt of every page; a file that fails is one row with its error."""
     ship(spark)
     levels, layout = tolerance_levels(config), config.pdf_layout_mode
