@@ -120,7 +120,7 @@ def _cut(text_at: int, id_at: int, block_bytes: int, buckets: int):
         held, size = [], 0
 
         def block() -> pa.RecordBatch:
-            counts, nodes, ids, ties = [], [], [], []
+            counts, nodes, lengths, ids, ties = [], [], [], [], []
             for part in held:
                 ids.append(part.column(id_at))
                 for raw in part.column(part.num_columns - 1):
@@ -128,9 +128,10 @@ def _cut(text_at: int, id_at: int, block_bytes: int, buckets: int):
                     lines = [] if raw is None else [line.strip(EDGES) for line in raw.split(b"\n")]
                     counts.append(len(lines))
                     nodes += [line_node(line) if line else 0 for line in lines]
+                    lengths += map(len, lines)
                     ties.append(xxhash.xxh64_intdigest(raw or b""))
             named = pa.chunked_array(ids).combine_chunks()
-            arrays = (np.array(counts, np.uint32), np.array(nodes, np.int64), named.is_null().to_numpy(zero_copy_only=False).astype(np.uint8), named.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), np.array(ties, np.uint64).view(np.int64))
+            arrays = (np.array(counts, np.uint32), np.array(nodes, np.int64), np.array(lengths, np.uint32), named.is_null().to_numpy(zero_copy_only=False).astype(np.uint8), named.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), np.array(ties, np.uint64).view(np.int64))
             columns = [i for i in range(held[0].num_columns - 1) if i != text_at]
             row = [[next(numbers)], [pack(*arrays)], [_to_ipc([p.select([p.num_columns - 1]) for p in held])], [_to_ipc([p.select(columns) for p in held])]]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["block", "lines", "texts", "rest"])
@@ -208,7 +209,7 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks -> a row for each distinct line of a block: its first place there, and how often it stands there."""
     for batch in batches:
         for block, packed in rows_of(batch, "block", "lines"):
-            counts, nodes, late, ids, ties = unpack(packed)
+            counts, nodes, lengths, late, ids, ties = unpack(packed)
             starts = _line_starts(counts)
             rank = np.empty(len(counts), np.int64)
             rank[np.lexsort((np.arange(len(counts)), ties, ids, late))] = np.arange(len(counts))
@@ -222,39 +223,40 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             of = row[first]
             n = np.diff(np.append(head, len(order)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes[first]), pa.array(np.full(len(first), block, np.int64)), pa.array(n.astype(np.int32)), pa.array(late[of].astype(bool)), pa.array(ids[of]), pa.array(ties[of]), pa.array(line[first].astype(np.int32)), pa.array(of.astype(np.int32))],
-                ["node", "block", "n", "late", "doc", "tie", "line", "row"],
+                [pa.array(nodes[first]), pa.array(np.full(len(first), block, np.int64)), pa.array(n.astype(np.int32)), pa.array(late[of].astype(bool)), pa.array(ids[of]), pa.array(ties[of]), pa.array(line[first].astype(np.int32)), pa.array(of.astype(np.int32)), pa.array(lengths[first].astype(np.int64))],
+                ["node", "block", "n", "late", "doc", "tie", "line", "row", "size"],
             )
 
 
 @frugal
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks with the lines wanted of them -> (group, id, payload, n)."""
+    """Blocks with the lines wanted of them -> (group, id, payload, n, weight)."""
     for batch in batches:
         for texts, wanted in rows_of(batch, "texts", "wanted"):
             column, found, held, lines = _from_ipc(texts).column(0), [], -1, []
             for w in sorted(wanted, key=lambda w: w["row"]):
                 if w["row"] != held:
                     held, lines = w["row"], column[w["row"]].as_py().split(b"\n")
-                found.append((w["root"], w["id"], lines[w["line"]].strip(EDGES), w["n"]))
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], k) for i, k in enumerate(kinds)], ["group", "id", "payload", "n"])
+                found.append((w["root"], w["id"], lines[w["line"]].strip(EDGES), w["n"], w["weight"]))
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], k) for i, k in enumerate(kinds)], ["group", "id", "payload", "n", "weight"])
 
 
 def near_lines(blocks: DataFrame, places: DataFrame) -> DataFrame:
     """(id, root): distinct lines that are linked with others, and their components' names."""
     met = key_links(blocks.select("lines", "texts").mapInArrow(_bands, "key long, id long"))
     rough = components(met, "lines-rough")
-    sizes = materialize(rough.groupBy("root").agg(F.count("*").alias("n")), "lines-rough-sizes")
-    some = places.drop("n").join(rough.join(sizes, "root"), F.col("node") == F.col("id")).groupBy("id", "root", "n").agg(F.min(F.struct("block", "row", "line")).alias("at"))
-    asked = some.groupBy("at.block").agg(F.collect_list(F.struct("at.row", "at.line", "id", "root", "n")).alias("wanted"))
-    compared = blocks.select("block", "texts").join(asked, "block").select("texts", "wanted").mapInArrow(_fetch, "group long, id long, payload binary, n long")
+    # each line's first place and size in bytes; sizes bound what is compared in one task
+    some = materialize(places.join(rough, F.col("node") == F.col("id")).groupBy("id", "root").agg(F.min(F.struct("block", "row", "line")).alias("at"), F.max("size").alias("size")), "lines-some")
+    sized = some.join(some.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("weight")), "root")
+    asked = sized.groupBy("at.block").agg(F.collect_list(F.struct("at.row", "at.line", "id", "root", "n", "weight")).alias("wanted"))
+    compared = blocks.select("block", "texts").join(asked, "block").select("texts", "wanted").mapInArrow(_fetch, "group long, id long, payload binary, n long, weight long")
     return connect_groups(materialize(compared, "lines-compared"), set_matcher(PERCENT, shingle_hashes), "lines-exact", chunk=1024)
 
 
 def removed_lines(blocks: DataFrame) -> DataFrame:
     """(block, gone): hashes of lines that leave the block, each with the one place (row, line) where it stays, if it does."""
-    placed = blocks.select("block", "lines").mapInArrow(_places, "node long, block long, n int, late boolean, doc long, tie long, line int, row int")
+    placed = blocks.select("block", "lines").mapInArrow(_places, "node long, block long, n int, late boolean, doc long, tie long, line int, row int, size long")
     places = materialize_bucketed(placed.repartition("node"), "node", "line_places")
     roots = near_lines(blocks, places)
     order = F.struct("late", "doc", "tie", "line", "block", "row")

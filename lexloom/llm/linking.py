@@ -1,7 +1,7 @@
 """Linking members of candidate groups, and connected components, without pairs of all members.
 
 ``connect_groups`` connects exactly what all links of a group's pairs connect. A group of n members is
-cut into about sqrt(n) chunks (of CHUNK members at least). First each chunk is compared with itself and with the first one;
+cut into about sqrt(n) chunks (of CHUNK members at least, fewer if their sets are large). First each chunk is compared with itself and with the first one;
 then, once the components of those links are known, members outside their group's largest component are compared with
 all chunks. Two members that a link joins are either in one component after the first step, or one of them is outside
 the largest and has met the other in the second. Rows are members, never pairs, and no task holds a whole group.
@@ -27,6 +27,7 @@ from lexloom.sources.scratch import materialize
 EDGES_A_TASK = 500_000  # of a graph whose components are sought
 NODES_HELD = 200_000  # that a task joins at a time
 CHUNK = 256  # members of a chunk, or the root of the group's size if that is more
+CHUNK_WEIGHT = 2_000_000  # elements of a chunk's sets, unless one set has more
 
 #: Takes the members' payloads; returns a function that gives, for one member and others, which of those it links to.
 Matcher = Callable[[list[bytes]], Callable[[int, np.ndarray], np.ndarray]]
@@ -125,15 +126,15 @@ def _run_tasks(rows: DataFrame, matcher: Matcher) -> DataFrame:
 
 
 def connect_groups(members: DataFrame, matcher: Matcher, tag: str, chunk: int = CHUNK) -> DataFrame:
-    """members: (group, id, payload, n), n being the group's number of members.
+    """members: (group, id, payload, n, weight): n is the group's number of members, weight of elements of all their sets.
 
-    Larger chunks send each member to fewer tasks; a task holds two chunks' payloads.
+    Larger chunks send each member to fewer tasks; a task holds two chunks, of about CHUNK_WEIGHT elements at most.
 
     (id, root): every member that a link joins to another, with the smallest member of its component.
     """
     ship(members.sparkSession)
-    chunks = F.ceil(F.col("n") / F.greatest(F.lit(float(chunk)), F.sqrt("n"))).cast("int")
-    chunked = members.where("n > 1").withColumn("m", chunks)
+    chunks = F.greatest(F.ceil(F.col("n") / F.greatest(F.lit(float(chunk)), F.sqrt("n"))), F.least("n", F.ceil(F.col("weight") / F.lit(float(CHUNK_WEIGHT)))))
+    chunked = members.where("n > 1").withColumn("m", chunks.cast("int"))
     chunked = chunked.withColumn("c", F.pmod(F.xxhash64("id"), F.col("m")).cast("int"))
     own = chunked.select("group", F.col("c").alias("j"), F.lit(0).alias("k"), F.lit(0).alias("role"), "id", "payload")
     first = chunked.where("m > 1 and c = 0").select("group", F.explode(F.expr("sequence(1, m - 1)")).alias("j"), F.lit(0).alias("k"), F.lit(1).alias("role"), "id", "payload")
@@ -141,8 +142,9 @@ def connect_groups(members: DataFrame, matcher: Matcher, tag: str, chunk: int =
     large = chunked.where("m > 1")
     placed = large.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     placed = materialize(placed.select("group", "id", "payload", "m", "c", "root"), f"{tag}-large")
-    leading = placed.groupBy("group", "root").count().groupBy("group").agg(F.max_by("root", F.struct("count", "root")).alias("lead"), F.sum("count").alias("n"), F.max("count").alias("top"))
-    outside = leading.where("n > top").select("group", "lead", F.ceil((F.col("n") - F.col("top")) / F.greatest(F.lit(float(chunk)), F.sqrt("n"))).cast("int").alias("ms"))
+    leading = placed.groupBy("group", "m", "root").count().groupBy("group", "m").agg(F.max_by("root", F.struct("count", "root")).alias("lead"), F.sum("count").alias("n"), F.max("count").alias("top"))
+    # members outside the largest component, in chunks of the same size
+    outside = leading.where("n > top").select("group", "lead", F.ceil((F.col("n") - F.col("top")) * F.col("m") / F.col("n")).cast("int").alias("ms"))
     outside = materialize(outside, f"{tag}-outside")
     if outside.isEmpty():
         return roots

@@ -99,12 +99,12 @@ def _sets(words: int):
         hashes = WordHashes()
         for batch in batches:
             rows = []
-            for node, root, n, name, raw in rows_of(batch, "id", "root", "n", "name", "raw"):
+            for node, root, n, weight, name, raw in rows_of(batch, "id", "root", "n", "weight", "name", "raw"):
                 shingles = word_shingles(hashes.of(lower_words(raw)), words)
                 if xxhash.xxh3_128_digest(shingles.tobytes()) == name:  # a row with this id may have another text
-                    rows.append((root, node, shingles.astype("<u8").tobytes(), n))
-            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["group", "id", "payload", "n"])
+                    rows.append((root, node, shingles.astype("<u8").tobytes(), n, weight))
+            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["group", "id", "payload", "n", "weight"])
 
     return run
 
@@ -114,13 +114,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     ship(docs.sparkSession)
     plain = id_and_bytes(docs, id_col, text_col)
     features = materialize(plain.mapInArrow(_features(words), "doc_id long, n_shingles long, name binary, signature binary"), "near-dup-features")
-    classes = features.where("name is not null and doc_id is not null").groupBy("name").agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature"))
+    classes = features.where("name is not null and doc_id is not null").groupBy("name").agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature"), F.first("n_shingles").alias("size"))
     classes = materialize(classes, "near-dup-classes")
     signatures = classes.select("id", "signature")
     rough = components(key_links(signatures.mapInArrow(_keys, "key long, id long")), "near-dup-rough")
-    sizes = materialize(rough.groupBy("root").agg(F.count("*").alias("n")), "near-dup-rough-sizes")
-    wanted = rough.join(sizes, "root").join(classes.select("id", "name"), "id")
-    compared = plain.join(wanted, F.col("doc_id") == F.col("id")).select("id", "root", "n", "name", "raw").mapInArrow(_sets(words), "group long, id long, payload binary, n long")
+    some = materialize(rough.join(classes.select("id", "name", "size"), "id"), "near-dup-some")
+    wanted = some.join(some.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("weight")), "root")
+    compared = plain.join(wanted, F.col("doc_id") == F.col("id")).select("id", "root", "n", "weight", "name", "raw").mapInArrow(_sets(words), "group long, id long, payload binary, n long, weight long")
     exact = connect_groups(materialize(compared, "near-dup-sets"), set_matcher(percent), "near-dup-exact")
     named = classes.select("name", "id").join(exact, "id", "left").select("name", F.coalesce("root", "id").alias("component"))
     placed = features.select("doc_id", "n_shingles", "name").join(named, "name", "left")

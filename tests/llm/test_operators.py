@@ -250,6 +250,24 @@ def test_near_dup_connects_a_large_group_of_varied_copies(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain.near_duplicates([(i, i, t) for i, t in rows], 3, 85)
 
 
+def test_large_sets_are_compared_in_small_chunks(spark, monkeypatch, texts):
+    """Groups whose sets are too large for one task fall into many, with the same links."""
+    monkeypatch.setattr(linking, "CHUNK_WEIGHT", 600)
+    rng = random.Random(14)
+    rows = []
+    for i in range(60):
+        words = [f"w{n}" for n in range(150)]
+        for at in range(rng.randint(0, 3) + i // 6):
+            words[rng.randrange(150)] = f"x{i}-{at}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = plain.near_duplicates([(i, i, t) for i, t in rows], 3, 85)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(docs, 3, 85).collect()} == wanted and 2 < len({c for _, c in wanted.values()}) < 60
+    some = sorted(texts.items())[:60]
+    lines = spark.createDataFrame(some, "doc_id long, text string")
+    assert dict(pairs(line_dedup.dedup_lines(lines))) == dict(zip((i for i, _ in some), plain.dedup_lines(some), strict=True))
+
+
 def test_signature_guarantee():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 1 << 16, near_dup.VALUES).astype("<u2")
