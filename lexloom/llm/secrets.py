@@ -3,8 +3,8 @@
 Each rule's regular expression is turned into a Boolean query over lower-cased trigrams: any match needs all
 trigrams of at least one conjunction. The index holds postings (trigram, document) of the trigrams that some query
 names; intersecting them gives each rule's candidates, which the full expression then verifies. A rule whose
-expression has no mandatory trigram (runs of hexadecimal digits) scans every document. Only texts that satisfy some
-rule's query themselves, as every candidate does, travel to their candidates' rows; the others are scanned where they lie.
+expression has no mandatory trigram (runs of hexadecimal digits) scans every document. Only texts that hold some rule's literal
+run, as every text that a rule matches does, travel to their candidates' rows; the others are scanned where they lie.
 
 Matches are leftmost and non-overlapping for each rule; spans count code points, with exclusive ends.
 
@@ -16,6 +16,7 @@ rule are gathered in that document's row.
 
 from __future__ import annotations
 
+import re
 import re._constants as rc
 import re._parser as rp
 from dataclasses import dataclass
@@ -49,31 +50,40 @@ _MANY = 256  # ways through an expression beyond which its parts count as anythi
 
 def trigram_query(pattern: str) -> list[frozenset[str]] | None:
     """The conjunctions of trigrams one of which every match has; None if a match may lack them all."""
-    ways = _walk(rp.parse(pattern), [("", frozenset())])
-    found = {frozenset(grams | _grams(run)) for run, grams in ways}
+    found = {frozenset(run[i : i + 3] for run in runs for i in range(len(run) - 2)) for runs in _ways(pattern)}
     return None if frozenset() in found else sorted((f for f in found if not any(o < f for o in found)), key=sorted)
 
 
-def _grams(run: str) -> frozenset[str]:
-    return frozenset(run[i : i + 3] for i in range(len(run) - 2))
+def literal_runs(pattern: str) -> list[str]:
+    """Strings one of which every match of an indexable expression holds, in either case: the longest on each way."""
+    return sorted({max(runs, key=lambda r: (len(r), r)) for runs in _ways(pattern)}) if trigram_query(pattern) is not None else []
+
+
+def _ways(pattern: str) -> set[frozenset[str]]:
+    """For every way through an expression, the runs of at least three literals on it, in lower case."""
+    return {runs | _kept(run) for run, runs in _walk(rp.parse(pattern), [("", frozenset())])}
+
+
+def _kept(run: str) -> frozenset[str]:
+    return frozenset([run] if len(run) > 2 else [])
 
 
 def _broken(ways):
-    return list({("", grams | _grams(run)) for run, grams in ways})
+    return list({("", runs | _kept(run)) for run, runs in ways})
 
 
 def _walk(items, ways):
-    """ways: (the literal run so far, the trigrams before it), for every way through what came before."""
+    """ways: (the literal run so far, the runs before it), for every way through what came before."""
     for op, arg in items:
         if op is rc.LITERAL:
-            ways = [(run + chr(arg).lower(), grams) for run, grams in ways]
+            ways = [(run + chr(arg).lower(), runs) for run, runs in ways]
         elif op is rc.SUBPATTERN:
             ways = _walk(arg[3], ways)
         elif op is rc.BRANCH:
             forked = [w for branch in arg[1] for w in _walk(branch, ways)]
             ways = forked if len(forked) <= _MANY else _broken(ways)
         elif op is rc.IN and all(k is rc.LITERAL for k, _ in arg) and len(ways) * len(arg) <= _MANY:
-            ways = [(run + chr(c).lower(), grams) for run, grams in ways for _, c in arg]
+            ways = [(run + chr(c).lower(), runs) for run, runs in ways for _, c in arg]
         elif op in (rc.MAX_REPEAT, rc.MIN_REPEAT) and arg[:2] == (0, 1) and len(arg[2]) == 1 and arg[2][0][0] is rc.LITERAL:
             ways = [*ways, *_walk(arg[2], ways)]
         elif op in (rc.MAX_REPEAT, rc.MIN_REPEAT) and arg[0] >= 1:
@@ -105,14 +115,9 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "
 
 
 def may_match(text: Column, rules: tuple[Rule, ...]) -> Column:
-    """Whether a text has all trigrams of some conjunction: false for all but candidates."""
-    low, out = F.lower(text), F.lit(False)
-    for clause in sorted({clause for r in rules for clause in trigram_query(r.pattern) or []}, key=sorted):
-        every = F.lit(True)
-        for gram in sorted(clause, key=lambda g: (g.isalpha(), g)):
-            every = every & F.contains(low, F.lit(gram))
-        out = out | every
-    return out
+    """Whether a text holds a literal run of some rule: false where no rule of the index can match."""
+    runs = sorted({run for r in rules for run in literal_runs(r.pattern)})
+    return F.rlike(text, F.lit("(?i)" + "|".join(re.escape(run) for run in runs))) if runs else F.lit(False)
 
 
 _SPANS = "array<struct<start:int,rule:int,end:int>>"
@@ -139,7 +144,7 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
     met = candidates(docs, rules, id_col, text_col).withColumnRenamed("doc_id", "_cid")
     plain = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
     suspect = may_match(F.col("body"), rules)
-    joined = plain.where(suspect).join(met, F.col("doc_id").eqNullSafe(F.col("_cid"))).select("doc_id", "body", "kinds")
+    joined = plain.where(suspect).join(met, F.col("doc_id").eqNullSafe(F.col("_cid")), "left").select("doc_id", "body", "kinds")
     joined = joined.unionByName(plain.where(~suspect).withColumn("kinds", F.expr("cast(array() as array<string>)")))
     matches, gaps = {}, {}
     for rule in rules:
