@@ -155,10 +155,14 @@ def _cut(text_at: int, id_at: int, block_bytes: int, buckets: int):
     return run
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Names of our own, so that no column of docs can clash with ours."""
+    return docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+
+
 def cut_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(block, lines, texts, rest): rows in blocks; ``lines`` packs line counts and hashes, ids and ties of all rows."""
-    # numbered names, so that no column of docs can clash with ours
-    numbered = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)))
+    numbered = _numbered(docs)
     id_at, text_at = docs.columns.index("doc_id"), docs.columns.index("text")
     plain = numbered.withColumn(f"c{id_at}", F.col(f"c{id_at}").cast("long")).withColumn("raw", F.col(f"c{text_at}").cast("binary"))
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -315,14 +319,10 @@ def dedup_lines(docs: DataFrame, drop_empty: bool = False, counts: bool = False)
     ship(docs.sparkSession)
     blocks = cut_blocks(docs)
     gone = removed_lines(blocks)
-    schema = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns))).schema
-    at = docs.columns.index("doc_id")
     kept = blocks.join(gone, "block", "left").select("lines", "texts", "rest", "gone")
-    schema = type(schema)([*schema.fields]).add("n_lines", "long").add("n_kept", "long")
-    as_long = schema[f"c{at}"].dataType
-    schema[f"c{at}"].dataType = type(schema["n_lines"].dataType)()
+    schema = _numbered(docs).withColumn(f"c{docs.columns.index('doc_id')}", F.lit(None).cast("long")).schema.add("n_lines", "long").add("n_kept", "long")
     found = kept.mapInArrow(_finish(docs.columns.index("text"), len(docs.columns), drop_empty), schema)
-    columns = [F.col(f"c{i}").cast(as_long if i == at else docs.schema[i].dataType).alias(c) for i, c in enumerate(docs.columns)]
+    columns = [F.col(f"c{i}").cast(f.dataType).alias(f.name) for i, f in enumerate(docs.schema.fields)]
     return found.select(*columns, *(["n_lines", "n_kept"] if counts else []))
 
 
