@@ -3,20 +3,21 @@
 Each rule's regular expression is turned into a Boolean query over lower-cased trigrams: any match needs all
 trigrams of at least one conjunction. The index holds postings (trigram, document) of the trigrams that some query
 names; intersecting them gives each rule's candidates, which the full expression then verifies. A rule whose
-expression has no mandatory trigram (runs of hexadecimal digits) scans every document. Only texts that hold some rule's literal
-run, as every text that a rule matches does, travel to their candidates' rows; the others are scanned where they lie.
+expression has no mandatory trigram (runs of hexadecimal digits) scans every document.
+
+One pass over the texts writes the index's entries, the spans of rules that scan all, and the texts whose own entries
+satisfy some query: only those travel to what the index returns for them.
 
 Matches are leftmost and non-overlapping for each rule; spans count code points, with exclusive ends.
 
 Cases: a null text counts as empty; the candidates of equal ids are the union of theirs and each row is verified by
 itself, so repeated ids and rows are right; null ids are matched null-safe; a text without secrets has counts 0 and
-an empty span string; a text of any length is scanned whole; an empty table gives an empty table; other columns are not read. Spans of one document and
-rule are gathered in that document's row.
+an empty span string; a text of any length is scanned whole; an empty table gives an empty table; other columns are not
+read. Spans of one document and rule are gathered in that document's row.
 """
 
 from __future__ import annotations
 
-import re
 import re._constants as rc
 import re._parser as rp
 from dataclasses import dataclass
@@ -24,6 +25,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexloom.sources.scratch import materialize
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -54,11 +57,6 @@ def trigram_query(pattern: str) -> list[frozenset[str]] | None:
     return None if frozenset() in found else sorted((f for f in found if not any(o < f for o in found)), key=sorted)
 
 
-def literal_runs(pattern: str) -> list[str]:
-    """Strings one of which every match of an indexable expression holds, in either case: the longest on each way."""
-    return sorted({max(runs, key=lambda r: (len(r), r)) for runs in _ways(pattern)}) if trigram_query(pattern) is not None else []
-
-
 def _ways(pattern: str) -> set[frozenset[str]]:
     """For every way through an expression, the runs of at least three literals on it, in lower case."""
     return {runs | _kept(run) for run, runs in _walk(rp.parse(pattern), [("", frozenset())])}
@@ -93,33 +91,29 @@ def _walk(items, ways):
     return ways
 
 
-def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, kinds): the rules whose trigram query the document's postings satisfy. Unindexable rules are left out."""
-    spark = docs.sparkSession
-    clauses = [
-        (r.kind, f"{r.kind}-{n}", gram, 1 << bit, (1 << len(clause)) - 1)
-        for r in rules
-        for n, clause in enumerate(trigram_query(r.pattern) or [])
-        for bit, gram in enumerate(sorted(clause))
-    ]
-    wanted = sorted({gram for _, _, gram, _, _ in clauses})
-    low = F.lower(F.col(text_col))
+def _clauses(rules: tuple[Rule, ...]) -> list[tuple[str, frozenset[str]]]:
+    """(kind, conjunction of trigrams) of all indexable rules."""
+    return [(r.kind, clause) for r in rules for clause in trigram_query(r.pattern) or []]
+
+
+def held_trigrams(text: Column, rules: tuple[Rule, ...]) -> Column:
+    """Which of the trigrams that some rule's query names a text holds: its entries in the index."""
+    low = F.lower(text)
+    wanted = sorted({gram for _, clause in _clauses(rules) for gram in clause})
     # array_except drops the nulls in generated code, which computes the lower-cased text once for all trigrams
-    grams = F.array_except(F.array(*(F.when(F.contains(low, F.lit(g)), F.lit(g)) for g in wanted)), F.array(F.lit(None).cast("string")))
-    # explode_outer: plain explode would make Spark filter by the same expression first, so evaluate it twice
-    postings = docs.select(F.col(id_col).alias("doc_id"), grams.alias("grams")).select("doc_id", F.explode_outer("grams").alias("gram"))
+    return F.array_except(F.array(*(F.when(F.contains(low, F.lit(g)), F.lit(g)) for g in wanted)).cast("array<string>"), F.array(F.lit(None).cast("string")))
+
+
+def candidates(indexed: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(doc_id, grams) -> (doc_id, kinds): the rules whose trigram query the document's postings satisfy."""
+    needed = [(kind, f"{kind}-{n}", gram, 1 << bit, (1 << len(clause)) - 1) for n, (kind, clause) in enumerate(_clauses(rules)) for bit, gram in enumerate(sorted(clause))]
     # one row per trigram of a rule, so this side may be broadcast
-    needs = F.broadcast(spark.createDataFrame(clauses, "kind string, clause string, gram string, bit long, every long"))
+    needs = F.broadcast(indexed.sparkSession.createDataFrame(needed, "kind string, clause string, gram string, bit long, every long"))
+    postings = indexed.select("doc_id", F.explode("grams").alias("gram"))
     met = postings.join(needs, "gram").groupBy("doc_id", "kind", "clause").agg((F.bit_or("bit") == F.first("every")).alias("all"))
     return met.where("all").groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))
 
 
-def may_match(text: Column, rules: tuple[Rule, ...]) -> Column:
-    """Whether a text holds a literal run of some rule: false where no rule of the index can match."""
-    runs = sorted({run for r in rules for run in literal_runs(r.pattern)})
-    return F.rlike(text, F.lit("(?i)" + "|".join(re.escape(run) for run in runs))) if runs else F.lit(False)
-
-
 _SPANS = "array<struct<start:int,rule:int,end:int>>"
 _AT_ONCE = 256  # spans gathered before they are added to the document's, which copies those
 
@@ -139,22 +133,36 @@ def _spans(rule: Rule, number: int) -> str:
           cast(array() as {_SPANS}))"""
 
 
-def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_<kind> for each rule, and ``found``: the spans of all rules as sorted (start, rule's number, end)."""
-    met = candidates(docs, rules, id_col, text_col).withColumnRenamed("doc_id", "_cid")
-    plain = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    suspect = may_match(F.col("body"), rules)
-    joined = plain.where(suspect).join(met, F.col("doc_id").eqNullSafe(F.col("_cid")), "left").select("doc_id", "body", "kinds")
-    joined = joined.unionByName(plain.where(~suspect).withColumn("kinds", F.expr("cast(array() as array<string>)")))
+def _located(rows: DataFrame, keep: list[str], rules: list[tuple[int, Rule]], guarded: bool) -> DataFrame:
+    """keep... and a column of spans for each rule, found in ``body``; if ``guarded``, only for the rules named in ``kinds``."""
     matches, gaps = {}, {}
-    for rule in rules:
+    for _, rule in rules:
         wanted = {f"{c}_{rule.kind}": F.regexp_extract_all("body", F.lit(rule.pattern), F.lit(group)) for c, group in (("m", 0), ("v", rule.group)) if c == "m" or group}
-        if trigram_query(rule.pattern) is not None:
-            wanted = {name: F.when(F.array_contains("kinds", rule.kind), column) for name, column in wanted.items()}
-        matches |= wanted
+        matches |= {name: F.when(F.array_contains("kinds", rule.kind), column) if guarded else column for name, column in wanted.items()}
         gaps[f"g_{rule.kind}"] = F.when(F.size(f"m_{rule.kind}") > 0, F.split("body", rule.pattern, -1))
-    pieces = joined.select("doc_id", "body", *(c.alias(n) for n, c in matches.items())).select("doc_id", *matches, *(c.alias(n) for n, c in gaps.items()))
-    located = pieces.select("doc_id", *(F.expr(_spans(rule, number)).alias(rule.kind) for number, rule in enumerate(rules)))
+    found = rows.select(*dict.fromkeys([*keep, "body"]), *(c.alias(n) for n, c in matches.items()))
+    found = found.select(*dict.fromkeys([*keep, "body"]), *matches, *(c.alias(n) for n, c in gaps.items()))
+    return found.select(*keep, *(F.expr(_spans(rule, number)).alias(rule.kind) for number, rule in rules))
+
+
+def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_<kind> for each rule, and ``found``: the spans of all rules as sorted (start, rule's number, end)."""
+    numbered = list(enumerate(rules))
+    everywhere = [(n, r) for n, r in numbered if trigram_query(r.pattern) is None]
+    by_index = [(n, r) for n, r in numbered if trigram_query(r.pattern) is not None]
+    full = [r.kind for _, r in everywhere]
+    # the one pass over all texts: index entries, spans of the rules that scan all, and the texts that a query can return
+    plain = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
+    scanned = _located(plain.withColumn("grams", held_trigrams(F.col("body"), rules)), ["doc_id", "body", "grams"], everywhere, False)
+    possible = F.lit(False)
+    for clause in sorted({c for _, c in _clauses(rules)}, key=sorted):
+        possible = possible | (F.size(F.array_intersect("grams", F.array(*map(F.lit, sorted(clause))))) == len(clause))
+    index = materialize(scanned.withColumn("body", F.when(possible, F.col("body"))), "secrets")
+    met = candidates(index, rules).withColumnRenamed("doc_id", "_cid")
+    joined = index.where("body is not null").join(met, F.col("doc_id").eqNullSafe(F.col("_cid")), "left")
+    verified = _located(joined, ["doc_id", *full], by_index, True)
+    rest = index.where("body is null").select("doc_id", *full, *(F.expr(f"cast(array() as {_SPANS})").alias(r.kind) for _, r in by_index))
+    located = verified.unionByName(rest)
     return located.select("doc_id", *(F.size(r.kind).cast("long").alias(f"n_{r.kind}") for r in rules), F.array_sort(F.concat(*(r.kind for r in rules))).alias("found"))
 
 
