@@ -1,17 +1,18 @@
 import os
 import random
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from lexloom.__main__ import main
 from lexloom.config import DEFAULT
-from lexloom.errors import MissingFileError, ValidationError
+from lexloom.errors import ConfigurationError, MissingFileError, ValidationError
 from lexloom.functions import scalar
 from lexloom.operators import flatten, rules, stats
 from lexloom.plans import detection, pipeline, sqlfunctions
-from lexloom.sources import files
+from lexloom.sources import files, scratch
 from lexloom.streaming import clean_stream as streaming
 
 
@@ -195,6 +196,20 @@ def test_sql_cascade(spark):
     assert {r.word for r in df.where(f"lexloom_matches_rules(word, array('{"', '".join(listed)}'))").collect()} == wanted
 
 
+def test_clusters_need_a_shared_folder():
+    def session(master, folder=None, set_later=None):
+        context = SimpleNamespace(master=master, applicationId=f"{master}-{folder}", getCheckpointDir=lambda: set_later)
+        return SimpleNamespace(conf={"spark.checkpoint.dir": folder} if folder else {}, sparkContext=context)
+
+    with pytest.raises(ConfigurationError):
+        scratch.shared_folder(session("spark://host:7077"))
+    with pytest.raises(ConfigurationError):
+        scratch.shared_folder(session("local-cluster[3,2,1024]"))
+    assert scratch.shared_folder(session("yarn", "hdfs://shared/")) == "hdfs://shared"
+    assert scratch.shared_folder(session("yarn", None, "hdfs://later")) == "hdfs://later"
+    assert os.path.isdir(scratch.shared_folder(session("local[2]")))
+
+
 def test_settings_reach_their_users(spark, tmp_path):
     (tmp_path / "exceptions.txt").write_text("ул.\n", encoding="utf-8")
     patterns = pipeline.exception_patterns(spark, DEFAULT.with_(word_healer_exceptions_file=str(tmp_path / "exceptions.txt")))
