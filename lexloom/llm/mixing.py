@@ -13,7 +13,8 @@
    are then shuffled within a shard.
 
 No source is gathered in one task: positions come from running sums in three levels (64 x 64 hash ranges a
-source), the last of which is spread by source and range. The tree works on rows of blocks, spread by hash range.
+source), the last of which is spread by source and range. The tree works on rows of blocks, spread by hash range. Only
+the targets are solved in one task, over one row of numbers per source, as they depend on all sources.
 
 Cases: a null text has size 0; sizes of 0 take 0; the null source is a source of its own and comes last; rows
 equal in id, source and text share one position, so they are taken equally often, whatever their order; null ids
