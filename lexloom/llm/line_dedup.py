@@ -252,7 +252,9 @@ def near_lines(blocks: DataFrame, places: DataFrame) -> DataFrame:
     rough = components(met, "lines-rough")
     # each line's first place and size in bytes; sizes bound what is compared in one task
     some = materialize(places.join(rough, F.col("node") == F.col("id")).groupBy("id", "root").agg(F.min(F.struct("block", "row", "line")).alias("at"), F.max("size").alias("size")), "lines-some")
-    sized = some.join(some.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("weight")), "root")
+    # written, as a join of two plain shuffles can be split where one component has many of the lines
+    sizes = materialize(some.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("weight")), "lines-sizes")
+    sized = some.join(sizes, "root")
     asked = sized.groupBy("at.block").agg(F.collect_list(F.struct("at.row", "at.line", "id", "root", "n", "weight")).alias("wanted"))
     compared = blocks.select("block", "texts").join(asked, "block").select("texts", "wanted").mapInArrow(_fetch, "group long, id long, payload binary, n long, weight long")
     return connect_groups(materialize(compared, "lines-compared"), set_matcher(PERCENT, shingle_hashes), "lines-exact", chunk=1024)

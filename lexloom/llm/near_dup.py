@@ -119,7 +119,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     signatures = classes.select("id", "signature")
     rough = components(key_links(signatures.mapInArrow(_keys, "key long, id long")), "near-dup-rough")
     some = materialize(rough.join(classes.select("id", "name", "size"), "id"), "near-dup-some")
-    wanted = some.join(some.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("weight")), "root")
+    # written, as a join of two plain shuffles can be split where one component has many of the documents
+    sizes = materialize(some.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("weight")), "near-dup-sizes")
+    wanted = some.join(sizes, "root")
     # what is wanted grows with the corpus, so the plan is the same at every size: no side is broadcast
     compared = plain.join(wanted.hint("merge"), F.col("doc_id") == F.col("id")).select("id", "root", "n", "weight", "name", "raw").mapInArrow(_sets(words), "group long, id long, payload binary, n long, weight long")
     exact = connect_groups(materialize(compared, "near-dup-sets"), set_matcher(percent), "near-dup-exact")
