@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexloom.llm import line_dedup, mixing, near_dup, secrets
+from lexloom.llm import line_dedup, mixing, near_dup, secrets, spelling
 from lexloom.llm.audio import op9_audio
 from lexloom.llm.bpe import op1_bpe
 from lexloom.llm.lattice_lm import op8_lattice_lm
@@ -13,6 +13,7 @@ from lexloom.llm.order_minhash import op10_order_minhash
 from lexloom.llm.quality_knn import op5_quality_knn
 from lexloom.llm.secrets import op6_secrets
 from lexloom.llm.shards import op2_sharding
+from lexloom.llm.spelling import op11_spelling
 
 QUERIES = {
     "op1_bpe": op1_bpe,
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_lattice_lm": op8_lattice_lm,
     "op9_audio": op9_audio,
     "op10_order_minhash": op10_order_minhash,
+    "op11_spelling": op11_spelling,
 }
 
 ORACLES: dict[str, str] = {
@@ -32,4 +34,5 @@ ORACLES: dict[str, str] = {
     "op4_near_dup": near_dup.ORACLE,
     "op6_secrets": secrets.ORACLE,
     "op7_mixing": mixing.ORACLE,
+    "op11_spelling": spelling.ORACLE,
 }
