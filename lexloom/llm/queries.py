@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from lexloom.llm import line_dedup, mixing, near_dup, secrets, spelling
+from lexloom.llm import collocations, line_dedup, mixing, near_dup, secrets, spelling
 from lexloom.llm.audio import op9_audio
 from lexloom.llm.bpe import op1_bpe
+from lexloom.llm.collocations import op13_collocations
 from lexloom.llm.lattice_lm import op8_lattice_lm
 from lexloom.llm.line_dedup import op3_line_dedup
 from lexloom.llm.mixing import op7_mixing
@@ -14,6 +15,7 @@ from lexloom.llm.quality_knn import op5_quality_knn
 from lexloom.llm.secrets import op6_secrets
 from lexloom.llm.shards import op2_sharding
 from lexloom.llm.spelling import op11_spelling
+from lexloom.llm.token_files import op12_token_files
 
 QUERIES = {
     "op1_bpe": op1_bpe,
@@ -27,6 +29,8 @@ QUERIES = {
     "op9_audio": op9_audio,
     "op10_order_minhash": op10_order_minhash,
     "op11_spelling": op11_spelling,
+    "op12_token_files": op12_token_files,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES: dict[str, str] = {
@@ -35,4 +39,5 @@ ORACLES: dict[str, str] = {
     "op6_secrets": secrets.ORACLE,
     "op7_mixing": mixing.ORACLE,
     "op11_spelling": spelling.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }
