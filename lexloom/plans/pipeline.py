@@ -2,26 +2,21 @@
 
 from __future__ import annotations
 
-import glob
-import logging
-import os
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.config import DEFAULT, Config
 from lexloom.functions import classify, healing, text, tokens
 from lexloom.operators import rules as R
-from lexloom.operators.stats import best_attempt, removed_words
+from lexloom.operators.stats import best_attempt
+from lexloom.session import ship
 from lexloom.sources import files
 from lexloom.sources.scratch import materialize
-from lexloom.session import ship
-
-
-LOG = logging.getLogger("lexloom")
-LOG.setLevel(logging.INFO)  # for a run's own log; what else is shown is up to the handlers
+from lexloom.sources.storage import Storage
 
 
 def clean_text(column: Column, config: Config = DEFAULT) -> Column:
@@ -53,28 +48,49 @@ def detect_words(words: DataFrame, detect) -> DataFrame:
 
 
 _ROW, _POS, _WORD, _TOKENS, _FLAGS = ("__lexloom_row", "__lexloom_pos", "__lexloom_word", "__lexloom_tokens", "__lexloom_flags")
+_HEALED, _DOTTED, _DROPPED, _KEPT = ("__lexloom_healed", "__lexloom_dotted", "__lexloom_dropped", "__lexloom_kept")
 
+#: What a run counts: runs of spaced letters, tokens by the rule that drops them, and words that the cascade keeps and deletes.
+COUNTERS = ("spaced_letters", *(name for name, _ in tokens.DROP_RULES), "kept", "removed")
 
-def remove_words(docs: DataFrame, deleted: DataFrame, text_col: str = "text") -> DataFrame:
+
+def remove_words(docs: DataFrame, deleted: DataFrame, text_col: str = "text", kept_col: str | None = None) -> DataFrame:
     """docs without the words of ``deleted`` (word): an anti-join of tokens with a word list.
 
     For lists that are too long for the workers. Rows get numbers of their own, so ids may repeat or be null; tokens travel
-    with their row and position and come back in order. A text that is null comes out empty.
+    with their row and position and come back in order. A text that is null comes out empty. ``kept_col`` is a new column
+    with the number of words that are left.
     """
     rows = materialize(docs.withColumn(_ROW, F.monotonically_increasing_id()), "remove-words")
     placed = rows.select(_ROW, F.posexplode(tokens.joined_tokens(F.col(text_col))).alias(_POS, _WORD))
     kept = placed.join(deleted.select(F.col("word").alias(_WORD)).distinct(), _WORD, "left_anti")
     gathered = kept.groupBy(_ROW).agg(F.array_sort(F.collect_list(F.struct(_POS, _WORD))).alias(_TOKENS))
     joined = F.array_join(F.transform(_TOKENS, lambda w: classify.spaced_out(w[_WORD])), " ")
-    return rows.join(gathered, _ROW, "left").withColumn(text_col, F.coalesce(joined, F.lit(""))).select(*docs.columns)
+    out = rows.join(gathered, _ROW, "left").withColumn(text_col, F.coalesce(joined, F.lit("")))
+    more = [F.coalesce(F.size(_TOKENS), F.lit(0)).alias(kept_col)] if kept_col else []
+    return out.select(*docs.columns, *more)
 
 
-def remove_listed(docs: DataFrame, listed: list[str], config: Config = DEFAULT, text_col: str = "text") -> DataFrame:
-    """docs without Russian words and without listed ones, decided within each row: no shuffle."""
+def listed_kept(docs: DataFrame, listed: list[str], config: Config = DEFAULT, text_col: str = "text") -> DataFrame:
+    """docs with the arrays of all words and of those that are neither Russian nor listed, decided within each row: no shuffle."""
     flags = R.listed_flags(ship(docs.sparkSession), listed)
     flagged = docs.withColumn(_TOKENS, tokens.joined_tokens(F.col(text_col))).withColumn(_FLAGS, flags(F.col(_TOKENS)))
-    kept = F.filter(_TOKENS, lambda w, i: ~(F.get(F.col(_FLAGS), i) | classify.deleted_by_form(w, config)))
-    return flagged.withColumn(text_col, F.coalesce(F.array_join(F.transform(kept, classify.spaced_out), " "), F.lit(""))).select(*docs.columns)
+    return flagged.withColumn(_KEPT, F.filter(_TOKENS, lambda w, i: ~(F.get(F.col(_FLAGS), i) | classify.deleted_by_form(w, config))))
+
+
+def remove_listed(docs: DataFrame, listed: list[str], config: Config = DEFAULT, text_col: str = "text") -> DataFrame:
+    """docs without Russian words and without listed ones."""
+    kept = F.array_join(F.transform(_KEPT, classify.spaced_out), " ")
+    return listed_kept(docs, listed, config, text_col).withColumn(text_col, F.coalesce(kept, F.lit(""))).select(*docs.columns)
+
+
+def deleted_words(valid: DataFrame, rules: DataFrame | None, config: Config, detect, text_col: str) -> DataFrame:
+    """(word): the distinct words that the cascade deletes, each classified once."""
+    words = materialize(valid.select(F.explode(tokens.joined_tokens(F.col(text_col))).alias("word")).distinct(), "clean-words")
+    matched = R.match_rules(words, rules) if rules is not None else words.limit(0).withColumn("way", F.lit(""))
+    decided = words.join(matched, "word", "left").select("word", classify.deciding_rule(F.col("word"), config, F.col("way").isNotNull()).alias("rule"))
+    deleted = decided.where(F.col("rule").isin(*classify.DELETING)).select("word")
+    return deleted if detect is None else deleted.unionByName(detect_words(decided.where("rule = 'undecided'"), detect))
 
 
 def clean_with_rules(docs: DataFrame, rules: DataFrame | None = None, config: Config = DEFAULT, detect=None, text_col: str = "text") -> DataFrame:
@@ -90,13 +106,44 @@ def clean_with_rules(docs: DataFrame, rules: DataFrame | None = None, config: Co
     if detect is None and (listed := R.small_list(rules)) is not None:
         return remove_listed(valid, listed, config, text_col)
     valid = materialize(valid, "clean-valid")  # read twice, so that texts are healed once
-    words = materialize(valid.select(F.explode(tokens.joined_tokens(F.col(text_col))).alias("word")).distinct(), "clean-words")
-    matched = R.match_rules(words, rules) if rules is not None else words.limit(0).withColumn("way", F.lit(""))
-    decided = words.join(matched, "word", "left").select("word", classify.deciding_rule(F.col("word"), config, F.col("way").isNotNull()).alias("rule"))
-    deleted = decided.where(F.col("rule").isin(*classify.DELETING)).select("word")
-    if detect is not None:
-        deleted = deleted.unionByName(detect_words(decided.where("rule = 'undecided'"), detect))
-    return remove_words(valid, deleted, text_col)
+    return remove_words(valid, deleted_words(valid, rules, config, detect, text_col), text_col)
+
+
+def _equal_to(array: str, value: str) -> Column:
+    return F.filter(array, lambda x: x == value)
+
+
+def clean_counted(docs: DataFrame, rules: DataFrame | None = None, config: Config = DEFAULT, detect=None, text_col: str = "text", counts_col: str = "counts") -> DataFrame:
+    """``clean_with_rules`` with one more column: a struct of ``COUNTERS`` for each row. A null text counts nothing."""
+    ship(docs.sparkSession)
+    column = F.col(text_col)
+    healed = docs.withColumn(_HEALED, healing.heal_text(text.remove_special(column), config))
+    dotted = healed.withColumn(_DOTTED, tokens.dot_tokens(text.drop_spaced_letters(F.col(_HEALED))))
+    dropped = dotted.withColumn(_DROPPED, F.transform(F.filter(_DOTTED, lambda w: F.rlike(w, F.lit(tokens.DROPPED))), tokens.drop_reason))
+    count = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    size = lambda c: F.when(c.isNotNull(), F.size(c))
+    by_rule = [count(size(_equal_to(_DROPPED, name))).alias(name) for name, _ in tokens.DROP_RULES]
+    first = F.struct(count(text.count_spaced_letters(F.col(_HEALED))).alias("spaced_letters"), *by_rule)
+    others = [F.col(c) for c in docs.columns if c != text_col]
+    left = F.array_join(F.filter(_DOTTED, lambda w: ~F.rlike(w, F.lit(tokens.DROPPED))), " ")
+    valid = dropped.select(*others, left.alias(text_col), first.alias(_DROPPED))
+    listed = None if rules is None or detect is not None else R.small_list(rules)
+    words = size(tokens.joined_tokens(column))
+    if (rules is None or listed is not None) and detect is None:
+        kept = listed_kept(valid, listed, config, text_col) if listed else valid.withColumn(_TOKENS, tokens.joined_tokens(column)).withColumn(_KEPT, F.filter(_TOKENS, lambda w: ~classify.deleted_by_form(w, config)))
+        out, words, n_kept = kept.withColumn(text_col, F.coalesce(F.array_join(F.transform(_KEPT, classify.spaced_out), " "), F.lit(""))), size(F.col(_TOKENS)), size(F.col(_KEPT))
+    else:
+        valid = materialize(valid.withColumn(_FLAGS, words), "clean-valid")
+        out, words, n_kept = remove_words(valid, deleted_words(valid, rules, config, detect, text_col), text_col, _KEPT), F.col(_FLAGS), F.col(_KEPT)
+    counts = F.struct(F.col(f"{_DROPPED}.*"), count(n_kept).alias("kept"), count(words - n_kept).alias("removed"))
+    return out.select(*docs.columns, counts.alias(counts_col))
+
+
+def observed(counted: DataFrame, counts_col: str = "counts") -> tuple[DataFrame, Observation]:
+    """The rows without their counters, and an observation of the counters' sums in the pass that writes the rows."""
+    seen = Observation(f"counters-{uuid.uuid4().hex}")
+    sums = [F.coalesce(F.sum(f"{counts_col}.{name}"), F.lit(0)).cast("long").alias(name) for name in COUNTERS]
+    return counted.observe(seen, *sums).drop(counts_col), seen
 
 
 def exception_patterns(spark: SparkSession, config: Config = DEFAULT) -> tuple[str, ...]:
@@ -106,8 +153,9 @@ def exception_patterns(spark: SparkSession, config: Config = DEFAULT) -> tuple[s
 
 def word_lists(spark: SparkSession, config: Config = DEFAULT) -> DataFrame | None:
     """(word) of the lists in the folder for them; None where there are none."""
-    folder = os.path.abspath(config.additional_folder)
-    return R.read_word_list(spark, folder) if glob.glob(os.path.join(glob.escape(folder), "*.txt")) else None
+    folder = Storage(spark).full_name(config.additional_folder)
+    found = Storage(spark).exists(folder) and Storage(spark).files(folder, ".txt")
+    return R.read_word_list(spark, folder) if found else None
 
 
 def clean_rows(rows: DataFrame, config: Config = DEFAULT, detect=None) -> DataFrame:
@@ -116,59 +164,19 @@ def clean_rows(rows: DataFrame, config: Config = DEFAULT, detect=None) -> DataFr
 
 
 def pdf_texts(pages: DataFrame, config: Config = DEFAULT) -> DataFrame:
-    """(file, page, level, text, error) of ``read_pdf_pages`` -> (file, page, text): the best attempt, hyphens merged."""
+    """(file, page, level, text, error) of ``read_pdf_pages`` -> (file, page, text, warning): the best attempt, hyphens merged."""
     attempts = pages.where("error is null").select(F.struct("file", "page").alias("page"), "level", "text")
     if not config.pdf_adaptive_tolerance:  # only the default level counts
         attempts = attempts.where(F.col("level") == files.DEFAULT_LEVEL)
     best = best_attempt(attempts, config.pdf_badness_threshold if config.pdf_adaptive_tolerance else 1.0, files.DEFAULT_LEVEL)
-    return best.select("page.file", "page.page", text.merge_line_hyphens(F.coalesce("text", F.lit(""))).alias("text"))
+    return best.select("page.file", "page.page", text.merge_line_hyphens(F.coalesce("text", F.lit(""))).alias("text"), "warning")
 
 
 def run(spark: SparkSession, config: Config = DEFAULT, extractor: files.PdfExtractor = files.extract_pages, detect=None) -> dict[str, str]:
     """Extract every PDF and Parquet file of the input folder, clean (with word lists), write, and archive; the run's paths.
 
-    A file that cannot be read gets a manifest row with its error, stays in the input folder, and does not end the run.
+    See ``runs``, where the steps of a run and what a crash leaves are told.
     """
-    config.validate()
-    files.make_folders(config)
-    files.check_folder(config.input_folder)
-    folder = files.run_folder(config.results_folder)
-    out = {name: os.path.join(folder, name) for name in ("extracted", "cleaned", "manifest")}
-    os.makedirs(folder, exist_ok=True)
-    log = logging.FileHandler(os.path.join(folder, "logs"), encoding="utf-8")
-    log.setFormatter(logging.Formatter("%(asctime)s %(levelname)s %(message)s"))
-    LOG.addHandler(log)
-    try:
-        return out | {"processed": str(_run(spark, config, extractor, detect, out))}
-    finally:
-        LOG.removeHandler(log)
-        log.close()
-
-
-def _run(spark: SparkSession, config: Config, extractor: files.PdfExtractor, detect, out: dict[str, str]) -> int:
-    """How many files were processed."""
-    done: list[str] = []
-    if pdfs := sorted(glob.glob(os.path.join(config.input_folder, "*.pdf"))):
-        # written, as texts, manifest and failures all read it, and extraction is the slow part
-        pages = materialize(files.read_pdf_pages(spark, config.input_folder, extractor, config=config), "pdf-pages")
-        files.append_texts(pdf_texts(pages, config).where("text <> ''").select("file", "text"), out["extracted"])
-        files.manifest("pdf", pages).write.mode("append").parquet(out["manifest"])
-        failed = {r.file for r in pages.where("error is not null").select("file").distinct().collect()}
-        done += [p for p in pdfs if not any(f.endswith("/" + os.path.basename(p)) for f in failed)]
-    if tables := sorted(glob.glob(os.path.join(os.path.abspath(config.input_folder), "*.parquet"))):
-        rows = materialize(files.read_parquet_rows(spark, tables), "parquet-rows")
-        files.append_texts(rows.where("text is not null").select("file", "text"), out["extracted"])
-        files.manifest("parquet", rows).write.mode("append").parquet(out["manifest"])
-        failed = {r.file for r in rows.where("error is not null").select("file").distinct().collect()}
-        done += [t for t in tables if t not in failed]
-    if done:
-        extracted = spark.read.parquet(out["extracted"])
-        files.overwrite_texts(clean_rows(extracted, config, detect).where("text <> ''"), out["cleaned"])
-        if config.debug_sample_size and LOG.isEnabledFor(logging.DEBUG):
-            LOG.debug("deleted words, for example: %s", " ".join(removed_words(extracted, config.debug_sample_size)))
-        cleaned = spark.read.parquet(out["cleaned"]).withColumn("error", F.lit(None).cast("string"))
-        files.manifest("clean", cleaned).write.mode("append").parquet(out["manifest"])
-        files.archive(done, config.archive_folder)
-    for row in spark.read.parquet(out["manifest"]).collect() if done or pdfs or tables else ():  # a row per file
-        LOG.log(logging.ERROR if row.error else logging.INFO, "%s %s: %s", row.processor, row.file, row.error or f"{row.n_chars} characters, {row.n_bytes} bytes, {row.n_units} pages or rows")
-    return len(done)
+    from lexloom.plans import runs
+
+    return runs.run(spark, config, extractor, detect)

@@ -16,7 +16,7 @@ from lexloom.functions import text as T
 from lexloom.operators import flatten, rules, stats
 from lexloom.plans import healing_sql, pipeline
 from lexloom.session import ship
-from lexloom.sources import files
+from lexloom.sources import files, textfiles
 from lexloom.sources.scratch import scratch_path
 from lexloom.streaming import clean_stream as streaming
 
@@ -303,7 +303,7 @@ query(
 )
 query(
     "manifest_counts",
-    lambda spark, sf_dir: files.manifest("parquet", table(spark, sf_dir, "documents").select(F.col("source").alias("file"), "text", F.lit(None).cast("string").alias("error"))).drop("ts"),
+    lambda spark, sf_dir: files.manifest("parquet", table(spark, sf_dir, "documents").select(F.col("source").alias("file"), "text", F.lit(None).cast("string").alias("error"))).drop("ts", "counts"),
     "SELECT 'parquet' AS processor, source AS file, CAST(coalesce(sum(length(text)), 0) AS BIGINT) AS n_chars, CAST(coalesce(sum(strlen(text)), 0) AS BIGINT) AS n_bytes, CAST(count(text) AS INTEGER) AS n_units, CAST(NULL AS VARCHAR) AS error FROM documents GROUP BY source",
 )
 query(
@@ -349,6 +349,20 @@ def clean_pipeline(spark, sf_dir) -> DataFrame:
     return cleaned.select("doc_id", F.col("text").alias("clean_text"), F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", " "))).cast("long").alias("n_words"))
 
 
+def run_counters(spark, sf_dir) -> DataFrame:
+    """What cleaning removes and keeps, counted in the pass that writes the cleaned documents."""
+    rows, seen = pipeline.observed(pipeline.clean_counted(cyrillic(spark, sf_dir), None, DEFAULT.with_(word_healer_enabled=False)))
+    rows.write.parquet(scratch_path(spark, "run-counters"))
+    return spark.createDataFrame(list(seen.get.items()), "counter string, n long")
+
+
+def ordered_text(spark, sf_dir) -> DataFrame:
+    """All documents in one text file, in the order of their ids, and its lines read back in splits."""
+    path = f"{scratch_path(spark, 'ordered-text')}.txt"
+    textfiles.write_text_file(documents(spark, sf_dir), path, ["doc_id"])
+    return textfiles.with_offsets(textfiles.read_pieces(spark, path)).select("start", "text")
+
+
 def stream_clean(spark, sf_dir) -> DataFrame:
     """The documents as a stream of files, cleaned into the shared folder."""
     ship(spark)
@@ -368,3 +382,16 @@ query("clean_pipeline", clean_pipeline, f"SELECT doc_id, clean_text, CASE WHEN c
 query("stream_clean", stream_clean, _over_documents(_UNHEALED_SQL, _HEALED, _CLEAN_SQL, "text"))
 query("clean_with_rules_healed", lambda spark, sf_dir: pipeline.clean_with_rules(cyrillic(spark, sf_dir), rule_words(spark, sf_dir)), _with_rules_sql(_over_documents(_UNHEALED_SQL, _HEALED, _valid_sql("coalesce(t, '')"))))
 query("undecided_words", lambda spark, sf_dir: pipeline.undecided_words(cyrillic(spark, sf_dir)), f"SELECT word FROM {_WORDS_SQL} WHERE ({_RULE_CASE}) = 'undecided'")
+_COUNTED_SQL = f"""WITH base AS (SELECT {_UNHEALED_SQL} AS t FROM documents),
+counted AS (
+  SELECT 'spaced_letters' AS counter, CAST(coalesce(sum({_spaced_sql('t')[0]}), 0) AS BIGINT) AS n FROM base
+  UNION ALL SELECT reason, count(*) FROM (SELECT {_REASON} AS reason FROM (SELECT unnest(regexp_extract_all({_spaced_sql('t')[1]}, {_DOT})) AS w FROM base)) WHERE reason IS NOT NULL GROUP BY reason
+  UNION ALL SELECT CASE WHEN {_RUSSIAN_SQL} THEN 'removed' ELSE 'kept' END, count(*) FROM (SELECT unnest(regexp_extract_all({_valid_sql('t')}, {_JOINED})) AS word FROM base) GROUP BY 1)
+SELECT c.counter, coalesce(n, 0) AS n FROM (SELECT unnest({list(pipeline.COUNTERS)}) AS counter) c LEFT JOIN counted ON c.counter = counted.counter"""
+query("run_counters", run_counters, _COUNTED_SQL)
+query(
+    "ordered_text",
+    ordered_text,
+    """SELECT CAST(coalesce(sum(strlen(text) + 1) OVER (ORDER BY doc_id, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start, text
+FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)""",
+)

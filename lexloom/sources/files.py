@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import glob
 import os
-import shutil
 from collections.abc import Callable
 from datetime import datetime
 
@@ -15,9 +13,12 @@ from lexloom.config import DEFAULT, Config
 from lexloom.errors import MissingFileError, ParquetProcessingError, ValidationError
 from lexloom.operators.flatten import row_text
 from lexloom.session import ship
+from lexloom.sources.footers import file_kinds
 from lexloom.sources.pdf import pdf_pages
+from lexloom.sources.storage import Storage, literal, plain_metadata_name, plain_name
 
-MANIFEST = "processor string, file string, ts timestamp, n_chars long, n_bytes long, n_units int, error string"
+MANIFEST = "processor string, file string, ts timestamp, n_chars long, n_bytes long, n_units int, error string, counts map<string,bigint>"
+ROWS = "file string, pos long, text string, error string"
 DEFAULT_LEVEL = 1
 #: Takes a file's bytes, the tolerance levels to try as (level, x tolerance, y tolerance), and whether to keep the layout;
 #: yields (page number, level, text) for every page and attempt.
@@ -60,32 +61,30 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_parquet_rows(spark: SparkSession, paths: list[str], parity: bool = False) -> DataFrame:
-    """(file, text, error): a row for every row of the files; ``text`` is null for rows and files that hold none.
+    """(file, pos, text, error): a row for every row of the files; ``text`` is null for rows and files that hold none.
 
-    Every file is read by its own schema: files of one schema are read together, and only their text columns. A file that
-    is no readable Parquet is one row with its error; one without rows, or without text columns, is a row without text.
+    Every file is read by its own schema, which tasks read from the footers: files of one schema are read together, and only
+    their text columns. A file that is no readable Parquet is one row with its error; one without rows, or without text columns,
+    is a row without text. ``pos`` is the row's number in its file.
     """
-    by_schema: dict[str, list[str]] = {}
-    failed: list[tuple[str, str]] = []
-    for path in map(os.path.abspath, paths):
-        try:
-            check_file(path)
-            by_schema.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
-        except Exception as error:  # a bad file must not end the run; it is told in the manifest
-            failed.append((path, f"{type(error).__name__}: {str(error).splitlines()[0]}"))
-    kind = "file string, text string, error string"
-    out = spark.createDataFrame([(p, None, None) for group in by_schema.values() for p in group] + [(p, None, e) for p, e in failed], kind)
-    for group in by_schema.values():
+    storage = Storage(spark)
+    kinds = file_kinds(spark, [storage.full_name(p) for p in paths])
+    by_kind: dict[str, list[str]] = {}
+    for file, kind, _ in kinds:
+        if kind is not None:
+            by_kind.setdefault(kind, []).append(literal(file))
+    out = spark.createDataFrame([(file, None, None, error) for file, _, error in kinds], ROWS)
+    for group in by_kind.values():
         table = spark.read.schema(spark.read.parquet(group[0]).schema).parquet(*group)
-        name = F.regexp_replace("_metadata.file_path", "^file:(//)?", "")
-        texts = row_text(table.withColumn("__lexloom_file", name), table.columns, parity, keep=("__lexloom_file",))
-        out = out.unionByName(texts.select(F.col("__lexloom_file").alias("file"), "text", F.lit(None).cast("string").alias("error")))
+        named = table.select("*", plain_metadata_name(F.col("_metadata.file_path")).alias("__lexloom_file"), F.col("_metadata.row_index").alias("__lexloom_pos"))
+        texts = row_text(named, table.columns, parity, keep=("__lexloom_file", "__lexloom_pos"))
+        out = out.unionByName(texts.select(F.col("__lexloom_file").alias("file"), F.col("__lexloom_pos").alias("pos"), "text", F.lit(None).cast("string").alias("error")))
     return out
 
 
 def read_parquet_texts(spark: SparkSession, folder: str, parity: bool = False) -> DataFrame:
     """(file, text): a row for every row of the folder's ``*.parquet`` files that holds text; unreadable files are left out."""
-    found = sorted(glob.glob(os.path.join(glob.escape(check_folder(folder)), "*.parquet")))
+    found = [f.file for f in Storage(spark).files(Storage(spark).check_folder(folder), ".parquet")]
     if not found:
         raise ParquetProcessingError(f"{folder} holds no Parquet files")
     return read_parquet_rows(spark, found, parity).where("text is not null").select("file", "text")
@@ -98,8 +97,8 @@ def extract_pages(content: bytes, levels: list[tuple[int, float, float]], layout
     return [(n, DEFAULT_LEVEL, page) for n, page in enumerate(content.decode("utf-8").split("\f"), 1)]
 
 
-def read_pdf_pages(spark: SparkSession, folder: str, extractor: PdfExtractor = extract_pages, pattern: str = "*.pdf", config: Config = DEFAULT) -> DataFrame:
-    """(file, page, level, text, error): every attempt of every page; a file that fails is one row with its error."""
+def read_pdf_pages(spark: SparkSession, folder: str | list[str], extractor: PdfExtractor = extract_pages, pattern: str = "*.pdf", config: Config = DEFAULT) -> DataFrame:
+    """(file, page, level, text, error): every attempt of every page of a folder's files, or of listed ones; a file that fails is one row with its error."""
     ship(spark)
     levels, layout = tolerance_levels(config), config.pdf_layout_mode
 
@@ -116,18 +115,26 @@ def read_pdf_pages(spark: SparkSession, folder: str, extractor: PdfExtractor = e
             kinds = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["file", "page", "level", "text", "error"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path", "content")
+    paths = [literal(f) for f in folder] if isinstance(folder, list) else literal(folder)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(paths).select(plain_name(F.col("path")), "content")
     return files.mapInArrow(run, "file string, page int, level int, text string, error string")
 
 
 def manifest(processor: str, units: DataFrame) -> DataFrame:
-    """(file, text, error) with a row per page or row of a file -> a manifest row per file."""
-    return units.groupBy("file").agg(
-        F.coalesce(F.sum(F.length("text")), F.lit(0)).cast("long").alias("n_chars"),
-        F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).cast("long").alias("n_bytes"),
-        F.count("text").cast("int").alias("n_units"),
+    """(file, text, error and perhaps warning) with a row per page or row of a file -> a manifest row per file.
+
+    ``counts`` says how many units have each warning; it is null where no unit has one.
+    """
+    warning = F.col("warning") if "warning" in units.columns else F.lit(None).cast("string")
+    by_message = units.groupBy("file", warning.alias("message")).agg(F.sum(F.length("text")).alias("chars"), F.sum(F.octet_length("text")).alias("bytes"), F.count("text").alias("units"), F.count("*").alias("n"), F.max("error").alias("error"))
+    told = F.collect_list(F.when(F.col("message").isNotNull(), F.struct("message", "n")))  # few messages a file
+    return by_message.groupBy("file").agg(
+        F.coalesce(F.sum("chars"), F.lit(0)).cast("long").alias("n_chars"),
+        F.coalesce(F.sum("bytes"), F.lit(0)).cast("long").alias("n_bytes"),
+        F.sum("units").cast("int").alias("n_units"),
         F.max("error").alias("error"),
-    ).select(F.lit(processor).alias("processor"), "file", F.current_timestamp().alias("ts"), "n_chars", "n_bytes", "n_units", "error")
+        F.when(F.size(told) > 0, F.map_from_entries(told)).alias("counts"),
+    ).select(F.lit(processor).alias("processor"), "file", F.current_timestamp().alias("ts"), "n_chars", "n_bytes", "n_units", "error", "counts")
 
 
 def append_texts(texts: DataFrame, path: str) -> None:
@@ -138,18 +145,6 @@ def overwrite_texts(texts: DataFrame, path: str) -> None:
     texts.write.mode("overwrite").parquet(path)
 
 
-def archive(paths: list[str], folder: str) -> list[str]:
-    """Move processed input files; on the driver, after the run's output is committed."""
-    os.makedirs(folder, exist_ok=True)
-    return [shutil.move(p.removeprefix("file://").removeprefix("file:"), folder) for p in paths]
-
-
-def make_folders(config: Config) -> None:
-    """The input, archive, results and word-list folders, where they do not exist."""
-    for folder in (config.input_folder, config.archive_folder, config.results_folder, config.additional_folder):
-        os.makedirs(folder, exist_ok=True)
-
-
 def run_folder(results: str, now: datetime | None = None) -> str:
     return os.path.join(results, (now or datetime.now()).strftime("%d-%m-%y-%H-%M-%S"))
 
