@@ -2,9 +2,10 @@
 
 1. Targets. Sources weigh 1, 2, 3, 1, ... by code point; each may take at most ``MOST`` times its own size, and
    what it cannot take is shared anew by weight. Solved in closed form over one row per source.
-2. Blocks. A source's documents are put in an order given by md5 and cut into ``BLOCKS`` blocks of equal words.
-   A source's exact quota is a number of blocks: every pass over all its blocks is one repetition, and the last, partial
-   pass takes the first blocks of a random permutation.
+2. Blocks. A source's documents are put in an order given by md5 and cut into at most ``BLOCKS`` blocks of about equal words.
+   Each full pass over a source takes all its blocks; the last, partial pass takes the first blocks of a random permutation until
+   their words reach the target. Of the block in which that happens it takes the documents whose middles lie before the
+   target, so the words taken differ from the target by half a document (or half a set of equal rows) at most.
 3. Tree. The drawn blocks of all sources are split in halves again and again until each output shard has its own. A split
    sends a random half of a node's blocks left, drawn without replacement, so that the numbers of blocks it takes of each
    source are multivariate hypergeometric. The draw takes the blocks with the smallest hashes, exactly half of them: hash
@@ -16,7 +17,7 @@ No source is gathered in one task: positions come from running sums in three lev
 source), the last of which is spread by source and range. The tree works on rows of blocks, spread by hash range. Only
 the targets are solved in one task, over one row of numbers per source, as they depend on all sources.
 
-Cases: a null text has size 0; sizes of 0 take 0; the null source is a source of its own and comes last; rows
+Cases: a null text has size 0; documents without words are never taken; the null source is a source of its own and comes last; rows
 equal in id, source and text share one position, so they are taken equally often, whatever their order; null ids
 are ordinary ids; a text of any length is one document in one block; an empty table gives an empty table; other columns,
 whatever their names, only pass through ``mix``.
@@ -48,7 +49,7 @@ def row_key(id_col: str, text_col: str) -> Column:
 
 
 def targets(sizes: DataFrame) -> DataFrame:
-    """(sk, source, source_size) -> + target, quota. One row per source."""
+    """(sk, source, source_size) -> + target. One row per source."""
     ordered = Window.orderBy(F.col("source").isNull(), "source")
     weighed = sizes.withColumn("w", (F.pmod(F.row_number().over(ordered) - 1, F.lit(3)) + 1).cast("long")).withColumn("most", F.col("source_size") * MOST)
     # by most/w, exactly: 6 is a multiple of every weight
@@ -67,16 +68,21 @@ def targets(sizes: DataFrame) -> DataFrame:
         (F.col("weights") - F.coalesce(F.sum(F.when(F.col("full"), F.col("w"))).over(all_rows), F.lit(0))).alias("w_left"),
     )
     target = F.when(F.col("full"), F.col("most").cast("double")).when(F.col("w_left") == 0, F.lit(0.0)).otherwise((F.col("w") * F.col("words_left")) / F.col("w_left"))
-    quota = F.when(F.col("source_size") == 0, F.lit(0)).otherwise(F.floor(F.col("target") * BLOCKS / F.col("source_size") + 0.5)).cast("long")
-    return rest.withColumn("target", target).select("sk", "source", "source_size", "target", quota.alias("quota"))
+    return rest.withColumn("target", target).select("sk", "source", "source_size", "target")
 
 
-def drawn_blocks(quotas: DataFrame, seed: int = SEED) -> DataFrame:
-    """(sk, quota) -> (sk, epoch, block): all blocks once per full pass, and a random part of them in the last one."""
-    epochs = quotas.where("quota > 0").select("sk", "quota", F.explode(F.expr(f"sequence(0, cast((quota - 1) div {BLOCKS} as int))")).alias("epoch"))
-    blocks = epochs.select("sk", "epoch", (F.col("quota") - F.col("epoch") * BLOCKS).alias("left"), F.explode(F.expr(f"sequence(0, {BLOCKS - 1})")).alias("block"))
-    permuted = Window.partitionBy("sk", "epoch").orderBy(_draw(seed, "pass", "sk", "epoch", "block"), "block")
-    return blocks.withColumn("at", F.row_number().over(permuted)).where("at <= left").select("sk", "epoch", "block")
+def drawn_blocks(blocks: DataFrame, facts: DataFrame, seed: int = SEED) -> DataFrame:
+    """(sk, block, words) and (sk, source_size, target) -> (sk, epoch, block, room).
+
+    All blocks once per full pass, and in the last pass a random part of them. ``room`` is null for whole blocks; else
+    it is how many of the block's words are still wanted.
+    """
+    passes = facts.where("source_size > 0").select("sk", F.floor(F.col("target") / F.col("source_size")).cast("int").alias("full"), "source_size", "target")
+    of = blocks.select("sk", "block", "words").join(passes.select("sk", "full", (F.col("target") - F.col("full") * F.col("source_size")).alias("wanted")), "sk")
+    whole = of.where("full > 0").select("sk", F.explode(F.expr("sequence(0, full - 1)")).alias("epoch"), "block", F.lit(None).cast("double").alias("room"))
+    permuted = Window.partitionBy("sk").orderBy(_draw(seed, "pass", "sk", "epoch", "block"), "block").rowsBetween(Window.unboundedPreceding, -1)
+    part = of.withColumnRenamed("full", "epoch").withColumn("before", F.coalesce(F.sum("words").over(permuted), F.lit(0))).where("before < wanted")
+    return whole.unionByName(part.select("sk", "epoch", "block", F.when(F.col("before") + F.col("words") > F.col("wanted"), F.col("wanted") - F.col("before")).alias("room")))
 
 
 def _draw(seed: int, *parts: str | Column) -> Column:
@@ -85,12 +91,12 @@ def _draw(seed: int, *parts: str | Column) -> Column:
 
 
 def splitting_tree(drawn: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """(sk, epoch, block) -> the same with the shard that gets it; nodes are runs of shards [lo, hi)."""
+    """(sk, epoch, block, room) -> the same with the shard that gets it; nodes are runs of shards [lo, hi)."""
     if shards < 1 or shards & (shards - 1):
         raise ValueError("the number of shards is a power of two")
-    node = drawn.withColumn("lo", F.lit(0)).withColumn("width", F.lit(shards))
+    node = materialize(drawn, "mixing-drawn").withColumn("lo", F.lit(0)).withColumn("width", F.lit(shards))
     while shards > 1:
-        hashed = materialize(node.withColumn("h", _draw(seed, "lo", "width", "sk", "epoch", "block")).withColumn("range", F.substring("h", 1, 3)), "mixing-node")
+        hashed = node.withColumn("h", _draw(seed, "lo", "width", "sk", "epoch", "block")).withColumn("range", F.substring("h", 1, 3))
         # at most 4096 ranges a node
         counts = hashed.groupBy("lo", "range").agg(F.count("*").alias("n"))
         by_range = Window.partitionBy("lo").orderBy("range")
@@ -98,8 +104,8 @@ def splitting_tree(drawn: DataFrame, shards: int = SHARDS, seed: int = SEED) ->
         within = Window.partitionBy("lo", "range").orderBy("h", "sk", "epoch", "block")
         placed = hashed.join(cuts, ["lo", "range"]).withColumn("at", F.col("before") + F.row_number().over(within))
         shards //= 2
-        node = placed.select("sk", "epoch", "block", F.when(F.col("at") <= F.col("half"), F.col("lo")).otherwise(F.col("lo") + shards).cast("int").alias("lo"), F.lit(shards).alias("width"))
-    return node.select("sk", "epoch", "block", F.col("lo").alias("shard"))
+        node = placed.select("sk", "epoch", "block", "room", F.when(F.col("at") <= F.col("half"), F.col("lo")).otherwise(F.col("lo") + shards).cast("int").alias("lo"), F.lit(shards).alias("width"))
+    return node.select("sk", "epoch", "block", "room", F.col("lo").alias("shard"))
 
 
 def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shards: int = SHARDS, seed: int = SEED) -> DataFrame:
@@ -115,10 +121,7 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     base = materialize(base, "mixing").withColumn("b1", F.conv(F.substring(key, 1, 2), 16, 10).cast("int") % 64).withColumn("b2", F.conv(F.substring(key, 3, 2), 16, 10).cast("int") % 64)
     level3 = base.groupBy("sk", "b1", "b2").agg(F.sum("size").alias("words"))
     level2 = base.groupBy("sk", "b1").agg(F.sum("size").alias("words"))
-    per_source = materialize(targets(base.groupBy("sk").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"))), "mixing-targets")
-    facts = per_source.drop("source")
-    # at most one entry per repetition
-    dealt = splitting_tree(drawn_blocks(per_source.select("sk", "quota"), seed), shards, seed).groupBy("sk", "block").agg(F.array_sort(F.collect_list(F.struct("epoch", "shard")))["shard"].alias("shards"))
+    facts = materialize(targets(base.groupBy("sk").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"))).drop("source"), "mixing-targets")
 
     def running(*by: str):
         w = Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
@@ -132,10 +135,13 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     placed = base.withColumn("through", through).withColumn("peers", peers).join(above3, ["sk", "b1", "b2"])
     # twice the middle of the row's place among its source's words
     middle = (F.col("before1") + F.col("before2") + F.col("through")) * 2 - F.col("peers")
-    block = F.when(F.col("source_size") == 0, F.lit(0)).otherwise(F.least(F.expr(f"(middle * {BLOCKS}) div (2 * source_size)"), F.lit(BLOCKS - 1))).cast("long")
-    located = placed.withColumn("middle", middle).withColumn("block", block.cast("int")).select("doc_id", "sk", "key", "size", "source_size", "target", "block")
-    found = located.join(dealt, ["sk", "block"], "left").withColumn("shards", F.coalesce("shards", F.expr("cast(array() as array<int>)")))
-    return found.select("doc_id", "sk", "key", "size", "source_size", "target", F.size("shards").alias("times"), "shards")
+    block = F.when(F.col("size") > 0, F.least(F.expr(f"(middle * {BLOCKS}) div (2 * source_size)"), F.lit(BLOCKS - 1))).cast("int")
+    located = materialize(placed.withColumn("middle", middle).withColumn("block", block).select("doc_id", "sk", "key", "size", "source_size", "target", "block", "middle", "peers"), "mixing-located")
+    blocks = located.where("block is not null").groupBy("sk", "block").agg(F.sum("size").alias("words"), F.min(F.col("middle") - F.col("peers")).alias("begin"))
+    dealt = splitting_tree(drawn_blocks(blocks, facts, seed), shards, seed).groupBy("sk", "block").agg(F.array_sort(F.collect_list(F.struct("epoch", "shard", "room"))).alias("dealt"))  # at most one entry per repetition
+    found = located.join(blocks.select("sk", "block", "begin").join(dealt, ["sk", "block"]), ["sk", "block"], "left")
+    taken = F.filter("dealt", lambda d: d["room"].isNull() | (F.col("middle") - F.col("begin") <= 2 * d["room"]))["shard"]
+    return found.withColumn("shards", F.coalesce(taken, F.expr("cast(array() as array<int>)"))).select("doc_id", "sk", "key", "size", "source_size", "target", F.size("shards").alias("times"), "shards")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shards: int = SHARDS, seed: int = SEED) -> DataFrame:
@@ -183,27 +189,31 @@ rest AS (
   FROM flagged),
 aimed AS (
   SELECT source, s, CASE WHEN capped THEN CAST(most AS DOUBLE) WHEN w_left = 0 THEN 0.0 ELSE CAST(w * words_left AS DOUBLE) / CAST(w_left AS DOUBLE) END AS target FROM rest),
-quotas AS (SELECT *, CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS sk, CASE WHEN s = 0 THEN 0 ELSE CAST(floor(target * 1024 / s + 0.5) AS BIGINT) END AS quota FROM aimed),
+sources AS (SELECT *, CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS sk, CASE WHEN s = 0 THEN 0 ELSE CAST(floor(target / s) AS BIGINT) END AS whole FROM aimed),
 placed AS (
   SELECT b.doc_id, b.size, q.sk, q.s, q.target,
          CAST(sum(b.size) OVER (PARTITION BY b.source ORDER BY b.b1, b.b2, b.key RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS through,
          CAST(sum(b.size) OVER (PARTITION BY b.source, b.key) AS BIGINT) AS peers
   FROM (SELECT *, CAST(concat('0x', substr(key, 1, 2)) AS INT) % 64 AS b1, CAST(concat('0x', substr(key, 3, 2)) AS INT) % 64 AS b2 FROM base) b
-  JOIN quotas q ON b.source IS NOT DISTINCT FROM q.source),
-blocked AS (SELECT *, CASE WHEN s = 0 THEN 0 ELSE least(((2 * through - peers) * 1024) // (2 * s), 1023) END AS block FROM placed),
-passes AS (SELECT sk, quota, unnest(range(0, (quota - 1) // 1024 + 1)) AS epoch FROM quotas WHERE quota > 0),
+  JOIN sources q ON b.source IS NOT DISTINCT FROM q.source),
+blocked AS (SELECT *, 2 * through - peers AS middle, CASE WHEN size > 0 THEN least(((2 * through - peers) * 1024) // (2 * s), 1023) END AS block FROM placed),
+blocks AS (SELECT sk, block, CAST(sum(size) AS BIGINT) AS words, min(middle - peers) AS begin FROM blocked WHERE block IS NOT NULL GROUP BY sk, block),
+part AS (
+  SELECT *, CAST(coalesce(sum(words) OVER (PARTITION BY sk ORDER BY md5(concat_ws('|', '20240917', 'pass', sk, whole, block)), block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
+  FROM (SELECT b.*, q.whole, q.target - q.whole * q.s AS wanted FROM blocks b JOIN sources q ON b.sk = q.sk)),
 drawn AS (
-  SELECT sk, epoch, block FROM (
-    SELECT sk, epoch, block, quota - epoch * 1024 AS wanted, row_number() OVER (PARTITION BY sk, epoch ORDER BY md5(concat_ws('|', '20240917', 'pass', sk, epoch, block)), block) AS nth
-    FROM (SELECT *, unnest(range(0, 1024)) AS block FROM passes))
-  WHERE nth <= wanted),
-split1 AS (SELECT sk, epoch, block, CASE WHEN nth <= n // 2 THEN 0 ELSE 4 END AS lo FROM (
+  SELECT sk, unnest(range(0, whole)) AS epoch, block, NULL AS room FROM part
+  UNION ALL SELECT sk, whole, block, CASE WHEN before + words > wanted THEN wanted - before END FROM part WHERE before < wanted),
+split1 AS (SELECT sk, epoch, block, room, CASE WHEN nth <= n // 2 THEN 0 ELSE 4 END AS lo FROM (
   SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '20240917', 0, 8, sk, epoch, block)), sk, epoch, block) AS nth, count(*) OVER () AS n FROM drawn)),
-split2 AS (SELECT sk, epoch, block, CASE WHEN nth <= n // 2 THEN lo ELSE lo + 2 END AS lo FROM (
+split2 AS (SELECT sk, epoch, block, room, CASE WHEN nth <= n // 2 THEN lo ELSE lo + 2 END AS lo FROM (
   SELECT *, row_number() OVER (PARTITION BY lo ORDER BY md5(concat_ws('|', '20240917', lo, 4, sk, epoch, block)), sk, epoch, block) AS nth, count(*) OVER (PARTITION BY lo) AS n FROM split1)),
-split3 AS (SELECT sk, epoch, block, CASE WHEN nth <= n // 2 THEN lo ELSE lo + 1 END AS shard FROM (
+split3 AS (SELECT sk, epoch, block, room, CASE WHEN nth <= n // 2 THEN lo ELSE lo + 1 END AS shard FROM (
   SELECT *, row_number() OVER (PARTITION BY lo ORDER BY md5(concat_ws('|', '20240917', lo, 2, sk, epoch, block)), sk, epoch, block) AS nth, count(*) OVER (PARTITION BY lo) AS n FROM split2)),
-dealt AS (SELECT sk, block, string_agg(CAST(shard AS VARCHAR), ',' ORDER BY epoch) AS shards, count(*) AS times FROM split3 GROUP BY sk, block)
+dealt AS (
+  SELECT b.doc_id, b.sk, b.block, b.middle, string_agg(CAST(shard AS VARCHAR), ',' ORDER BY epoch) AS shards, count(*) AS times
+  FROM (SELECT DISTINCT doc_id, sk, block, middle FROM blocked) b JOIN blocks k ON b.sk = k.sk AND b.block = k.block JOIN split3 d ON b.sk = d.sk AND b.block = d.block
+  WHERE room IS NULL OR b.middle - k.begin <= 2 * room GROUP BY b.doc_id, b.sk, b.block, b.middle)
 SELECT b.doc_id, CAST(b.size AS BIGINT) AS size, b.s AS source_size, b.target, CAST(b.size * coalesce(d.times, 0) AS BIGINT) AS taken, coalesce(d.shards, '') AS shards
-FROM blocked b LEFT JOIN dealt d ON b.sk = d.sk AND b.block = d.block
+FROM blocked b LEFT JOIN dealt d ON b.doc_id IS NOT DISTINCT FROM d.doc_id AND b.sk = d.sk AND b.block = d.block AND b.middle = d.middle
 """

@@ -446,14 +446,42 @@ def test_mixing_edges(spark, edges):
     assert mixing.plan_mix(empty(edges)).count() == 0 and mixing.mix(empty(edges)).count() == 0
 
 
+def one_word_blocks(spark, quotas):
+    """Sources of ``mixing.BLOCKS`` blocks of one word, of which so many words are wanted."""
+    blocks = spark.createDataFrame([(sk, b, 1) for sk in quotas for b in range(mixing.BLOCKS)], "sk string, block int, words long")
+    return blocks, spark.createDataFrame([(sk, mixing.BLOCKS, float(n)) for sk, n in quotas.items()], "sk string, source_size long, target double")
+
+
+def nearness(rows, source_of):
+    """By source: words taken, target, and the largest document's words."""
+    taken, target, largest = Counter(), {}, Counter()
+    for r in rows:
+        source = source_of[r.doc_id]
+        taken[source] += r.taken
+        target[source] = r.target
+        largest[source] = max(largest[source], r.size)
+        assert r.taken <= 3 * r.size and r.taken % max(r.size, 1) == 0
+    return [(taken[s], target[s], largest[s]) for s in target]
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01", "sf0.1"])
+def test_taken_words_come_near_their_targets(spark, folder):
+    sf_dir = f"/root/testdata/{folder}"
+    source_of = {r.doc_id: r.source for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source").collect()}
+    found = nearness(QUERIES["op7_mixing"](spark, sf_dir).collect(), source_of)
+    assert all(abs(taken - target) <= largest / 2 + 1 for taken, target, largest in found)
+    assert folder != "sf0.1" or all(abs(taken - target) <= 0.02 * target for taken, target, _ in found)
+
+
 def test_splitting_tree_deals_all_blocks_evenly(spark):
     quotas = {"a": 1000, "b": 37, "c": 0, "d": 1, "e": 2 * mixing.BLOCKS + 5}
-    drawn = mixing.drawn_blocks(spark.createDataFrame(list(quotas.items()), "sk string, quota long"))
-    rows = [tuple(r) for r in drawn.collect()]
+    drawn = mixing.drawn_blocks(*one_word_blocks(spark, quotas)).cache()
+    rows = [tuple(r)[:3] for r in drawn.collect()]
     assert Counter(sk for sk, _, _ in rows) == {k: v for k, v in quotas.items() if v} and len(set(rows)) == len(rows)
     assert {(e, b) for sk, e, b in rows if sk == "e" and e < 2} == {(e, b) for e in (0, 1) for b in range(mixing.BLOCKS)}
     dealt = [tuple(r) for r in mixing.splitting_tree(drawn).collect()]
     assert sorted(r[:3] for r in dealt) == sorted(rows)
+    dealt = [(*r[:3], r[4]) for r in dealt]
     per_shard = Counter(r[3] for r in dealt)
     assert sorted(per_shard) == list(range(8)) and max(per_shard.values()) - min(per_shard.values()) <= 3
     spread = Counter(r[3] for r in dealt if r[0] == "a")
@@ -464,8 +492,7 @@ def test_splitting_tree_deals_all_blocks_evenly(spark):
 
 def test_splits_are_hypergeometric(spark):
     """How many of a source's blocks go left varies as drawing without replacement does."""
-    quotas = spark.createDataFrame([("a", 300), ("b", 700)], "sk string, quota long")
-    drawn = mixing.drawn_blocks(quotas)
+    drawn = mixing.drawn_blocks(*one_word_blocks(spark, {"a": 300, "b": 700})).cache()
     left = [mixing.splitting_tree(drawn, 2, seed).where("shard = 0 and sk = 'a'").count() for seed in range(30)]
     variance = 500 * 0.3 * 0.7 * 500 / 999
     assert abs(np.mean(left) - 150) < 4 * (variance / 30) ** 0.5 and 0.4 < np.var(left) / variance < 2
