@@ -27,6 +27,7 @@ def _parser() -> argparse.ArgumentParser:
     clean = commands.add_parser("clean", parents=[every], help="clean text files")
     clean.add_argument("--input", required=True)
     clean.add_argument("--output", required=True)
+    clean.add_argument("--text", action="store_true", help="read in paragraphs, in as many tasks as the file has splits, and write one text file")
     clean.add_argument("--additional", default=DEFAULT.additional_folder, help="folder of word lists (*.txt)")
     return parser
 
@@ -40,7 +41,7 @@ def main(arguments: list[str] | None = None) -> int:
         handler.setLevel(shown)
     from pyspark.sql import SparkSession
 
-    from lexloom.plans import detection, pipeline
+    from lexloom.plans import detection, pipeline, textruns
     from lexloom.sources import files
 
     spark = SparkSession.builder.appName("lexloom").getOrCreate()
@@ -52,6 +53,9 @@ def main(arguments: list[str] | None = None) -> int:
         if args.command == "extract":
             files.check_folder(args.input)
             files.append_texts(pipeline.pdf_texts(files.read_pdf_pages(spark, args.input)), args.output)
+        elif args.text:
+            files.check_file(args.input)
+            textruns.clean_file(spark, args.input, args.output, DEFAULT.with_(additional_folder=args.additional), detection.detector())
         else:
             files.check_file(args.input)
             files.overwrite_texts(pipeline.clean_rows(files.read_texts(spark, args.input), DEFAULT.with_(additional_folder=args.additional), detection.detector()), args.output)

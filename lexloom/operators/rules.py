@@ -2,7 +2,8 @@
 
 For a handful of words ``in_rules`` is a Column expression. Lists of up to ``MAX_LISTED`` words go to the workers as sets
 (``listed_flags``), which look at each distinct word of a batch once. For longer ones ``match_rules`` joins distinct words
-with the lists on equal keys only: the prefix rule explodes a word's prefixes, so no nested-loop join is needed.
+with the lists on equal keys only. A word has a key for every way in which it could match, ten or so; a bitmap of the hashes of
+all listed stems, of fixed size, lets few of them through that have no partner, so hardly more rows than words that match are joined.
 """
 
 from __future__ import annotations
@@ -13,11 +14,14 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.constants import ALL_ENDINGS, ANCHORS, DIPHTHONGS, EXCEPTION_PATTERNS, SAKHA_ENDINGS
 from lexloom.errors import ValidationError
+from lexloom.session import ship
+from lexloom.sources.scratch import materialize
 
 MIN_STEM = 2
 MAX_EXCEPTIONS = 100_000  # patterns that the driver takes
@@ -49,21 +53,76 @@ def stem_matches(words: DataFrame, listed_stems: DataFrame) -> DataFrame:
     return own.join(listed_stems, "stem", "left_semi").select("word").distinct()
 
 
+EXACT, STEM, PREFIX = 1, 2, 3
+WAYS = ("exact", "stem", "prefix")
+BITMAP = 1 << 26  # bits
+
+
+def stem_bitmap(listed_stems: DataFrame) -> np.ndarray:
+    """A bit for the hash of each (stem): ``BITMAP`` / 8 bytes, however many stems there are."""
+    bit = F.pmod(F.xxhash64("stem"), F.lit(BITMAP))
+    parts = listed_stems.where("stem is not null").select(bit.alias("bit")).groupBy(F.expr("bit div 64").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
+    out = np.zeros(BITMAP // 64, np.int64)
+    for r in parts.collect():
+        out[r["at"]] = r.bits
+    return out.view(np.uint64)
+
+
+def word_keys(low: str, ways: tuple[int, ...]) -> dict[str, int]:
+    """The stems by which a lower-cased word would match, with the first way for each."""
+    keys: dict[str, int] = {}
+    if EXACT in ways:
+        keys[low] = EXACT
+    if STEM in ways:
+        keys.setdefault(low, STEM)
+        for e in ALL_ENDINGS:
+            if low.endswith(e) and len(low) - len(e) >= MIN_STEM:
+                keys.setdefault(low[: -len(e)], STEM)
+    if PREFIX in ways:
+        for cut in range(MIN_STEM, len(low) + 1):
+            if len(low) - cut <= MAX_REST or low.startswith(SAKHA_ENDINGS, cut):
+                keys.setdefault(low[:cut], PREFIX)
+    return keys
+
+
+def possible_keys(words: DataFrame, bits: np.ndarray, ways: tuple[int, ...] = (EXACT, STEM, PREFIX)) -> DataFrame:
+    """(word) -> (word, stem, way): the keys that the bitmap lets through."""
+    shared = ship(words.sparkSession).sparkContext.broadcast(bits)
+
+    @F.arrow_udf("array<struct<stem:string,way:int>>")
+    def keys(low: pa.Array) -> pa.Array:
+        out = []
+        for word in low.to_pylist():
+            found = []
+            for stem, way in word_keys(word, ways).items() if word is not None else ():
+                bit = xxhash.xxh64_intdigest(stem.encode(), 42) % BITMAP  # as Spark hashes a string
+                if int(shared.value[bit >> 6]) >> (bit & 63) & 1:
+                    found.append({"stem": stem, "way": way})
+            out.append(found)
+        return pa.array(out, pa.list_(pa.struct([("stem", pa.string()), ("way", pa.int32())])))
+
+    return words.select("word", F.explode(keys(F.lower("word"))).alias("key")).select("word", "key.*")
+
+
 def prefix_matches(words: DataFrame, listed_stems: DataFrame) -> DataFrame:
     """Words that are a listed stem and a rest that is empty, short or starts with a Sakha ending."""
-    low = F.lower("word")
-    prefixes = words.where(F.length(low) >= MIN_STEM).select("word", low.alias("low"), F.explode(F.sequence(F.lit(MIN_STEM), F.length(low))).alias("cut"))
-    prefixes = prefixes.select("word", F.substring("low", F.lit(1), F.col("cut")).alias("stem"), F.expr("substring(low, cut + 1)").alias("rest"))
-    fits = (F.length("rest") <= MAX_REST) | F.rlike("rest", F.lit(f"^(?:{'|'.join(SAKHA_ENDINGS)})"))
-    return prefixes.where(fits).join(listed_stems, "stem", "left_semi").select("word").distinct()
+    keys = possible_keys(words, stem_bitmap(listed_stems), (PREFIX,))
+    return keys.join(listed_stems, "stem", "left_semi").select("word").distinct()
+
+
+def match_distinct(words: DataFrame, rules: DataFrame) -> DataFrame:
+    """As ``match_rules``, for words that are distinct already."""
+    stem = F.explode(stems(F.col("word"))).alias("stem")
+    known = rules.where("word is not null").select("word", stem).groupBy("stem").agg(F.max(F.col("stem") == F.lower("word")).alias("listed"))
+    known = materialize(known, "rules-stems")
+    met = possible_keys(words, stem_bitmap(known)).join(known, "stem")
+    way = F.when((F.col("way") == EXACT) & ~F.col("listed"), STEM).otherwise(F.col("way"))
+    return met.groupBy("word").agg(F.min(way).alias("way")).select("word", F.element_at(F.array(*map(F.lit, WAYS)), F.col("way")).alias("way"))
 
 
 def match_rules(words: DataFrame, rules: DataFrame) -> DataFrame:
     """Distinct words with which way they match: exact, stem or prefix, the first that holds."""
-    listed, listed_stems = rule_tables(rules)
-    distinct = words.select("word").distinct()
-    ways = exact_matches(distinct, listed).withColumn("rank", F.lit(1)).unionByName(stem_matches(distinct, listed_stems).withColumn("rank", F.lit(2))).unionByName(prefix_matches(distinct, listed_stems).withColumn("rank", F.lit(3)))
-    return ways.groupBy("word").agg(F.min("rank").alias("rank")).select("word", F.element_at(F.array(F.lit("exact"), F.lit("stem"), F.lit("prefix")), F.col("rank")).alias("way"))
+    return match_distinct(words.select("word").distinct(), rules)
 
 
 def in_rules(word: Column, words: list[str]) -> Column:

@@ -87,7 +87,7 @@ def remove_listed(docs: DataFrame, listed: list[str], config: Config = DEFAULT,
 def deleted_words(valid: DataFrame, rules: DataFrame | None, config: Config, detect, text_col: str) -> DataFrame:
     """(word): the distinct words that the cascade deletes, each classified once."""
     words = materialize(valid.select(F.explode(tokens.joined_tokens(F.col(text_col))).alias("word")).distinct(), "clean-words")
-    matched = R.match_rules(words, rules) if rules is not None else words.limit(0).withColumn("way", F.lit(""))
+    matched = R.match_distinct(words, rules) if rules is not None else words.limit(0).withColumn("way", F.lit(""))
     decided = words.join(matched, "word", "left").select("word", classify.deciding_rule(F.col("word"), config, F.col("way").isNotNull()).alias("rule"))
     deleted = decided.where(F.col("rule").isin(*classify.DELETING)).select("word")
     return deleted if detect is None else deleted.unionByName(detect_words(decided.where("rule = 'undecided'"), detect))

@@ -372,6 +372,21 @@ def stream_clean(spark, sf_dir) -> DataFrame:
     return spark.read.schema(streaming.DOCUMENTS).parquet(f"{out}/texts")
 
 
+#: Tables whose texts arrive: name, column, schema.
+ARRIVING = (("documents", "text", "text string"), ("benchmark", "text", "text string"))
+
+
+def stream_unique_texts(spark, sf_dir) -> DataFrame:
+    """The documents and benchmark passages as streams of files, of which a text that came before is dropped."""
+    out = scratch_path(spark, "stream-unique")
+    arriving = [streaming.read_stream(spark, f"{sf_dir}/{name}.parque[t]", schema).select(F.col(column).alias("text")) for name, column, schema in ARRIVING]
+    both = arriving[0].unionAll(arriving[1]).where("text is not null")
+    digested = both.select(F.sha2(F.col("text").cast("binary"), 256).alias("digest"), F.length("text").cast("long").alias("n_chars"), F.current_timestamp().alias("arrived"))
+    unique = streaming.first_arrivals(digested).select("digest", "n_chars")
+    unique.writeStream.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).format("parquet").start(f"{out}/texts").awaitTermination()
+    return spark.read.schema("digest string, n_chars long").parquet(f"{out}/texts")
+
+
 def _valid_sql(text: str) -> str:
     return f"array_to_string(list_filter(regexp_extract_all({_spaced_sql(text)[1]}, {_DOT}), lambda w: {_ALL_RULES}), ' ')"
 
@@ -395,3 +410,4 @@ query(
     """SELECT CAST(coalesce(sum(strlen(text) + 1) OVER (ORDER BY doc_id, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start, text
 FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)""",
 )
+query("stream_unique_texts", stream_unique_texts, "SELECT DISTINCT sha256(text) AS digest, length(text) AS n_chars FROM (SELECT text FROM documents UNION ALL SELECT text FROM benchmark) WHERE text IS NOT NULL")

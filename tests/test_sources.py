@@ -11,7 +11,7 @@ from lexloom.config import DEFAULT
 from lexloom.errors import ConfigurationError, MissingFileError, ValidationError
 from lexloom.functions import scalar
 from lexloom.operators import flatten, rules, stats
-from lexloom.plans import detection, pipeline, sqlfunctions
+from lexloom.plans import detection, pipeline, sqlfunctions, textruns
 from lexloom.sources import files, scratch
 from lexloom.streaming import clean_stream as streaming
 
@@ -257,3 +257,77 @@ def test_stream_cleans_once_and_archives(spark, tmp_path):
     assert go() == [(1, "баҕар"), (2, "оҕо")]
     assert go() == [(1, "баҕар"), (2, "оҕо")]
     assert spark.read.parquet(str(tmp_path / "manifest")).agg(F.sum("n_rows")).first()[0] == 2
+
+
+def test_streams_take_up_word_lists_between_batches(spark, tmp_path):
+    config = DEFAULT.with_(additional_folder=str(tmp_path / "lists"), word_healer_enabled=False)
+
+    def arrive_and_go(n):
+        spark.createDataFrame([(n, "баҕар дом саха щит")], "doc_id long, text string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        streaming.clean_stream(streaming.read_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "check"), config, str(tmp_path / "manifest")).awaitTermination()
+        return {r.doc_id: r.text for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+
+    assert arrive_and_go(1) == {1: "баҕар дом саха"}
+    (tmp_path / "lists").mkdir()
+    (tmp_path / "lists" / "a.txt").write_text("дом\n", encoding="utf-8")
+    assert arrive_and_go(2) == {1: "баҕар дом саха", 2: "баҕар саха"}
+    (tmp_path / "lists" / "b.txt").write_text("саха\n", encoding="utf-8")
+    assert arrive_and_go(3) == {1: "баҕар дом саха", 2: "баҕар саха", 3: "баҕар"}
+    told = {r.batch: r.counts for r in spark.read.parquet(str(tmp_path / "manifest")).collect()}
+    assert [told[n]["removed"] for n in sorted(told)] == [1, 2, 3]
+
+
+def test_text_files_that_arrive_twice_count_once(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+
+    def arrive(name, text):
+        (tmp_path / "in" / name).write_bytes(text.encode() if isinstance(text, str) else text)
+
+    def go(crash=False):
+        stream = streaming.first_arrivals(streaming.read_text_stream(spark, str(tmp_path / "in"), files_a_batch=1))
+        if crash:
+            stream = stream.withColumn("text", F.when(F.col("text").contains("күн"), F.raise_error(F.lit("crash"))).otherwise(F.col("text")))
+        query = streaming.clean_stream(stream, str(tmp_path / "out"), str(tmp_path / "check"), manifest=str(tmp_path / "manifest"))
+        if crash:
+            with pytest.raises(Exception, match="crash"):
+                query.awaitTermination()
+        else:
+            query.awaitTermination()
+            return sorted((r.text or "", r.error is None) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    arrive("a b.txt", "баҕар щит")
+    arrive("b.txt", "баҕар щит")
+    arrive("bad.txt", b"\xff")
+    assert go() == [("", False), ("баҕар", True)]
+    arrive("c.txt", "баҕар щит")  # known from an earlier start
+    arrive("d.txt", "үөрэн күн")
+    os.utime(tmp_path / "in" / "d.txt", (1, 1))  # however old, it is not late
+    go(crash=True)
+    assert go() == [("", False), ("баҕар", True), ("үөрэн күн", True)]
+
+
+def test_text_commands(spark, tmp_path):
+    (tmp_path / "t 1.txt").write_text("баҕар щит\n\nо ҕ о л о р\n\n\nхата", encoding="utf-8")
+    (tmp_path / "bad.txt").write_bytes("оҕо\n\n".encode() + b"\xff")
+    assert main(["clean", "--text", "--input", str(tmp_path / "t 1.txt"), "--output", str(tmp_path / "o.txt")]) == 0
+    assert (tmp_path / "o.txt").read_text(encoding="utf-8") == "баҕар оҕолор хата "
+    assert main(["clean", "--text", "--input", str(tmp_path / "bad.txt"), "--output", str(tmp_path / "p.txt")]) == 1
+    cleaned, failed = textruns.clean_files(spark, [str(tmp_path / "t 1.txt"), str(tmp_path / "bad.txt")])
+    assert {os.path.basename(r.file) for r in cleaned.collect()} == {"t 1.txt"} and [os.path.basename(r.file) for r in failed.collect()] == ["bad.txt"]
+
+
+def test_few_keys_are_joined_with_word_lists(spark):
+    """Rows before the join stay within twice the words, and no key that has a partner is lost."""
+    rng = random.Random(3)
+    words = sorted({"".join(rng.choices("сахлртэываөуоАЫ", k=rng.randint(1, 14))) for _ in range(4000)})
+    listed = [(w,) for w in rng.sample(words, 300)] + [(None,), ("Ы",), ("тыалар",)]
+    words.append("тыалэр")
+    df, lists = spark.createDataFrame([(w,) for w in [*words, None]], "word string"), spark.createDataFrame(listed, "word string")
+    stems = rules.rule_tables(lists)[1]
+    assert rules.possible_keys(df, rules.stem_bitmap(stems), (rules.PREFIX,)).count() < 2 * len(words)
+    known = rules.ListedWords([w for (w,) in listed if w])
+    got = {r.word: r.way for r in rules.match_rules(df, lists).collect()}
+    assert set(got) == {w for w in words if w in known}
+    assert all((way == "exact") == (w.lower() in known.words) for w, way in got.items()) and set(got.values()) == set(rules.WAYS)
+    plan = rules.match_rules(df, lists)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
