@@ -96,6 +96,48 @@ def test_sharding_query(spark, small, texts):
     assert by_row(got, "doc_id", "text_sha256") == Counter((i, hashlib.sha256((t or "").encode()).hexdigest()) for i, t in texts.items())
 
 
+def test_sharding_query_compacts(spark, small, texts, monkeypatch):
+    """The query's arrivals are merged: as many rows in fewer files, each of which holds what the query says."""
+    made = []
+    whole = shards.ShardStore.append
+    monkeypatch.setattr(shards.ShardStore, "append", lambda self, df: made.append(self) or whole(self, df))
+    got = QUERIES["op2_sharding"](spark, small).collect()
+    store = made[-1]
+    assert len(made) == shards.ARRIVALS and store.shards(shards.ARRIVALS).count() >= shards.ARRIVALS
+    files = {r.file.removeprefix("data/"): r.rows for r in store.shards().collect()}
+    assert len(files) < store.shards(shards.ARRIVALS).count() and Counter(r.shard for r in got) == files
+    assert {r.doc_id: r.stored_chars for r in got} == {i: None if t is None else len(t) for i, t in texts.items()}
+
+
+def test_schemas_grow_or_conflict(spark):
+    store = shards.ShardStore(spark, tempfile.mkdtemp() + "/store")
+    store.append(spark.createDataFrame([(1, "a")], "doc_id long, text string").coalesce(1))
+    store.append(spark.createDataFrame([(2, "b", [1.5])], "doc_id long, text string, scores array<double>").coalesce(1))
+    store.append(spark.createDataFrame([("c", 3)], "text string, doc_id long").coalesce(1))
+    store.append(spark.createDataFrame([(4,)], "doc_id long").coalesce(1))
+    wanted = [(1, "a", None), (2, "b", [1.5]), (3, "c", None), (4, None, None)]
+    assert sorted(map(tuple, store.read().collect())) == wanted and store.read(1).columns == ["doc_id", "text"]
+    for kind in ("doc_id string", "Doc_id long", "doc_id long, scores array<int>"):
+        with pytest.raises(shards.SchemaConflict):
+            store.append(spark.createDataFrame([], kind))
+    assert store.versions() == [1, 2, 3, 4]
+    for _ in range(shards.FAN):
+        store.append(spark.createDataFrame([(4,)], "doc_id long").coalesce(1))
+    assert store.compact() == 9 and store.shards().count() < store.shards(8).count()
+    assert sorted(map(tuple, store.read().collect())) == wanted + wanted[-1:] * shards.FAN
+
+
+def test_lists_that_lost_shards_are_read_by_file(spark):
+    store = shards.ShardStore(spark, tempfile.mkdtemp() + "/store")
+    store.append(spark.range(200_000).repartition(1), shard_rows=50_000)
+    store.append(spark.range(8).repartition(8))
+    before = store.manifest()["lists"]
+    store.compact(target_bytes=10_000)
+    after = store.manifest()["lists"]
+    assert before[0] in after and before[1] not in after  # the large shards' list stays as it is
+    assert store.read().count() == 200_008 and store.shards().agg(F.sum("rows")).first()[0] == 200_008
+
+
 def test_sharding_versions(spark, edges):
     store = shards.ShardStore(spark, tempfile.mkdtemp() + "/store")
     assert store.manifest()["version"] == 0
