@@ -10,7 +10,7 @@ import re
 from bisect import bisect_right
 from itertools import accumulate
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -180,9 +180,10 @@ def heal(text: str, passes: int) -> str:
 def _batch(function):
     """A string function over Arrow batches; nulls stay null, equal texts of a batch are done once."""
 
-    @F.pandas_udf(StringType())
-    def run(column: pd.Series) -> pd.Series:
-        return column.map(function, na_action="ignore").astype(object)
+    @F.arrow_udf(StringType())
+    def run(column: pa.Array) -> pa.Array:
+        coded = column.dictionary_encode()
+        return pa.array([function(t) for t in coded.dictionary.to_pylist()], pa.string()).take(coded.indices)
 
     return run
 

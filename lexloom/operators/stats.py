@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.functions import classify, tokens
@@ -56,6 +56,16 @@ def best_attempt(attempts: DataFrame, threshold: float = 0.3, default_level: int
     return chosen.select("page", taken["level"].alias("level"), taken["text"].alias("text"), F.when(F.col("best").isNull(), FALLBACK_WARNING).alias("warning"))
 
 
+def best_in_row(attempts: Column, threshold: float = 0.3, default_level: int = 1) -> Column:
+    """``best_attempt`` where a page's attempts are one array of (level, text): (level, text, warning), without a shuffle."""
+    scored = F.transform(attempts, lambda a: F.struct(a["level"].alias("level"), a["text"].alias("text"), badness(a["text"]).alias("score")))
+    usable = F.filter(scored, lambda a: (a["text"] != "") & ((a["score"] < 1) | (a["score"] <= threshold)))
+    ranked = F.transform(usable, lambda a: F.struct((a["score"] > threshold).alias("late"), F.when(a["score"] > threshold, a["score"]).otherwise(F.lit(0.0)).alias("score"), a["level"].alias("level"), a["text"].alias("text")))
+    best = F.array_min(ranked)
+    fallback = F.array_min(F.transform(attempts, lambda a: F.struct((a["level"] != default_level).alias("other"), a["level"].alias("level"), a["text"].alias("text"))))
+    return F.struct(F.coalesce(best["level"], fallback["level"]).alias("level"), F.coalesce(best["text"], fallback["text"]).alias("text"), F.when(best.isNull(), FALLBACK_WARNING).alias("warning"))
+
+
 def corpus_stats(docs: DataFrame) -> DataFrame:
     """(n_rows, n_chars, n_words, n_bytes) of a table of texts."""
     t = F.col("text")

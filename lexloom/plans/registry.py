@@ -269,14 +269,15 @@ _HALF = r"([а-п])"
 
 
 def attempts(spark, sf_dir) -> DataFrame:
+    """(page, attempts): an array of (level, text) for each document as a page."""
     base = cyrillic(spark, sf_dir).select(F.col("doc_id").alias("page"), "text")
     levels = [F.regexp_replace("text", r"(\p{L})", "$1 "), F.regexp_replace("text", _HALF, "$1 "), F.regexp_replace("text", "([а-в])", "$1 ")]
-    return base.select("page", F.posexplode(F.array(*levels)).alias("level", "text"))
+    return base.select("page", F.array(*(F.struct(F.lit(n).alias("level"), t.alias("text")) for n, t in enumerate(levels))).alias("attempts"))
 
 
 query(
     "best_tolerance",
-    lambda spark, sf_dir: stats.best_attempt(attempts(spark, sf_dir)).select("page", F.col("level").cast("long").alias("level"), F.length("text").cast("long").alias("n_chars"), F.col("warning").isNotNull().alias("warned")),
+    lambda spark, sf_dir: attempts(spark, sf_dir).select("page", F.inline(F.array(stats.best_in_row(F.col("attempts"))))).select("page", F.col("level").cast("long").alias("level"), F.length("text").cast("long").alias("n_chars"), F.col("warning").isNotNull().alias("warned")),
     rf"""WITH a AS (SELECT doc_id AS page, 0 AS level, {SQL_SPACED} AS t FROM documents UNION ALL SELECT doc_id, 1, regexp_replace({SQL_CYRILLIC}, '{_HALF}', '\1 ', 'g') FROM documents UNION ALL SELECT doc_id, 2, regexp_replace({SQL_CYRILLIC}, '([а-в])', '\1 ', 'g') FROM documents),
 s AS (SELECT page, level, t, {_badness_sql('t')} AS score FROM a),
 r AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY score > 0.3, CASE WHEN score > 0.3 THEN score ELSE 0 END, level) AS n FROM s WHERE t <> '' AND score < 1)

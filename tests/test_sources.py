@@ -66,6 +66,9 @@ def test_best_attempt(spark):
     rows = [(1, 0, "а б в г"), (1, 1, "аб вг"), (1, 2, "абвг"), (2, 0, "а б"), (2, 1, ""), (3, 0, "а б вг"), (3, 1, "а бв г"), (4, 0, "а бв"), (4, 1, "а б в гд")]
     best = stats.best_attempt(spark.createDataFrame(rows, "page int, level int, text string")).cache()
     assert {r.page: r.level for r in best.collect()} == {1: 1, 2: 1, 3: 0, 4: 0}
+    listed = spark.createDataFrame(rows, "page int, level int, text string").groupBy("page").agg(F.collect_list(F.struct("level", "text")).alias("attempts"))
+    in_row = listed.select("page", F.inline(F.array(stats.best_in_row(F.col("attempts")))))
+    assert sorted(map(tuple, in_row.collect())) == sorted(map(tuple, best.select("page", "level", "text", "warning").collect()))
     warned = stats.warning_counts(best.where("warning is not null").select(F.col("warning").alias("message"))).collect()
     assert [tuple(r) for r in warned] == [(stats.FALLBACK_WARNING, 1)]
 
