@@ -21,6 +21,7 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--results", default=DEFAULT.results_folder)
     run.add_argument("--archive", default=DEFAULT.archive_folder)
     run.add_argument("--additional", default=DEFAULT.additional_folder, help="folder of word lists (*.txt)")
+    run.add_argument("--dictionaries", help="folder of base forms, a file for each language (ru.txt)")
     extract = commands.add_parser("extract", parents=[every], help="extract the pages of a folder of PDF files")
     extract.add_argument("--input", default=DEFAULT.input_folder)
     extract.add_argument("--output", required=True)
@@ -47,7 +48,7 @@ def main(arguments: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("lexloom").getOrCreate()
     try:
         if args.command == "run":
-            done = pipeline.run(spark, DEFAULT.with_(input_folder=args.input, results_folder=args.results, archive_folder=args.archive, additional_folder=args.additional), detect=detection.detector())
+            done = pipeline.run(spark, DEFAULT.with_(input_folder=args.input, results_folder=args.results, archive_folder=args.archive, additional_folder=args.additional, dictionary_folder=args.dictionaries), detect=detection.detector())
             logging.info("processed %s files into %s", done["processed"], done["cleaned"])
             return 0 if int(done["processed"]) else 1
         if args.command == "extract":

@@ -14,6 +14,7 @@ class Config:
     archive_folder: str = "workspace/archive"
     results_folder: str = "workspace/results"
     additional_folder: str = "workspace/additional"
+    dictionary_folder: str | None = None  # of base forms, a file for each language
     text_files: bool = True  # a run also writes its texts as one file each, in order
     debug_sample_size: int = 20
     primary_language: str = "ru"

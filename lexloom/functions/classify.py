@@ -10,7 +10,7 @@ from lexloom.constants import ANCHORS, DIPHTHONGS, RUSSIAN_ENDINGS, RUSSIAN_MARK
 from lexloom.functions.tokens import joined_tokens
 
 #: Deciding rules that delete a word.
-DELETING = ("rules", "marker", "russian_ending", "fallback")
+DELETING = ("rules", "marker", "russian_ending", "dictionary", "fallback")
 
 _RUSSIAN_END = f"(?:{'|'.join(RUSSIAN_ENDINGS)})$"
 _SAKHA_END = f"(?:{'|'.join(SAKHA_ENDINGS)})$"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lexloom.config import DEFAULT, Config
 from lexloom.functions import classify, healing, text, tokens
+from lexloom.operators import dictionary as D
 from lexloom.operators import rules as R
 from lexloom.operators.stats import best_attempt
 from lexloom.session import ship
@@ -84,36 +85,52 @@ def remove_listed(docs: DataFrame, listed: list[str], config: Config = DEFAULT,
     return listed_kept(docs, listed, config, text_col).withColumn(text_col, F.coalesce(kept, F.lit(""))).select(*docs.columns)
 
 
-def deleted_words(valid: DataFrame, rules: DataFrame | None, config: Config, detect, text_col: str) -> DataFrame:
-    """(word): the distinct words that the cascade deletes, each classified once."""
-    words = materialize(valid.select(F.explode(tokens.joined_tokens(F.col(text_col))).alias("word")).distinct(), "clean-words")
+def decided_words(words: DataFrame, rules: DataFrame | None = None, config: Config = DEFAULT, dictionary: DataFrame | None = None) -> DataFrame:
+    """Distinct (word) -> (word, rule): which step of the cascade decides it.
+
+    Words that no rule decides are looked up in the dictionary; ``dictionary`` says that one of the primary language
+    knows the word and ``dictionary_other`` that another one does.
+    """
     matched = R.match_distinct(words, rules) if rules is not None else words.limit(0).withColumn("way", F.lit(""))
     decided = words.join(matched, "word", "left").select("word", classify.deciding_rule(F.col("word"), config, F.col("way").isNotNull()).alias("rule"))
+    if dictionary is None:
+        return decided
+    decided = materialize(decided, "decided-words")
+    known = D.look_up(decided.where("rule = 'undecided'"), dictionary, config.primary_language)
+    found = F.when(F.col("language") == config.primary_language, "dictionary").when(F.col("language").isNotNull(), "dictionary_other").otherwise(F.col("rule"))
+    return decided.join(known, "word", "left").select("word", found.alias("rule"))
+
+
+def deleted_words(valid: DataFrame, rules: DataFrame | None, config: Config, detect, text_col: str, dictionary: DataFrame | None = None) -> DataFrame:
+    """(word): the distinct words that the cascade deletes, each classified once."""
+    words = materialize(valid.select(F.explode(tokens.joined_tokens(F.col(text_col))).alias("word")).distinct(), "clean-words")
+    decided = decided_words(words, rules, config, dictionary)
     deleted = decided.where(F.col("rule").isin(*classify.DELETING)).select("word")
     return deleted if detect is None else deleted.unionByName(detect_words(decided.where("rule = 'undecided'"), detect))
 
 
-def clean_with_rules(docs: DataFrame, rules: DataFrame | None = None, config: Config = DEFAULT, detect=None, text_col: str = "text") -> DataFrame:
-    """``clean`` with user word lists (word) and, for words that no rule decides, a detector. A null text comes out empty.
+def clean_with_rules(docs: DataFrame, rules: DataFrame | None = None, config: Config = DEFAULT, detect=None, text_col: str = "text", dictionary: DataFrame | None = None) -> DataFrame:
+    """``clean`` with user word lists (word) and, for words that no rule decides, a dictionary (base, language) and then a
+    detector. A null text comes out empty.
 
     Word lists are settings: up to ``rules.MAX_LISTED`` words they are sent to the workers, and each row is cleaned where it
-    lies. With longer lists, or a detector, distinct words are classified once and joined back.
+    lies. With longer lists, a dictionary or a detector, distinct words are classified once and joined back.
     """
-    if rules is None and detect is None:
+    if rules is None and detect is None and dictionary is None:
         return clean(docs, config, text_col)
     ship(docs.sparkSession)
     valid = docs.withColumn(text_col, tokens.filter_invalid_words(healing.heal_text(text.remove_special(F.col(text_col)), config)))
-    if detect is None and (listed := R.small_list(rules)) is not None:
+    if detect is None and dictionary is None and (listed := R.small_list(rules)) is not None:
         return remove_listed(valid, listed, config, text_col)
     valid = materialize(valid, "clean-valid")  # read twice, so that texts are healed once
-    return remove_words(valid, deleted_words(valid, rules, config, detect, text_col), text_col)
+    return remove_words(valid, deleted_words(valid, rules, config, detect, text_col, dictionary), text_col)
 
 
 def _equal_to(array: str, value: str) -> Column:
     return F.filter(array, lambda x: x == value)
 
 
-def clean_counted(docs: DataFrame, rules: DataFrame | None = None, config: Config = DEFAULT, detect=None, text_col: str = "text", counts_col: str = "counts") -> DataFrame:
+def clean_counted(docs: DataFrame, rules: DataFrame | None = None, config: Config = DEFAULT, detect=None, text_col: str = "text", counts_col: str = "counts", dictionary: DataFrame | None = None) -> DataFrame:
     """``clean_with_rules`` with one more column: a struct of ``COUNTERS`` for each row. A null text counts nothing."""
     ship(docs.sparkSession)
     column = F.col(text_col)
@@ -127,14 +144,15 @@ def clean_counted(docs: DataFrame, rules: DataFrame | None = None, config: Confi
     others = [F.col(c) for c in docs.columns if c != text_col]
     left = F.array_join(F.filter(_DOTTED, lambda w: ~F.rlike(w, F.lit(tokens.DROPPED))), " ")
     valid = dropped.select(*others, left.alias(text_col), first.alias(_DROPPED))
-    listed = None if rules is None or detect is not None else R.small_list(rules)
+    in_joins = detect is not None or dictionary is not None
+    listed = None if rules is None or in_joins else R.small_list(rules)
     words = size(tokens.joined_tokens(column))
-    if (rules is None or listed is not None) and detect is None:
+    if (rules is None or listed is not None) and not in_joins:
         kept = listed_kept(valid, listed, config, text_col) if listed else valid.withColumn(_TOKENS, tokens.joined_tokens(column)).withColumn(_KEPT, F.filter(_TOKENS, lambda w: ~classify.deleted_by_form(w, config)))
         out, words, n_kept = kept.withColumn(text_col, F.coalesce(F.array_join(F.transform(_KEPT, classify.spaced_out), " "), F.lit(""))), size(F.col(_TOKENS)), size(F.col(_KEPT))
     else:
         valid = materialize(valid.withColumn(_FLAGS, words), "clean-valid")
-        out, words, n_kept = remove_words(valid, deleted_words(valid, rules, config, detect, text_col), text_col, _KEPT), F.col(_FLAGS), F.col(_KEPT)
+        out, words, n_kept = remove_words(valid, deleted_words(valid, rules, config, detect, text_col, dictionary), text_col, _KEPT), F.col(_FLAGS), F.col(_KEPT)
     counts = F.struct(F.col(f"{_DROPPED}.*"), count(n_kept).alias("kept"), count(words - n_kept).alias("removed"))
     return out.select(*docs.columns, counts.alias(counts_col))
 
@@ -159,8 +177,8 @@ def word_lists(spark: SparkSession, config: Config = DEFAULT) -> DataFrame | Non
 
 
 def clean_rows(rows: DataFrame, config: Config = DEFAULT, detect=None) -> DataFrame:
-    """``clean`` with the word lists of the configured folder and, if given, a detector; the other columns stay."""
-    return clean_with_rules(rows, word_lists(rows.sparkSession, config), config, detect)
+    """``clean`` with the word lists and dictionaries of the configured folders and, if given, a detector; the other columns stay."""
+    return clean_with_rules(rows, word_lists(rows.sparkSession, config), config, detect, dictionary=D.read_dictionaries(rows.sparkSession, config))
 
 
 def pdf_texts(pages: DataFrame, config: Config = DEFAULT) -> DataFrame:

@@ -13,11 +13,11 @@ from lexloom.config import DEFAULT
 from lexloom.constants import ANCHORS, CYRILLIC, DIPHTHONGS, MAX_CONSONANTS, RUSSIAN_ENDINGS, RUSSIAN_MARKERS, SAKHA_ENDINGS
 from lexloom.functions import classify, healing, scalar, tokens
 from lexloom.functions import text as T
-from lexloom.operators import flatten, rules, stats
+from lexloom.operators import dictionary, flatten, rules, stats
 from lexloom.plans import healing_sql, pipeline
 from lexloom.session import ship
 from lexloom.sources import files, textfiles
-from lexloom.sources.scratch import scratch_path
+from lexloom.sources.scratch import materialize, scratch_path
 from lexloom.streaming import clean_stream as streaming
 
 LATIN = "abcdefghijklmnopqrstuvwxyz"
@@ -377,6 +377,22 @@ def stream_clean(spark, sf_dir) -> DataFrame:
 ARRIVING = (("documents", "text", "text string"), ("benchmark", "text", "text string"))
 
 
+def base_forms(spark, sf_dir) -> DataFrame:
+    """Words of the benchmark's passages as base forms of two languages, those of every third passage of both."""
+    text = F.translate(F.lower("text"), LATIN, TO_CYRILLIC)
+    languages = F.when(F.col("item_id") % 3 == 0, F.array(F.lit("ru"), F.lit("sah"))).when(F.col("item_id") % 3 == 1, F.array(F.lit("ru"))).otherwise(F.array(F.lit("sah")))
+    return table(spark, sf_dir, "benchmark").select(F.explode(tokens.joined_tokens(text)).alias("base"), languages.alias("l")).select("base", F.explode("l").alias("language")).distinct()
+
+
+def dictionary_words(spark, sf_dir) -> DataFrame:
+    """The step of the cascade that decides each distinct word of the documents, with a dictionary for what no rule decides."""
+    return pipeline.decided_words(materialize(distinct_words(cyrillic, spark, sf_dir), "dictionary-words"), dictionary=base_forms(spark, sf_dir))
+
+
+def clean_with_dictionary(spark, sf_dir) -> DataFrame:
+    return pipeline.clean_with_rules(cyrillic(spark, sf_dir), None, DEFAULT.with_(word_healer_enabled=False), dictionary=base_forms(spark, sf_dir))
+
+
 def stream_unique_texts(spark, sf_dir) -> DataFrame:
     """The documents and benchmark passages as streams of files, of which a text that came before is dropped."""
     out = scratch_path(spark, "stream-unique")
@@ -412,3 +428,32 @@ query(
 FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)""",
 )
 query("stream_unique_texts", stream_unique_texts, "SELECT DISTINCT sha256(text) AS digest, length(text) AS n_chars FROM (SELECT text FROM documents UNION ALL SELECT text FROM benchmark) WHERE text IS NOT NULL")
+
+
+def _paradigm_sql(word: str, endings: tuple[str, ...]) -> str:
+    cuts = ", ".join(f"CASE WHEN lower({word}) LIKE '%{e}' AND length({word}) - {len(e)} >= {rules.MIN_STEM} THEN substr(lower({word}), 1, length({word}) - {len(e)}) END" for e in endings)
+    return f"list_filter(list_distinct([lower({word}), {cuts}]), lambda s: s IS NOT NULL)"
+
+
+def _dictionary_sql(words: str) -> str:
+    """CTEs up to ``decided`` (word, rule) for the distinct words of a CTE or table."""
+    language = "CASE item_id % 3 WHEN 0 THEN ['ru', 'sah'] WHEN 1 THEN ['ru'] ELSE ['sah'] END"
+    stems = lambda word: f"CASE language WHEN 'ru' THEN {_paradigm_sql(word, dictionary.PARADIGMS['ru'])} ELSE {_paradigm_sql(word, dictionary.PARADIGMS['sah'])} END"
+    return f"""bases AS (SELECT DISTINCT base, unnest(l) AS language FROM (SELECT unnest(regexp_extract_all({SQL_CYRILLIC}, {_JOINED})) AS base, {language} AS l FROM benchmark)),
+known AS (SELECT language, stem, bool_or(stem = lower(base)) AS is_base FROM (SELECT base, language, unnest({stems('base')}) AS stem FROM bases) GROUP BY language, stem),
+ruled AS (SELECT word, {_RULE_CASE} AS rule FROM {words}),
+keys AS (SELECT word, language, unnest({stems('word')}) AS stem FROM (SELECT word, unnest(['ru', 'sah']) AS language FROM ruled WHERE rule = 'undecided')),
+nearest AS (SELECT word, arg_min(k.language, CASE WHEN k.stem = lower(word) AND is_base THEN 0 ELSE 2 END + CASE WHEN k.language = 'ru' THEN 1 ELSE 0 END) AS language FROM keys k JOIN known n ON k.language = n.language AND k.stem = n.stem GROUP BY word),
+decided AS (SELECT r.word, CASE WHEN language = 'ru' THEN 'dictionary' WHEN language IS NOT NULL THEN 'dictionary_other' ELSE rule END AS rule FROM ruled r LEFT JOIN nearest n ON r.word = n.word)"""
+
+
+query("dictionary_words", dictionary_words, f"WITH {_dictionary_sql(_WORDS_SQL)} SELECT word, rule FROM decided")
+query(
+    "clean_with_dictionary",
+    clean_with_dictionary,
+    f"""WITH t AS (SELECT doc_id, regexp_extract_all({_VALID_SQL}, {_JOINED}) AS ws FROM documents),
+k AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM t),
+w AS (SELECT DISTINCT word FROM k),
+{_dictionary_sql('w')}
+SELECT d.doc_id, coalesce(s.text, '') AS text FROM documents d LEFT JOIN (SELECT doc_id, string_agg(regexp_replace(k.word, '[–_' || chr(10) || ']+', ' ', 'g'), ' ' ORDER BY pos) AS text FROM k JOIN decided e ON k.word = e.word WHERE rule NOT IN ('marker', 'russian_ending', 'dictionary') GROUP BY doc_id) s ON d.doc_id = s.doc_id""",
+)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.config import DEFAULT, Config
+from lexloom.operators.dictionary import read_dictionaries
 from lexloom.operators.stats import removed_words
 from lexloom.plans import pipeline
 from lexloom.sources import files
@@ -138,7 +139,7 @@ def _work(spark: SparkSession, config: Config, extractor: files.PdfExtractor, de
 
 def _clean(spark: SparkSession, config: Config, detect, out: str, visible: str) -> None:
     rows = spark.read.parquet(f"{out}/extracted")
-    counted = pipeline.clean_counted(rows, pipeline.word_lists(spark, config), config, detect)
+    counted = pipeline.clean_counted(rows, pipeline.word_lists(spark, config), config, detect, dictionary=read_dictionaries(spark, config))
     cleaned, seen = pipeline.observed(counted)
     cleaned.where("text <> ''").write.parquet(f"{out}/cleaned")
     written = spark.read.parquet(f"{out}/cleaned")

@@ -1,6 +1,6 @@
 """The pipeline over arriving files: exactly once through the checkpoint, inputs archived by the source.
 
-Word lists are read anew for every batch, so a list that is added between two batches counts from the next one on. What a
+Word lists and dictionaries are read anew for every batch, so a list that is added between two batches counts from the next one on. What a
 batch writes is a folder of its own, which a batch that is run again after a failure overwrites.
 
 ``read_text_stream`` with ``first_arrivals`` drops files whose contents came before: the digests of contents are the state,
@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lexloom.config import DEFAULT, Config
+from lexloom.operators.dictionary import read_dictionaries
 from lexloom.plans.pipeline import COUNTERS, clean, clean_counted, observed, word_lists
 from lexloom.sources.storage import plain_name
 
@@ -57,14 +58,14 @@ def first_arrivals(stream: DataFrame, keep: str = KEEP_DIGESTS) -> DataFrame:
 def clean_stream(docs: DataFrame, output: str, checkpoint: str, config: Config = DEFAULT, manifest: str | None = None) -> StreamingQuery:
     """Clean whatever is there and stop (``availableNow``); with ``manifest`` a row of counts is added per batch.
 
-    Without a manifest and without word lists the cleaned rows go to a plain file sink.
+    Without a manifest, word lists and dictionaries the cleaned rows go to a plain file sink.
     """
-    if manifest is None and word_lists(docs.sparkSession, config) is None:
+    if manifest is None and config.dictionary_folder is None and word_lists(docs.sparkSession, config) is None:
         return clean(docs, config).writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).format("parquet").start(output)
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        cleaned, seen = observed(clean_counted(batch, word_lists(spark, config), config), "counts")
+        cleaned, seen = observed(clean_counted(batch, word_lists(spark, config), config, dictionary=read_dictionaries(spark, config)))
         cleaned.write.mode("overwrite").parquet(f"{output}/batch={number}")
         if manifest is not None:
             stored = spark.read.parquet(f"{output}/batch={number}")

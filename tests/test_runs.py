@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexloom.config import DEFAULT
-from lexloom.operators import rules, stats
+from lexloom.operators import dictionary, rules, stats
 from lexloom.plans import pipeline, runs
 from lexloom.sources import files, footers, storage, textfiles
 
@@ -266,3 +266,26 @@ def test_one_file_of_ordered_texts(spark, tmp_path):
     assert (tmp_path / "all.txt").read_text() == "".join(f"{t}|" for _, t in reversed(rows) if t is not None)
     textfiles.write_text_file(docs.where("false"), str(tmp_path / "none.txt"), ["n"])
     assert (tmp_path / "none.txt").read_text() == ""
+
+
+def test_dictionaries_decide_what_no_rule_does(spark):
+    bases = spark.createDataFrame([("дом", "ru"), ("книга", "ru"), ("ыт", "sah"), ("дом", "xx"), ("стол", "ru"), ("стол", "sah"), (None, "ru"), ("кот", None)], "base string, language string")
+    words = spark.createDataFrame([(w,) for w in ("дом", "домость", "КНИГА", "книгатэ", "ыттар", "ыт", "столь", "стол", "столтар", "нет", "кот")], "word string")
+    found = {r.word: (r.language, r.layer) for r in dictionary.look_up(words, bases).collect()}
+    # equally near in two languages: the one that is not deleted counts
+    assert found == {"дом": ("xx", "base"), "домость": ("ru", "form"), "КНИГА": ("ru", "base"), "ыттар": ("sah", "form"), "ыт": ("sah", "base"), "стол": ("sah", "base"), "столтар": ("sah", "form")}
+    decided = {r.word: r.rule for r in pipeline.decided_words(words, dictionary=bases).collect()}
+    assert decided["КНИГА"] == "dictionary" and decided["ыт"] == "dictionary_other" and decided["нет"] == "undecided" and decided["стол"] == "russian_ending"
+    assert dictionary.look_up(words, bases.where("false")).count() == 0
+
+
+def test_runs_use_dictionaries(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "words").mkdir()
+    (tmp_path / "words" / "ru.txt").write_text("# base forms\nкнига\n", encoding="utf-8")
+    (tmp_path / "words" / "sah.txt").write_text("кинигэ\n", encoding="utf-8")
+    table_file(tmp_path / "in" / "one.parquet", t=["баҕараллар книга кинигэ"])
+    done = pipeline.run(spark, config_of(tmp_path, dictionary_folder=str(tmp_path / "words")))
+    assert spark.read.parquet(done["cleaned"]).first().text == "баҕараллар кинигэ"
+    counts = next(r.counts for r in spark.read.parquet(done["manifest"]).collect() if r.processor == "run")
+    assert (counts["kept"], counts["removed"]) == (2, 1)
