@@ -193,6 +193,48 @@ def smart_normalize(text: Column) -> Column:
     return _batch(normalize)(text)
 
 
+_JAVA_WHITE = r"\s\x1c-\x1f"
+_JAVA_DIGIT = r"[\p{Nd}²³¹⁰⁴-⁹₀-₉①-⑨⑴-⑼⒈-⒐⓪⓵-⓽⓿❶-❾➀-➈➊-➒]"
+_STOPS = ".,;:!?"
+FAR_WHITE = 100  # white space over which ``native_normalize`` looks back for a digit
+
+
+def _look_alike_pattern(wrong: str) -> str:
+    """Java's pattern for the places of a look-alike that are to be replaced; what stands before them is its group.
+
+    Such a place sees a Cyrillic letter over at most ``_REACH`` - 1 other visible characters, none of them a stop. To the left it
+    may also see a place that this pattern has just matched, where the matcher's last match ended.
+    """
+    white, letter = f"[{_JAVA_WHITE}]", f"(?iu:[{CYRILLIC}])"
+    seen, other = f"[^{_JAVA_WHITE}]", f"[^{_JAVA_WHITE}{_STOPS}{CYRILLIC}{CYRILLIC.upper()}]"
+    if wrong.isdigit():
+        back = "|".join(f"(?<={_JAVA_DIGIT}{between})" for between in (f"{white}{{0,{FAR_WHITE}}}", f"{white}{{0,{FAR_WHITE}}}{seen}{white}{{0,{FAR_WHITE}}}"))
+        target = rf"(?={wrong})(?!{back}){wrong}(?![-.]|{white}*+{_JAVA_DIGIT}|{white}*+{seen}{white}*+{_JAVA_DIGIT})"
+    else:
+        held = [(marker[:at], marker[at:]) for marker in (BLOCK_MARKER, OLD_MARKER) for at, c in enumerate(marker) if c == wrong]
+        target = f"(?={wrong})" + "".join(rf"(?!(?<=\Q{a}\E)\Q{b}\E)" for a, b in held) + wrong
+    gap = f"(?:{white}*+(?:(?!{wrong}){other}|(?!{target}){wrong})){{0,{_REACH - 1}}}+{white}*+"
+    return rf"(?U)(?:((?:(?!\A)\G|{letter}){gap}){target}|{target}(?=(?:{white}*+{other}){{0,{_REACH - 1}}}+{white}*+{letter}))"
+
+
+def native_normalize(text: Column) -> Column:
+    """``smart_normalize`` as one expression for each entry of the table, without Python.
+
+    It differs only where more than ``FAR_WHITE`` white-space characters part a digit from a 6 or 8. The batch function is
+    the default because it is faster (see the README).
+    """
+    for wrong, right in LOOK_ALIKES:
+        # bound as a variable, as an expression that is named twice in every step would grow by powers of two
+        step = lambda t, wrong=F.lit(wrong), pattern=_look_alike_pattern(wrong), right=right: F.when(F.contains(t, wrong), F.regexp_replace(t, pattern, f"$1{right}")).otherwise(t)
+        text = F.get(F.transform(F.array(text), _one_argument(step)), F.lit(0))
+    return text
+
+
+def _one_argument(function):
+    """Spark tells by the number of a function's arguments whether it wants an item's place too."""
+    return lambda item: function(item)
+
+
 def repair_broken_words(text: Column, passes: int | None = None, config: Config = DEFAULT) -> Column:
     n = passes or config.word_healer_passes
     return _batch(lambda t: repair(t, n))(text)

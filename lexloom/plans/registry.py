@@ -247,6 +247,7 @@ def shipped(name: str, view, value, sql: str) -> None:
 PASSES = DEFAULT.word_healer_passes
 SQL_MIXED = f"translate(lower(text), '{LATIN_MIXED}', '{TO_MIXED}')"
 shipped("smart_normalize", mixed, healing.smart_normalize, _over_documents(SQL_MIXED, healing_sql.normalized("base")))
+per_document("native_normalize", mixed, healing.native_normalize, ORACLES["smart_normalize"])
 shipped("repair_broken_words", spaced, healing.repair_broken_words, _over_documents(SQL_SPACED, healing_sql.repaired("base", PASSES)))
 shipped("heal_text", mixed, healing.heal_text, _over_documents(SQL_MIXED, healing_sql.healed("base", PASSES)))
 per_word("phonetic_valid", T.phonetically_valid, f"NOT regexp_matches(word, '[{healing_sql.CONSONANTS}{healing_sql.CONSONANTS.upper()}]{{{MAX_CONSONANTS}}}')")

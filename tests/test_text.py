@@ -218,3 +218,12 @@ def test_config_is_checked():
     for wrong in ({"word_healer_passes": 0}, {"pdf_badness_threshold": 1.5}, {"pdf_x_tolerance": -1}, {"word_healer_exceptions_file": "/"}):
         with pytest.raises(ConfigurationError):
             Config(**wrong).validate()
+
+
+def test_native_normalization_matches_the_batch_function(spark):
+    pieces = [*"аҕбүяЁҺ", *"6688hhHooOyY", *"xz-.,;:! \n\t_[]", "  ", BLOCK_MARKER, "__WORD_BOUNDARY__", "5", "²", f" {BLOCK_MARKER} ", "[[BLO", "\x1c", "«"]
+    rng = random.Random(11)
+    texts = ["".join(rng.choices(pieces, k=rng.randint(0, 25))) for _ in range(5000)] + ["", "h" * 2000 + "а", "а" + "o " * 2000, "а 6" + " " * 90 + "5"]
+    assert apply(spark, healing.native_normalize, texts) == [healing.normalize(t) for t in texts]
+    plan = spark.createDataFrame([("а",)], "t string").select(healing.native_normalize(F.col("t")))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
