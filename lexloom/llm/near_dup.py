@@ -8,6 +8,9 @@ compared exactly: no pair that meets is dropped before.
 
 Documents with equal sets are one class from the start, so copies are never paired. Links come from ``connect_groups``.
 
+Texts are not shuffled: the pass that takes signatures stores them in blocks of about ``BLOCK_BYTES``, bucketed by block, and
+what is wanted for the exact comparison is asked of the block that holds it.
+
 At a similarity of 0.85 a value differs with probability 0.15, and all eight chunks have two or more differing values
 with probability 5.4e-7; at 0.8 it is 2.3e-5. As nothing else drops pairs, these are the miss rates of a pair as a whole.
 
@@ -24,17 +27,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import WordHashes, frugal, id_and_bytes, lower_words, mix64, rows_of, seeds, word_shingles
+from lexloom.llm.common import WordHashes, block_numbers, frugal, id_and_bytes, lower_words, mix64, release, rows_of, seeds, word_shingles
 from lexloom.llm.linking import components, connect_groups, key_links, set_matcher
+from lexloom.llm.wordblocks import pack_words, unpack_words
 from lexloom.session import ship
-from lexloom.sources.scratch import materialize
+from lexloom.sources.scratch import materialize, materialize_bucketed
 
 CHUNKS, WIDTH = 8, 5
 VALUES = CHUNKS * WIDTH
 BITS = 16
+BLOCK_BYTES = 6_000_000
+_BLOCKS = "block long, doc_ids array<long>, sizes array<long>, names array<binary>, signatures array<binary>, texts binary"
 SURE = 2 * CHUNKS - 1  # differing values up to which no pair is missed
 
 _A = (seeds(VALUES, 21) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -67,22 +74,47 @@ def chunk_keys(signatures: np.ndarray) -> np.ndarray:
     return keys.reshape(len(signatures), -1)
 
 
-def _features(words: int):
+def _cut(words: int, buckets: int, block_bytes: int):
     @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, numbers = WordHashes(), block_numbers(TaskContext.get().partitionId(), buckets)
+        held: list[tuple] = []
+        size = 0
+
+        def block() -> pa.RecordBatch:
+            kinds = [pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.list_(pa.binary())]
+            columns = [pa.array([[h[i] for h in held]], kind) for i, kind in enumerate(kinds)]
+            return pa.RecordBatch.from_arrays([pa.array([next(numbers)], pa.int64()), *columns, pa.array([pack_words([h[4] for h in held])], pa.binary())], ["block", "doc_ids", "sizes", "names", "signatures", "texts"])
+
         for batch in batches:
-            sizes, names, signatures = [], [], []
-            for (raw,) in rows_of(batch, "raw"):
-                shingles = word_shingles(hashes.of(lower_words(raw)), words)
-                sizes.append(len(shingles))
-                names.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
-                signatures.append(signature(shingles).tobytes() if len(shingles) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.array(signatures, pa.binary())], ["doc_id", "n_shingles", "name", "signature"])
+            for at in range(0, batch.num_rows, 256):
+                for doc_id, raw in rows_of(batch.slice(at, 256), "doc_id", "raw"):
+                    shingles = word_shingles(hashes.of(lower_words(raw)), words)
+                    known = len(shingles) > 0
+                    held.append((doc_id, len(shingles), xxhash.xxh3_128_digest(shingles.tobytes()) if known else None, signature(shingles).tobytes() if known else None, raw or b""))
+                    size += len(held[-1][4])
+                    if size >= block_bytes:
+                        yield block()
+                        held, size = [], 0
+                        release()
+        if held:
+            yield block()
 
     return run
 
 
+def cut_blocks(docs: DataFrame, words: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(doc_id, raw) -> the table of blocks: ids, set sizes, names of sets, signatures and, apart from them, texts."""
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize_bucketed(docs.mapInArrow(_cut(words, buckets, block_bytes), _BLOCKS), "block", "near_dup_blocks", compression="none")
+
+
+def features_of(blocks: DataFrame) -> DataFrame:
+    """(block, row, doc_id, n_shingles, name, signature) of every document; texts are not read."""
+    each = blocks.select("block", F.posexplode(F.arrays_zip("doc_ids", "sizes", "names", "signatures")).alias("row", "d"))
+    return each.select("block", "row", F.col("d.doc_ids").alias("doc_id"), F.col("d.sizes").alias("n_shingles"), F.col("d.names").alias("name"), F.col("d.signatures").alias("signature"))
+
+
 @frugal
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
@@ -94,36 +126,42 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(words: int):
+    """Blocks with what is wanted of them -> (group, id, payload, n, weight)."""
+
     @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            rows = []
-            for node, root, n, weight, name, raw in rows_of(batch, "id", "root", "n", "weight", "name", "raw"):
-                shingles = word_shingles(hashes.of(lower_words(raw)), words)
-                if xxhash.xxh3_128_digest(shingles.tobytes()) == name:  # a row with this id may have another text
-                    rows.append((root, node, shingles.astype("<u8").tobytes(), n, weight))
-            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["group", "id", "payload", "n", "weight"])
+            for packed, wanted in rows_of(batch, "texts", "wanted"):
+                texts = unpack_words(packed)[0]
+                rows = [(w["root"], w["id"], word_shingles(hashes.of(lower_words(texts[w["row"]])), words).astype("<u8").tobytes(), w["n"], w["weight"]) for w in wanted]
+                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["group", "id", "payload", "n", "weight"])
 
     return run
 
 
+def wanted_sets(blocks: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(block, row, id, root, n, weight) -> (group, id, payload, n, weight): the full sets, from the blocks that hold their texts."""
+    # grows with the corpus, so the plan is the same at every size: nothing is broadcast
+    asked = wanted.groupBy("block").agg(F.collect_list(F.struct("row", "id", "root", "n", "weight")).alias("wanted"))
+    met = blocks.select("block", "texts").join(asked.hint("merge"), "block").select("texts", "wanted")
+    return met.mapInArrow(_sets(words), "group long, id long, payload binary, n long, weight long")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept: documents linked at ``percent`` similarity of ``words``-word shingles."""
     ship(docs.sparkSession)
-    plain = id_and_bytes(docs, id_col, text_col)
-    features = materialize(plain.mapInArrow(_features(words), "doc_id long, n_shingles long, name binary, signature binary"), "near-dup-features")
-    classes = features.where("name is not null and doc_id is not null").groupBy("name").agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature"), F.first("n_shingles").alias("size"))
-    classes = materialize(classes, "near-dup-classes")
+    blocks = cut_blocks(id_and_bytes(docs, id_col, text_col), words)
+    features = features_of(blocks)
+    known = features.where("name is not null and doc_id is not null").groupBy("name").agg(F.min(F.struct("doc_id", "block", "row")).alias("at"), F.first("signature").alias("signature"), F.first("n_shingles").alias("size"))
+    classes = materialize(known.select("name", F.col("at.doc_id").alias("id"), "at.block", "at.row", "signature", "size"), "near-dup-classes")
     signatures = classes.select("id", "signature")
     rough = components(key_links(signatures.mapInArrow(_keys, "key long, id long")), "near-dup-rough")
-    some = materialize(rough.join(classes.select("id", "name", "size"), "id"), "near-dup-some")
+    some = materialize(rough.join(classes.select("id", "block", "row", "size"), "id"), "near-dup-some")
     # written, as a join of two plain shuffles can be split where one component has many of the documents
     sizes = materialize(some.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("weight")), "near-dup-sizes")
-    wanted = some.join(sizes, "root")
-    # what is wanted grows with the corpus, so the plan is the same at every size: no side is broadcast
-    compared = plain.join(wanted.hint("merge"), F.col("doc_id") == F.col("id")).select("id", "root", "n", "weight", "name", "raw").mapInArrow(_sets(words), "group long, id long, payload binary, n long, weight long")
+    compared = wanted_sets(blocks, some.join(sizes, "root"), words)
     exact = connect_groups(materialize(compared, "near-dup-sets"), set_matcher(percent), "near-dup-exact")
     named = classes.select("name", "id").join(exact, "id", "left").select("name", F.coalesce("root", "id").alias("component"))
     placed = features.select("doc_id", "n_shingles", "name").join(named, "name", "left")

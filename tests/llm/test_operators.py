@@ -292,6 +292,22 @@ def test_near_dup_connects_a_large_group_of_varied_copies(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain.near_duplicates([(i, i, t) for i, t in rows], 3, 85)
 
 
+def test_texts_stay_in_their_blocks(spark, documents):
+    """Only what is asked of the blocks is shuffled for the comparison, and places without a request send nothing."""
+    blocks = near_dup.cut_blocks(common.id_and_bytes(documents.repartition(3)), 3, block_bytes=20_000)
+    features = near_dup.features_of(blocks)
+    assert features.count() == documents.count() and blocks.count() > 10
+    wanted = features.where("doc_id < 5").select("block", "row", F.col("doc_id").alias("id"), F.lit(7).cast("long").alias("root"), F.lit(1).cast("long").alias("n"), F.lit(2).cast("long").alias("weight"))
+    sets = near_dup.wanted_sets(blocks, wanted, 3)
+    plan = sets._jdf.queryExecution().executedPlan().toString()
+    left = plan[plan.index("SortMergeJoin") :]
+    assert left.count("Exchange") <= 1 and "Bucketed: true" in left and "BroadcastHashJoin" not in plan
+    assert sorted(r.id for r in sets.collect()) == sorted(r.doc_id for r in documents.where("doc_id < 5").collect())
+    hashes = common.WordHashes()
+    raw = {r.doc_id: r.text.encode() for r in documents.where("doc_id < 5").collect()}
+    assert all(r.payload == common.word_shingles(hashes.of(common.lower_words(raw[r.id])), 3).astype("<u8").tobytes() for r in sets.collect())
+
+
 def test_large_sets_are_compared_in_small_chunks(spark, monkeypatch, texts):
     """Groups whose sets are too large for one task fall into many, with the same links."""
     monkeypatch.setattr(linking, "CHUNK_WEIGHT", 600)
