@@ -11,7 +11,8 @@ satisfy some query: only those travel to what the index returns for them.
 Matches are leftmost and non-overlapping for each rule; spans count code points, with exclusive ends.
 
 Cases: a null text counts as empty; the candidates of equal ids are the union of theirs and each row is verified by
-itself, so repeated ids and rows are right; null ids are matched null-safe; a text without secrets has counts 0 and
+itself, so repeated ids and rows are right; null ids are matched null-safe, so candidate rows without an id all meet under one join
+key; a text without secrets has counts 0 and
 an empty span string; a text of any length is scanned whole; an empty table gives an empty table; other columns are not
 read. Spans of one document and rule are gathered in that document's row.
 """

@@ -68,17 +68,21 @@ def decode_numbers(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 def _visible(char: str) -> bool:
-    return unicodedata.category(char)[0] in "LNPSM"
+    return char.isalnum() or unicodedata.category(char)[0] in "LNPSM"
 
 
 class Pieces(dict):
-    """Piece -> its number. A string stands for itself after a space, a tuple of one for itself; -1: not to be cut out."""
+    """Piece -> its number. A string stands for itself after a space, a tuple of one for itself; -1: not to be cut out.
+
+    A piece that ends in a punctuation mark after a letter, or has a line end between two visible characters, is put together from
+    smaller ones, as matches end there too.
+    """
 
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
         self.line_end = tokenizer.encode("\n", add_special_tokens=False).ids
-        self.fresh: list[str] = []
+        self.fresh: list[str | list[int]] = []  # texts to encode, or the numbers of a piece's parts
         self.chars = self.known = 0
         self.starts, self.sizes, self.flat = array("q"), array("q"), array("I")
 
@@ -87,7 +91,7 @@ class Pieces(dict):
         if isinstance(piece, str) and not (piece and _visible(piece[0]) and _visible(piece[-1])):
             self[piece] = -1
             return -1
-        self.fresh.append(text)
+        self.fresh.append([self[part] for part in parts] if (parts := _parts(text)) else text)
         self.chars += len(text)
         self[piece] = self.known
         self.known += 1
@@ -121,18 +125,43 @@ class Pieces(dict):
 
     def settle(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Encode what is new; where each piece's ids start, how many they are, and all ids."""
-        plain = [text[:1] == " " and "\n" not in text and _visible(text[-1]) and len(text) > 1 and _visible(text[1]) for text in self.fresh]
-        together = iter(self._encoded_together([t for t, p in zip(self.fresh, plain, strict=True) if p]))
-        alone = iter(self._encoded([t for t, p in zip(self.fresh, plain, strict=True) if not p]))
-        for p in plain:
-            ids = next(together if p else alone)
-            self.starts.append(len(self.flat))
-            self.sizes.append(len(ids))
-            self.flat.extend(ids)
+        texts = [x for x in self.fresh if isinstance(x, str)]
+        plain = [text[:1] == " " and len(text) > 1 and "\n" not in text and _visible(text[-1]) and _visible(text[1]) for text in texts]
+        together = iter(self._encoded_together([t for t, p in zip(texts, plain, strict=True) if p]))
+        alone = iter(self._encoded([t for t, p in zip(texts, plain, strict=True) if not p]))
+        kinds, starts, sizes, flat = iter(plain), self.starts, self.sizes, self.flat
+        for one in self.fresh:
+            begin = len(flat)
+            if isinstance(one, str):
+                flat.extend(next(together if next(kinds) else alone))
+            else:
+                for n in one:
+                    flat.extend(flat[starts[n] : starts[n] + sizes[n]])
+            starts.append(begin)
+            sizes.append(len(flat) - begin)
         self.fresh = []
         return tuple(np.frombuffer(x, kind) if x else np.zeros(0, kind) for x, kind in ((self.starts, np.int64), (self.sizes, np.int64), (self.flat, np.uint32)))
 
 
+_MARKS = frozenset(".,;:!?")
+
+
+def _parts(text: str) -> list[str | tuple[str]] | None:
+    """The keys of the smaller pieces that a piece is put together from."""
+    at = text.find("\n")
+    if 0 < at < len(text) - 1:
+        if not (_visible(text[at - 1]) and _visible(text[at + 1])):
+            return None
+        return [_key(text[:at]), ("\n",), (text[at + 1 :],)]
+    if len(text) > 1 and text[-1] in _MARKS and text[-2].isalpha():
+        return [_key(text[:-1]), (text[-1],)]
+    return None
+
+
+def _key(text: str) -> str | tuple[str]:
+    return text[1:] if text[0] == " " and len(text) > 1 and _visible(text[1]) and _visible(text[-1]) else (text,)
+
+
 def _joined(head: str, rest: list[str]) -> Iterator[str]:
     """Pieces with their leading spaces, cut only between visible characters."""
     piece = [head]
@@ -178,11 +207,9 @@ def tokenize(docs: DataFrame, vocabulary: bytes, end_id: int = END_ID, id_col: s
                 pieces = _pieces(key, shared.value)
                 numbers = [pieces.of((raw or b"").decode("utf-8", "replace")) for (raw,) in rows_of(part, "raw")]
                 starts, sizes, flat = pieces.settle()
-                packed = []
-                for own in numbers:
-                    ids = np.append(flat[gather(starts[own], sizes[own])], np.uint32(end_id))
-                    counts += np.bincount(ids, minlength=len(counts))
-                    packed.append(pack(ids))
+                every = [np.append(flat[gather(starts[own], sizes[own])], np.uint32(end_id)) for own in numbers]
+                counts += np.bincount(np.concatenate(every), minlength=len(counts))
+                packed = [pack(ids) for ids in every]
                 del starts, sizes, flat  # the arrays behind them cannot grow while they are looked at
                 none = pa.nulls(len(packed))
                 yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("doc_id")), pa.array(packed, pa.binary()), none.cast(pa.int32()), none.cast(pa.int64())], ["doc_id", "ids", "id", "n"])
@@ -228,7 +255,7 @@ def write(tokenized: DataFrame, path: str, block_ids: int = BLOCK_IDS) -> None:
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("ids").asc()]
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = tokenized.where("ids is not null").select("doc_id", "ids").repartitionByRange(partitions, *order).sortWithinPartitions(*order, "ids")
-    dealt.mapInArrow(run, BLOCKS).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    dealt.mapInArrow(run, BLOCKS).write.option("compression", "zstd").parquet(f"{path}/blocks")
     # a row a range
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = spark.read.schema(BLOCKS).parquet(f"{path}/blocks").groupBy("part").agg(F.sum("n").alias("n"))
