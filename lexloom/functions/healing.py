@@ -177,13 +177,26 @@ def heal(text: str, passes: int) -> str:
     return " ".join(_MARKERS.sub("", whole).split())
 
 
+AT_ONCE = 64  # texts that stand as Python strings at a time
+
+
 def _batch(function):
-    """A string function over Arrow batches; nulls stay null, equal texts of a batch are done once."""
+    """A string function over Arrow batches; nulls stay null, equal texts of a batch are done once.
+
+    A batch may hold many long texts, so few of them are Python strings at a time.
+    """
 
     @F.arrow_udf(StringType())
     def run(column: pa.Array) -> pa.Array:
         coded = column.dictionary_encode()
-        return pa.array([function(t) for t in coded.dictionary.to_pylist()], pa.string()).take(coded.indices)
+        texts, indices = coded.dictionary, coded.indices
+        parts = [pa.array([function(t) for t in texts.slice(at, AT_ONCE).to_pylist()], pa.string()) for at in range(0, len(texts), AT_ONCE)]
+        done = pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+        in_order = len(texts) == len(column)  # no nulls and no equal texts
+        del coded, texts, parts
+        out = done if in_order else done.take(indices)
+        pa.default_memory_pool().release_unused()
+        return out
 
     return run
 

@@ -26,6 +26,7 @@ from lexloom.sources.scratch import materialize
 MIN_STEM = 2
 MAX_EXCEPTIONS = 100_000  # patterns that the driver takes
 MAX_LISTED = 200_000  # listed words that are sent to every worker
+ROWS_AT_ONCE = 256  # whose words are looked up at a time
 MAX_REST = 5  # a rest this short after a stem counts as an ending
 
 
@@ -174,8 +175,7 @@ def listed_flags(spark: SparkSession, words: list[str]) -> Callable[[Column], Co
             known = decided[word] = not sakha and word in shared.value
         return known
 
-    @F.arrow_udf("array<boolean>")
-    def flags(tokens: pa.Array) -> pa.Array:
+    def of_rows(tokens: pa.Array) -> pa.Array:
         coded = tokens.flatten().dictionary_encode()
         each = np.array([listed(w) for w in coded.dictionary.to_pylist()], bool)
         values = each[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, bool)
@@ -183,6 +183,12 @@ def listed_flags(spark: SparkSession, words: list[str]) -> Callable[[Column], Co
         starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(starts), pa.array(values, pa.bool_()))
 
+    @F.arrow_udf("array<boolean>")
+    def flags(tokens: pa.Array) -> pa.Array:
+        # a batch may hold many long texts: the words of few rows stand as Python strings at a time
+        parts = [of_rows(tokens.slice(at, ROWS_AT_ONCE)) for at in range(0, len(tokens), ROWS_AT_ONCE)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.bool_()))
+
     return flags
 
 

@@ -227,3 +227,35 @@ def test_native_normalization_matches_the_batch_function(spark):
     assert apply(spark, healing.native_normalize, texts) == [healing.normalize(t) for t in texts]
     plan = spark.createDataFrame([("а",)], "t string").select(healing.native_normalize(F.col("t")))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_few_texts_of_a_batch_are_strings_at_a_time(monkeypatch):
+    import pyarrow as pa
+
+    from lexloom.functions import healing
+
+    sizes = []
+
+    class Column:  # an Arrow array whose conversions to Python strings are noted
+        def __init__(self, array):
+            self.array = array
+
+        def __len__(self):
+            return len(self.array)
+
+        def dictionary_encode(self):
+            coded = self.array.dictionary_encode()
+            return type("Coded", (), {"dictionary": Column(coded.dictionary), "indices": coded.indices})()
+
+        def slice(self, at, size):
+            return Column(self.array.slice(at, size))
+
+        def to_pylist(self):
+            sizes.append(len(self.array))
+            return self.array.to_pylist()
+
+    texts = [None if n % 7 == 0 else f"t{n % 900}" for n in range(2000)]
+    for column in (texts, [f"t{n}" for n in range(500)], []):
+        done = healing._batch(str.upper).func(Column(pa.array(column, pa.string())))
+        assert done.to_pylist() == [t and t.upper() for t in column]
+    assert max(sizes) <= 64
