@@ -75,4 +75,5 @@ def badness(text: Column) -> Column:
     """Single-character tokens as a share of all; 0 for blank texts."""
     tokens = F.regexp_count(text, F.lit(r"(?U)\S++"))
     single = F.regexp_count(text, F.lit(r"(?U)(?<!\S)\S(?!\S)"))
-    return F.when(tokens == 0, F.lit(0.0)).otherwise(single / tokens)
+    # each count stands once, as a lambda's body has no common parts
+    return F.coalesce(F.try_divide(single, tokens), F.when(text.isNotNull(), F.lit(0.0)))

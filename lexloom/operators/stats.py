@@ -63,7 +63,9 @@ def best_in_row(attempts: Column, threshold: float = 0.3, default_level: int = 1
     ranked = F.transform(usable, lambda a: F.struct((a["score"] > threshold).alias("late"), F.when(a["score"] > threshold, a["score"]).otherwise(F.lit(0.0)).alias("score"), a["level"].alias("level"), a["text"].alias("text")))
     best = F.array_min(ranked)
     fallback = F.array_min(F.transform(attempts, lambda a: F.struct((a["level"] != default_level).alias("other"), a["level"].alias("level"), a["text"].alias("text"))))
-    return F.struct(F.coalesce(best["level"], fallback["level"]).alias("level"), F.coalesce(best["text"], fallback["text"]).alias("text"), F.when(best.isNull(), FALLBACK_WARNING).alias("warning"))
+    # bound as a variable, since each of the struct's fields would choose anew
+    chosen = lambda b: F.struct(F.coalesce(b["level"], fallback["level"]).alias("level"), F.coalesce(b["text"], fallback["text"]).alias("text"), F.when(b.isNull(), FALLBACK_WARNING).alias("warning"))
+    return F.get(F.transform(F.array(best), lambda b: chosen(b)), F.lit(0))
 
 
 def corpus_stats(docs: DataFrame) -> DataFrame:

@@ -334,3 +334,11 @@ def test_few_keys_are_joined_with_word_lists(spark):
     assert all((way == "exact") == (w.lower() in known.words) for w, way in got.items()) and set(got.values()) == set(rules.WAYS)
     plan = rules.match_rules(df, lists)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1
+
+
+def test_best_in_row_scores_an_attempt_once(spark):
+    attempts = spark.createDataFrame([(1, [(0, "a b c"), (1, "whole words")]), (2, [(0, ""), (1, " ")]), (3, [(0, None), (1, "x")])], "page int, attempts array<struct<level:int,text:string>>")
+    chosen = attempts.select("page", F.inline(F.array(stats.best_in_row(F.col("attempts")))))
+    assert {r.page: (r.level, r.text, r.warning is not None) for r in chosen.collect()} == {1: (1, "whole words", False), 2: (1, " ", False), 3: (1, "x", True)}
+    plan = chosen._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"(?<!\S)\S(?!\S)") == 1 and plan.count(r"\S++") == 1
