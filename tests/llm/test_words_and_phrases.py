@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lexloom.llm import collocations, spelling, token_files
@@ -270,3 +271,20 @@ def test_queries_return_their_columns(spark, small, name):
     types = dict(QUERIES[name](spark, small).dtypes)
     texts = {"word", "form", "root", "lang", "phrase"}
     assert all(t == ("string" if c in texts else "bigint") for c, t in types.items())
+
+
+def test_files_of_a_pass_hold_few_rows(spark, monkeypatch):
+    written = {}
+    store = collocations.materialize
+
+    def noted(df, tag, *args, **kwargs):
+        out = written[tag] = store(df, tag, *args, **kwargs)
+        return out
+
+    monkeypatch.setattr(collocations, "materialize", noted)
+    docs = spark.createDataFrame([("en", f"one two three w{n % 7} x{n % 5}") for n in range(400)], "lang string, text string").coalesce(1)
+    found = collocations.frequent_phrases(docs, block_words=100, buckets=1 << 12).where("m = 3 and phrase = 'one two three'").collect()
+    assert [r.n for r in found] == [400]
+    for tag in ("phrases-1", "phrases-2", "phrases-3"):
+        sizes = [r["count"] for r in written[tag].groupBy(F.input_file_name()).count().collect()]
+        assert sum(sizes) > collocations.ROWS_A_FILE >= max(sizes)
