@@ -346,6 +346,29 @@ def test_near_dup_compares_all_that_meet(spark):
     assert {(r.doc_id, r.component_id, r.kept) for r in got} == {(1, 1, True), (2, 1, False)}
 
 
+def test_near_dup_takes_no_sets_of_texts_whose_sizes_rule_links_out(spark, monkeypatch):
+    """Each text begins the next one, which is longer by a third; they meet, but as chance meetings do."""
+    asked = []
+    run = near_dup.wanted_sets
+    monkeypatch.setattr(near_dup, "wanted_sets", lambda blocks, wanted, words: asked.append(wanted.count()) or run(blocks, wanted, words))
+    words = [f"w{n}" for n in range(700)]
+    rows = [(i, " ".join(words[: int(60 * 1.35**i)])) for i in range(8)] + [(20, " ".join(words[:100])), (21, " ".join(words[1:100]))]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain.near_duplicates([(i, i, t) for i, t in rows], 3, 85)
+    assert asked[0] < len(rows) - 2
+
+
+def test_outlines_rule_out_no_linked_sets():
+    rng = np.random.default_rng(2)
+    for percent in (80, 85):
+        assert near_dup.most_differing(percent) > near_dup.SURE
+        for _ in range(300):
+            a = rng.integers(0, 1 << 63, 600, dtype=np.uint64)
+            b = np.concatenate([a[: -(-2 * percent * 600 // (100 + percent))], rng.integers(0, 1 << 63, 600, dtype=np.uint64)])[:600]
+            outlines = [near_dup.signature(np.unique(x)).tobytes() + len(x).to_bytes(8, "big") for x in (a, b, a[:300])]
+            assert near_dup.outline_matcher(percent)(outlines)(0, np.array([1, 2])).tolist() == [True, False]
+
+
 def test_components(spark):
     rng = random.Random(5)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1060)]
