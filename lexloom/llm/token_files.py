@@ -1,7 +1,7 @@
 """Token ids as files of variable-length codes.
 
 ``tokenize`` encodes whole texts. A space between two visible characters always begins a new match of the vocabulary's
-pre-tokenizer, so texts are cut there, each distinct piece is encoded once a task by the tokenizer library, and documents
+pre-tokenizer, as does a line end between two, so texts are cut there, each distinct piece is encoded once a task by the tokenizer library, and documents
 are put together from pieces. ``write`` numbers ids by their frequency in the whole corpus, so that frequent ones are small,
 and stores each number in one to four bytes; the byte counts of four numbers make one control byte, and control bytes stand
 apart from the data. ``read`` looks up in one table, by control byte, which of sixteen bytes four numbers have, and scatters
@@ -24,6 +24,7 @@ import os
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -72,40 +73,69 @@ def _visible(char: str) -> bool:
 
 
 class Pieces(dict):
-    """Piece -> its number. A string stands for itself after a space, a tuple of one for itself; -1: not to be cut out.
+    """Piece -> its number; -1: not to be cut out.
 
-    A piece that ends in a punctuation mark after a letter, or has a line end between two visible characters, is put together from
-    smaller ones, as matches end there too.
+    A string stands for itself after a space, after a NUL for itself, and one line end for itself; a tuple of one is any other
+    piece. Pieces of letters are one match, so only the library's model is asked for their ids. One that ends in a
+    punctuation mark after a letter is put together from two, as a match ends there too.
     """
 
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
         self.line_end = tokenizer.encode("\n", add_special_tokens=False).ids
-        self.fresh: list[str | list[int]] = []  # texts to encode, or the numbers of a piece's parts
+        # what is new, with numbers: words as the model takes them, texts, and (number, word, mark) of what is put together
+        self.words: list[str] = []
+        self.texts: list[str] = []
+        self.word_numbers, self.text_numbers, self.built = array("q"), array("q"), array("q")
         self.chars = self.known = 0
         self.starts, self.sizes, self.flat = array("q"), array("q"), array("I")
 
     def __missing__(self, piece: str | tuple[str]) -> int:
-        text = piece[0] if isinstance(piece, tuple) else " " + piece
-        if isinstance(piece, str) and not (piece and _visible(piece[0]) and _visible(piece[-1])):
+        if isinstance(piece, tuple):
+            return self._text(piece, piece[0])
+        bare = piece[:1] == "\0"
+        body = piece[1:] if bare else piece
+        if body.isalpha() and ((plain := body.isascii()) or max(body) < _LETTERS):
+            word = body if plain else body.encode().decode("latin-1").translate(_BYTE_LEVEL)
+            self.words.append(word if bare else _SPACE + word)
+            self.word_numbers.append(number := self.known)
+            self.chars += len(body)
+            self.known = number + 1
+            self[piece] = number
+            return number
+        if piece == "\n":
+            return self._text(piece, piece)
+        if not (body and _visible(body[0]) and _visible(body[-1])):
             self[piece] = -1
             return -1
-        self.fresh.append([self[part] for part in parts] if (parts := _parts(text)) else text)
-        self.chars += len(text)
-        self[piece] = self.known
+        if len(body) > 1 and body[-1] in _MARKS and body[-2].isalpha():
+            word, mark = self[piece[:-1]], self[(body[-1],)]
+            self.built.extend((self.known, word, mark))
+            return self._add(piece, len(body))
+        return self._text(piece, body if bare else " " + body)
+
+    def _add(self, piece: str | tuple[str], chars: int) -> int:
+        self.chars += chars
+        number = self[piece] = self.known
         self.known += 1
-        return self.known - 1
+        return number
+
+    def _text(self, piece: str | tuple[str], text: str) -> int:
+        self.texts.append(text)
+        self.text_numbers.append(self.known)
+        return self._add(piece, len(text))
 
     def of(self, text: str) -> np.ndarray:
         """The numbers of a text's pieces."""
         if not text:
             return np.zeros(0, np.int64)
-        head, *rest = text.split(" ")
-        found = list(map(self.__getitem__, rest))
-        if -1 not in found and head and _visible(head[-1]):
-            return np.array([self[(head,)], *found], np.int64)
-        return np.array([self[(piece,)] for piece in _joined(head, rest)], np.int64)
+        if "\0" not in text:
+            parts = ("\0" + text.replace("\n", " \n \0")).split(" ")
+            found = np.fromiter(map(self.__getitem__, parts), np.int64, len(parts))
+            if found.min() >= 0:
+                return found
+        return np.array([self[piece] for piece in _cut(text)], np.int64)
 
     def _encoded(self, texts: list[str]) -> list[list[int]]:
         return [found.ids for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -125,41 +155,63 @@ class Pieces(dict):
 
     def settle(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Encode what is new; where each piece's ids start, how many they are, and all ids."""
-        texts = [x for x in self.fresh if isinstance(x, str)]
-        plain = [text[:1] == " " and len(text) > 1 and "\n" not in text and _visible(text[-1]) and _visible(text[1]) for text in texts]
-        together = iter(self._encoded_together([t for t, p in zip(texts, plain, strict=True) if p]))
-        alone = iter(self._encoded([t for t, p in zip(texts, plain, strict=True) if not p]))
-        kinds, starts, sizes, flat = iter(plain), self.starts, self.sizes, self.flat
-        for one in self.fresh:
-            begin = len(flat)
-            if isinstance(one, str):
-                flat.extend(next(together if next(kinds) else alone))
-            else:
-                for n in one:
-                    flat.extend(flat[starts[n] : starts[n] + sizes[n]])
-            starts.append(begin)
-            sizes.append(len(flat) - begin)
-        self.fresh = []
-        return tuple(np.frombuffer(x, kind) if x else np.zeros(0, kind) for x, kind in ((self.starts, np.int64), (self.sizes, np.int64), (self.flat, np.uint32)))
+        tokenize = self.tokenizer.model.tokenize
+        found = [[token.id for token in tokenize(word)] for word in self.words]
+        plain = np.array([text[:1] == " " and len(text) > 1 and "\n" not in text and _visible(text[-1]) and _visible(text[1]) for text in self.texts], bool)
+        found += self._encoded_together([t for t, p in zip(self.texts, plain, strict=True) if p])
+        found += self._encoded([t for t, p in zip(self.texts, plain, strict=True) if not p])
+        numbers = np.array(self.text_numbers, np.int64)
+        numbers = np.concatenate([np.array(self.word_numbers, np.int64), numbers[plain], numbers[~plain]])
+        built = np.array(self.built, np.int64).reshape(-1, 3)
+        self.words, self.texts = [], []
+        self.word_numbers, self.text_numbers, self.built = array("q"), array("q"), array("q")
+        more = self.known - len(self.starts)
+        self.starts.frombytes(bytes(8 * more))
+        self.sizes.frombytes(bytes(8 * more))
+        starts, sizes = (np.frombuffer(x, np.int64) if x else np.zeros(0, np.int64) for x in (self.starts, self.sizes))
+
+        def place(at: np.ndarray, n: np.ndarray, ids: np.ndarray) -> None:
+            starts[at] = len(self.flat) + np.cumsum(n) - n
+            sizes[at] = n
+            self.flat.frombytes(ids.astype(np.uint32).tobytes())
+
+        place(numbers, np.fromiter(map(len, found), np.int64, len(found)), np.fromiter(chain.from_iterable(found), np.uint32))
+        if len(built):
+            parts = built[:, 1:].ravel()
+            ids = np.frombuffer(self.flat, np.uint32)[gather(starts[parts], sizes[parts])]
+            place(built[:, 0], sizes[built[:, 1]] + sizes[built[:, 2]], ids)
+        return starts, sizes, np.frombuffer(self.flat, np.uint32) if self.flat else np.zeros(0, np.uint32)
 
 
 _MARKS = frozenset(".,;:!?")
-
-
-def _parts(text: str) -> list[str | tuple[str]] | None:
-    """The keys of the smaller pieces that a piece is put together from."""
-    at = text.find("\n")
-    if 0 < at < len(text) - 1:
-        if not (_visible(text[at - 1]) and _visible(text[at + 1])):
-            return None
-        return [_key(text[:at]), ("\n",), (text[at + 1 :],)]
-    if len(text) > 1 and text[-1] in _MARKS and text[-2].isalpha():
-        return [_key(text[:-1]), (text[-1],)]
-    return None
+_LETTERS = "\u0530"  # letters below are letters in every version of Unicode that a library may have
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+#: Byte -> the character for it in a byte-level vocabulary.
+_BYTE_LEVEL = {byte: chr(256 + n) for n, byte in enumerate(b for b in range(256) if b not in _PRINTED)}
+
+_SPACE = _BYTE_LEVEL[32]
+
+
+def _cut(text: str) -> Iterator[str | tuple[str]]:
+    """A text's pieces where some are not to be cut out as they are."""
+    head, *rest = text.split(" ")
+    for piece in _joined(head, rest):
+        held, *lines = piece.split("\n")
+        for line in lines:
+            if held and line and _visible(held[-1]) and _visible(line[0]):
+                yield _key(held)
+                yield "\n"
+                held = line
+            else:
+                held += "\n" + line
+        yield _key(held)
 
 
 def _key(text: str) -> str | tuple[str]:
-    return text[1:] if text[0] == " " and len(text) > 1 and _visible(text[1]) and _visible(text[-1]) else (text,)
+    body = text.removeprefix(" ")
+    if body and _visible(body[0]) and _visible(body[-1]) and not any(c in body for c in " \n\0"):
+        return body if text[0] == " " else "\0" + body
+    return (text,)
 
 
 def _joined(head: str, rest: list[str]) -> Iterator[str]:

@@ -143,6 +143,23 @@ def test_pieces_are_encoded_as_their_texts(texts):
         assert got == [own.encode(t, add_special_tokens=False).ids for t in every]
 
 
+def test_lines_are_pieces_of_their_own(monkeypatch):
+    """Texts of very many short lines, with blank ones or without; a text of letters, marks and line ends asks only the model for its words."""
+    own = tokenizer()
+    texts = ["x\n" * 5000, "\n".join(["a,b"] * 5000) + "\n\n" + "\n".join("ab" * 3000), "\0a\nb\0 c", "Ԁ Ԯ ԱԲ, ß.\nΩ é"]
+    lines = "\n".join(f"one {a}{b}, Été\nwö{b}{a}." for a in "abcdef" for b in "ghijkl")
+    pieces = token_files.Pieces(own)
+    sent = []
+    run = token_files.Pieces._encoded
+    monkeypatch.setattr(token_files.Pieces, "_encoded", lambda self, some: sent.extend(some) or run(self, some))
+    for part in ([lines], texts):
+        numbers = [pieces.of(t) for t in part]
+        starts, sizes, flat = pieces.settle()
+        assert [np.concatenate([flat[starts[i] : starts[i] + sizes[i]] for i in n]).tolist() for n in numbers] == [own.encode(t, add_special_tokens=False).ids for t in part]
+        del starts, sizes, flat
+        assert part is texts or set(sent) == {"\n", ",", "."}
+
+
 def test_numbers_of_all_sizes():
     rng = np.random.default_rng(0)
     for n in (0, 1, 3, 4, 5, 1000):
