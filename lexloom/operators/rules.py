@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +70,20 @@ def stem_bitmap(listed_stems: DataFrame) -> np.ndarray:
     return out.view(np.uint64)
 
 
+def bitmap_flags(spark: SparkSession, bits: np.ndarray) -> Callable[[Column], Column]:
+    """For an array of words' ``xxhash64``: which of them the bitmap lets through; none of a null array."""
+    shared = ship(spark).sparkContext.broadcast(bits)
+
+    @F.arrow_udf("array<boolean>")
+    def flags(hashes: pa.Array) -> pa.Array:
+        bit = hashes.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False) & (BITMAP - 1)
+        hit = (shared.value[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1
+        ends = np.cumsum(pc.list_value_length(hashes).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(hit))
+
+    return flags
+
+
 def word_keys(low: str, ways: tuple[int, ...]) -> dict[str, int]:
     """The stems by which a lower-cased word would match, with the first way for each."""
     keys: dict[str, int] = {}
@@ -179,7 +194,7 @@ def listed_flags(spark: SparkSession, words: list[str]) -> Callable[[Column], Co
         coded = tokens.flatten().dictionary_encode()
         each = np.array([listed(w) for w in coded.dictionary.to_pylist()], bool)
         values = each[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, bool)
-        sizes = pa.compute.fill_null(pa.compute.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+        sizes = pa.compute.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
         starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(starts), pa.array(values, pa.bool_()))
 

@@ -49,27 +49,42 @@ def detect_words(words: DataFrame, detect) -> DataFrame:
 
 
 _ROW, _POS, _WORD, _TOKENS, _FLAGS = ("__lexloom_row", "__lexloom_pos", "__lexloom_word", "__lexloom_tokens", "__lexloom_flags")
+_GONE, _KEPT_WORDS, _COUNT = ("__lexloom_gone", "__lexloom_kept_words", "__lexloom_count")
 _HEALED, _DOTTED, _DROPPED, _KEPT = ("__lexloom_healed", "__lexloom_dotted", "__lexloom_dropped", "__lexloom_kept")
 
 #: What a run counts: runs of spaced letters, tokens by the rule that drops them, and words that the cascade keeps and deletes.
 COUNTERS = ("spaced_letters", *(name for name, _ in tokens.DROP_RULES), "kept", "removed")
 
 
-def remove_words(docs: DataFrame, deleted: DataFrame, text_col: str = "text", kept_col: str | None = None) -> DataFrame:
-    """docs without the words of ``deleted`` (word): an anti-join of tokens with a word list.
+def numbered(docs: DataFrame, tag: str) -> DataFrame:
+    """docs in the shared folder, each row with a number of its own."""
+    return materialize(docs.withColumn(_ROW, F.monotonically_increasing_id()), tag)
 
-    For lists that are too long for the workers. Rows get numbers of their own, so ids may repeat or be null; tokens travel
-    with their row and position and come back in order. A text that is null comes out empty. ``kept_col`` is a new column
-    with the number of words that are left.
+
+def remove_words(rows: DataFrame, deleted: DataFrame, text_col: str = "text", kept_col: str | None = None, config: Config = DEFAULT) -> DataFrame:
+    """``numbered`` rows, without their numbers and without the words of ``deleted`` (word) and those deleted by form.
+
+    For lists that are too long for the workers. Texts stay in their rows, so ids may repeat or be null. Words are deleted by
+    form where they lie; of the others only occurrences that a bitmap of the listed words lets through are looked up, and
+    positions return to the row. A text that is null comes out empty. ``kept_col`` is a new column with the number of words
+    that are left.
     """
-    rows = materialize(docs.withColumn(_ROW, F.monotonically_increasing_id()), "remove-words")
-    placed = rows.select(_ROW, F.posexplode(tokens.joined_tokens(F.col(text_col))).alias(_POS, _WORD))
-    kept = placed.join(deleted.select(F.col("word").alias(_WORD)).distinct(), _WORD, "left_anti")
-    gathered = kept.groupBy(_ROW).agg(F.array_sort(F.collect_list(F.struct(_POS, _WORD))).alias(_TOKENS))
-    joined = F.array_join(F.transform(_TOKENS, lambda w: classify.spaced_out(w[_WORD])), " ")
-    out = rows.join(gathered, _ROW, "left").withColumn(text_col, F.coalesce(joined, F.lit("")))
-    more = [F.coalesce(F.size(_TOKENS), F.lit(0)).alias(kept_col)] if kept_col else []
-    return out.select(*docs.columns, *more)
+    listed = deleted.where(~classify.deleted_by_form(F.col("word"), config)).select(F.col("word").alias(_WORD)).distinct()
+    listed = materialize(listed, "removed-words")
+    flags = R.bitmap_flags(ship(rows.sparkSession), R.stem_bitmap(listed.select(F.col(_WORD).alias("stem"))))
+    words = tokens.joined_tokens(F.col(text_col))
+    hashed = rows.select(_ROW, words.alias(_TOKENS)).withColumn(_FLAGS, flags(F.transform(_TOKENS, lambda w: F.xxhash64(w))))
+    possible = F.transform(_TOKENS, lambda w, i: F.when(F.get(F.col(_FLAGS), i), F.struct(i.alias(_POS), w.alias(_WORD))))
+    asked = hashed.select(_ROW, F.explode(F.filter(possible, lambda x: x.isNotNull())).alias("at")).select(_ROW, "at.*")
+    gone = asked.join(listed, _WORD, "left_semi").groupBy(_ROW).agg(F.collect_list(_POS).alias(_GONE))
+    met = rows.join(gone, _ROW, "left").withColumn(_TOKENS, words)
+    # by positions, as their difference is taken by hashing
+    places = F.array_except(F.transform(_TOKENS, lambda w, i: i), F.coalesce(_GONE, F.array().cast("array<int>")))
+    kept = F.filter(F.transform(places, lambda i: F.get(F.col(_TOKENS), i)), lambda w: ~classify.deleted_by_form(w, config))
+    out = met.withColumn(_KEPT_WORDS, kept)
+    out = out.withColumn(text_col, F.coalesce(F.array_join(F.transform(_KEPT_WORDS, classify.spaced_out), " "), F.lit("")))
+    more = [F.when(F.col(_KEPT_WORDS).isNull(), 0).otherwise(F.size(_KEPT_WORDS)).alias(kept_col)] if kept_col else []
+    return out.select(*(c for c in rows.columns if c != _ROW), *more)
 
 
 def listed_kept(docs: DataFrame, listed: list[str], config: Config = DEFAULT, text_col: str = "text") -> DataFrame:
@@ -122,8 +137,8 @@ def clean_with_rules(docs: DataFrame, rules: DataFrame | None = None, config: Co
     valid = docs.withColumn(text_col, tokens.filter_invalid_words(healing.heal_text(text.remove_special(F.col(text_col)), config)))
     if detect is None and dictionary is None and (listed := R.small_list(rules)) is not None:
         return remove_listed(valid, listed, config, text_col)
-    valid = materialize(valid, "clean-valid")  # read twice, so that texts are healed once
-    return remove_words(valid, deleted_words(valid, rules, config, detect, text_col, dictionary), text_col)
+    valid = numbered(valid, "clean-valid")  # read more than once, so that texts are healed once
+    return remove_words(valid, deleted_words(valid, rules, config, detect, text_col, dictionary), text_col, config=config)
 
 
 def _equal_to(array: str, value: str) -> Column:
@@ -151,8 +166,8 @@ def clean_counted(docs: DataFrame, rules: DataFrame | None = None, config: Confi
         kept = listed_kept(valid, listed, config, text_col) if listed else valid.withColumn(_TOKENS, tokens.joined_tokens(column)).withColumn(_KEPT, F.filter(_TOKENS, lambda w: ~classify.deleted_by_form(w, config)))
         out, words, n_kept = kept.withColumn(text_col, F.coalesce(F.array_join(F.transform(_KEPT, classify.spaced_out), " "), F.lit(""))), size(F.col(_TOKENS)), size(F.col(_KEPT))
     else:
-        valid = materialize(valid.withColumn(_FLAGS, words), "clean-valid")
-        out, words, n_kept = remove_words(valid, deleted_words(valid, rules, config, detect, text_col, dictionary), text_col, _KEPT), F.col(_FLAGS), F.col(_KEPT)
+        valid = numbered(valid.withColumn(_COUNT, words), "clean-valid")
+        out, words, n_kept = remove_words(valid, deleted_words(valid, rules, config, detect, text_col, dictionary), text_col, _KEPT, config), F.col(_COUNT), F.col(_KEPT)
     counts = F.struct(F.col(f"{_DROPPED}.*"), count(n_kept).alias("kept"), count(words - n_kept).alias("removed"))
     return out.select(*docs.columns, counts.alias(counts_col))
 

@@ -289,3 +289,14 @@ def test_runs_use_dictionaries(spark, tmp_path):
     assert spark.read.parquet(done["cleaned"]).first().text == "баҕараллар кинигэ"
     counts = next(r.counts for r in spark.read.parquet(done["manifest"]).collect() if r.processor == "run")
     assert (counts["kept"], counts["removed"]) == (2, 1)
+
+
+def test_words_deleted_by_form_are_not_looked_up(spark, monkeypatch):
+    """Of the words of all texts only those of the dictionary go to their rows, as positions; order and repeats stay."""
+    asked = []
+    run = pipeline.R.stem_bitmap
+    monkeypatch.setattr(pipeline.R, "stem_bitmap", lambda listed: asked.append(sorted(r.stem for r in listed.collect())) or run(listed))
+    rows = [(1, "кот жщц кот баҕар жщц баҕар"), (1, "баҕар баҕар"), (None, "кот"), (2, None), (3, "")]
+    found = pipeline.clean_with_rules(spark.createDataFrame(rows, "id long, text string"), dictionary=spark.createDataFrame([("кот", "ru")], "base string, language string"))
+    assert sorted((r.id or 0, r.text) for r in found.collect()) == sorted([(1, "баҕар баҕар"), (1, "баҕар баҕар"), (0, ""), (2, ""), (3, "")])
+    assert asked[-1] == ["кот"]
