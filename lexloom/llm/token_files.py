@@ -24,10 +24,11 @@ import os
 import unicodedata
 from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate, chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -44,6 +45,7 @@ BLOCK_IDS = 1 << 18
 PIECES_HELD = 1_500_000  # by a worker, which keeps them from task to task
 CHARS_HELD = 24 << 20
 TOGETHER = 500  # new pieces that are encoded by one call
+PORTION, ROWS = 4_000_000, 4096  # bytes of text and rows whose distinct pieces are looked up together
 
 TOKENIZED = "doc_id long, ids binary, id int, n long"
 BLOCKS = "part int, block int, begins long, n long, doc_ids array<long>, sizes array<int>, control binary, data binary"
@@ -73,69 +75,152 @@ def _visible(char: str) -> bool:
 
 
 class Pieces(dict):
-    """Piece -> its number; -1: not to be cut out.
+    """Piece -> its number.
 
-    A string stands for itself after a space, after a NUL for itself, and one line end for itself; a tuple of one is any other
-    piece. Pieces of letters are one match, so only the library's model is asked for their ids. One that ends in a
-    punctuation mark after a letter is put together from two, as a match ends there too.
+    A piece is a space or a line end and what follows it up to the next one, or a text's beginning up to the first one; a
+    tuple of one is any other text. Pieces of letters are one match, so only the library's model is asked for their ids. One
+    that begins with a line end, or ends in a punctuation mark after a letter, is put together, as a match ends there too.
     """
 
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
-        self.line_end = tokenizer.encode("\n", add_special_tokens=False).ids
-        # what is new, with numbers: words as the model takes them, texts, and (number, word, mark) of what is put together
+        # what is new, with numbers: words as the model takes them, pieces with a space, other texts, and four numbers of what is put together
         self.words: list[str] = []
+        self.spaced: list[str] = []
         self.texts: list[str] = []
-        self.word_numbers, self.text_numbers, self.built = array("q"), array("q"), array("q")
+        self.word_numbers, self.spaced_numbers, self.text_numbers, self.built = array("q"), array("q"), array("q"), array("q")
         self.chars = self.known = 0
-        self.starts, self.sizes, self.flat = array("q"), array("q"), array("I")
+        self.starts, self.sizes, self.flat, self.edges = array("q"), array("q"), array("I"), array("B")
+        self.nothing = self._add((), 0)
+        self.line_end = self[(b"\n",)]
+        self.mark_of_lines = tokenizer.encode("\n", add_special_tokens=False).ids[0]
 
-    def __missing__(self, piece: str | tuple[str]) -> int:
+    def __missing__(self, piece: bytes | tuple[bytes]) -> int:
         if isinstance(piece, tuple):
-            return self._text(piece, piece[0])
-        bare = piece[:1] == "\0"
-        body = piece[1:] if bare else piece
+            self.texts.append(text := piece[0].decode("utf-8", "replace"))
+            self.text_numbers.append(self.known)
+            return self._add(piece, len(text))
+        text = piece.decode("utf-8", "replace")
+        lead = text[:1]
+        body = text[1:] if lead in _LEADS else text
         if body.isalpha() and ((plain := body.isascii()) or max(body) < _LETTERS):
+            if lead == "\n":
+                return self._build(piece, piece[1:], self.nothing)
             word = body if plain else body.encode().decode("latin-1").translate(_BYTE_LEVEL)
-            self.words.append(word if bare else _SPACE + word)
-            self.word_numbers.append(number := self.known)
-            self.chars += len(body)
-            self.known = number + 1
-            self[piece] = number
-            return number
-        if piece == "\n":
-            return self._text(piece, piece)
-        if not (body and _visible(body[0]) and _visible(body[-1])):
-            self[piece] = -1
-            return -1
-        if len(body) > 1 and body[-1] in _MARKS and body[-2].isalpha():
-            word, mark = self[piece[:-1]], self[(body[-1],)]
-            self.built.extend((self.known, word, mark))
-            return self._add(piece, len(body))
-        return self._text(piece, body if bare else " " + body)
-
-    def _add(self, piece: str | tuple[str], chars: int) -> int:
+            self.words.append(_SPACE + word if lead == " " else word)
+            self.word_numbers.append(self.known)
+            return self._add(piece, len(text))
+        edges = (_BEGINS * _visible(body[0]) | _ENDS * _visible(body[-1])) if body else 0
+        if edges == _BEGINS | _ENDS:
+            if len(body) > 1 and body[-1] in _MARKS and body[-2].isalpha():
+                return self._build(piece, piece[1:-1] if lead == "\n" else piece[:-1], self[piece[-1:]])
+            if lead == "\n":
+                return self._build(piece, piece[1:], self.nothing)
+            if lead == " ":
+                self.spaced.append(text)
+                self.spaced_numbers.append(self.known)
+            else:
+                self.texts.append(text)
+                self.text_numbers.append(self.known)
+        return self._add(piece, len(text), edges)
+
+    def _learn(self, new: list[bytes]) -> np.ndarray:
+        """The numbers of distinct new pieces. Words and words with a mark, which most are, are added by arrays."""
+        flat = np.frombuffer(b"".join(new), np.uint8)
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        if not len(flat):
+            return np.zeros(0, np.int64)
+        ends = np.cumsum(sizes)
+        other = ~_in_letters(flat, ends)
+        spaced = flat[ends - sizes] == 32
+        other[(ends - sizes)[spaced]] = False
+        others, bare = np.add.reduceat(other, ends - sizes, dtype=np.int64), sizes - spaced
+        words = (others == 0) & (bare > 0)
+        marked = (others == 1) & (bare > 1) & _IS_MARK[flat[ends - 1]]
+        numbers = np.full(len(new), -1)
+        numbers[words] = self._learn_words([new[i] for i in np.flatnonzero(words).tolist()])
+        at = np.flatnonzero(marked)
+        heads = [new[i][:-1] for i in at.tolist()]
+        self._learn_words([word for word in dict.fromkeys(heads) if word not in self])
+        marks = np.zeros(256, np.int64)
+        for mark in np.unique(flat[ends[at] - 1]).tolist():
+            marks[mark] = self[bytes([mark])]
+        parts = np.fromiter(map(self.__getitem__, heads), np.int64, len(at))
+        numbers[at] = own = self._add_all([new[i] for i in at.tolist()])
+        self.built.frombytes(np.column_stack([own, np.full(len(at), self.nothing), parts, marks[flat[ends[at] - 1]]]).tobytes())
+        rest = np.flatnonzero(~words & ~marked)
+        numbers[rest] = [self[new[i]] for i in rest.tolist()]
+        return numbers
+
+    def _learn_words(self, new: list[bytes]) -> np.ndarray:
+        ends = list(accumulate(map(len, new)))
+        every = _BYTE_LEVELS[np.frombuffer(b"".join(new), np.uint8)].tobytes().decode("utf-16-le")
+        self.words += [every[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        numbers = self._add_all(new)
+        self.word_numbers.frombytes(numbers.tobytes())
+        return numbers
+
+    def _add_all(self, new: list[bytes]) -> np.ndarray:
+        numbers = np.arange(self.known, self.known + len(new))
+        self.update(zip(new, numbers.tolist(), strict=True))
+        self.edges.frombytes(bytes([_BEGINS | _ENDS]) * len(new))
+        self.chars += sum(map(len, new))
+        self.known += len(new)
+        return numbers
+
+    def _build(self, piece: bytes, word: bytes, mark: int) -> int:
+        word = self[word]
+        self.built.extend((self.known, self.line_end if piece[:1] == b"\n" else self.nothing, word, mark))
+        return self._add(piece, len(piece))
+
+    def _add(self, piece: bytes | tuple, chars: int, edges: int = 3) -> int:
         self.chars += chars
         number = self[piece] = self.known
         self.known += 1
+        self.edges.append(edges)
         return number
 
-    def _text(self, piece: str | tuple[str], text: str) -> int:
-        self.texts.append(text)
-        self.text_numbers.append(self.known)
-        return self._add(piece, len(text))
-
     def of(self, text: str) -> np.ndarray:
         """The numbers of a text's pieces."""
-        if not text:
-            return np.zeros(0, np.int64)
-        if "\0" not in text:
-            parts = ("\0" + text.replace("\n", " \n \0")).split(" ")
-            found = np.fromiter(map(self.__getitem__, parts), np.int64, len(parts))
-            if found.min() >= 0:
-                return found
-        return np.array([self[piece] for piece in _cut(text)], np.int64)
+        return self.of_each(pa.array([text.encode()], pa.binary()))[0]
+
+    def of_each(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the texts' pieces, and where among them each text begins and the last ends.
+
+        Arrow finds the distinct pieces, and only these are looked up. What lies between two pieces that are not to be cut
+        apart is one piece with both.
+        """
+        texts = texts.cast(pa.binary()).fill_null(b"")
+        _, ends, data = texts.buffers()
+        at = np.frombuffer(ends, np.int32, len(texts) + 1, 4 * texts.offset) if len(texts) else np.zeros(1, np.int32)
+        raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if at[-1] > at[0] else np.zeros(0, np.uint8)
+        at = at - at[0]
+        if not len(raw):
+            return np.zeros(0, np.int64), np.zeros(len(at), np.int64)
+        heads = (raw == 32) | (raw == 10)
+        heads[at[:-1][at[:-1] < at[1:]]] = True
+        begins = np.flatnonzero(heads)
+        cuts = np.append(begins, len(raw)).astype(np.int32)
+        found = pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(cuts), pa.py_buffer(raw)]).dictionary_encode()
+        distinct, places = found.dictionary.to_numpy(zero_copy_only=False), found.indices.to_numpy()
+        own = np.fromiter(map(self.get, distinct, repeat(-1)), np.int64, len(distinct))
+        new = np.flatnonzero(own < 0)
+        own[new] = self._learn(distinct[new].tolist())
+        edges = np.frombuffer(self.edges, np.uint8)[own]
+        numbers, first = own[places], np.searchsorted(begins, at)
+        if edges.min() == _BEGINS | _ENDS:
+            return numbers, first
+        edges = edges[places]
+        alone = np.append(True, (edges[:-1] & _ENDS > 0) & (edges[1:] & _BEGINS > 0))
+        alone[first[:-1][first[:-1] < first[1:]]] = True
+        heads = np.flatnonzero(alone)
+        ends = np.append(heads[1:], len(numbers))
+        odd = np.flatnonzero((ends - heads > 1) | (edges[heads] != _BEGINS | _ENDS))
+        numbers, flat = numbers[heads], memoryview(raw)
+        for i, a, b in zip(odd.tolist(), cuts[heads[odd]].tolist(), cuts[ends[odd]].tolist(), strict=True):
+            numbers[i] = self[(bytes(flat[a:b]),)]
+        return numbers, np.searchsorted(heads, first)
 
     def _encoded(self, texts: list[str]) -> list[list[int]]:
         return [found.ids for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -146,7 +231,7 @@ class Pieces(dict):
         for at in range(0, len(texts), TOGETHER):
             part = texts[at : at + TOGETHER]
             ids = np.array(self._encoded(["\n".join(part)])[0], np.int64)
-            cuts = np.flatnonzero(ids == self.line_end[0])
+            cuts = np.flatnonzero(ids == self.mark_of_lines)
             if len(cuts) != len(part) - 1:
                 raise RuntimeError("the vocabulary's pre-tokenizer is not the byte-level one")
             flat, ends = ids.tolist(), [*cuts.tolist(), len(ids)]
@@ -157,18 +242,16 @@ class Pieces(dict):
         """Encode what is new; where each piece's ids start, how many they are, and all ids."""
         tokenize = self.tokenizer.model.tokenize
         found = [[token.id for token in tokenize(word)] for word in self.words]
-        plain = np.array([text[:1] == " " and len(text) > 1 and "\n" not in text and _visible(text[-1]) and _visible(text[1]) for text in self.texts], bool)
-        found += self._encoded_together([t for t, p in zip(self.texts, plain, strict=True) if p])
-        found += self._encoded([t for t, p in zip(self.texts, plain, strict=True) if not p])
-        numbers = np.array(self.text_numbers, np.int64)
-        numbers = np.concatenate([np.array(self.word_numbers, np.int64), numbers[plain], numbers[~plain]])
-        built = np.array(self.built, np.int64).reshape(-1, 3)
-        self.words, self.texts = [], []
-        self.word_numbers, self.text_numbers, self.built = array("q"), array("q"), array("q")
+        found += self._encoded_together(self.spaced)
+        found += self._encoded(self.texts)
+        numbers = np.concatenate([np.array(n, np.int64) for n in (self.word_numbers, self.spaced_numbers, self.text_numbers)])
+        built = np.array(self.built, np.int64).reshape(-1, 4)
+        self.words, self.spaced, self.texts = [], [], []
+        self.word_numbers, self.spaced_numbers, self.text_numbers, self.built = array("q"), array("q"), array("q"), array("q")
         more = self.known - len(self.starts)
         self.starts.frombytes(bytes(8 * more))
         self.sizes.frombytes(bytes(8 * more))
-        starts, sizes = (np.frombuffer(x, np.int64) if x else np.zeros(0, np.int64) for x in (self.starts, self.sizes))
+        starts, sizes = np.frombuffer(self.starts, np.int64), np.frombuffer(self.sizes, np.int64)
 
         def place(at: np.ndarray, n: np.ndarray, ids: np.ndarray) -> None:
             starts[at] = len(self.flat) + np.cumsum(n) - n
@@ -179,10 +262,12 @@ class Pieces(dict):
         if len(built):
             parts = built[:, 1:].ravel()
             ids = np.frombuffer(self.flat, np.uint32)[gather(starts[parts], sizes[parts])]
-            place(built[:, 0], sizes[built[:, 1]] + sizes[built[:, 2]], ids)
+            place(built[:, 0], sizes[built[:, 1:]].sum(axis=1), ids)
         return starts, sizes, np.frombuffer(self.flat, np.uint32) if self.flat else np.zeros(0, np.uint32)
 
 
+_BEGINS, _ENDS = 1, 2  # a piece's first and last character are visible, its leading space or line end aside
+_LEADS = frozenset(" \n")
 _MARKS = frozenset(".,;:!?")
 _LETTERS = "\u0530"  # letters below are letters in every version of Unicode that a library may have
 _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -190,40 +275,31 @@ _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_LEVEL = {byte: chr(256 + n) for n, byte in enumerate(b for b in range(256) if b not in _PRINTED)}
 
 _SPACE = _BYTE_LEVEL[32]
+_BYTE_LEVELS = np.array([ord(_BYTE_LEVEL.get(byte, chr(byte))) for byte in range(256)], "<u2")
+_IS_MARK = np.array([chr(byte) in _MARKS for byte in range(256)])
+_IS_LETTER = np.array([chr(code).isalpha() and code < 0x500 for code in range(0x800)])
 
 
-def _cut(text: str) -> Iterator[str | tuple[str]]:
-    """A text's pieces where some are not to be cut out as they are."""
-    head, *rest = text.split(" ")
-    for piece in _joined(head, rest):
-        held, *lines = piece.split("\n")
-        for line in lines:
-            if held and line and _visible(held[-1]) and _visible(line[0]):
-                yield _key(held)
-                yield "\n"
-                held = line
-            else:
-                held += "\n" + line
-        yield _key(held)
-
-
-def _key(text: str) -> str | tuple[str]:
-    body = text.removeprefix(" ")
-    if body and _visible(body[0]) and _visible(body[-1]) and not any(c in body for c in " \n\0"):
-        return body if text[0] == " " else "\0" + body
-    return (text,)
+def _in_letters(flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 are of letters that have one byte, or two and a lead byte below D4; texts end at ``ends``."""
+    after = np.append(flat[1:], np.uint8(0))
+    after[ends - 1] = 0
+    two = (flat >= 0xC2) & (flat < 0xD4) & (after & 0xC0 == 0x80)
+    two &= _IS_LETTER[(flat & 31).astype(np.uint16) << 6 | after & 63]
+    out = two | (flat < 128) & _IS_LETTER[flat & 127]
+    out[1:] |= two[:-1]
+    return out
 
 
-def _joined(head: str, rest: list[str]) -> Iterator[str]:
-    """Pieces with their leading spaces, cut only between visible characters."""
-    piece = [head]
-    for part in rest:
-        if piece[-1] and part and _visible(piece[-1][-1]) and _visible(part[0]):
-            yield " ".join(piece)
-            piece = ["", part]
-        else:
-            piece.append(part)
-    yield " ".join(piece)
+def _portions(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``PORTION`` bytes of text."""
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(ends):
+        before = int(ends[at - 1]) if at else 0
+        to = max(at + 1, min(at + ROWS, int(np.searchsorted(ends, before + PORTION, "right"))))
+        yield at, to
+        at = to
 
 
 _HELD: dict[bytes, Pieces] = {}
@@ -254,14 +330,21 @@ def tokenize(docs: DataFrame, vocabulary: bytes, end_id: int = END_ID, id_col: s
         pieces = _pieces(key, shared.value)
         counts = np.zeros(pieces.tokenizer.get_vocab_size() + end_id + 1, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
+            raw = batch.column(batch.schema.get_field_index("raw"))
+            for at, to in _portions(raw):
+                part = batch.slice(at, to - at)
                 pieces = _pieces(key, shared.value)
-                numbers = [pieces.of((raw or b"").decode("utf-8", "replace")) for (raw,) in rows_of(part, "raw")]
+                numbers, first = pieces.of_each(raw.slice(at, to - at))
                 starts, sizes, flat = pieces.settle()
-                every = [np.append(flat[gather(starts[own], sizes[own])], np.uint32(end_id)) for own in numbers]
-                counts += np.bincount(np.concatenate(every), minlength=len(counts))
-                packed = [pack(ids) for ids in every]
+                packed = []
+                for a in range(0, len(first) - 1, 128):
+                    begins = first[a : a + 129]
+                    own = numbers[begins[0] : begins[-1]]
+                    n = sizes[own]
+                    ends = np.append(0, np.cumsum(n))[begins[1:] - begins[0]]
+                    ids = np.insert(flat[gather(starts[own], n)], ends, end_id)
+                    counts += np.bincount(ids, minlength=len(counts))
+                    packed += map(pack, np.split(ids, ends[:-1] + np.arange(1, len(ends))))
                 del starts, sizes, flat  # the arrays behind them cannot grow while they are looked at
                 none = pa.nulls(len(packed))
                 yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("doc_id")), pa.array(packed, pa.binary()), none.cast(pa.int32()), none.cast(pa.int64())], ["doc_id", "ids", "id", "n"])

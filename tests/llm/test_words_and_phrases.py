@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -160,6 +161,35 @@ def test_lines_are_pieces_of_their_own(monkeypatch):
         assert part is texts or set(sent) == {"\n", ",", "."}
 
 
+def test_texts_look_up_their_distinct_pieces(texts):
+    """Many texts at once, with nulls and bytes that are no UTF-8: what occurs again is not looked up again."""
+
+    class Counted(token_files.Pieces):
+        asked = 0
+
+        def get(self, *piece):
+            self.asked += 1
+            return super().get(*piece)
+
+        def __getitem__(self, piece):
+            self.asked += 1
+            return super().__getitem__(piece)
+
+    own = tokenizer()
+    raws = [b"before", None, b"\xc3", b"\xa9 a\xd4 \x80.", b"\xff\n\xe2\x82", *(t.encode() for t in [*ODD, *texts.values()]), b"one two\nthree, four\n\nfive. one" * 20000]
+    pieces = Counted(own)
+    numbers, first = pieces.of_each(pa.array(raws, pa.binary()).slice(1))
+    assert len(first) == len(raws) and pieces.asked < len(numbers)
+    starts, sizes, flat = pieces.settle()
+    for raw, a, b in zip(raws[1:], first[:-1], first[1:], strict=True):
+        got = [i for n in numbers[a:b] for i in flat[starts[n] : starts[n] + sizes[n]].tolist()]
+        assert got == own.encode((raw or b"").decode("utf-8", "replace"), add_special_tokens=False).ids
+    del starts, sizes, flat
+    pieces.asked = 0
+    pieces.of_each(pa.array([b" one two\nthree" * 50000], pa.binary()))
+    assert pieces.asked < 20
+
+
 def test_numbers_of_all_sizes():
     rng = np.random.default_rng(0)
     for n in (0, 1, 3, 4, 5, 1000):
