@@ -1,11 +1,11 @@
 """Token ids as files of variable-length codes.
 
 ``tokenize`` encodes whole texts. A space between two visible characters always begins a new match of the vocabulary's
-pre-tokenizer, as does a line end between two, so texts are cut there, each distinct piece is encoded once a task by the tokenizer library, and documents
+pre-tokenizer, as does a line end between two, so texts are cut there, each distinct piece is encoded once a worker by the tokenizer library, and documents
 are put together from pieces. ``write`` numbers ids by their frequency in the whole corpus, so that frequent ones are small,
 and stores each number in one to four bytes; the byte counts of four numbers make one control byte, and control bytes stand
-apart from the data. ``read`` looks up in one table, by control byte, which of sixteen bytes four numbers have, and scatters
-the data there.
+apart from the data. ``read`` looks up in one table, by control byte, how many bytes each of four numbers has, and gathers the
+bytes of each place from the data.
 
 A folder of files holds ``ids`` (number -> id, at most a row for each id of the vocabulary), ``blocks`` (documents in ascending
 id order, about ``BLOCK_IDS`` ids a block) and ``parts`` (how many ids come before each range of documents). They are Parquet
@@ -30,12 +30,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import public_tokenizers
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexloom.llm.common import frugal, gather, id_and_bytes, rows_of
-from lexloom.llm.wordblocks import pack, unpack
 from lexloom.session import ship
 from lexloom.sources.scratch import discard_at_exit, materialize, scratch_path
 
@@ -45,29 +45,49 @@ BLOCK_IDS = 1 << 18
 PIECES_HELD = 1_500_000  # by a worker, which keeps them from task to task
 CHARS_HELD = 24 << 20
 TOGETHER = 500  # new pieces that are encoded by one call
-PORTION, ROWS = 4_000_000, 4096  # bytes of text and rows whose distinct pieces are looked up together
+PORTION, ROWS = 8_000_000, 8192  # bytes of text and rows whose distinct pieces are looked up together
 
 TOKENIZED = "doc_id long, ids binary, id int, n long"
 BLOCKS = "part int, block int, begins long, n long, doc_ids array<long>, sizes array<int>, control binary, data binary"
 
-#: Which of the sixteen bytes of four numbers are stored, by control byte.
-KEPT = np.array([[byte <= ((control >> 2 * lane) & 3) for lane in range(4) for byte in range(4)] for control in range(256)])
+#: How many more bytes than one each of four numbers has, by control byte.
+MORE_BYTES = np.array([[(control >> 2 * lane) & 3 for lane in range(4)] for control in range(256)], np.uint8)
 
 
 def encode_numbers(numbers: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data of unsigned 32-bit numbers; zeros fill the last four up."""
     padded = np.zeros(-(-len(numbers) // 4) * 4, "<u4")
     padded[: len(numbers)] = numbers
-    codes = (padded > 0xFF).astype(np.uint8) + (padded > 0xFFFF) + (padded > 0xFFFFFF)
-    control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    return control.tobytes(), padded.view(np.uint8)[KEPT[control].reshape(-1)].tobytes()
+    more = sum((padded > limit).view(np.uint8) for limit in (0xFF, 0xFFFF, 0xFFFFFF))
+    four = more.reshape(-1, 4)
+    control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
+    ends = np.cumsum(more + np.uint8(1), dtype=np.int64)
+    begins = ends - more - 1
+    data, lanes = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8), padded.view(np.uint8).reshape(-1, 4)
+    data[begins] = lanes[:, 0]
+    for lane in (1, 2, 3):
+        wide = np.flatnonzero(more >= lane)
+        data[begins[wide] + lane] = lanes[wide, lane]
+    return control.tobytes(), data.tobytes()
 
 
 def decode_numbers(control: bytes, data: bytes, n: int) -> np.ndarray:
-    kept = KEPT[np.frombuffer(control, np.uint8)].reshape(-1)
-    out = np.zeros(len(kept), np.uint8)
-    out[kept] = np.frombuffer(data, np.uint8)
-    return out.view("<u4")[:n]
+    more, data = MORE_BYTES[np.frombuffer(control, np.uint8)].reshape(-1), np.frombuffer(data, np.uint8)
+    begins = np.cumsum(more + np.uint8(1), dtype=np.int64) - more - 1
+    out = data[begins].astype("<u4")
+    for lane in (1, 2, 3):
+        wide = np.flatnonzero(more >= lane)
+        out[wide] |= data[begins[wide] + lane].astype("<u4") << np.uint32(8 * lane)
+    return out[:n]
+
+
+def _packed(ids: np.ndarray) -> bytes:
+    """Ids of two or four bytes, compressed, after the number of bytes."""
+    return bytes([ids.itemsize]) + zstandard.compress(ids, 1)
+
+
+def _unpacked(blob: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(memoryview(blob)[1:]), f"<u{blob[0]}")
 
 
 def _visible(char: str) -> bool:
@@ -126,30 +146,38 @@ class Pieces(dict):
         return self._add(piece, len(text), edges)
 
     def _learn(self, new: list[bytes]) -> np.ndarray:
-        """The numbers of distinct new pieces. Words and words with a mark, which most are, are added by arrays."""
+        """The numbers of distinct new pieces. All but a few are added by arrays: words, words with a mark, and what else has visible ASCII at its edges."""
         flat = np.frombuffer(b"".join(new), np.uint8)
         sizes = np.fromiter(map(len, new), np.int64, len(new))
         if not len(flat):
             return np.zeros(0, np.int64)
         ends = np.cumsum(sizes)
-        other = ~_in_letters(flat, ends)
-        spaced = flat[ends - sizes] == 32
-        other[(ends - sizes)[spaced]] = False
-        others, bare = np.add.reduceat(other, ends - sizes, dtype=np.int64), sizes - spaced
-        words = (others == 0) & (bare > 0)
-        marked = (others == 1) & (bare > 1) & _IS_MARK[flat[ends - 1]]
+        begins, other = ends - sizes, ~_in_letters(flat, ends)
+        lined, spaced, last = flat[begins] == 10, flat[begins] == 32, flat[ends - 1]
+        led = lined | spaced
+        other[begins[led]] = False
+        others, bare = np.add.reduceat(other, begins, dtype=np.int64), sizes - led
+        letters = (others == 0) & (bare > 0)
+        marked = (others == 1) & (bare > 1) & _IS_MARK[last]
+        words, built = letters & ~lined, letters & lined | marked
+        plain = spaced & (bare > 1) & (others > 0) & ~marked & _IS_VISIBLE[flat[ends - np.maximum(bare, 1)]] & _IS_VISIBLE[last]
+        plain &= ~_IS_MARK[last] | other[ends - 2]
         numbers = np.full(len(new), -1)
         numbers[words] = self._learn_words([new[i] for i in np.flatnonzero(words).tolist()])
-        at = np.flatnonzero(marked)
-        heads = [new[i][:-1] for i in at.tolist()]
+        numbers[plain] = own = self._add_all(few := [new[i] for i in np.flatnonzero(plain).tolist()])
+        self.spaced += [piece.decode("utf-8", "replace") for piece in few]
+        self.spaced_numbers.frombytes(own.tobytes())
+        at = np.flatnonzero(built)
+        heads = [new[i][a:b] for i, a, b in zip(at.tolist(), lined[at].tolist(), (sizes - marked)[at].tolist(), strict=True)]
         self._learn_words([word for word in dict.fromkeys(heads) if word not in self])
-        marks = np.zeros(256, np.int64)
-        for mark in np.unique(flat[ends[at] - 1]).tolist():
+        marks = np.full(256, self.nothing)
+        for mark in np.unique(last[marked]).tolist():
             marks[mark] = self[bytes([mark])]
         parts = np.fromiter(map(self.__getitem__, heads), np.int64, len(at))
         numbers[at] = own = self._add_all([new[i] for i in at.tolist()])
-        self.built.frombytes(np.column_stack([own, np.full(len(at), self.nothing), parts, marks[flat[ends[at] - 1]]]).tobytes())
-        rest = np.flatnonzero(~words & ~marked)
+        columns = [own, np.where(lined[at], self.line_end, self.nothing), parts, np.where(marked[at], marks[last[at]], self.nothing)]
+        self.built.frombytes(np.column_stack(columns).tobytes())
+        rest = np.flatnonzero(numbers < 0)
         numbers[rest] = [self[new[i]] for i in rest.tolist()]
         return numbers
 
@@ -225,26 +253,26 @@ class Pieces(dict):
     def _encoded(self, texts: list[str]) -> list[list[int]]:
         return [found.ids for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encoded_together(self, texts: list[str]) -> list[list[int]]:
-        """Ids of pieces that begin with a space and hold no line end: a line end between two of them is a match of its own."""
-        out = []
+    def _encoded_together(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that begin with a space and hold no line end, and their sizes: a line end between two is a match of its own."""
+        every, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for at in range(0, len(texts), TOGETHER):
             part = texts[at : at + TOGETHER]
-            ids = np.array(self._encoded(["\n".join(part)])[0], np.int64)
+            ids = np.array(self._encoded(["\n".join(part)])[0], np.uint32)
             cuts = np.flatnonzero(ids == self.mark_of_lines)
             if len(cuts) != len(part) - 1:
                 raise RuntimeError("the vocabulary's pre-tokenizer is not the byte-level one")
-            flat, ends = ids.tolist(), [*cuts.tolist(), len(ids)]
-            out += [flat[a:b] for a, b in zip([0, *(cuts + 1).tolist()], ends, strict=True)]
-        return out
+            every.append(np.delete(ids, cuts))
+            sizes.append(np.diff(cuts, prepend=-1, append=len(ids)) - 1)
+        return np.concatenate(every), np.concatenate(sizes)
 
     def settle(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Encode what is new; where each piece's ids start, how many they are, and all ids."""
         tokenize = self.tokenizer.model.tokenize
         found = [[token.id for token in tokenize(word)] for word in self.words]
-        found += self._encoded_together(self.spaced)
         found += self._encoded(self.texts)
-        numbers = np.concatenate([np.array(n, np.int64) for n in (self.word_numbers, self.spaced_numbers, self.text_numbers)])
+        numbers = np.concatenate([np.array(n, np.int64) for n in (self.word_numbers, self.text_numbers)])
+        spaced, (spaced_ids, spaced_sizes) = np.array(self.spaced_numbers, np.int64), self._encoded_together(self.spaced)
         built = np.array(self.built, np.int64).reshape(-1, 4)
         self.words, self.spaced, self.texts = [], [], []
         self.word_numbers, self.spaced_numbers, self.text_numbers, self.built = array("q"), array("q"), array("q"), array("q")
@@ -259,6 +287,7 @@ class Pieces(dict):
             self.flat.frombytes(ids.astype(np.uint32).tobytes())
 
         place(numbers, np.fromiter(map(len, found), np.int64, len(found)), np.fromiter(chain.from_iterable(found), np.uint32))
+        place(spaced, spaced_sizes, spaced_ids)
         if len(built):
             parts = built[:, 1:].ravel()
             ids = np.frombuffer(self.flat, np.uint32)[gather(starts[parts], sizes[parts])]
@@ -277,6 +306,7 @@ _BYTE_LEVEL = {byte: chr(256 + n) for n, byte in enumerate(b for b in range(256)
 _SPACE = _BYTE_LEVEL[32]
 _BYTE_LEVELS = np.array([ord(_BYTE_LEVEL.get(byte, chr(byte))) for byte in range(256)], "<u2")
 _IS_MARK = np.array([chr(byte) in _MARKS for byte in range(256)])
+_IS_VISIBLE = np.array([32 < byte < 127 for byte in range(256)])  # in ASCII
 _IS_LETTER = np.array([chr(code).isalpha() and code < 0x500 for code in range(0x800)])
 
 
@@ -329,6 +359,7 @@ def tokenize(docs: DataFrame, vocabulary: bytes, end_id: int = END_ID, id_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(key, shared.value)
         counts = np.zeros(pieces.tokenizer.get_vocab_size() + end_id + 1, np.int64)
+        narrow = np.uint16 if len(counts) <= 1 << 16 else np.uint32
         for batch in batches:
             raw = batch.column(batch.schema.get_field_index("raw"))
             for at, to in _portions(raw):
@@ -344,7 +375,7 @@ def tokenize(docs: DataFrame, vocabulary: bytes, end_id: int = END_ID, id_col: s
                     ends = np.append(0, np.cumsum(n))[begins[1:] - begins[0]]
                     ids = np.insert(flat[gather(starts[own], n)], ends, end_id)
                     counts += np.bincount(ids, minlength=len(counts))
-                    packed += map(pack, np.split(ids, ends[:-1] + np.arange(1, len(ends))))
+                    packed += map(_packed, np.split(ids.astype(narrow), ends[:-1] + np.arange(1, len(ends))))
                 del starts, sizes, flat  # the arrays behind them cannot grow while they are looked at
                 none = pa.nulls(len(packed))
                 yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("doc_id")), pa.array(packed, pa.binary()), none.cast(pa.int32()), none.cast(pa.int64())], ["doc_id", "ids", "id", "n"])
@@ -379,7 +410,7 @@ def write(tokenized: DataFrame, path: str, block_ids: int = BLOCK_IDS) -> None:
         for batch in batches:
             for doc_id, ids in rows_of(batch, "doc_id", "ids"):
                 doc_ids.append(doc_id)
-                held.append(unpack(ids)[0])
+                held.append(_unpacked(ids))
                 n += len(held[-1])
                 if n >= block_ids:
                     yield row()
@@ -409,11 +440,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for base, begins, n, doc_ids, sizes, control, data in rows_of(batch, "base", "begins", "n", "doc_ids", "sizes", "control", "data"):
-                flat = shared.value[decode_numbers(control, data, n)].tobytes()
+                flat = shared.value[decode_numbers(control, data, n)]
                 ends = np.cumsum(sizes, dtype=np.int64)
                 starts = ends - sizes
-                texts = [flat[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(base + begins + starts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(texts, pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
+                texts = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(np.append(0, 4 * ends).astype(np.int32)), pa.py_buffer(flat)])
+                yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(base + begins + starts, pa.int64()), pa.array(sizes, pa.int64()), texts], ["doc_id", "start", "n_tokens", "ids"])
 
     parts = spark.read.schema("part int, base long").parquet(f"{path}/parts")
     blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks").join(F.broadcast(parts), "part")

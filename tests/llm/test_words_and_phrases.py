@@ -200,6 +200,12 @@ def test_numbers_of_all_sizes():
     assert len(token_files.encode_numbers(np.array([0, 255, 256, 65535, 65536, 1 << 24, 0, 0], np.uint32))[1]) == 1 + 1 + 2 + 2 + 3 + 4 + 1 + 1
 
 
+def test_packed_ids_have_two_or_four_bytes():
+    for ids in (np.zeros(0, np.uint16), np.array([0, 50256, 65535], np.uint16), np.array([0, 1 << 16, 2**32 - 1], np.uint32)):
+        got = token_files._unpacked(token_files._packed(ids))
+        assert got.dtype == ids.dtype and got.tolist() == ids.tolist()
+
+
 def test_token_file_query(spark, small, texts):
     got = {r.doc_id: tuple(r) for r in QUERIES["op12_token_files"](spark, small).collect()}
     own, start = tokenizer(), 0
